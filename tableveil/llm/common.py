@@ -64,3 +64,31 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def bounded_sample(rows: DataFrame, label: str, text: str, each: int) -> list:
+    """About `each` distinct (label, text) rows of every label, the same on every run; exact copies count once.
+
+    A count per label gives the share that a hash of the row must fall under, so nothing is sorted or gathered
+    but the sample itself, whose size does not grow with the input.
+    """
+    rows = rows.select(F.col(label).alias("label"), F.col(text).alias("text")).where("label is not null and text is not null")
+    counts = rows.groupBy("label").count().collect()
+    if not counts:
+        return []
+    rows = rows.withColumn("h", F.xxhash64(F.col("label").cast("string"), "text"))
+    share = F.create_map(*(x for r in counts for x in (F.lit(r["label"]), F.lit(min(1.0, each / r["count"])))))
+    chosen = rows.where(F.pmod("h", F.lit(1 << 30)) < F.element_at(share, F.col("label")) * (1 << 30))
+    return sorted(chosen.groupBy("label", "h").agg(F.first("text").alias("text")).collect(), key=lambda r: (str(r["label"]), r["h"]))
+
+
+def sliced(texts: list[str], most: int = 1 << 21):
+    """(from, to) ranges over texts of about `most` characters each; a longer text stands alone."""
+    start = size = 0
+    for i, t in enumerate(texts):
+        if i > start and size + len(t) > most:
+            yield start, i
+            start, size = i, 0
+        size += len(t)
+    if start < len(texts):
+        yield start, len(texts)
