@@ -1,8 +1,8 @@
 """Every query of this subpackage, and the SQL of those that SQL can express."""
 
-from . import quality_rules, token_counts
+from . import language_id, quality_rules, token_counts
 
-MODULES = (token_counts, quality_rules)
+MODULES = (token_counts, quality_rules, language_id)
 
 
 def queries() -> dict:
