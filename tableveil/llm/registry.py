@@ -1,8 +1,8 @@
 """Every query of this subpackage, and the SQL of those that SQL can express."""
 
-from . import language_id, quality_rules, token_counts
+from . import chat_format, language_id, quality_rules, token_counts
 
-MODULES = (token_counts, quality_rules, language_id)
+MODULES = (token_counts, quality_rules, language_id, chat_format)
 
 
 def queries() -> dict:
