@@ -1,8 +1,8 @@
 """Every query of this subpackage, and the SQL of those that SQL can express."""
 
-from . import chat_format, decontaminate, language_id, near_dedup, quality_classifier, quality_rules, source_mix, token_counts
+from . import chat_format, decontaminate, language_id, near_dedup, quality_classifier, quality_rules, source_mix, token_counts, web_archive
 
-MODULES = (token_counts, decontaminate, language_id, source_mix, near_dedup, quality_rules, chat_format, quality_classifier)
+MODULES = (token_counts, decontaminate, language_id, source_mix, near_dedup, quality_rules, web_archive, chat_format, quality_classifier)
 
 
 def queries() -> dict:
