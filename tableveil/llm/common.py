@@ -66,13 +66,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bounded_sample(rows: DataFrame, label: str, text: str, each: int) -> list:
+def bounded_sample(rows: DataFrame, label: str, text: str | Column, each: int) -> list:
     """About `each` distinct (label, text) rows of every label, the same on every run; exact copies count once.
 
     A count per label gives the share that a hash of the row must fall under, so nothing is sorted or gathered
     but the sample itself, whose size does not grow with the input.
     """
-    rows = rows.select(F.col(label).alias("label"), F.col(text).alias("text")).where("label is not null and text is not null")
+    rows = rows.select(F.col(label).alias("label"), (F.col(text) if isinstance(text, str) else text).alias("text")).where("label is not null and text is not null")
     counts = rows.groupBy("label").count().collect()
     if not counts:
         return []

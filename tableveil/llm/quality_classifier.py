@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, fold, sliced, table
+from .common import bounded_sample, fold, sliced, table, whole
 
 TRIGRAMS, SHAPES = 2048, 128
 TERMS = TRIGRAMS + SHAPES
@@ -122,7 +122,11 @@ class Voters:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str = "text", each: int = EACH) -> Voters:
     """Voters from a bounded sample of the labelled documents."""
     truth = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg(F.min(label).alias("__label"))
-    sample = bounded_sample(docs.select("doc_id", F.col(text).alias("__text")).join(truth, "doc_id"), "__label", "__text", each)
+    # The sample is drawn from the labels, so that only its few ids travel to the texts, not the texts to the labels.
+    chosen = bounded_sample(truth, "__label", F.col("doc_id").cast("string"), each)
+    ids = docs.sparkSession.createDataFrame([(int(r["text"]), float(r["label"])) for r in chosen], "doc_id long, __label double")
+    found = docs.select("doc_id", whole(text).alias("__text")).join(F.broadcast(ids), "doc_id")
+    sample = found.groupBy(F.xxhash64("__text", "__label").alias("h")).agg(F.first("__text").alias("text"), F.first("__label").alias("label")).orderBy("h").collect()
     return Voters([r["text"] for r in sample], [float(r["label"]) for r in sample])
 
 
@@ -143,7 +147,7 @@ def classify(docs: DataFrame, voters: Voters, text: str = "text") -> DataFrame:
 def op10_quality_classifier(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = fold("doc_id", 3) == 1
-    voters = fit(docs.where(~held_out), table(spark, sf_dir, "labels"))
+    voters = fit(docs.where(~held_out), table(spark, sf_dir, "labels").where(~held_out))
     return classify(docs.withColumn("held_out", held_out), voters).drop("text")
 
 
