@@ -129,7 +129,9 @@ def op2_decontaminate(spark, sf_dir: str) -> DataFrame:
 
 def reject(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs that share no window with the benchmark."""
-    return contamination(docs.select(*docs.columns), benchmark).where("n_hit = 0").select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("__row"), "doc_id", "text")
+    # Written before the filter, which would otherwise be pushed into the expressions that find the hits.
+    return stored(contamination(rows, benchmark).drop("text"), "op2-matched").where("n_hit = 0").select("__row.*")
 
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

@@ -235,7 +235,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 names[order[a:b]], scores[order[a:b]] = held.value.predict(ranked[a:b])
             yield pd.DataFrame({"lang_pred": names, "score": scores})
 
-    return docs.withColumn("__found", predict(F.col(text))).withColumns({"lang_pred": F.col("__found.lang_pred"), "score": F.col("__found.score")}).drop("__found")
+    return docs.withColumn("__found", predict.asNondeterministic()(F.col(text))).withColumns({"lang_pred": F.col("__found.lang_pred"), "score": F.col("__found.score")}).drop("__found")
 
 
 def op3_language_id(spark, sf_dir: str) -> DataFrame:

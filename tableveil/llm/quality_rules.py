@@ -139,8 +139,12 @@ def op7_quality_rules(spark, sf_dir: str) -> DataFrame:
 
 def reject(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The kept rows of docs, with the columns of docs."""
-    cutoffs = stored(calibrate(measure(docs.select("doc_id", "lang", "text").join(labels.select("doc_id").distinct(), "doc_id", "left_semi")), labels).coalesce(1), "op7-cutoffs")
-    return judge(measure(docs), cutoffs).where("kept").select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("__row"), "doc_id", "lang", "text")
+    # Written once: the labelled rows set the cutoffs and all rows are judged on the same counts, and no filter is
+    # pushed into the expressions that make them.
+    measured = stored(measure(rows).drop("text"), "op7-measured")
+    cutoffs = stored(calibrate(measured.drop("__row"), labels).coalesce(1), "op7-cutoffs")
+    return judge(measured, cutoffs).where("kept").select("__row.*")
 
 
 def _sql() -> str:
