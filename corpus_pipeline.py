@@ -1,11 +1,49 @@
-"""Corpus cleaning pipeline (filled in as its stages' operators land)."""
+"""Corpus cleaning: language, quality, near copies, benchmark passages, source mix.
 
-STAGES: list = []
+Each stage takes what its predecessor kept, written as Parquet and read again. The last stage returns the mix: the
+documents' columns with each document's words, its source's target, the words taken and the shards of its draws.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tableveil.llm import decontaminate, language_id, near_dedup, quality_rules, source_mix
+from tableveil.llm.common import stored, table
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return language_id.reject(docs)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality_rules.reject(docs, table(spark, sf_dir, "labels"))
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_dedup.reject(docs)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.reject(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix of all that is left: one row per document, with the shard of each draw (-1: not drawn)."""
+    mixed = source_mix.mix(docs)
+    shards = (F.coalesce(f"shard_{d}", F.lit(-1)).alias(f"shard_{d}") for d in (1, 2))
+    return mixed.select("doc_id", "source", "size", "source_size", "target", "taken", *shards)
+
+
+STAGES = [("language_id", language), ("quality_rules", quality), ("near_dedup", near_copies), ("decontaminate", benchmark), ("source_mix", mix)]
+
+#: Learned models and hashing have no SQL form; the tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
