@@ -55,7 +55,7 @@ def columns_snapshot(spark: SparkSession, schema: str) -> DataFrame:
     rows = []
     for t in tables(spark, schema):
         described = json.loads(spark.sql(f"DESCRIBE EXTENDED {quoted(schema, t)} AS JSON").first()[0])
-        kinds = {c.name: c for c in spark.catalog.listColumns(t, schema)}
+        kinds = {c.name: c for c in spark.catalog.listColumns(quoted(schema, t))}
         for i, c in enumerate(described["columns"], 1):
             rows.append((schema, t, c["name"], i, kinds[c["name"]].dataType, not c.get("nullable", True), c.get("default")))
     return spark.createDataFrame(rows, COLUMNS)
