@@ -67,13 +67,13 @@ def overlapping_rows(df: DataFrame, key: str, low: str, high: str, row_id: str,
         rows = rows.withColumn("__slice", F.lit(0))
     else:
         step = (span["b"] - span["a"]) / slices
-        cuts = F.array(*(F.lit(span["a"] + step * i) for i in range(1, slices)))
-        rows = rows.withColumn("__slice", F.size(F.filter(cuts, lambda c: c <= F.col(low))))
+        rows = rows.withColumn("__slice", sum((F.col(low) >= F.lit(span["a"] + step * i)).cast("int") for i in range(1, slices)))
     ends = rows.groupBy(key, "__slice").agg(F.max(high).alias("__end"))
-    earlier = ends.select(key, "__slice", F.max("__end").over(Window.partitionBy(key).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)).alias("__carried"))
+    carried = F.max("__end").over(Window.partitionBy(key).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1))
+    earlier = ends.select(F.col(key).alias("__of"), F.col("__slice").alias("__in"), carried.alias("__carried"))
     within = Window.partitionBy(key, "__slice").orderBy(low, row_id).rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("__before", F.max(high).over(within)).join(earlier, [key, "__slice"])
-    return rows.where(F.col(low) < F.greatest("__before", "__carried")).drop("__slice", "__before", "__carried")
+    rows = rows.withColumn("__before", F.max(high).over(within)).join(earlier, (F.col(key) == F.col("__of")) & (F.col("__slice") == F.col("__in")))
+    return rows.where(F.col(low) < F.greatest("__before", "__carried")).drop("__slice", "__before", "__carried", "__of", "__in")
 
 
 def exclusion(df: DataFrame, key: str, low: str, high: str, row_id: str, schema: str, table: str, constraint: str) -> DataFrame:
