@@ -1,0 +1,460 @@
+"""Every operator against brute force, exact round trips or held-out accuracy, and the defined cases of each."""
+
+import collections
+import hashlib
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tableveil.llm import chat_format, common, decontaminate, language_id, lm_score, near_dedup, quality_classifier, quality_rules, registry, source_mix, token_counts, web_archive
+
+from ..compare import assert_same, connect
+
+DOCS = "doc_id long, text string, lang string, source string"
+LONG = "lorem ipsum dolor sit amet " * 5000
+EDGES = [
+    (1, None, "en", "a"),
+    (2, "", None, "a"),
+    (3, " \t\n", "en", None),
+    (None, "a row without an id but with ten words in it", "en", "b"),
+    (5, "Twice the same row, the very same row", "en", "b"),
+    (5, "Twice the same row, the very same row", "en", "b"),
+    (6, LONG, "la", "a"),
+    (7, "x", "en", "c"),
+    (8, "Ünïcode wörds 日本語 🙂 çava", None, None),
+]
+
+
+def fold(doc_id, n):
+    return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % n
+
+
+def blank_words(text):
+    return re.findall("[^ \t-\r]+", text or "")
+
+
+def low(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+@pytest.fixture(scope="module")
+def corpus(spark, sf):
+    return spark.read.parquet(f"{sf}/documents.parquet")
+
+
+@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
+def test_rows_equal_sql(spark, sf, name):
+    assert_same(spark, connect(sf), sf, registry.queries()[name], registry.oracle_sql()[name])
+
+
+# 1
+
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    return str(pytest.importorskip("public_tokenizers").path("byte_bpe_50k.json"))
+
+
+def test_counts_equal_the_library(spark, sf, corpus, vocabulary):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(vocabulary)
+    texts = [r["text"] or "" for r in corpus.collect()] + ["aaa aaaa aaaaa", "  \n\n x<|endoftext|>y <|endoftext|>", "I'll we've 123 $%^ 你好", "a" * 3000, LONG, "   x\t\t y", "don't DON'T 'S"]
+    random.seed(1)
+    texts += ["".join(random.choice("ab '\n1é<|") for _ in range(50)) for _ in range(200)]
+    assert token_counts.Counter(vocabulary).count(texts) == [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_counts_of_edge_cases(make, vocabulary):
+    df = make([(*r, "clash") for r in EDGES], DOCS + ", n_tokens string")
+    got = token_counts.count_tokens(df, vocabulary).collect()
+    assert len(got) == len(EDGES) and {r["doc_id"]: r["n_tokens"] for r in got}[1] == 0
+    assert next(r for r in got if r["doc_id"] == 6)["over_limit"] and next(r for r in got if r["doc_id"] == 8)["n_bytes"] == len(EDGES[8][1].encode())
+    assert token_counts.count_tokens(make([], DOCS), vocabulary).count() == 0
+
+
+# 2
+
+
+def hits_by_force(docs, items):
+    cut = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low(t))
+    out = []
+    for doc_id, text in docs:
+        w, hit, names = cut(text), set(), set()
+        for item, t in items:
+            q = cut(t)
+            n = min(10, len(q))
+            for i in range(len(q) - n + 1) if n else ():
+                for j in range(len(w) - n + 1):
+                    if w[j : j + n] == q[i : i + n]:
+                        hit |= set(range(j, j + n))
+                        names.add("" if item is None else str(item))
+        out.append((doc_id, len(w), len(hit), ",".join(sorted(names))))
+    return sorted(out, key=repr)
+
+
+def test_phrases_of_common_words_and_overlaps(make, monkeypatch):
+    random.seed(5)
+    word = lambda: random.choice(["the", "of", "a", "B", "é", "zq"])
+    docs = [(i % 9, " ".join(word() for _ in range(random.randrange(0, 60)))) for i in range(40)]
+    items = [(i, ("," if i % 2 else " ").join(word() for _ in range(random.randrange(0, 14)))) for i in range(12)]
+    items += [(12, None), (12, "the of"), (None, "zq zq"), (3, docs[0][1]), (9, "the " * 12)]
+    docs += [(None, "zq zq the"), (1, None), (2, ""), (3, "the " * 30), (3, "the " * 30), (7, "THE, of! the.of")]
+    bench, df = make(items, "item_id long, text string"), make(docs, "doc_id long, text string")
+    got = decontaminate.contamination(df, bench).collect()
+    assert sorted(((r["doc_id"], r["n_words"], r["n_hit"], ",".join(r["hit_items"])) for r in got), key=repr) == hits_by_force(docs, items)
+    # The same from several passes over the vocabulary.
+    kept = decontaminate.items_of(bench)
+    several = decontaminate.matches(df, decontaminate.candidates(kept, decontaminate.index(df, kept, block=2))).collect()
+    assert sorted(((r["doc_id"], r["n_hit"]) for r in several), key=repr) == sorted(((r["doc_id"], r["n_hit"]) for r in got), key=repr)
+
+
+def test_decontamination_of_empty_tables(make):
+    docs, none = make(EDGES, DOCS), make([], "item_id long, text string")
+    assert {r["n_hit"] for r in decontaminate.contamination(docs, none).collect()} == {0}
+    assert decontaminate.contamination(make([], DOCS), make([(1, "a b")], "item_id long, text string")).count() == 0
+    kept = decontaminate.reject(docs.withColumn("n_hit", F.lit("clash")), make([(1, "same row, the very same")], "item_id long, text string"))
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(str(r[0]) for r in EDGES if r[0] != 5) and kept.columns[-1] == "n_hit"
+
+
+def test_proximity(make):
+    docs = make([(1, "red x green x x blue"), (2, "blue green red"), (3, "red green"), (4, "red x x x x x green blue")], "doc_id long, text string")
+    items = common.stored(decontaminate.items_of(make([(1, "red green blue")], "item_id long, text string")), "t")
+    near = decontaminate.proximity(items, decontaminate.index(docs, items), within=6)
+    found = near.join(docs.select("doc_id", decontaminate.doc_key().alias("doc")), "doc").collect()
+    assert {(r["doc_id"], r["first"], r["last"]) for r in found} == {(1, 0, 5), (2, 0, 2)}
+
+
+# 3
+
+
+def test_language_of_held_out_texts(corpus):
+    held = common.fold("doc_id", 5) == 0
+    model = language_id.fit(corpus.where(~held), each=40)
+    got = language_id.identify(corpus.where(held), model).collect()
+    right = sum(r["lang"] == r["lang_pred"] for r in got)
+    assert right / len(got) >= 0.95 and all(0 <= r["score"] <= 1 for r in got)
+
+
+def test_forward_backward_equals_enumeration():
+    import itertools
+
+    rng = np.random.default_rng(1)
+    model = language_id.Model(["a", "b", "c"], np.zeros(0, np.uint64))
+    model.moves = rng.normal(size=(3, 3)).astype(np.float32)
+    e = rng.normal(size=(9, 3)).astype(np.float32)
+    gamma = model.posteriors(e, np.array([0, 5]), np.array([5, 4]))
+    for start, n in ((0, 5), (5, 4)):
+        total, sums = 0.0, np.zeros((n, 3))
+        for path in itertools.product(range(3), repeat=n):
+            w = math.exp(sum(e[start + t, y] for t, y in enumerate(path)) + sum(model.moves[a, b] for a, b in itertools.pairwise(path)))
+            total += w
+            for t, y in enumerate(path):
+                sums[t, y] += w
+        assert np.allclose(gamma[start : start + n], sums / total, atol=1e-4)
+
+
+def test_language_edge_cases(make, corpus):
+    model = language_id.fit(corpus, each=20)
+    got = language_id.identify(make([(*r, 1) for r in EDGES], DOCS + ", score int"), model).collect()
+    by = collections.defaultdict(list)
+    for r in got:
+        by[r["doc_id"]].append((r["lang_pred"], r["score"]))
+    assert len(got) == len(EDGES) and by[1] == by[2] == by[3] == [("und", 0.0)] and by[5][0] == by[5][1] and by[8][0][0] != "und"
+    empty = language_id.fit(make([], DOCS))
+    assert {r["lang_pred"] for r in language_id.identify(make(EDGES, DOCS), empty).collect()} == {"und"}
+    assert language_id.identify(make([], DOCS), model).count() == 0
+    assert language_id.reject(make([], DOCS)).count() == 0
+
+
+# 4
+
+
+def lm_by_force(docs):
+    tokens = [[*blank_words(low(t)), ""] for _, t in docs]
+    trained = collections.Counter(w for (d, _), ws in zip(docs, tokens, strict=True) if fold(d, 7) != 2 for w in ws)
+    n, v = sum(trained.values()), len(trained)
+    return [(d, len(ws), sum(trained[w] > 0 for w in ws), n, sum(math.log10((trained[w] + 1) / (n + v + 1)) for w in ws)) for (d, _), ws in zip(docs, tokens, strict=True)]
+
+
+def check_lm(docs, got):
+    want = sorted(lm_by_force(docs), key=repr)
+    got = sorted(((r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) for r in got), key=repr)
+    assert [w[:4] for w in want] == [g[:4] for g in got]
+    assert np.allclose(sorted(w[4] for w in want), sorted(g[4] for g in got), rtol=1e-9)
+
+
+def test_base_scores_and_the_model(spark, sf, corpus):
+    got = registry.queries()["op4_lm_score"](spark, sf).collect()
+    check_lm([(r["doc_id"], r["text"]) for r in corpus.collect()], got)
+    assert all(r["score"] < 0 for r in got)
+    trained = [r for r in got if not r["held_out"]]
+    assert sum(r["score"] for r in trained) > sum(r["base_score"] for r in trained)
+
+
+def test_lm_edge_cases(make):
+    docs = make([(*r, 1) for r in EDGES], DOCS + ", score int").withColumn("held_out", common.fold("doc_id", 7) == 2)
+    got = lm_score.score_documents(docs).collect()
+    check_lm([r[:2] for r in EDGES], got)
+    same = [r["score"] for r in got if r["doc_id"] == 5]
+    assert same[0] == same[1]
+    assert lm_score.score_documents(make([], DOCS).withColumn("held_out", F.lit(False))).count() == 0
+    unseen = lm_score.score_documents(make(EDGES, DOCS).withColumn("held_out", F.lit(True))).collect()
+    assert {r["train_tokens"] for r in unseen} == {0} and {r["n_known"] for r in unseen} == {0} and all(r["score"] < 0 for r in unseen)
+
+
+def test_trie_is_a_distribution_and_excludes():
+    keys = np.array([32 << 16 | 32 << 8 | ord("a"), 32 << 16 | ord("a") << 8 | ord("b"), ord("a") << 16 | ord("b") << 8 | 32, 32 << 16 | ord("a") << 8 | ord("c")])
+    trie = lm_score.Trie(keys, np.array([5, 3, 3, 2]))
+    assert np.allclose((10.0 ** trie.longest.astype(float)).sum(axis=1), 1, atol=1e-5) and np.allclose((10.0 ** trie.shorter.astype(float)).sum(axis=1), 1, atol=1e-5)
+    row = trie.row[32 << 8 | ord("a")]
+    # Of 5 events 2 kinds were seen: b takes 3/7 and c 2/7; the escape, 2/7, goes to what is left in shorter contexts.
+    assert np.isclose(10 ** trie.longest[row, ord("b")], 3 / 7, rtol=1e-4)
+    # No kind is left after one byte (b and c are excluded); over no context a (5) and the blank (3) are: 5/10 and 3/10.
+    assert np.isclose(10 ** trie.longest[row, ord("a")], 2 / 7 * 5 / 10, rtol=1e-4)
+    words = [b"ab", b"", b"zz"]
+    assert np.isclose(trie.score(words)[0], sum((trie.longest[trie.row[c], s] for c, s in ((32 << 8 | 32, ord("a")), (32 << 8 | ord("a"), ord("b")), (ord("a") << 8 | ord("b"), 32)))))
+
+
+def test_segments_are_cut_alike():
+    words = [b"w%d" % i for i in range(200)]
+    tail = lm_score.segments([b"other", *words, b""])[-5:]
+    assert [n for _, n in tail] == [n for _, n in lm_score.segments([*words, b""])[-5:]]
+    assert lm_score.segments([b""])[0][0] == 1
+
+
+# 5
+
+
+def test_mix_meets_targets(make):
+    random.seed(2)
+    rows = [(i, " ".join("w" * random.randrange(1, 200)), "en", random.choice(["big"] * 6 + ["b", "a", "é", None])) for i in range(900)]
+    docs = make(rows + [(900, None, "en", "none"), (901, "", "en", "none")], DOCS)
+    got = source_mix.mix(docs, shards=8, blocks=64).collect()
+    by = collections.defaultdict(list)
+    for r in got:
+        by[r["source"]].append(r)
+        assert 0 <= r["taken"] <= 2 * r["size"]
+    assert abs(sum(g[0]["target"] for g in by.values()) - 1.5 * sum(r["size"] for r in got)) < 1e-3
+    for group in by.values():
+        assert abs(sum(r["taken"] for r in group) - group[0]["target"]) <= 1 and group[0]["target"] <= 2 * group[0]["source_size"] + 1e-9
+    assert sorted(map(str, got)) == sorted(map(str, source_mix.mix(docs.repartition(7), shards=8, blocks=64).collect()))
+    emitted = source_mix.emit(source_mix.mix(docs, shards=8, blocks=64)).collect()
+    sizes = collections.Counter(r["shard"] for r in emitted)
+    assert set(sizes) == set(range(8)) and max(sizes.values()) < 2 * min(sizes.values())
+
+
+def test_mix_edge_cases(make):
+    got = source_mix.mix(make([(*r, 1) for r in EDGES], DOCS + ", taken int")).collect()
+    assert len(got) == len(EDGES) and sum(r["taken"] for r in got) > 0
+    assert source_mix.mix(make([], DOCS)).count() == 0
+    assert {r["taken"] for r in source_mix.mix(make([(1, None, None, None), (2, "", "en", "a")], DOCS)).collect()} == {0}
+
+
+# 6
+
+
+def components_by_force(rows):
+    sets = [near_dedup.shingles(t) for _, t in rows]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for i, (a, _) in enumerate(rows):
+        for j in range(i):
+            b = rows[j][0]
+            if a is not None and b is not None and sets[i] and sets[j]:
+                inter = len(sets[i] & sets[j])
+                if 100 * inter >= 85 * (len(sets[i]) + len(sets[j]) - inter):
+                    a0, b0 = find(a), find(b)
+                    root[max(a0, b0)] = min(a0, b0)
+    return [(d, len(s), d if d is None else find(d)) for (d, _), s in zip(rows, sets, strict=True)]
+
+
+def family(seed, n=240, words=90):
+    """Texts that drift apart from one another, so that links form chains."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(500)}" for _ in range(words)]
+    out = []
+    for i in range(n):
+        t = list(base if i % 3 else rng.choice(out).split() if out else base)
+        for _ in range(rng.randrange(0, 9)):
+            t[rng.randrange(len(t))] = f"v{rng.randrange(500)}"
+        out.append(" ".join(t))
+    return out
+
+
+@pytest.mark.parametrize("most", [1 << 22, 20_000])
+def test_components_equal_brute_force(make, most, monkeypatch):
+    monkeypatch.setattr(near_dedup.links, "__defaults__", (near_dedup.THRESHOLD, most))
+    rows = list(enumerate(family(1) + family(2, 60, 30)))
+    rows += [(1000 + i, "Exactly THE same words here") for i in range(40)] + [(2000, "a b"), (2001, "A  b"), (2002, "a"), (2003, None), (2004, ""), (2005, None)]
+    random.Random(3).shuffle(rows)
+    got = near_dedup.components(make(rows, "doc_id long, text string", files=5)).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == sorted(components_by_force(rows))
+    assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
+
+
+def test_near_dedup_edge_cases(make):
+    rows = [r[:2] for r in EDGES] + [(7, LONG)]  # an id with two texts joins their groups
+    got = near_dedup.components(make(rows, "doc_id long, text string")).collect()
+    assert sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in got) == sorted((str(a), n, str(c)) for a, n, c in components_by_force(rows))
+    assert near_dedup.components(make([], DOCS)).count() == 0
+    kept = near_dedup.reject(make([(*r, 1) for r in EDGES], DOCS + ", kept int"))
+    assert kept.columns[-1] == "kept" and None in {r["doc_id"] for r in kept.collect()}
+
+
+def test_min_max_estimates_similarity():
+    rng = np.random.default_rng(4)
+    shared, own = rng.integers(0, 1 << 62, 800, dtype=np.uint64), rng.integers(0, 1 << 62, 200, dtype=np.uint64)
+    sets = [np.concatenate([shared, own[:100]]), np.concatenate([shared, own[100:]])]
+    keys = near_dedup.MinMax(bands=240, rows=1).band_keys(np.concatenate(sets), np.array([0, 900]))
+    assert abs((keys[0] == keys[1]).mean() - 0.8) < 0.1
+
+
+# 7
+
+
+def rule_counts(text):
+    words = blank_words(text)
+    lines = [x for x in (text or "").split("\n") if blank_words(x)]
+    seen = collections.Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+    places = {p for i in range(len(words) - 4) if seen[tuple(words[i : i + 5])] > 1 for p in range(i, i + 5)}
+    return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)), len(places)
+
+
+def test_rule_counts_equal_brute_force(make):
+    random.seed(8)
+    texts = [" ".join(random.choice("ab\n#") for _ in range(random.randrange(0, 120))) for _ in range(60)] + [t for _, t, _, _ in EDGES]
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(texts)]
+    got = quality_rules.measure(make(rows, DOCS + ", n_words int")).collect()
+    for r in got:
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == rule_counts(r["text"]), r["text"]
+
+
+def test_cutoffs_keep_the_risk(make):
+    random.seed(9)
+    clean = [(i, " ".join("word%d" % random.randrange(900) for _ in range(60)), "en", "s") for i in range(600)]
+    junk = [(1000 + i, " ".join("w%d ###" % random.randrange(900) for _ in range(60)), "en", "s") for i in range(100)]
+    few = [(2000 + i, "w ### " * 20 + str(i), "xx", "s") for i in range(5)]
+    labels = make([(i, 1) for i, *_ in clean] + [(i, 0) for i, *_ in junk] + [(i, 0) for i, *_ in few] + [(None, 0), (1, None)], "doc_id long, quality int")
+    docs = make(clean + junk, DOCS)
+    kept = {r["doc_id"] for r in quality_rules.reject(docs, labels).collect()}
+    assert kept == {i for i, *_ in clean}
+    # Without clean labels nothing is certain, and no rule holds.
+    assert quality_rules.calibrate(quality_rules.measure(make(few, DOCS)), labels).count() == 0
+    assert quality_rules.reject(make([], DOCS), labels).count() == 0
+    assert quality_rules.reject(docs, labels.where("false")).count() == len(clean) + len(junk) - sum(rule_counts(t)[4] * 5 > rule_counts(t)[0] for _, t, _, _ in clean + junk)
+    edge = quality_rules.reject(make([(*r, 1) for r in EDGES], DOCS + ", n_words int"), labels)
+    assert edge.columns[-1] == "n_words" and {r["doc_id"] for r in edge.collect()} == {None}
+
+
+def test_binomial_tail(spark):
+    for k, n, p in ((0, 50, 0.05), (3, 200, 0.05), (12, 1000, 0.02)):
+        want = sum(math.comb(n, j) * p**j * (1 - p) ** (n - j) for j in range(k + 1))
+        got = spark.range(1).select(quality_rules._log_tail(F.lit(k).cast("long"), F.lit(n).cast("long"), p).alias("x")).first()["x"]
+        assert math.isclose(math.exp(got), want, rel_tol=1e-9)
+
+
+# 8
+
+
+def test_archive_round_trip(spark, make):
+    big = "<p>" + "x" * 2000 + "</p>"
+    tricky = "a\r\n\r\nWARC/1.1\r\nContent-Length: 5\r\n\r\n" * 40
+    pages = [(i, f"http://h{i % 3}.example.com/p?{i}", big) for i in range(30)] + [(100, None, None), (101, "http://x/", ""), (102, "http://x/", tricky), (103, "http://x/", tricky + "\r\n"), (104, "http://x/\r\ny", "\r\n\r\n" * 300), (105, "http://x:80/a#b", "é" * 700), (None, "http://x/", big), (29, "http://again/", big), (106, "u", "short"), (107, "u", "short")]
+    got = web_archive.archive(make([(*p, 1) for p in pages], "page_id long, url string, html string, run int"), common.new_path(spark, "t")).collect()
+    assert [(r["urlkey"].encode(), r["seconds"]) for r in got] == sorted((r["urlkey"].encode(), r["seconds"]) for r in got)
+    want = []
+    for i, _, html in pages:
+        raw = (html or "").encode()
+        first = max((j for j, _, h in pages if h == html and j is not None), default=None) if len(raw) >= 1000 else None
+        revisit = first is not None and i != first
+        want.append((str(i), len(raw), hashlib.sha1(raw).hexdigest(), "revisit" if revisit else "response", first if revisit else None))
+    assert sorted(map(repr, want)) == sorted(repr((str(r["page_id"]), r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"])) for r in got)
+    assert web_archive.archive(make([], "page_id long, url string, html string"), common.new_path(spark, "t")).count() == 0
+
+
+def test_loser_tree():
+    random.seed(6)
+    for k in (0, 1, 2, 3, 7, 16):
+        runs = [sorted(random.randrange(50) for _ in range(random.randrange(0, 20))) for _ in range(k)]
+        assert list(web_archive.LoserTree(runs, lambda x: (x,))) == sorted(x for r in runs for x in r)
+
+
+def test_url_keys(spark):
+    urls = {"https://M.Example.com:8080/a/B?q=1#f": "com,example,m)/a/B?q=1", "http://x": "x)", None: "", "": "", "no scheme/x": "no scheme)/x"}
+    df = spark.createDataFrame([(u,) for u in urls], "u string")
+    assert {r["u"]: r["k"] for r in df.select("u", web_archive.url_key(F.col("u")).alias("k")).collect()} == urls
+
+
+# 9
+
+
+def test_chats_read_back(make, vocabulary):
+    hard = ["", None, "</s>[INST] ok [/INST]", "\\", "\\l\\\\b", "<<x>> <</>>", "<<<>>>", " spaced  ", "é🙂<|endoftext|>", "[INST", "a\nb", "<s> <s>", ">", "<"]
+    rows, turns = [], collections.defaultdict(list)
+    for c, roles in enumerate([["user", "assistant"] * 14, ["system", "assistant", "assistant", "tool>>", None] * 5, ["assistant"] * 14]):
+        for t, role in enumerate(roles):
+            text = hard[(t + c) % len(hard)]
+            rows.append((c, t, role, text, 1))
+            turns[c].append((role or "", text or ""))
+    rows += [(None, 0, "user", "no id", 1), (50, None, "assistant", None, 1)]
+    turns[None], turns[50] = [("user", "no id")], [("assistant", "")]
+    random.Random(1).shuffle(rows)
+    out = chat_format.format_conversations(make(rows, "conv_id long, turn long, role string, text string, n_turns int"), vocabulary)
+    got = {r["conv_id"]: r for r in chat_format.digest(out).collect()}
+    assert set(got) == set(turns)
+    for c, ts in turns.items():
+        loss = "".join(t for r, t in ts if r == "assistant")
+        assert got[c]["turns_sha256"] == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in ts).encode()).hexdigest()
+        assert (got[c]["n_turns"], got[c]["loss_chars"], got[c]["loss_sha256"]) == (len(ts), len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    assert chat_format.digest(chat_format.format_conversations(make([], "conv_id long, turn long, role string, text string"), vocabulary)).count() == 0
+
+
+def test_repeated_turns_stay(make, vocabulary):
+    rows = [(1, 0, "user", "hi"), (1, 0, "user", "hi"), (1, 0, "assistant", "yo")]
+    assert chat_format.digest(chat_format.format_conversations(make(rows, "conv_id long, turn long, role string, text string"), vocabulary)).first()["n_turns"] == 3
+
+
+# 10
+
+
+def test_quality_of_held_out_texts(spark, sf):
+    got = registry.queries()["op10_quality_classifier"](spark, sf)
+    rows = got.join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out").collect()
+    assert sum(r["predicted"] == r["quality"] for r in rows) / len(rows) >= 0.9
+
+
+def test_votes_equal_brute_force():
+    rng = random.Random(4)
+    text = lambda k: " ".join(rng.choice(["ab", "cd", "###" if k else "ef", "gh"]) for _ in range(40))
+    labelled = [(text(i % 2), i % 2) for i in range(60)]
+    voters = quality_classifier.Voters([t for t, _ in labelled], [y for _, y in labelled], rank=8)
+    asked = [text(i % 2) for i in range(20)]
+    mine = voters.unit((quality_classifier.terms(asked) * voters.weight) @ voters.axes)
+    for vector, score in zip(mine, voters.score(asked, k=5), strict=True):
+        near = sorted(((float(vector @ v), y) for v, (_, y) in zip(voters.vectors, labelled, strict=True)), reverse=True)[:5]
+        weights = [max(s, 0) ** quality_classifier.POWER + 1e-9 for s, _ in near]
+        assert abs(score - sum(w * y for w, (_, y) in zip(weights, near, strict=True)) / sum(weights)) < 1e-3
+
+
+def test_quality_edge_cases(make):
+    labels = make([(5, 1), (7, 0), (7, 1), (None, 1), (8, None), (6, 0)], "doc_id long, quality int")
+    docs = make([(*r, "x") for r in EDGES], DOCS + ", score string")
+    voters = quality_classifier.fit(docs, labels)
+    got = quality_classifier.classify(docs, voters).collect()
+    assert len(got) == len(EDGES) and all(0 <= r["score"] <= 1 for r in got)
+    blank = {r["doc_id"]: r["score"] for r in got}
+    assert blank[1] == blank[2] == pytest.approx(1 / 3)
+    none = quality_classifier.fit(docs, labels.where("false"))
+    assert {r["score"] for r in quality_classifier.classify(docs, none).collect()} == {0.5}
+    assert quality_classifier.classify(make([], DOCS), voters).count() == 0
