@@ -173,7 +173,7 @@ def _links(ids: np.ndarray, texts: list[str], side: np.ndarray, threshold: int)
 
 def links(cluster_of: DataFrame, docs: DataFrame, threshold: int = THRESHOLD, most: int = CLUSTER_CHARS) -> DataFrame:
     """Exact links (a, b) that join up each cluster (node, root); nodes are ids of docs, one text each."""
-    rows = docs.select("doc_id", "text").join(cluster_of.select(F.col("node").alias("doc_id"), F.col("root").alias("cluster")), "doc_id")
+    rows = docs.select("doc_id", "text").join(cluster_of.select(F.col("node").alias("doc_id"), F.col("root").alias("cluster")).hint("merge"), "doc_id")
     size = rows.groupBy("cluster").agg(F.sum(F.length("text")).alias("chars"))
     chunks = stored(size.select("cluster", F.ceil(F.col("chars") / most).alias("chunks")).where("chunks > 1"), "op6-large")
     rows = rows.join(chunks, "cluster", "left").withColumn("n", F.coalesce("chunks", F.lit(1)))
@@ -200,7 +200,8 @@ def components(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     classes = stored(classes, "op6-classes")
     banded = classes.select("rep", F.explode("bands").alias("key"))
     leaders = banded.groupBy("key").agg(F.min("rep").alias("leader"), F.count("*").alias("n")).where("n > 1").drop("n")
-    stars = banded.join(leaders, "key").where("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
+    # Both joins are by shuffle at every size: the smaller sides grow with the input, and Spark splits hot keys of either.
+    stars = banded.join(leaders.hint("merge"), "key").where("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
     clusters = connected(stars, "op6-stars")
     # A node's text: of rows that share an id, each representative's set is that of one of its rows.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
