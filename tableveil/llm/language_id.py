@@ -245,12 +245,15 @@ def op3_language_id(spark, sf_dir: str) -> DataFrame:
     return identify(docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
 
 
-def reject(docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """The rows of docs whose language is found with at least that score and does not contradict their own label."""
-    found = identify(docs.withColumnsRenamed({"score": "__score", "lang_pred": "__pred"}) if {"score", "lang_pred"} & {*docs.columns} else docs, fit(docs.where(fold("doc_id", 5) != 0)))
-    agrees = F.col("lang").isNull() | (F.col("lang") == F.col("lang_pred"))
-    kept = found.where((F.col("lang_pred") != "und") & (F.col("score") >= least) & agrees).drop("lang_pred", "score")
-    return kept.withColumnsRenamed({"__score": "score", "__pred": "lang_pred"}).select(*docs.columns)
+def reject(docs: DataFrame, least: float = 0.5, sure: float = 0.8) -> DataFrame:
+    """The rows of docs whose language is found with at least the score `least`.
+
+    A row whose own label names another language goes only if the score is at least `sure`.
+    """
+    rows = docs.select(F.struct("*").alias("__row"), "doc_id", "lang", "text")
+    found = identify(rows, fit(rows.where(fold("doc_id", 5) != 0)))
+    agrees = F.col("lang").isNull() | (F.col("lang") == F.col("lang_pred")) | (F.col("score") < sure)
+    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= least) & agrees).select("__row.*")
 
 
 QUERIES = {"op3_language_id": op3_language_id}
