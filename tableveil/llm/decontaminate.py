@@ -72,11 +72,16 @@ def rarest(items: DataFrame, postings: DataFrame, how_many: int = 2) -> DataFram
     return with_span.select("item", "item_words", "span", F.array_distinct(pairs).alias("pairs")).where(F.size("pairs") > 0)
 
 
-def candidates(items: DataFrame, postings: DataFrame) -> DataFrame:
+def candidates(items: DataFrame, postings: DataFrame, block: int = TERM_BLOCK) -> DataFrame:
     """(doc, item, item_words, span, shift): places where some window's rarest terms stand at its distances."""
     chosen = stored(rarest(items, postings), "op2-rarest")
     anchors = chosen.select("item", F.xxhash64("item_words").alias("version"), "item_words", F.explode(F.array_distinct(F.flatten("pairs"))).alias("at"))
     anchors = anchors.select("item", "version", "at", F.xxhash64(F.get("item_words", F.col("at"))).alias("term"))
+    anchors = stored(anchors, "op2-anchors")
+    terms = anchors.select("term").distinct()
+    if terms.count() <= block:
+        # Only the asked lists are read on: common terms, whose lists are long, go no further than the scan.
+        postings = postings.join(F.broadcast(terms), "term", "left_semi")
     shifted = postings.join(anchors, "term").select("doc", "item", "version", (F.col("pos") - F.col("at")).alias("shift"), "at")
     met = shifted.groupBy("doc", "item", "version", "shift").agg(F.collect_set("at").alias("met"))
     wide = chosen.select("item", F.xxhash64("item_words").alias("version"), "item_words", "span", "pairs")
@@ -88,17 +93,22 @@ def matches(docs: DataFrame, found: DataFrame) -> DataFrame:
     by_doc = found.groupBy("doc").agg(F.collect_list(F.struct("item", "item_words", "span", "shift")).alias("__found")).withColumnRenamed("doc", "__doc")
     docs = docs.drop("n_words", "n_hit", "hit_items")
     names = docs.columns
-    rows = docs.withColumn("__key", doc_key()).join(by_doc, F.col("__key") == F.col("__doc"), "left").withColumn("__words", phrase_words(F.col("text")))
+    rows = docs.withColumn("__key", doc_key()).join(by_doc, F.col("__key") == F.col("__doc"), "left")
 
-    def hits(c: Column) -> Column:
-        same = lambda q: F.coalesce(F.get("__words", c["shift"] + q) == F.get(c["item_words"], q), F.lit(False))
+    def hits(words: Column, c: Column) -> Column:
+        same = lambda q: F.coalesce(F.get(words, c["shift"] + q) == F.get(c["item_words"], q), F.lit(False))
         starts = F.filter(F.sequence(F.lit(0), F.size(c["item_words"]) - c["span"]), lambda p: F.forall(F.sequence(p, p + c["span"] - 1), same))
         return F.struct(c["item"].alias("item"), F.flatten(F.transform(starts, lambda p: F.sequence(c["shift"] + p, c["shift"] + p + c["span"] - 1))).alias("at"))
 
-    exact = F.filter(F.transform(F.coalesce("__found", F.expr("cast(array() as array<struct<item:string,item_words:array<string>,span:int,shift:int>>)")), hits), lambda h: F.size(h["at"]) > 0)
-    summed = let(exact, lambda e: F.struct(F.size(F.array_distinct(F.flatten(F.transform(e, lambda h: h["at"])))).alias("n"), F.array_sort(F.array_distinct(F.transform(e, lambda h: h["item"]))).alias("items")))
-    rows = rows.withColumns({"n_words": F.size("__words").cast("long"), "__sum": F.when(F.col("__found").isNotNull(), summed)})
-    return rows.select(*names, "n_words", F.coalesce(F.col("__sum.n"), F.lit(0)).cast("long").alias("n_hit"), F.coalesce(F.col("__sum.items"), F.expr("cast(array() as array<string>)")).alias("hit_items"))
+    def summed(words: Column) -> Column:
+        exact = F.filter(F.transform("__found", lambda c: hits(words, c)), lambda h: F.size(h["at"]) > 0)
+        found = let(exact, lambda e: F.struct(F.size(F.array_distinct(F.flatten(F.transform(e, lambda h: h["at"])))).alias("n"), F.array_sort(F.array_distinct(F.transform(e, lambda h: h["item"]))).alias("items")))
+        return F.struct(F.size(words).alias("words"), F.when(F.col("__found").isNotNull(), found).alias("found"))
+
+    # The words are bound once inside the expression, so a filter that is pushed into it cuts no text twice.
+    rows = rows.withColumn("__sum", let(phrase_words(F.col("text")), summed))
+    none = F.expr("cast(array() as array<string>)")
+    return rows.select(*names, F.col("__sum.words").cast("long").alias("n_words"), F.coalesce(F.col("__sum.found.n"), F.lit(0)).cast("long").alias("n_hit"), F.coalesce(F.col("__sum.found.items"), none).alias("hit_items"))
 
 
 def proximity(items: DataFrame, postings: DataFrame, within: int, terms: int = 3) -> DataFrame:
@@ -130,8 +140,7 @@ def op2_decontaminate(spark, sf_dir: str) -> DataFrame:
 def reject(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs that share no window with the benchmark."""
     rows = docs.select(F.struct("*").alias("__row"), "doc_id", "text")
-    # Written before the filter, which would otherwise be pushed into the expressions that find the hits.
-    return stored(contamination(rows, benchmark).drop("text"), "op2-matched").where("n_hit = 0").select("__row.*")
+    return contamination(rows, benchmark).where("n_hit = 0").select("__row.*")
 
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

@@ -110,7 +110,7 @@ def test_phrases_of_common_words_and_overlaps(make, monkeypatch):
     assert sorted(((r["doc_id"], r["n_words"], r["n_hit"], ",".join(r["hit_items"])) for r in got), key=repr) == hits_by_force(docs, items)
     # The same from several passes over the vocabulary.
     kept = decontaminate.items_of(bench)
-    several = decontaminate.matches(df, decontaminate.candidates(kept, decontaminate.index(df, kept, block=2))).collect()
+    several = decontaminate.matches(df, decontaminate.candidates(kept, decontaminate.index(df, kept, block=2), block=2)).collect()
     assert sorted(((r["doc_id"], r["n_hit"]) for r in several), key=repr) == sorted(((r["doc_id"], r["n_hit"]) for r in got), key=repr)
 
 
