@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import tempfile
 import uuid
 
@@ -11,8 +10,6 @@ from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLANKS = r"[\x20\x09-\x0D]+"
-BLANK_WORD = re.compile("[^ \t-\r]+")
-ASCII_LOWER = str.maketrans(UPPER, LOWER)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

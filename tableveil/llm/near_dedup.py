@@ -24,28 +24,32 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_LOWER, BLANK_WORD, stored, table
+from xxhash import xxh3_128_digest
+
+from .common import LOWER, UPPER, stored, table
 
 SHINGLE, THRESHOLD = 3, 85
 #: Bands of values: at a similarity of 0.85 a pair is missed with probability (1 - 0.85**8) ** 60 < 1e-8.
 BANDS, ROWS = 60, 8
 #: Characters of a cluster that one task compares at once.
 CLUSTER_CHARS = 6 << 20
+_LOWERED = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
-def words(text: str) -> list[str]:
-    return BLANK_WORD.findall(text.translate(ASCII_LOWER))
+def words(text: str) -> list[bytes]:
+    """Lower-cased words; bytes split at exactly the blanks 09-0D and 20."""
+    return text.encode().translate(_LOWERED).split()
 
 
-def shingles(text: str | None, size: int = SHINGLE) -> set[str]:
+def shingles(text: str | None, size: int = SHINGLE) -> set[bytes]:
     """Distinct shingles; words hold no blanks, so joining them by one is reversible."""
     w = words(text or "")
     if not w:
         return set()
     if len(w) < size:
-        return {" ".join(w)}
-    return set(map(" ".join, zip(*(w[i:] for i in range(size)), strict=False)))
+        return {b" ".join(w)}
+    return set(map(b" ".join, zip(*(w[i:] for i in range(size)), strict=False)))
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -84,19 +88,15 @@ class MinMax:
 
 
 def _unique_sets(texts: list[str | None]) -> tuple[list[np.ndarray], list[int], list[bytes]]:
-    """Per text: sorted distinct 64-bit hashes of its shingles, the set's size, and a digest of the set itself."""
-    import xxhash
-
+    """Per text: 64-bit hashes of its distinct shingles, the set's size, and a digest of the set itself."""
     hashes, sizes, digests = [], [], []
     for text in texts:
         s = shingles(text)
+        both = np.frombuffer(b"".join(map(xxh3_128_digest, s)), np.uint64).reshape(-1, 2)
         sizes.append(len(s))
-        hashes.append(np.fromiter((xxhash.xxh3_64_intdigest(x) for x in s), np.uint64, len(s)))
-        total = 0
-        if s:
-            # The sum of 128-bit hashes does not depend on the order of a set's members, so nothing is sorted.
-            total = sum(map(xxhash.xxh3_128_intdigest, s)) & ((1 << 128) - 1)
-        digests.append(hashlib.blake2b(b"%d|%d" % (len(s), total), digest_size=16).digest())
+        hashes.append(both[:, 0])
+        # Sums of 128-bit hashes do not depend on the order of a set's members, so nothing is sorted.
+        digests.append(hashlib.blake2b(both.sum(axis=0, dtype=np.uint64).tobytes() + b"%d" % len(s), digest_size=16).digest())
     return hashes, sizes, digests
 
 
@@ -141,7 +141,7 @@ def connected(edges: DataFrame, name: str) -> DataFrame:
 
 def _links(ids: np.ndarray, texts: list[str], side: np.ndarray, threshold: int) -> list[tuple[int, int]]:
     """A spanning forest of the links among texts; side: with two sides (0, 1) only pairs across them count, 2 is both."""
-    code: dict[str, int] = {}
+    code: dict[bytes, int] = {}
     sets = []
     for t in texts:
         sets.append(np.array([code.setdefault(x, len(code)) for x in shingles(t)], np.int64))
