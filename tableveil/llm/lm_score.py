@@ -6,14 +6,18 @@ longest match down, each by P = (c + V * P_lower) / (N + V), method C over N tra
 * segments: runs of words that end at a word whose checksum is a multiple of SEGMENT. The words themselves say where
   a run ends, so a text is cut in one way only, and passages that texts share are cut alike;
 * tokens, after a share CACHE of the probability has gone to the tokens of the text so far;
-* bytes of a token and its closing blank, by a byte-context trie, longest context first, with escape method C and
-  exclusion of the symbols that longer contexts have already ruled out. Its longest context has two bytes, so it has
-  at most 2**24 nodes at any size of the corpus: that bound is what allows it to be collected and broadcast. Counts
-  of tokens and segments have no bound and stay distributed.
+* bytes of a text, its words parted by one blank, by a byte-context trie of up to ORDER bytes that runs across word ends
+  (a text begins after ORDER blanks), longest context first, with escape method C and exclusion of the symbols that
+  longer contexts have already ruled out. A token's probability is that of its bytes and its closing blank after the
+  bytes before them; SPELLED of the tokens' share goes to it alone, the rest is the unigram count backed off to it.
+
+Counts of contexts longer than LOW bytes, of tokens and of segments have no bound and stay distributed. Contexts of at
+most two bytes have at most 2**24 nodes at any size of the corpus, so these alone are collected and broadcast.
 
 Texts are cut into blocks of about BLOCK bytes of one input split. Every block sends its distinct words once, the
-counts meet by word (a word has at most one row per block, so a frequent word is no hot key), the scored words go back
-to their block, and the block's texts add up. Counts cover all training texts.
+counts meet by word (a word has at most one row per block, so a frequent word is no hot key), the counted words go back
+to their block, and the block's texts add up. A block's contexts are dealt by hash into BUCKETS rows, whose counts meet
+by bucket and go back to the block, each context with all its followers in the corpus. Counts cover all training texts.
 
 Defined cases: a null or empty text is its end token alone; a null id has the fold of the empty text (trained on);
 repeated rows count and are scored each; without training texts all counts are 0 and the trie is uniform; an empty
@@ -21,7 +25,7 @@ table gives an empty result; extra columns are left out. The input must be read
 """
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from zlib import crc32
 
 import numpy as np
@@ -36,6 +40,10 @@ from .common import LOWER, UPPER, fold, stored, table
 BLOCK = 8 << 20
 #: Mean words of a segment, and the share of probability that a text's own tokens get.
 SEGMENT, CACHE = 16, 0.1
+#: Bytes of the longest context (at most 6), and of the longest one that is broadcast; share of the bytes' own probability.
+ORDER, LOW, SPELLED = 5, 2, 0.5
+#: Bytes of text whose contexts are held at once, and rows in which a block sends its contexts.
+PIECE, BUCKETS = 1 << 20, 4096
 _LOWERED = bytes.maketrans(UPPER.encode(), LOWER.encode())
 #: The closing blank, also what stands before a word. Words hold no blanks, so the empty word is free for the end token.
 _BLANK = 32
@@ -113,6 +121,127 @@ def block_words(blocks: DataFrame) -> DataFrame:
     return blocks.mapInArrow(count, "block long, word binary, n long")
 
 
+def pieces(texts: Iterable[list[bytes]]) -> Iterator[list[list[bytes]]]:
+    """Runs of the texts' tokens of about PIECE bytes; a longer text stands alone."""
+    held, size = [], 0
+    for words in texts:
+        n = sum(map(len, words)) + len(words)
+        if held and size + n > PIECE:
+            yield held
+            held, size = [], 0
+        held.append(words)
+        size += n
+    if held:
+        yield held
+
+
+def grams(texts: list[list[bytes]]) -> np.ndarray:
+    """For each byte of the texts' tokens and closing blanks: the ORDER bytes before it and itself, as one number."""
+    spelled = [b" " * ORDER + b" ".join(words) + b" " for words in texts]
+    flat = np.frombuffer(b"".join(spelled), np.uint8)
+    lengths = np.array([len(x) for x in spelled], np.int64)
+    inside = np.ones(len(flat), bool)
+    inside[((np.cumsum(lengths) - lengths)[:, None] + np.arange(ORDER)).ravel()] = False
+    out = np.zeros(len(flat) - ORDER, np.int64)
+    for j in range(ORDER + 1):
+        out <<= 8
+        out |= flat[j : len(flat) - ORDER + j]
+    return out[inside[ORDER:]]
+
+
+def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and their sums."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    return keys[starts], np.add.reduceat(counts[order], starts) if len(keys) else counts
+
+
+def context_ids(grams: np.ndarray, order: int) -> np.ndarray:
+    """Names of the contexts of `order` bytes: the order, then their bytes; the last byte is free for a symbol."""
+    return grams & ((1 << 8 * (order + 1)) - 256) | order << 56
+
+
+def block_contexts(blocks: DataFrame) -> DataFrame:
+    """(bucket, block, keys, n): a block's contexts of LOW to ORDER bytes, each with a following symbol, and their counts
+    in the block's training texts, in BUCKETS rows; all of a context is in one bucket."""
+    schema = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("keys", pa.list_(pa.int64())), ("n", pa.list_(pa.int64()))])
+
+    def out(block: int, parts: list) -> pa.RecordBatch:
+        keys, n = summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+        all_keys, all_n = [], []
+        for order in range(ORDER, LOW - 1, -1):
+            keys, n = summed(keys & ((1 << 8 * (order + 1)) - 1), n)
+            all_keys.append(keys | order << 56)
+            all_n.append(n)
+        keys, n = np.concatenate(all_keys), np.concatenate(all_n)
+        bucket = ((keys >> 8).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)).astype(np.int64) % BUCKETS
+        order = np.argsort(bucket, kind="stable")
+        bucket, keys, n = bucket[order], keys[order], n[order]
+        starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        offsets = pa.array(np.append(starts, len(bucket)), pa.int32())
+        return pa.RecordBatch.from_arrays([pa.array(bucket[starts]), pa.array(np.full(len(starts), block)), *(pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (keys, n))], schema=schema)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, parts, held, size = None, [], ([], []), 0
+
+        def close() -> None:
+            nonlocal size
+            for off, texts in enumerate(held):
+                for piece in pieces(texts):
+                    keys, n = np.unique(grams(piece), return_counts=True)
+                    parts.append((keys, np.zeros_like(n) if off else n))
+                texts.clear()
+            size = 0
+
+        for batch in batches:
+            for block, off, text in zip(*(batch.column(c).to_pylist() for c in ("block", "held_out", "text")), strict=True):
+                if block != current:
+                    close()
+                    if parts:
+                        yield out(current, parts)
+                    current, parts = block, []
+                held[bool(off)].append(tokens(text))
+                size += len(text)
+                if size > PIECE:
+                    close()
+        close()
+        if parts:
+            yield out(current, parts)
+
+    return blocks.mapInArrow(count, "bucket long, block long, keys array<long>, n array<long>")
+
+
+def met_contexts(rows: DataFrame) -> DataFrame:
+    """(block, keys, n) from block_contexts: for each block, all followers in the corpus of its contexts longer than
+    LOW, and under a null block those of the contexts of LOW bytes."""
+
+    def meet(group: pa.Table) -> pa.Table:
+        lists = group.column("keys").combine_chunks()
+        own, n = lists.flatten().to_numpy(), group.column("n").combine_chunks().flatten().to_numpy()
+        keys, n_all = summed(own[n > 0], n[n > 0])
+        ids = keys >> 8
+        starts = np.flatnonzero(np.append(True, ids[1:] != ids[:-1])) if len(ids) else np.zeros(0, np.int64)
+        lengths, kinds = np.diff(np.append(starts, len(ids))), ids[starts]
+        # Rows of a block come sorted by context, so its contexts are the runs.
+        row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+        asked = own >> 8
+        fresh = np.append(True, (asked[1:] != asked[:-1]) | (row[1:] != row[:-1]))
+        row, asked = row[fresh], asked[fresh]
+        at = np.minimum(np.searchsorted(kinds, asked), max(len(kinds) - 1, 0))
+        found = (kinds[at] == asked) & (asked >> 48 > LOW) if len(kinds) else np.zeros(len(asked), bool)
+        row, at = row[found], at[found]
+        size = lengths[at]
+        take = np.repeat(starts[at] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        ends = np.cumsum(np.bincount(row, size, len(lists)).astype(np.int64))
+        low = keys >> 56 == LOW
+        offsets = pa.array(np.concatenate([[0], ends, [len(take) + low.sum()]]), pa.int32())
+        back = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([x[take], x[low]]))) for x in (keys, n_all)]
+        return pa.table([pa.array([*group.column("block").to_pylist(), None], pa.int64()), *back], names=["block", "keys", "n"])
+
+    return rows.groupBy("bucket").applyInArrow(meet, "block long, keys array<long>, n array<long>")
+
+
 def word_counts(rows: DataFrame) -> DataFrame:
     """rows with c, the word's count over all training texts, and first, true on one row of each word."""
     # Sums and the mark come from one shuffle and one sort.
@@ -130,6 +259,7 @@ class Trie:
         self.row[contexts] = np.arange(len(contexts))
         two = np.zeros((len(contexts), 256))
         np.add.at(two, (self.row[keys >> 8], keys & 255), counts)
+        self.two, self.total, self.kinds = two, two.sum(axis=1), (two > 0).sum(axis=1)
         one = np.zeros((256, 256))
         np.add.at(one, (keys >> 8 & 255, keys & 255), counts)
         none = one.sum(axis=0, keepdims=True)
@@ -179,27 +309,76 @@ def own_share(tokens: np.ndarray, start: np.ndarray) -> np.ndarray:
     return share
 
 
-def byte_counts(words: DataFrame) -> DataFrame:
-    """(key, n): how often each byte follows each two bytes in the trained tokens."""
-    schema = pa.schema([("key", pa.int64()), ("n", pa.int64())])
+class Contexts:
+    """Probabilities of bytes after a block's contexts of up to ORDER bytes, the shortest ones by a Trie."""
+
+    def __init__(self, keys: np.ndarray, n: np.ndarray, trie: Trie):
+        """keys: names of the trained contexts longer than LOW that occur, each with every symbol that follows; n: how often."""
+        self.trie = trie
+        order = np.argsort(keys)
+        self.keys, self.n = keys[order], n[order].astype(np.float64)
+        ids = self.keys >> 8
+        starts = np.flatnonzero(np.append(True, ids[1:] != ids[:-1])) if len(ids) else np.zeros(0, np.int64)
+        self.ids, self.kinds = ids[starts] << 8, np.diff(np.append(starts, len(ids))).astype(np.float64)
+        owner = np.repeat(np.arange(len(starts)), self.kinds.astype(np.int64))
+        self.total = np.bincount(owner, self.n, len(starts))
+        # What a context's followers sum up to in the next shorter context: its share of exclusion there.
+        shorter = np.zeros(len(ids))
+        for k in range(LOW + 1, ORDER + 1):
+            own = self.keys >> 56 == k
+            shorter[own] = self.count(self.keys[own], k - 1)
+        self.shorter = np.bincount(owner, shorter, len(starts))
+
+    def count(self, grams: np.ndarray, order: int) -> np.ndarray:
+        """How often each gram's symbol was seen after its context of `order` bytes."""
+        if order == LOW:
+            row = self.trie.row[grams >> 8 & 0xFFFF]
+            return np.where(row >= 0, self.trie.two[row, grams & 255], 0) if len(self.trie.two) else np.zeros(len(grams))
+        return self._at(self.keys, context_ids(grams, order) | grams & 255, self.n)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, sums = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for batch in batches:
-            words, times = batch.column("word").to_pylist(), batch.column("c").to_numpy()
-            if not words:
-                continue
-            lengths = np.array([len(w) for w in words], np.int64) + 1
-            flat = np.frombuffer(b" " + b" ".join(words) + b" ", np.uint8).astype(np.int64)
-            far = np.concatenate([[_BLANK], flat[:-2]])
-            far[np.cumsum(lengths) - lengths] = _BLANK
-            keys, back = np.unique(np.concatenate([keys, far << 16 | flat[:-1] << 8 | flat[1:]]), return_inverse=True)
-            total = np.zeros(len(keys), np.int64)
-            np.add.at(total, back, np.concatenate([sums, np.repeat(times, lengths)]))
-            sums = total
-        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(sums)], schema=schema)
-
-    return words.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    @staticmethod
+    def _at(keys: np.ndarray, asked: np.ndarray, values: np.ndarray) -> np.ndarray:
+        if not len(keys):
+            return np.zeros(len(asked), values.dtype)
+        at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+        return np.where(keys[at] == asked, values[at], 0)
+
+    def log10(self, grams: np.ndarray) -> np.ndarray:
+        """Of each gram's symbol: method C from the longest context on, with exclusion."""
+        p, left, done = np.zeros(len(grams)), np.ones(len(grams)), np.zeros(len(grams), bool)
+        gone, gone_kinds = np.zeros(len(grams)), np.zeros(len(grams))
+        for k in range(ORDER, LOW, -1):
+            # Place 0 stands for a context that was never seen.
+            at = self._at(self.ids, context_ids(grams, k), np.arange(1, len(self.ids) + 1))
+            value = lambda x: np.append(0.0, x)[at]  # noqa: B023, E731
+            kinds = value(self.kinds) - gone_kinds
+            events = np.maximum(value(self.total) - gone + kinds, 1)
+            n = self.count(grams, k)
+            hit = ~done & (n > 0)
+            p[hit] = (left * n / events)[hit]
+            done |= hit
+            left = np.where(kinds > 0, left * kinds / events, left)
+            gone, gone_kinds = value(self.shorter), value(self.kinds)
+        # The trie knows nothing of the exclusion by longer contexts: its own first order is replaced.
+        trie, near, symbol = self.trie, grams >> 8 & 255, grams & 255
+        row = trie.row[grams >> 8 & 0xFFFF]
+        low = 10.0 ** trie.shorter[near, symbol].astype(np.float64)
+        if len(trie.two):
+            n, total, all_kinds = self.count(grams, LOW), trie.total[row], trie.kinds[row]
+            kinds = all_kinds - gone_kinds
+            events = np.maximum(total - gone + kinds, 1)
+            rest = 10.0 ** trie.longest[row, symbol].astype(np.float64) * (total + all_kinds) / np.maximum(all_kinds, 1)
+            low = np.where(row >= 0, np.where(n > 0, n / events, np.where(kinds > 0, kinds / events, 1) * rest), low)
+        return np.log10(np.maximum(np.where(done, p, left * low), 1e-300))
+
+    def spell(self, texts: Iterable[list[bytes]]) -> Iterator[tuple[list[bytes], np.ndarray]]:
+        """Each text's tokens and the log10 probability of each and its closing blank, after all that stands before it."""
+        for piece in pieces(texts):
+            kinds, back = np.unique(grams(piece), return_inverse=True)
+            p = self.log10(kinds)[back]
+            lengths = np.array([len(w) + 1 for words in piece for w in words], np.int64)
+            sums = np.add.reduceat(p, np.cumsum(lengths) - lengths)
+            yield from zip(piece, np.split(sums, np.cumsum([len(words) for words in piece])[:-1]), strict=True)
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
@@ -211,37 +390,30 @@ def score_documents(docs: DataFrame) -> DataFrame:
     once = words.where("first and c > 0")
     sums = {r["s"]: (r["n"], r["v"]) for r in once.groupBy(is_segment.alias("s")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()}
     (n, v), (n_segments, v_segments) = sums.get(False, (0, 0)), sums.get(True, (0, 0))
-    once = once.where(~is_segment)
-    nodes = byte_counts(once.select("word", "c")).toPandas()  # at most 2**24 rows
-    trie = spark.sparkContext.broadcast(Trie(nodes["key"].to_numpy(np.int64), nodes["n"].to_numpy(np.int64)))
-
-    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            p = np.zeros(batch.num_rows)
-            if batch.num_rows:
-                # Rows come sorted by word, so a run of equal words is spelled once; segments are not spelled.
-                column = batch.column("word")
-                fresh = np.append(True, pc.not_equal(column.slice(1), column.slice(0, batch.num_rows - 1)).to_numpy(zero_copy_only=False))
-                kinds = column.filter(pa.array(fresh)).to_pylist()
-                p = trie.value.score([w if w[:1] != b" " else b"" for w in kinds])[np.cumsum(fresh) - 1]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p)], names=[*batch.schema.names, "bytes"])
-
-    # A segment that was never trained on needs no way back: a text finds it missing.
-    spelled = words.where(~is_segment | (F.col("c") > 0)).select("block", "word", "c").mapInArrow(spell, "block long, word binary, c long, bytes double")
+    met = stored(met_contexts(block_contexts(blocks)), "op4-contexts")
+    nodes = met.where("block is null").select(F.explode(F.arrays_zip("keys", "n")).alias("x")).select("x.*").toPandas()  # at most 2**24 rows
+    trie = spark.sparkContext.broadcast(Trie(nodes["keys"].to_numpy(np.int64) & 0xFFFFFF, nodes["n"].to_numpy(np.int64)))
+    # A segment or context that was never trained on needs no way back: a text finds it missing.
+    none = F.lit(None)
+    counted = words.where(~is_segment | (F.col("c") > 0)).select("block", "word", "c", none.cast("array<long>").alias("keys"), none.cast("array<long>").alias("n"))
+    back = met.where("block is not null").select("block", none.cast("binary").alias("word"), none.cast("long").alias("c"), "keys", "n")
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
     def add_up(texts: pa.Table, known: pa.Table) -> pa.Table:
+        is_word = known.column("word").is_valid()
+        long_ones, known = known.filter(pc.invert(is_word)), known.filter(is_word)
+        model = Contexts(*(pc.list_flatten(long_ones.column(c)).to_numpy() for c in ("keys", "n")), trie.value)
         kinds = known.column("word").to_pylist()
         at = {w: i for i, w in enumerate(kinds)}
         last = np.array([w[:1] != b" " and closes(w) for w in kinds], bool)
         c = known.column("c").to_numpy().astype(np.float64)
         base = np.log10((c + 1) / (n + v + 1))
-        token = (c + max(v, 1) * 10.0 ** known.column("bytes").to_numpy()) / (n + max(v, 1))
         rows = []
-        for text in texts.column("text").to_pylist():
-            words = tokens(text)
+        for words, spelled in model.spell(map(tokens, texts.column("text").to_pylist())):
             found = np.fromiter(map(at.__getitem__, words), np.int64)
-            spelled_out = np.log10((1 - CACHE) * token[found] + CACHE * own_share(found, token[found]))
+            spelled = 10.0 ** spelled
+            token = SPELLED * spelled + (1 - SPELLED) * (c[found] + max(v, 1) * spelled) / (n + max(v, 1))
+            spelled_out = np.log10(np.maximum((1 - CACHE) * token + CACHE * own_share(found, token), 1e-300))
             ends, names = zip(*segments(words, (np.flatnonzero(last[found[:-1]]) + 1).tolist()), strict=True)
             parts = np.add.reduceat(spelled_out, np.array([0, *ends[:-1]]))
             whole = np.array([at.get(name, -1) for name in names])
@@ -254,7 +426,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
         names = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
         return pa.table([texts.column("doc_id"), texts.column("held_out"), *(pa.array(x, k) for x, k in zip(columns, kinds_of, strict=True))], names=["doc_id", "held_out", *names])
 
-    return blocks.groupBy("block").cogroup(spelled.groupBy("block")).applyInArrow(add_up, schema)
+    return blocks.groupBy("block").cogroup(counted.unionByName(back).groupBy("block")).applyInArrow(add_up, schema)
 
 
 def op4_lm_score(spark, sf_dir: str) -> DataFrame:

@@ -221,6 +221,65 @@ def test_trie_is_a_distribution_and_excludes():
     assert np.isclose(trie.score(words)[0], sum((trie.longest[trie.row[c], s] for c, s in ((32 << 8 | 32, ord("a")), (32 << 8 | ord("a"), ord("b")), (ord("a") << 8 | ord("b"), 32)))))
 
 
+def ppm_by_force(train, text, order=5):
+    """log10 of a text's bytes: contexts of up to `order` bytes across word ends, method C, exclusion."""
+    spell = lambda t: b" " * order + b" ".join([*(low(t).encode().split()), b""]) + b" "
+    seen = collections.defaultdict(collections.Counter)
+    for t in map(spell, train):
+        for i in range(order, len(t)):
+            for k in range(order + 1):
+                seen[t[i - k : i]][t[i]] += 1
+    out, t = [], spell(text)
+    for i in range(order, len(t)):
+        left, gone = 1.0, set()
+        for k in range(order, -1, -1):
+            n = {s: c for s, c in seen[t[i - k : i]].items() if s not in gone}
+            if t[i] in n:
+                left *= n[t[i]] / (sum(n.values()) + len(n))
+                break
+            left *= len(n) / (sum(n.values()) + len(n)) if n else 1
+            gone |= set(n)
+        else:
+            left /= 256 - len(gone)
+        out.append(math.log10(left))
+    return out
+
+
+def test_long_contexts_equal_brute_force_and_tell_order(make):
+    rng = random.Random(6)
+    # No word ends a segment, so each text is one, and the held-out ones are unknown as such.
+    pool = [w for w in ("red", "fox", "Foxes", "the", "ran", "théâtre", "of", "alpha", "beta", "gamma", "delta", "omega") if not lm_score.closes(low(w).encode())]
+    path = pool[-4:]
+    train = [" ".join(rng.choice(pool[:-4]) for _ in range(rng.randrange(1, 30))) for _ in range(40)] + [" ".join(path)] * 9
+    held = [" ".join([*path, "zz"]), " ".join([*path[::-1], "zz"]), "zz " + " ".join(pool[:3]), "zz"]
+    rows = [(i, t, False) for i, t in enumerate(train)] + [(100 + i, t, True) for i, t in enumerate(held)]
+    # Whole words of one text against brute force, by the class alone.
+    all_grams = lm_score.grams([lm_score.tokens(t.encode()) for t in train])
+    counts = collections.defaultdict(collections.Counter)
+    for g in all_grams.tolist():
+        for k in range(lm_score.LOW, lm_score.ORDER + 1):
+            counts[int(lm_score.context_ids(np.array([g]), k)[0])][g & 255] += 1
+    low_ones = {c: n for c, n in counts.items() if c >> 56 == lm_score.LOW}
+    trie = lm_score.Trie(np.array([c & 0xFFFF00 | s for c, n in low_ones.items() for s in n]), np.array([k for n in low_ones.values() for k in n.values()]))
+    rest = {c: n for c, n in counts.items() if c not in low_ones}
+    model = lm_score.Contexts(np.array([c | s for c, n in rest.items() for s in n]), np.array([k for n in rest.values() for k in n.values()]), trie)
+    for t in held:
+        assert np.allclose(model.log10(lm_score.grams([lm_score.tokens(t.encode())])), ppm_by_force(train, t), atol=1e-4)
+    docs = make(rows, "doc_id long, text string, held_out boolean")
+    got = {r["doc_id"]: r for r in lm_score.score_documents(docs).collect()}
+    # The same words in another order score otherwise.
+    assert math.isclose(got[100]["base_score"], got[101]["base_score"]) and got[100]["score"] > got[101]["score"] + 1
+    known = collections.Counter(w for t in train for w in lm_score.tokens(t.encode()))
+    n, v, n_segments, v_segments = sum(known.values()), len(known), len(train), len(set(train))
+    for i, t in enumerate(held):
+        words = lm_score.tokens(t.encode())
+        ends = np.cumsum([len(w) + 1 for w in words])
+        p = 10 ** np.add.reduceat(np.array(ppm_by_force(train, t)), np.append(0, ends[:-1]))
+        token = (p + (np.array([known[w] for w in words]) + v * p) / (n + v)) / 2
+        token[1:] *= 1 - lm_score.CACHE
+        assert math.isclose(got[100 + i]["score"], np.log10(token).sum() + math.log10(v_segments / (n_segments + v_segments)), abs_tol=1e-3)
+
+
 def test_segments_are_cut_alike():
     words = [b"w%d" % i for i in range(200)]
     tail = lm_score.segments([b"other", *words, b""])[-5:]
