@@ -221,9 +221,20 @@ def op6_near_dedup(spark, sf_dir: str) -> DataFrame:
 
 
 def reject(docs: DataFrame) -> DataFrame:
-    """One row of each group of near copies: that with the smallest id, once if it is repeated."""
-    dropped = components(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of near copies: that with the smallest id, once if it is repeated.
+
+    Rows are the nodes here, not ids: of an id with two texts, each text has its own group. Rows with a null id and
+    rows without words are kept.
+    """
+    # Stored with their numbers, so that these are the same on every read.
+    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "op6-rows")
+    named = rows.where("doc_id is not null")
+    groups = components(named.select(F.col("__row").alias("doc_id"), "text")).select(F.col("doc_id").alias("__row"), F.col("component_id").alias("__group"))
+    order = F.struct(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("text"), F.col("__row").alias("row"))
+    # A least value is pre-aggregated, so a large group is no hot key.
+    chosen = named.select("__row", order.alias("__order")).join(groups, "__row").groupBy("__group").agg(F.min("__order").alias("__least"))
+    kept = named.join(chosen.select(F.col("__least.row").alias("__row")), "__row", "left_semi")
+    return kept.select(*docs.columns).unionByName(rows.where("doc_id is null").select(*docs.columns))
 
 
 QUERIES = {"op6_near_dedup": op6_near_dedup}

@@ -371,6 +371,15 @@ def test_near_dedup_edge_cases(make):
     assert kept.columns[-1] == "kept" and None in {r["doc_id"] for r in kept.collect()}
 
 
+def test_one_row_of_each_group_stays(make):
+    same, other = "one and the same row of words", "another text that is like none of the others"
+    rows = [(4, same)] * 300 + [(9, same)] * 5 + [(9, other), (9, other), (12, other)] + [(None, same)] * 2 + [(20, ""), (21, None)]
+    random.Random(7).shuffle(rows)
+    kept = near_dedup.reject(make(rows, "doc_id long, text string", files=4)).collect()
+    # The other text of id 9 stays, though its first text is a copy of id 4's.
+    assert sorted(map(repr, map(tuple, kept))) == sorted(map(repr, [(4, same), (9, other), (None, same), (None, same), (20, ""), (21, None)]))
+
+
 def test_min_max_estimates_similarity():
     rng = np.random.default_rng(4)
     shared, own = rng.integers(0, 1 << 62, 800, dtype=np.uint64), rng.integers(0, 1 << 62, 200, dtype=np.uint64)
