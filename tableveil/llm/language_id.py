@@ -9,7 +9,7 @@ The model is fitted on a bounded sample of labelled texts (`each` per language)
 input's size; every text is labelled whole.
 
 Defined cases: null texts, empty texts and texts without letters give `und` with score 0; without labelled rows every
-text gives `und`; rows are judged one by one, so repeated rows and null ids get their own result; an empty table gives
+text gives `und`, and `reject` drops only texts without letters; rows are judged one by one, so repeated rows and null ids get their own result; an empty table gives
 an empty result; extra columns stay, and results take their names over clashing ones.
 """
 
@@ -248,10 +248,14 @@ def op3_language_id(spark, sf_dir: str) -> DataFrame:
 def reject(docs: DataFrame, least: float = 0.5, sure: float = 0.8) -> DataFrame:
     """The rows of docs whose language is found with at least the score `least`.
 
-    A row whose own label names another language goes only if the score is at least `sure`.
+    A row whose own label names another language goes only if the score is at least `sure`. Without labelled rows
+    there is no model that could doubt a text: then only texts without letters go.
     """
     rows = docs.select(F.struct("*").alias("__row"), "doc_id", "lang", "text")
-    found = identify(rows, fit(rows.where(fold("doc_id", 5) != 0)))
+    model = fit(rows.where(fold("doc_id", 5) != 0))
+    if not model.labels:
+        return rows.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))).select("__row.*")
+    found = identify(rows, model)
     agrees = F.col("lang").isNull() | (F.col("lang") == F.col("lang_pred")) | (F.col("score") < sure)
     return found.where((F.col("lang_pred") != "und") & (F.col("score") >= least) & agrees).select("__row.*")
 

@@ -172,6 +172,11 @@ def test_language_edge_cases(make, corpus):
     assert language_id.reject(make([], DOCS)).count() == 0
 
 
+def test_texts_stay_where_no_language_is_labelled(make):
+    rows = [(1, "some words", None, "a"), (2, "日本語", None, "a"), (3, "12 34 !", None, "a"), (4, None, None, "a"), (5, "", None, "a")]
+    assert {r["doc_id"] for r in language_id.reject(make(rows, DOCS)).collect()} == {1, 2}
+
+
 # 4
 
 
