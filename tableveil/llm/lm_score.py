@@ -214,7 +214,7 @@ def block_contexts(blocks: DataFrame) -> DataFrame:
 
 def met_contexts(rows: DataFrame) -> DataFrame:
     """(block, keys, n) from block_contexts: for each block, all followers in the corpus of its contexts longer than
-    LOW, and under a null block those of the contexts of LOW bytes."""
+    LOW, and under a null block those of the contexts of LOW bytes; keys and n are packed, 8 bytes each."""
 
     def meet(group: pa.Table) -> pa.Table:
         lists = group.column("keys").combine_chunks()
@@ -233,13 +233,12 @@ def met_contexts(rows: DataFrame) -> DataFrame:
         row, at = row[found], at[found]
         size = lengths[at]
         take = np.repeat(starts[at] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        ends = np.cumsum(np.bincount(row, size, len(lists)).astype(np.int64))
+        ends = np.cumsum(np.bincount(row, size, len(lists)).astype(np.int64)).tolist()
         low = keys >> 56 == LOW
-        offsets = pa.array(np.concatenate([[0], ends, [len(take) + low.sum()]]), pa.int32())
-        back = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([x[take], x[low]]))) for x in (keys, n_all)]
-        return pa.table([pa.array([*group.column("block").to_pylist(), None], pa.int64()), *back], names=["block", "keys", "n"])
+        back = [[*(own[i:j].tobytes() for i, j in zip([0, *ends[:-1]], ends, strict=True)), x[low].tobytes()] for x in (keys, n_all) for own in [x[take]]]
+        return pa.table([pa.array([*group.column("block").to_pylist(), None], pa.int64()), *(pa.array(x, pa.binary()) for x in back)], names=["block", "keys", "n"])
 
-    return rows.groupBy("bucket").applyInArrow(meet, "block long, keys array<long>, n array<long>")
+    return rows.groupBy("bucket").applyInArrow(meet, "block long, keys binary, n binary")
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
@@ -391,18 +390,19 @@ def score_documents(docs: DataFrame) -> DataFrame:
     sums = {r["s"]: (r["n"], r["v"]) for r in once.groupBy(is_segment.alias("s")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()}
     (n, v), (n_segments, v_segments) = sums.get(False, (0, 0)), sums.get(True, (0, 0))
     met = stored(met_contexts(block_contexts(blocks)), "op4-contexts")
-    nodes = met.where("block is null").select(F.explode(F.arrays_zip("keys", "n")).alias("x")).select("x.*").toPandas()  # at most 2**24 rows
-    trie = spark.sparkContext.broadcast(Trie(nodes["keys"].to_numpy(np.int64) & 0xFFFFFF, nodes["n"].to_numpy(np.int64)))
+    nodes = met.where("block is null").select("keys", "n").collect()  # at most 2**24 counts
+    keys, times = (np.frombuffer(b"".join(r[k] for r in nodes), np.int64) for k in (0, 1))
+    trie = spark.sparkContext.broadcast(Trie(keys & 0xFFFFFF, times))
     # A segment or context that was never trained on needs no way back: a text finds it missing.
-    none = F.lit(None)
-    counted = words.where(~is_segment | (F.col("c") > 0)).select("block", "word", "c", none.cast("array<long>").alias("keys"), none.cast("array<long>").alias("n"))
-    back = met.where("block is not null").select("block", none.cast("binary").alias("word"), none.cast("long").alias("c"), "keys", "n")
+    counted = words.where(~is_segment | (F.col("c") > 0)).select("block", "word", "c")
+    # Contexts take the words' columns, marked by a count of -1.
+    back = met.where("block is not null").select("block", F.concat("keys", "n").alias("word"), F.lit(-1).cast("long").alias("c"))
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
     def add_up(texts: pa.Table, known: pa.Table) -> pa.Table:
-        is_word = known.column("word").is_valid()
-        long_ones, known = known.filter(pc.invert(is_word)), known.filter(is_word)
-        model = Contexts(*(pc.list_flatten(long_ones.column(c)).to_numpy() for c in ("keys", "n")), trie.value)
+        is_word = pc.greater_equal(known.column("c"), 0)
+        packed, known = known.filter(pc.invert(is_word)).column("word").to_pylist(), known.filter(is_word)
+        model = Contexts(*(np.frombuffer(b"".join(x), np.int64) for x in ([x[: len(x) // 2] for x in packed], [x[len(x) // 2 :] for x in packed])), trie.value)
         kinds = known.column("word").to_pylist()
         at = {w: i for i, w in enumerate(kinds)}
         last = np.array([w[:1] != b" " and closes(w) for w in kinds], bool)
