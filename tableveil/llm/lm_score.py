@@ -1,27 +1,31 @@
 """Language-model scores by prediction by partial matching (PPM), with a smoothed unigram score as the base.
 
-Tokens are lower-cased words and one end per text. The model is pretrained and adaptive, with these orders from the
-longest match down, each by P = (c + V * P_lower) / (N + V), method C over N training events of V kinds:
-
-* segments: runs of words that end at a word whose checksum is a multiple of SEGMENT. The words themselves say where
-  a run ends, so a text is cut in one way only, and passages that texts share are cut alike;
-* tokens, after a share CACHE of the probability has gone to the tokens of the text so far;
-* bytes of a text, its words parted by one blank, by a byte-context trie of up to ORDER bytes that runs across word ends
-  (a text begins after ORDER blanks), longest context first, with escape method C and exclusion of the symbols that
-  longer contexts have already ruled out. A token's probability is that of its bytes and its closing blank after the
-  bytes before them; SPELLED of the tokens' share goes to it alone, the rest is the unigram count backed off to it.
-
-Counts of contexts longer than LOW bytes, of tokens and of segments have no bound and stay distributed. Contexts of at
-most two bytes have at most 2**24 nodes at any size of the corpus, so these alone are collected and broadcast.
-
-Texts are cut into blocks of about BLOCK bytes of one input split. Every block sends its distinct words once, the
-counts meet by word (a word has at most one row per block, so a frequent word is no hot key), the counted words go back
-to their block, and the block's texts add up. A block's contexts are dealt by hash into BUCKETS rows, whose counts meet
-by bucket and go back to the block, each context with all its followers in the corpus. Counts cover all training texts.
+A text is spelled as bytes: its lower-cased words, each closed by one blank, and one more blank for the end token. The
+model is a byte-context trie of orders 0 to ORDER over all training texts; contexts run across word ends, and a text
+begins after blanks. A byte is looked up from the longest context down. In a context with N training events of V kinds,
+a symbol seen c times has the probability (c - 1/2) / N, and V / 2N is the escape to the next shorter context (method D);
+symbols that a longer context has seen are excluded from the shorter ones, counts and kinds. Below order 0 all bytes left
+are equally likely. On top stands an adaptive order: a context of OWN bytes that the text itself had before predicts by
+the same rule, with its escape blended into the trie's probability; it starts anew every PIECE bytes of a very long text.
+The score is the sum of the bytes' log10 probabilities, a proper distribution over texts.
+
+The trie is never in one place. All orders above LOW of a context share its last three bytes, so a hash of these deals
+the trie into buckets, and each bucket is scored on its own; only contexts of at most LOW = 2 bytes, at most 2**24
+counts at any size of the corpus, are broadcast. In steps:
+
+1. Texts are cut into blocks of about BLOCK bytes of one input split. A block sends each bucket one row: its distinct
+   words, or its distinct byte strings of ORDER + 1, with their counts in training texts.
+2. Rows meet by bucket and salt (a group of blocks), then the sums by bucket: a frequent word or context is one entry
+   per block, then one per salt, and no group holds more than its bucket of BLOCKS_PER_SALT blocks.
+3. Each (bucket, salt) meets its bucket's sums, and every block gets back one number per word and byte string it asked
+   for: a count, or a log-probability.
+4. Each block's texts meet its answers and add up.
 
 Defined cases: a null or empty text is its end token alone; a null id has the fold of the empty text (trained on);
-repeated rows count and are scored each; without training texts all counts are 0 and the trie is uniform; an empty
-table gives an empty result; extra columns are left out. The input must be read from files (see `stored`).
+repeated rows count and are scored each; ties do not arise, as nothing is ranked; a very long text is a block of its own
+and is read PIECE bytes at a time; without training texts all counts are 0 and all bytes are equally likely; an empty
+table gives an empty result; extra columns are left out, so clashing names do no harm. The input must be read from files
+(see `stored`).
 """
 
 from collections import Counter
@@ -29,45 +33,191 @@ from collections.abc import Iterable, Iterator
 from zlib import crc32
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+import zstandard
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh3_64_digest, xxh3_64_intdigest
+from xxhash import xxh3_64_intdigest
 
 from .common import LOWER, UPPER, fold, stored, table
 
-BLOCK = 8 << 20
-#: Mean words of a segment, and the share of probability that a text's own tokens get.
-SEGMENT, CACHE = 16, 0.1
-#: Bytes of the longest context (at most 6), and of the longest one that is broadcast; share of the bytes' own probability.
-ORDER, LOW, SPELLED = 5, 2, 0.5
-#: Bytes of text whose contexts are held at once, and rows in which a block sends its contexts.
-PIECE, BUCKETS = 1 << 20, 4096
+#: Bytes of the longest context of the trie (at most 6), of the longest one that is broadcast, and of the text's own.
+ORDER, LOW, OWN = 5, 2, 12
+BLOCK = 16 << 20
+#: Bytes of text that are spelled at once.
+PIECE = 1 << 20
+#: Bytes of text per bucket, the least number of buckets, and blocks that meet in one group of a bucket.
+BUCKET, LEAST_BUCKETS, BLOCKS_PER_SALT = 64 << 20, 64, 1024
 _LOWERED = bytes.maketrans(UPPER.encode(), LOWER.encode())
-#: The closing blank, also what stands before a word. Words hold no blanks, so the empty word is free for the end token.
-_BLANK = 32
+_MULT = np.uint64(0x9E3779B97F4A7C15)
+_ROWS = "bucket long, keys binary, n binary, total long, kinds long"
+
+
+def runs(text: bytes | None) -> Iterator[list[bytes]]:
+    """The text's words, those of about PIECE bytes at a time; bytes split at exactly the blanks 09-0D and 20."""
+    text, at = (text or b"").translate(_LOWERED), 0
+    while len(text) - at > PIECE:
+        cut = len(text[at : at + PIECE].rsplit(None, 1)[0]) if len(text[at : at + PIECE].split(None, 1)) > 1 else 0
+        if not cut:  # one word is longer than a piece
+            rest = text[at:].split(None, 1)
+            cut = len(text) - at - (len(rest[1]) if len(rest) > 1 else 0)
+        yield text[at : at + cut].split()
+        at += cut
+    yield text[at:].split()
+
+
+def spelled(text: bytes | None) -> Iterator[bytes]:
+    """The text's bytes in pieces, each after the OWN bytes that stand before it."""
+    held = b" " * OWN
+    for words in runs(text):
+        held += b"".join(w + b" " for w in words)
+        while len(held) - OWN > PIECE:
+            yield held[: OWN + PIECE]
+            held = held[PIECE:]
+    yield held + b" "
+
+
+def together(texts: Iterable[bytes | None]) -> Iterator[tuple[list[int], list[bytes]]]:
+    """Pieces of the texts, and whose they are, about PIECE bytes at a time."""
+    owner, held, size = [], [], 0
+    for i, text in enumerate(texts):
+        for piece in spelled(text):
+            if held and size + len(piece) > PIECE:
+                yield owner, held
+                owner, held, size = [], [], 0
+            owner.append(i)
+            held.append(piece)
+            size += len(piece)
+    if held:
+        yield owner, held
 
 
-def tokens(text: bytes | None) -> list[bytes]:
-    """Words and the end token; bytes split at exactly the blanks 09-0D and 20."""
-    return [*(text or b"").translate(_LOWERED).split(), b""]
+def grams(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """For each byte of the pieces: the ORDER bytes before it and itself as one number, and a hash of the OWN bytes before it."""
+    flat = np.frombuffer(b"".join(pieces), np.uint8)
+    lengths = np.array([len(p) for p in pieces], np.int64)
+    inside = np.ones(len(flat), bool)
+    inside[((np.cumsum(lengths) - lengths)[:, None] + np.arange(OWN)).ravel()] = False
+    six = np.zeros(len(flat) - ORDER, np.int64)
+    for j in range(ORDER + 1):
+        six <<= 8
+        six |= flat[j : len(flat) - ORDER + j]
+    inside = inside[OWN:]
+    here = six[OWN - ORDER :][inside]
+    # Two numbers of six bytes are the twelve bytes before the place.
+    near, far = six[OWN - ORDER - 1 : -1].view(np.uint64), six[OWN - 2 * ORDER - 2 : -ORDER - 2].view(np.uint64)
+    context = (near * _MULT ^ far) * _MULT
+    return here, (context ^ context >> np.uint64(29))[inside]
 
 
-def closes(word: bytes) -> bool:
-    """Whether a segment ends at the word."""
-    return not crc32(word) % SEGMENT
+def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and their sums."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    return keys[starts], np.add.reduceat(counts[order], starts) if len(keys) else counts
+
 
+def found(keys: np.ndarray, asked: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The values of the asked keys, 0 where there is none; keys are in order."""
+    if not len(keys):
+        return np.zeros(len(asked), values.dtype)
+    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+    return np.where(keys[at] == asked, values[at], 0)
 
-def segments(words: list[bytes], ends: list[int] | None = None) -> list[tuple[int, bytes]]:
-    """(end, name) of each segment of a text's tokens; the name is a blank and a hash, so it is no word.
 
-    ends: the places after the closing words, where they are known.
-    """
-    ends = [i + 1 for i, w in enumerate(words[:-1]) if closes(w)] if ends is None else ends
-    if not ends or ends[-1] < len(words):
-        ends.append(len(words))
-    return [(b, b" " + xxh3_64_digest(b" ".join(words[a:b]))) for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+class Order:
+    """One order of the trie: contexts of k bytes, what follows them, and what the next longer order excludes in them."""
+
+    def __init__(self, k: int, grams: np.ndarray, n: np.ndarray):
+        """grams: distinct strings that end in a context of at least k bytes and a symbol; n: their counts."""
+        self.k, self.mask = k, (1 << 8 * (k + 1)) - 1
+        self.keys, self.n = summed(grams & self.mask, n)
+        ids = self.keys >> 8
+        self.starts = np.flatnonzero(np.append(True, ids[1:] != ids[:-1])) if len(ids) else np.zeros(0, np.int64)
+        self.ids = ids[self.starts]
+        self.total, self.kinds = self.over(self.n), np.diff(np.append(self.starts, len(ids)))
+
+    def over(self, values: np.ndarray) -> np.ndarray:
+        """Sums over each context's symbols."""
+        return np.add.reduceat(values, self.starts) if len(self.starts) else values[:0]
+
+    def shorten(self, shorter: "Order") -> None:
+        """Notes how many events of the shorter context this one's symbols are."""
+        self.gone = self.over(found(shorter.keys, self.keys & shorter.mask, shorter.n))
+
+
+def orders(grams: np.ndarray, n: np.ndarray, longest: int, shortest: int, below: "list[Order]") -> list[Order]:
+    """Orders from the longest to the shortest, over those below."""
+    out = [Order(k, grams, n) for k in range(longest, shortest - 1, -1)] + below
+    for longer, shorter in zip(out, out[1:], strict=False):
+        longer.shorten(shorter)
+    return out
+
+
+def log10(trie: list[Order], grams: np.ndarray) -> np.ndarray:
+    """log10 of each gram's symbol after its context, from the longest order on, with exclusion."""
+    zero = np.zeros(len(grams), np.int64)
+    p, left, seen = np.zeros(len(grams)), np.ones(len(grams)), np.zeros(len(grams), bool)
+    gone, gone_kinds = zero, zero
+    for order in trie:
+        at = found(order.ids, (grams & order.mask) >> 8, np.arange(1, len(order.ids) + 1))  # 0: never seen
+        value = lambda x: np.append(0, x)[at]  # noqa: B023, E731
+        n, kinds = found(order.keys, grams & order.mask, order.n), value(order.kinds)
+        events = np.maximum(value(order.total) - gone, 1)
+        hit = ~seen & (n > 0)
+        p[hit] = (left * (n - 0.5) / events)[hit]
+        seen |= hit
+        left = np.where(kinds > gone_kinds, left * (kinds - gone_kinds) / 2 / events, left)
+        gone, gone_kinds = value(order.gone) if order.k else zero, kinds
+    return np.log10(np.where(seen, p, left / np.maximum(256 - gone_kinds, 1)))
+
+
+def adapt(p: np.ndarray, symbols: np.ndarray, contexts: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Probabilities after the text's own long contexts have been heard; places of a text are in order."""
+    contexts = contexts ^ (owner.astype(np.uint64) + np.uint64(1)) * _MULT
+    # Most contexts stand once: a table of their hashes' last bits tells which may stand again.
+    low = (contexts >> np.uint64(41)).astype(np.int64)
+    again = np.flatnonzero(np.bincount(low, minlength=1 << 23)[low] > 1)
+    order = again[np.argsort(contexts[again], kind="stable")]
+    c, s = contexts[order], symbols[order]
+    place = np.arange(len(order))
+    first = np.maximum.accumulate(np.where(np.append(True, c[1:] != c[:-1]), place, 0)) if len(order) else place
+    events = place - first
+    # The same within (context, symbol): counts of the symbol before, and which symbols were new.
+    pair = np.lexsort((place, s, c))
+    fresh = np.append(True, (c[pair][1:] != c[pair][:-1]) | (s[pair][1:] != s[pair][:-1])) if len(order) else np.zeros(0, bool)
+    count = np.empty(len(order), np.int64)
+    count[pair] = np.arange(len(order)) - np.maximum.accumulate(np.where(fresh, np.arange(len(order)), 0))
+    new = np.cumsum(count == 0) - (count == 0)
+    kinds = new - new[first] if len(order) else new
+    heard = events > 0
+    out = p.copy()
+    at = order[heard]
+    out[at] = (np.maximum(count[heard] - 0.5, 0) + 0.5 * kinds[heard] * p[at]) / events[heard]
+    return out
+
+
+def packed(x: np.ndarray | list[bytes]) -> bytes:
+    """Numbers, or words joined by blanks, compressed."""
+    return zstandard.compress(b" ".join(x) if isinstance(x, list) else x.tobytes(), 1)
+
+
+def _words(x: bytes) -> list[bytes]:
+    return zstandard.decompress(x).split(b" ")
+
+
+def _numbers(x: bytes, kind=np.int64) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(x), kind)
+
+
+def _table(rows: list[tuple], names: str) -> pa.Table:
+    """rows under "name kind, ..."; kinds: long, double, boolean, binary."""
+    kinds = {"long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_(), "binary": pa.binary()}
+    fields = [f.split() for f in names.split(", ")]
+    columns = zip(*rows, strict=True) if rows else [[]] * len(fields)
+    return pa.table([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields, strict=True)], names=[n for n, _ in fields])
 
 
 def _blocks(docs: DataFrame) -> DataFrame:
@@ -91,342 +241,164 @@ def _blocks(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(cut, "block long, doc_id long, held_out boolean, text binary")
 
 
-def block_words(blocks: DataFrame) -> DataFrame:
-    """(block, word, n): every distinct token and segment of a block with its count in the block's training texts."""
-    schema = pa.schema([("block", pa.int64()), ("word", pa.binary()), ("n", pa.int64())])
+class Asking:
+    """What one block asks for: its distinct words and byte strings, with their counts in its training texts."""
+
+    def __init__(self):
+        self.words, self.parts, self.held, self.size = Counter(), [], ([], []), 0
+
+    def add(self, text: bytes, off: bool) -> None:
+        for words in runs(text):
+            if off:
+                for w in words:
+                    self.words.setdefault(w, 0)
+            else:
+                self.words.update(words)
+        self.words[b""] += not off
+        self.held[off].append(text)
+        self.size += len(text)
+        if self.size > PIECE:
+            self.spell()
+
+    def spell(self) -> None:
+        for off, texts in enumerate(self.held):
+            for _, pieces in together(texts):
+                keys, n = np.unique(grams(pieces)[0], return_counts=True)
+                self.parts.append((keys, np.zeros_like(n) if off else n))
+            texts.clear()
+        self.size = 0
+
+    def rows(self, buckets: int) -> Iterator[tuple[int, bytes, bytes]]:
+        """(bucket, keys, n); words have buckets below 0."""
+        self.spell()
+        words: dict[int, list[bytes]] = {}
+        for w in self.words:
+            words.setdefault(crc32(w) % buckets, []).append(w)
+        for b, some in words.items():
+            yield -1 - b, packed(some), packed(np.array([self.words[w] for w in some], np.int64))
+        keys, n = summed(*(np.concatenate(x) for x in zip(*self.parts, strict=True)))
+        bucket = ((keys >> 8 & 0xFFFFFF).astype(np.uint64) * _MULT >> np.uint64(33)).astype(np.int64) % buckets
+        order = np.argsort(bucket, kind="stable")
+        edges = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=buckets))
+        for a, b in zip(edges, edges[1:], strict=False):
+            yield int(bucket[order[a]]), packed(keys[order[a:b]]), packed(n[order[a:b]])
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, held = None, Counter()
 
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(held), current)), pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], schema=schema)
+def asked(blocks: DataFrame, buckets: int, salts: int) -> DataFrame:
+    """(bucket, salt, block, keys, n) of every block."""
+    names = "bucket long, salt long, block long, keys binary, n binary"
 
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, asking = None, None
         for batch in batches:
-            for block, off, text in zip(*(batch.column(c).to_pylist() for c in ("block", "held_out", "text")), strict=True):
-                if block != current:
-                    if held:
-                        yield out()
-                    current, held = block, Counter()
-                words = tokens(text)
-                names = [name for _, name in segments(words)]
-                if off:
-                    for w in {*words, *names}:
-                        held.setdefault(w, 0)
-                else:
-                    held.update(words)
-                    held.update(names)
-        if held:
-            yield out()
-
-    return blocks.mapInArrow(count, "block long, word binary, n long")
-
-
-def pieces(texts: Iterable[list[bytes]]) -> Iterator[list[list[bytes]]]:
-    """Runs of the texts' tokens of about PIECE bytes; a longer text stands alone."""
-    held, size = [], 0
-    for words in texts:
-        n = sum(map(len, words)) + len(words)
-        if held and size + n > PIECE:
-            yield held
-            held, size = [], 0
-        held.append(words)
-        size += n
-    if held:
-        yield held
-
-
-def grams(texts: list[list[bytes]]) -> np.ndarray:
-    """For each byte of the texts' tokens and closing blanks: the ORDER bytes before it and itself, as one number."""
-    spelled = [b" " * ORDER + b" ".join(words) + b" " for words in texts]
-    flat = np.frombuffer(b"".join(spelled), np.uint8)
-    lengths = np.array([len(x) for x in spelled], np.int64)
-    inside = np.ones(len(flat), bool)
-    inside[((np.cumsum(lengths) - lengths)[:, None] + np.arange(ORDER)).ravel()] = False
-    out = np.zeros(len(flat) - ORDER, np.int64)
-    for j in range(ORDER + 1):
-        out <<= 8
-        out |= flat[j : len(flat) - ORDER + j]
-    return out[inside[ORDER:]]
-
-
-def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order and their sums."""
-    order = np.argsort(keys)
-    keys = keys[order]
-    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
-    return keys[starts], np.add.reduceat(counts[order], starts) if len(keys) else counts
-
-
-def context_ids(grams: np.ndarray, order: int) -> np.ndarray:
-    """Names of the contexts of `order` bytes: the order, then their bytes; the last byte is free for a symbol."""
-    return grams & ((1 << 8 * (order + 1)) - 256) | order << 56
-
-
-def block_contexts(blocks: DataFrame) -> DataFrame:
-    """(bucket, block, keys, n): a block's contexts of LOW to ORDER bytes, each with a following symbol, and their counts
-    in the block's training texts, in BUCKETS rows; all of a context is in one bucket."""
-    schema = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("keys", pa.list_(pa.int64())), ("n", pa.list_(pa.int64()))])
-
-    def out(block: int, parts: list) -> pa.RecordBatch:
-        keys, n = summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
-        all_keys, all_n = [], []
-        for order in range(ORDER, LOW - 1, -1):
-            keys, n = summed(keys & ((1 << 8 * (order + 1)) - 1), n)
-            all_keys.append(keys | order << 56)
-            all_n.append(n)
-        keys, n = np.concatenate(all_keys), np.concatenate(all_n)
-        bucket = ((keys >> 8).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)).astype(np.int64) % BUCKETS
-        order = np.argsort(bucket, kind="stable")
-        bucket, keys, n = bucket[order], keys[order], n[order]
-        starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-        offsets = pa.array(np.append(starts, len(bucket)), pa.int32())
-        return pa.RecordBatch.from_arrays([pa.array(bucket[starts]), pa.array(np.full(len(starts), block)), *(pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (keys, n))], schema=schema)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, parts, held, size = None, [], ([], []), 0
-
-        def close() -> None:
-            nonlocal size
-            for off, texts in enumerate(held):
-                for piece in pieces(texts):
-                    keys, n = np.unique(grams(piece), return_counts=True)
-                    parts.append((keys, np.zeros_like(n) if off else n))
-                texts.clear()
-            size = 0
+            for block, off, text in zip(*(batch.column(c) for c in ("block", "held_out", "text")), strict=True):
+                if block.as_py() != current:
+                    if asking:
+                        yield from _table([(b, current % salts, current, k, n) for b, k, n in asking.rows(buckets)], names).to_batches()
+                    current, asking = block.as_py(), Asking()
+                asking.add(text.as_py(), bool(off.as_py()))
+        if asking:
+            yield from _table([(b, current % salts, current, k, n) for b, k, n in asking.rows(buckets)], names).to_batches()
+
+    return blocks.mapInArrow(ask, names)
+
+
+def added(group: pa.Table) -> pa.Table:
+    """The rows of one bucket added up, without what no training text has."""
+    bucket, keys, n = group.column("bucket")[0].as_py(), group.column("keys").to_pylist(), group.column("n").to_pylist()
+    if bucket < 0:
+        sums: Counter = Counter()
+        for some, times in zip(keys, n, strict=True):
+            for w, c in zip(_words(some), _numbers(times).tolist(), strict=True):
+                if c:
+                    sums[w] += c
+        all_keys, all_n = list(sums), np.array(list(sums.values()), np.int64)
+    else:
+        all_keys, all_n = summed(np.concatenate([_numbers(k) for k in keys]), np.concatenate([_numbers(x) for x in n]))
+        all_keys, all_n = all_keys[all_n > 0], all_n[all_n > 0]
+    rows = [(bucket, packed(all_keys), packed(all_n), int(all_n.sum()), len(all_n))] if len(all_n) else []
+    return _table(rows, _ROWS)
+
+
+def low_counts(sums: DataFrame, spark) -> list[Order]:
+    """The orders from LOW down: at most 2**24 counts."""
 
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, off, text in zip(*(batch.column(c).to_pylist() for c in ("block", "held_out", "text")), strict=True):
-                if block != current:
-                    close()
-                    if parts:
-                        yield out(current, parts)
-                    current, parts = block, []
-                held[bool(off)].append(tokens(text))
-                size += len(text)
-                if size > PIECE:
-                    close()
-        close()
-        if parts:
-            yield out(current, parts)
-
-    return blocks.mapInArrow(count, "bucket long, block long, keys array<long>, n array<long>")
-
-
-def met_contexts(rows: DataFrame) -> DataFrame:
-    """(block, keys, n) from block_contexts: for each block, all followers in the corpus of its contexts longer than
-    LOW, and under a null block those of the contexts of LOW bytes; keys and n are packed, 8 bytes each."""
-
-    def meet(group: pa.Table) -> pa.Table:
-        lists = group.column("keys").combine_chunks()
-        own, n = lists.flatten().to_numpy(), group.column("n").combine_chunks().flatten().to_numpy()
-        keys, n_all = summed(own[n > 0], n[n > 0])
-        ids = keys >> 8
-        starts = np.flatnonzero(np.append(True, ids[1:] != ids[:-1])) if len(ids) else np.zeros(0, np.int64)
-        lengths, kinds = np.diff(np.append(starts, len(ids))), ids[starts]
-        # Rows of a block come sorted by context, so its contexts are the runs.
-        row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
-        asked = own >> 8
-        fresh = np.append(True, (asked[1:] != asked[:-1]) | (row[1:] != row[:-1]))
-        row, asked = row[fresh], asked[fresh]
-        at = np.minimum(np.searchsorted(kinds, asked), max(len(kinds) - 1, 0))
-        found = (kinds[at] == asked) & (asked >> 48 > LOW) if len(kinds) else np.zeros(len(asked), bool)
-        row, at = row[found], at[found]
-        size = lengths[at]
-        take = np.repeat(starts[at] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        ends = np.cumsum(np.bincount(row, size, len(lists)).astype(np.int64)).tolist()
-        low = keys >> 56 == LOW
-        back = [[*(own[i:j].tobytes() for i, j in zip([0, *ends[:-1]], ends, strict=True)), x[low].tobytes()] for x in (keys, n_all) for own in [x[take]]]
-        return pa.table([pa.array([*group.column("block").to_pylist(), None], pa.int64()), *(pa.array(x, pa.binary()) for x in back)], names=["block", "keys", "n"])
-
-    return rows.groupBy("bucket").applyInArrow(meet, "block long, keys binary, n binary")
-
-
-def word_counts(rows: DataFrame) -> DataFrame:
-    """rows with c, the word's count over all training texts, and first, true on one row of each word."""
-    # Sums and the mark come from one shuffle and one sort.
-    by = Window.partitionBy("word")
-    return rows.select("block", "word", F.sum("n").over(by).alias("c"), (F.row_number().over(by.orderBy("block")) == 1).alias("first"))
-
-
-class Trie:
-    """Log-probabilities (base 10) of bytes after contexts of at most two bytes."""
-
-    def __init__(self, keys: np.ndarray, counts: np.ndarray):
-        """keys: context byte, nearer context byte, symbol as one number of 24 bits."""
-        self.row = np.full(1 << 16, -1, np.int32)
-        contexts = np.unique(keys >> 8)
-        self.row[contexts] = np.arange(len(contexts))
-        two = np.zeros((len(contexts), 256))
-        np.add.at(two, (self.row[keys >> 8], keys & 255), counts)
-        self.two, self.total, self.kinds = two, two.sum(axis=1), (two > 0).sum(axis=1)
-        one = np.zeros((256, 256))
-        np.add.at(one, (keys >> 8 & 255, keys & 255), counts)
-        none = one.sum(axis=0, keepdims=True)
-        self.longest = np.zeros((len(contexts), 256), np.float32)
-        for a in range(0, len(contexts), 2048):
-            near = contexts[a : a + 2048] & 255
-            self.longest[a : a + 2048] = self._log([two[a : a + 2048], one[near], np.repeat(none, len(near), axis=0)])
-        self.shorter = self._log([one, np.repeat(none, 256, axis=0)])
-
-    @staticmethod
-    def _log(orders: list[np.ndarray]) -> np.ndarray:
-        """Method C from the longest order on; seen symbols are excluded from the shorter ones."""
-        shape = orders[0].shape
-        out, left, excluded = np.zeros(shape), np.ones((shape[0], 1)), np.zeros(shape, bool)
-        for n in orders:
-            n = np.where(excluded, 0, n)
-            total, kinds = n.sum(axis=1, keepdims=True), (n > 0).sum(axis=1, keepdims=True)
-            out += left * n / np.maximum(total + kinds, 1)
-            left = np.where(kinds > 0, left * kinds / np.maximum(total + kinds, 1), left)
-            excluded |= n > 0
-        rest = ~excluded
-        out += rest * left / np.maximum(rest.sum(axis=1, keepdims=True), 1)
-        return np.log10(np.maximum(out, 1e-300)).astype(np.float32)
-
-    def score(self, words: list[bytes]) -> np.ndarray:
-        """log10 probability of each word and its closing blank."""
-        lengths = np.array([len(w) for w in words], np.int64) + 1
-        flat = np.frombuffer(b" " + b" ".join(words) + b" ", np.uint8).astype(np.int64)
-        ends = np.cumsum(lengths)
-        starts = ends - lengths
-        near, symbol = flat[:-1], flat[1:]
-        far = np.concatenate([[_BLANK], flat[:-2]])
-        far[starts] = _BLANK
-        row = self.row[far << 8 | near]
-        p = np.where(row >= 0, self.longest[row, symbol] if len(self.longest) else 0, self.shorter[near, symbol])
-        return np.add.reduceat(p.astype(np.float64), starts)
-
-
-def own_share(tokens: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """Share of each token among those before it in the text; the first one, with none before it, keeps its own probability."""
-    order = np.argsort(tokens, kind="stable")
-    fresh = np.append(True, np.diff(tokens[order]) != 0)
-    before = np.empty(len(tokens))
-    before[order] = np.arange(len(tokens)) - np.maximum.accumulate(np.where(fresh, np.arange(len(tokens)), 0))
-    share = before / np.maximum(np.arange(len(tokens)), 1)
-    share[:1] = start[:1]
-    return share
-
-
-class Contexts:
-    """Probabilities of bytes after a block's contexts of up to ORDER bytes, the shortest ones by a Trie."""
-
-    def __init__(self, keys: np.ndarray, n: np.ndarray, trie: Trie):
-        """keys: names of the trained contexts longer than LOW that occur, each with every symbol that follows; n: how often."""
-        self.trie = trie
-        order = np.argsort(keys)
-        self.keys, self.n = keys[order], n[order].astype(np.float64)
-        ids = self.keys >> 8
-        starts = np.flatnonzero(np.append(True, ids[1:] != ids[:-1])) if len(ids) else np.zeros(0, np.int64)
-        self.ids, self.kinds = ids[starts] << 8, np.diff(np.append(starts, len(ids))).astype(np.float64)
-        owner = np.repeat(np.arange(len(starts)), self.kinds.astype(np.int64))
-        self.total = np.bincount(owner, self.n, len(starts))
-        # What a context's followers sum up to in the next shorter context: its share of exclusion there.
-        shorter = np.zeros(len(ids))
-        for k in range(LOW + 1, ORDER + 1):
-            own = self.keys >> 56 == k
-            shorter[own] = self.count(self.keys[own], k - 1)
-        self.shorter = np.bincount(owner, shorter, len(starts))
-
-    def count(self, grams: np.ndarray, order: int) -> np.ndarray:
-        """How often each gram's symbol was seen after its context of `order` bytes."""
-        if order == LOW:
-            row = self.trie.row[grams >> 8 & 0xFFFF]
-            return np.where(row >= 0, self.trie.two[row, grams & 255], 0) if len(self.trie.two) else np.zeros(len(grams))
-        return self._at(self.keys, context_ids(grams, order) | grams & 255, self.n)
-
-    @staticmethod
-    def _at(keys: np.ndarray, asked: np.ndarray, values: np.ndarray) -> np.ndarray:
-        if not len(keys):
-            return np.zeros(len(asked), values.dtype)
-        at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
-        return np.where(keys[at] == asked, values[at], 0)
-
-    def log10(self, grams: np.ndarray) -> np.ndarray:
-        """Of each gram's symbol: method C from the longest context on, with exclusion."""
-        p, left, done = np.zeros(len(grams)), np.ones(len(grams)), np.zeros(len(grams), bool)
-        gone, gone_kinds = np.zeros(len(grams)), np.zeros(len(grams))
-        for k in range(ORDER, LOW, -1):
-            # Place 0 stands for a context that was never seen.
-            at = self._at(self.ids, context_ids(grams, k), np.arange(1, len(self.ids) + 1))
-            value = lambda x: np.append(0.0, x)[at]  # noqa: B023, E731
-            kinds = value(self.kinds) - gone_kinds
-            events = np.maximum(value(self.total) - gone + kinds, 1)
-            n = self.count(grams, k)
-            hit = ~done & (n > 0)
-            p[hit] = (left * n / events)[hit]
-            done |= hit
-            left = np.where(kinds > 0, left * kinds / events, left)
-            gone, gone_kinds = value(self.shorter), value(self.kinds)
-        # The trie knows nothing of the exclusion by longer contexts: its own first order is replaced.
-        trie, near, symbol = self.trie, grams >> 8 & 255, grams & 255
-        row = trie.row[grams >> 8 & 0xFFFF]
-        low = 10.0 ** trie.shorter[near, symbol].astype(np.float64)
-        if len(trie.two):
-            n, total, all_kinds = self.count(grams, LOW), trie.total[row], trie.kinds[row]
-            kinds = all_kinds - gone_kinds
-            events = np.maximum(total - gone + kinds, 1)
-            rest = 10.0 ** trie.longest[row, symbol].astype(np.float64) * (total + all_kinds) / np.maximum(all_kinds, 1)
-            low = np.where(row >= 0, np.where(n > 0, n / events, np.where(kinds > 0, kinds / events, 1) * rest), low)
-        return np.log10(np.maximum(np.where(done, p, left * low), 1e-300))
-
-    def spell(self, texts: Iterable[list[bytes]]) -> Iterator[tuple[list[bytes], np.ndarray]]:
-        """Each text's tokens and the log10 probability of each and its closing blank, after all that stands before it."""
-        for piece in pieces(texts):
-            kinds, back = np.unique(grams(piece), return_inverse=True)
-            p = self.log10(kinds)[back]
-            lengths = np.array([len(w) + 1 for words in piece for w in words], np.int64)
-            sums = np.add.reduceat(p, np.cumsum(lengths) - lengths)
-            yield from zip(piece, np.split(sums, np.cumsum([len(words) for words in piece])[:-1]), strict=True)
+            for keys, n in zip(batch.column("keys").to_pylist(), batch.column("n").to_pylist(), strict=True):
+                short, times = summed(_numbers(keys) & (1 << 8 * (LOW + 1)) - 1, _numbers(n))
+                yield pa.RecordBatch.from_arrays([pa.array(short), pa.array(times)], names=["gram", "n"])
+
+    rows = sums.where("bucket >= 0").select("keys", "n").mapInArrow(cut, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toPandas()
+    return orders(rows["gram"].to_numpy(np.int64), rows["n"].to_numpy(np.int64), LOW, 0, [])
+
+
+def answered(asking: DataFrame, sums: DataFrame, low: list[Order]) -> DataFrame:
+    """(block, words, keys, values): for every row of `asked` the counts of its words, or its byte strings' log10."""
+    names, shared = "block long, words boolean, keys binary, answers binary", asking.sparkSession.sparkContext.broadcast(low)
+
+    def answer(rows: pa.Table, model: pa.Table) -> pa.Table:
+        if not rows.num_rows:
+            return _table([], names)
+        bucket, blocks, keys = rows.column("bucket")[0].as_py(), rows.column("block").to_pylist(), rows.column("keys").to_pylist()
+        known = [(k, n) for k, n in zip(model.column("keys").to_pylist(), model.column("n").to_pylist(), strict=True)]
+        if bucket < 0:
+            counts = {w: c for k, n in known for w, c in zip(_words(k), _numbers(n).tolist(), strict=True)}
+            out = [(b, True, k, packed(np.array([counts.get(w, 0) for w in _words(k)], np.int64))) for b, k in zip(blocks, keys, strict=True)]
+        else:
+            own = [_numbers(k) for k in keys]
+            seen, n = (np.concatenate([_numbers(x) for x in c]) for c in zip(*known, strict=True)) if known else (np.zeros(0, np.int64),) * 2
+            every = np.unique(np.concatenate(own))
+            p = log10(orders(seen, n, ORDER, LOW + 1, shared.value), every).astype(np.float32)
+            out = [(b, False, k, packed(p[np.searchsorted(every, o)])) for b, k, o in zip(blocks, keys, own, strict=True)]
+        return _table(out, names)
+
+    salted = asking.select(F.col("bucket").alias("of"), F.col("salt").alias("group")).distinct()
+    salted = salted.join(sums.select(F.col("bucket").alias("of"), "keys", "n"), "of")
+    return asking.groupBy("bucket", "salt").cogroup(salted.groupBy("of", "group")).applyInArrow(answer, names)
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text, held_out) scored: n_tokens, n_known, train_tokens, base_score, score."""
-    spark = docs.sparkSession
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets, salts = max(LEAST_BUCKETS, -(-size // BUCKET)), max(1, -(-size // (BLOCK * BLOCKS_PER_SALT)))
     blocks = _blocks(docs)
-    words = stored(word_counts(block_words(blocks)), "op4-words")
-    is_segment = F.substring("word", 1, 1) == F.lit(b" ")
-    once = words.where("first and c > 0")
-    sums = {r["s"]: (r["n"], r["v"]) for r in once.groupBy(is_segment.alias("s")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()}
-    (n, v), (n_segments, v_segments) = sums.get(False, (0, 0)), sums.get(True, (0, 0))
-    met = stored(met_contexts(block_contexts(blocks)), "op4-contexts")
-    nodes = met.where("block is null").select("keys", "n").collect()  # at most 2**24 counts
-    keys, times = (np.frombuffer(b"".join(r[k] for r in nodes), np.int64) for k in (0, 1))
-    trie = spark.sparkContext.broadcast(Trie(keys & 0xFFFFFF, times))
-    # A segment or context that was never trained on needs no way back: a text finds it missing.
-    counted = words.where(~is_segment | (F.col("c") > 0)).select("block", "word", "c")
-    # Contexts take the words' columns, marked by a count of -1.
-    back = met.where("block is not null").select("block", F.concat("keys", "n").alias("word"), F.lit(-1).cast("long").alias("c"))
+    asking = stored(asked(blocks, buckets, salts), "op4-asked")
+    by_salt = asking.groupBy("bucket", "salt").applyInArrow(added, _ROWS)
+    sums = stored(by_salt.groupBy("bucket").applyInArrow(added, _ROWS), "op4-sums")
+    totals = sums.where("bucket < 0").agg(F.sum("total"), F.sum("kinds")).first()
+    n, v = totals[0] or 0, totals[1] or 0
+    answers = answered(asking, sums, low_counts(sums, docs.sparkSession))
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
-    def add_up(texts: pa.Table, known: pa.Table) -> pa.Table:
-        is_word = pc.greater_equal(known.column("c"), 0)
-        packed, known = known.filter(pc.invert(is_word)).column("word").to_pylist(), known.filter(is_word)
-        model = Contexts(*(np.frombuffer(b"".join(x), np.int64) for x in ([x[: len(x) // 2] for x in packed], [x[len(x) // 2 :] for x in packed])), trie.value)
-        kinds = known.column("word").to_pylist()
-        at = {w: i for i, w in enumerate(kinds)}
-        last = np.array([w[:1] != b" " and closes(w) for w in kinds], bool)
-        c = known.column("c").to_numpy().astype(np.float64)
-        base = np.log10((c + 1) / (n + v + 1))
-        rows = []
-        for words, spelled in model.spell(map(tokens, texts.column("text").to_pylist())):
-            found = np.fromiter(map(at.__getitem__, words), np.int64)
-            spelled = 10.0 ** spelled
-            token = SPELLED * spelled + (1 - SPELLED) * (c[found] + max(v, 1) * spelled) / (n + max(v, 1))
-            spelled_out = np.log10(np.maximum((1 - CACHE) * token + CACHE * own_share(found, token), 1e-300))
-            ends, names = zip(*segments(words, (np.flatnonzero(last[found[:-1]]) + 1).tolist()), strict=True)
-            parts = np.add.reduceat(spelled_out, np.array([0, *ends[:-1]]))
-            whole = np.array([at.get(name, -1) for name in names])
-            whole_c = np.where(whole >= 0, c[whole], 0)
-            coded = np.log10((whole_c + max(v_segments, 1) * 10.0 ** np.maximum(parts, -300)) / (n_segments + max(v_segments, 1)))
-            escaped = np.log10(max(v_segments, 1) / (n_segments + max(v_segments, 1))) + parts
-            rows.append((len(found), int((c[found] > 0).sum()), n, base[found].sum(), np.where(whole_c > 0, coded, escaped).sum()))
-        columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
-        kinds_of = [pa.int64()] * 3 + [pa.float64()] * 2
-        names = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
-        return pa.table([texts.column("doc_id"), texts.column("held_out"), *(pa.array(x, k) for x, k in zip(columns, kinds_of, strict=True))], names=["doc_id", "held_out", *names])
-
-    return blocks.groupBy("block").cogroup(counted.unionByName(back).groupBy("block")).applyInArrow(add_up, schema)
+    def add_up(rows: pa.Table, back: pa.Table) -> pa.Table:
+        counts: dict[bytes, int] = {}
+        keys, values = [np.zeros(0, np.int64)], [np.zeros(0, np.float32)]
+        for is_word, k, x in zip(*(back.column(c).to_pylist() for c in ("words", "keys", "answers")), strict=True):
+            if is_word:
+                counts.update(zip(_words(k), _numbers(x).tolist(), strict=True))
+            else:
+                keys.append(_numbers(k))
+                values.append(_numbers(x, np.float32))
+        strings, p = pd.Index(np.concatenate(keys)), np.concatenate(values)
+        texts = rows.column("text")
+        score, base, tokens, known = (np.zeros(len(texts)) for _ in range(4))
+        for owner, pieces in together(x.as_py() for x in texts):
+            here, contexts = grams(pieces)
+            whose = np.repeat(np.arange(len(pieces)), [len(x) - OWN for x in pieces])
+            chance = adapt(10.0 ** p[strings.get_indexer(here)].astype(np.float64), here & 255, contexts, whose)
+            score += np.bincount(np.array(owner)[whose], np.log10(chance), len(texts))
+        for i, text in enumerate(texts):
+            for words in (*runs(text.as_py()), [b""]):
+                c = np.fromiter(map(counts.__getitem__, words), np.int64, len(words))
+                tokens[i] += len(c)
+                known[i] += np.count_nonzero(c)
+                base[i] += np.log10((c + 1) / (n + v + 1)).sum()
+        ints = (x.astype(np.int64) for x in (tokens, known))
+        columns = [rows.column("doc_id"), rows.column("held_out"), *(pa.array(x) for x in ints), pa.array(np.full(len(texts), n, np.int64)), pa.array(base), pa.array(score)]
+        return pa.table(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(add_up, schema)
 
 
 def op4_lm_score(spark, sf_dir: str) -> DataFrame:

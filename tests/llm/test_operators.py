@@ -213,83 +213,83 @@ def test_lm_edge_cases(make):
     assert {r["train_tokens"] for r in unseen} == {0} and {r["n_known"] for r in unseen} == {0} and all(r["score"] < 0 for r in unseen)
 
 
-def test_trie_is_a_distribution_and_excludes():
-    keys = np.array([32 << 16 | 32 << 8 | ord("a"), 32 << 16 | ord("a") << 8 | ord("b"), ord("a") << 16 | ord("b") << 8 | 32, 32 << 16 | ord("a") << 8 | ord("c")])
-    trie = lm_score.Trie(keys, np.array([5, 3, 3, 2]))
-    assert np.allclose((10.0 ** trie.longest.astype(float)).sum(axis=1), 1, atol=1e-5) and np.allclose((10.0 ** trie.shorter.astype(float)).sum(axis=1), 1, atol=1e-5)
-    row = trie.row[32 << 8 | ord("a")]
-    # Of 5 events 2 kinds were seen: b takes 3/7 and c 2/7; the escape, 2/7, goes to what is left in shorter contexts.
-    assert np.isclose(10 ** trie.longest[row, ord("b")], 3 / 7, rtol=1e-4)
-    # No kind is left after one byte (b and c are excluded); over no context a (5) and the blank (3) are: 5/10 and 3/10.
-    assert np.isclose(10 ** trie.longest[row, ord("a")], 2 / 7 * 5 / 10, rtol=1e-4)
-    words = [b"ab", b"", b"zz"]
-    assert np.isclose(trie.score(words)[0], sum((trie.longest[trie.row[c], s] for c, s in ((32 << 8 | 32, ord("a")), (32 << 8 | ord("a"), ord("b")), (ord("a") << 8 | ord("b"), 32)))))
-
-
-def ppm_by_force(train, text, order=5):
-    """log10 of a text's bytes: contexts of up to `order` bytes across word ends, method C, exclusion."""
-    spell = lambda t: b" " * order + b" ".join([*(low(t).encode().split()), b""]) + b" "
-    seen = collections.defaultdict(collections.Counter)
+def ppm_by_force(train, text, order=5, own=12):
+    """log10 of a text's bytes: contexts of up to `order` bytes, method D, exclusion, under the text's own contexts."""
+    spell = lambda t: b" " * own + b"".join(w + b" " for w in [*low(t).encode().split(), b""])
+    seen, mine = collections.defaultdict(collections.Counter), collections.defaultdict(collections.Counter)
     for t in map(spell, train):
-        for i in range(order, len(t)):
+        for i in range(own, len(t)):
             for k in range(order + 1):
                 seen[t[i - k : i]][t[i]] += 1
     out, t = [], spell(text)
-    for i in range(order, len(t)):
+    for i in range(own, len(t)):
         left, gone = 1.0, set()
         for k in range(order, -1, -1):
             n = {s: c for s, c in seen[t[i - k : i]].items() if s not in gone}
             if t[i] in n:
-                left *= n[t[i]] / (sum(n.values()) + len(n))
+                left *= (n[t[i]] - 0.5) / sum(n.values())
                 break
-            left *= len(n) / (sum(n.values()) + len(n)) if n else 1
+            left *= len(n) / 2 / sum(n.values()) if n else 1
             gone |= set(n)
         else:
             left /= 256 - len(gone)
+        before = mine[t[i - own : i]]
+        if before:
+            left = (max(before[t[i]] - 0.5, 0) + 0.5 * len(before) * left) / sum(before.values())
+        before[t[i]] += 1
         out.append(math.log10(left))
     return out
 
 
-def test_long_contexts_equal_brute_force_and_tell_order(make):
+def test_scores_equal_brute_force_and_tell_order(make):
     rng = random.Random(6)
-    # No word ends a segment, so each text is one, and the held-out ones are unknown as such.
-    pool = [w for w in ("red", "fox", "Foxes", "the", "ran", "théâtre", "of", "alpha", "beta", "gamma", "delta", "omega") if not lm_score.closes(low(w).encode())]
-    path = pool[-4:]
-    train = [" ".join(rng.choice(pool[:-4]) for _ in range(rng.randrange(1, 30))) for _ in range(40)] + [" ".join(path)] * 9
-    held = [" ".join([*path, "zz"]), " ".join([*path[::-1], "zz"]), "zz " + " ".join(pool[:3]), "zz"]
+    pool = ["red", "fox", "Foxes", "the", "ran", "théâtre", "of"]
+    path = ["alpha", "beta", "gamma", "delta", "omega"]
+    train = [" ".join(rng.choice(pool) for _ in range(rng.randrange(0, 30))) for _ in range(40)] + [" ".join(path)] * 9
+    held = [" ".join([*path, "zz"]), " ".join([*path[::-1], "zz"]), " zz\n" + " ".join(pool[:3]), "zz", "", "the red fox ran of the theatre " * 5, "abcabcabcabc" * 9]
     rows = [(i, t, False) for i, t in enumerate(train)] + [(100 + i, t, True) for i, t in enumerate(held)]
-    # Whole words of one text against brute force, by the class alone.
-    all_grams = lm_score.grams([lm_score.tokens(t.encode()) for t in train])
-    counts = collections.defaultdict(collections.Counter)
-    for g in all_grams.tolist():
-        for k in range(lm_score.LOW, lm_score.ORDER + 1):
-            counts[int(lm_score.context_ids(np.array([g]), k)[0])][g & 255] += 1
-    low_ones = {c: n for c, n in counts.items() if c >> 56 == lm_score.LOW}
-    trie = lm_score.Trie(np.array([c & 0xFFFF00 | s for c, n in low_ones.items() for s in n]), np.array([k for n in low_ones.values() for k in n.values()]))
-    rest = {c: n for c, n in counts.items() if c not in low_ones}
-    model = lm_score.Contexts(np.array([c | s for c, n in rest.items() for s in n]), np.array([k for n in rest.values() for k in n.values()]), trie)
-    for t in held:
-        assert np.allclose(model.log10(lm_score.grams([lm_score.tokens(t.encode())])), ppm_by_force(train, t), atol=1e-4)
-    docs = make(rows, "doc_id long, text string, held_out boolean")
-    got = {r["doc_id"]: r for r in lm_score.score_documents(docs).collect()}
+    got = {r["doc_id"]: r for r in lm_score.score_documents(make(rows, "doc_id long, text string, held_out boolean", files=3)).collect()}
+    for i, t in [*enumerate(train[:9]), *((100 + i, t) for i, t in enumerate(held))]:
+        assert math.isclose(got[i]["score"], sum(ppm_by_force(train, t)), rel_tol=1e-5, abs_tol=1e-4), t
     # The same words in another order score otherwise.
     assert math.isclose(got[100]["base_score"], got[101]["base_score"]) and got[100]["score"] > got[101]["score"] + 1
-    known = collections.Counter(w for t in train for w in lm_score.tokens(t.encode()))
-    n, v, n_segments, v_segments = sum(known.values()), len(known), len(train), len(set(train))
-    for i, t in enumerate(held):
-        words = lm_score.tokens(t.encode())
-        ends = np.cumsum([len(w) + 1 for w in words])
-        p = 10 ** np.add.reduceat(np.array(ppm_by_force(train, t)), np.append(0, ends[:-1]))
-        token = (p + (np.array([known[w] for w in words]) + v * p) / (n + v)) / 2
-        token[1:] *= 1 - lm_score.CACHE
-        assert math.isclose(got[100 + i]["score"], np.log10(token).sum() + math.log10(v_segments / (n_segments + v_segments)), abs_tol=1e-3)
-
-
-def test_segments_are_cut_alike():
-    words = [b"w%d" % i for i in range(200)]
-    tail = lm_score.segments([b"other", *words, b""])[-5:]
-    assert [n for _, n in tail] == [n for _, n in lm_score.segments([*words, b""])[-5:]]
-    assert lm_score.segments([b""])[0][0] == 1
+
+
+def test_several_salts_score_the_same(make, monkeypatch):
+    rng = random.Random(3)
+    rows = [(i, " ".join("".join(rng.choice("abcde") for _ in range(3)) for _ in range(40)), i % 4 == 0) for i in range(60)]
+    docs = make(rows, "doc_id long, text string, held_out boolean", files=6)
+    one = {r["doc_id"]: r["score"] for r in lm_score.score_documents(docs).collect()}
+    monkeypatch.setattr(lm_score, "BLOCK", 1000)
+    monkeypatch.setattr(lm_score, "BLOCKS_PER_SALT", 2)
+    many = {r["doc_id"]: r["score"] for r in lm_score.score_documents(docs).collect()}
+    assert all(math.isclose(one[d], many[d], rel_tol=1e-6) for d in one)
+
+
+def test_trie_is_a_distribution():
+    texts = ["abc abd abe xyz", "the cat and the hat", "é"]
+    keys, n = np.unique(lm_score.grams(list(lm_score.spelled(" ".join(texts).encode())))[0], return_counts=True)
+    trie = lm_score.orders(keys, n, lm_score.ORDER, 0, [])
+    for context in (b"  the", b"d the", b"qqqqq", b"  abc", b"    a"):
+        every = (int.from_bytes(context, "big") << 8) + np.arange(256)
+        assert np.isclose((10 ** lm_score.log10(trie, every)).sum(), 1)
+
+
+def test_long_texts_are_read_in_pieces(monkeypatch):
+    rng = random.Random(2)
+    texts = [" ".join("x" * rng.randrange(1, 90) for _ in range(60)) + end for end in ("", " ", "\n\t ")] + ["y" * 700, " " * 700, "z" * 700 + " a"]
+    whole = [[w for part in lm_score.runs(t.encode()) for w in part] for t in texts]
+    monkeypatch.setattr(lm_score, "PIECE", 100)
+    for t, words in zip(texts, whole, strict=True):
+        assert [w for part in lm_score.runs(t.encode()) for w in part] == words == t.encode().split()
+        pieces = list(lm_score.spelled(t.encode()))
+        assert b"".join(p[lm_score.OWN :] for p in pieces) == b"".join(w + b" " for w in [*words, b""])
+        assert all(len(p) <= 101 + lm_score.OWN for p in pieces)
+
+
+def test_held_out_scores_beat_the_base(spark):
+    got = registry.queries()["op4_lm_score"](spark, "/root/testdata/sf0.1").where("held_out").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()
+    assert got["s"] > got["b"]
 
 
 # 5
