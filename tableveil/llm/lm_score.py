@@ -46,7 +46,9 @@ from .common import LOWER, UPPER, fold, stored, table
 ORDER, LOW, OWN = 5, 2, 12
 BLOCK = 16 << 20
 #: Bytes of text that are spelled at once.
-PIECE = 1 << 20
+PIECE = 1 << 18
+#: Byte strings that a block holds before it adds them up.
+HELD = 1 << 21
 #: Bytes of text per bucket, the least number of buckets, and blocks that meet in one group of a bucket.
 BUCKET, LEAST_BUCKETS, BLOCKS_PER_SALT = 64 << 20, 64, 1024
 _LOWERED = bytes.maketrans(UPPER.encode(), LOWER.encode())
@@ -178,8 +180,8 @@ def adapt(p: np.ndarray, symbols: np.ndarray, contexts: np.ndarray, owner: np.nd
     """Probabilities after the text's own long contexts have been heard; places of a text are in order."""
     contexts = contexts ^ (owner.astype(np.uint64) + np.uint64(1)) * _MULT
     # Most contexts stand once: a table of their hashes' last bits tells which may stand again.
-    low = (contexts >> np.uint64(41)).astype(np.int64)
-    again = np.flatnonzero(np.bincount(low, minlength=1 << 23)[low] > 1)
+    low = (contexts >> np.uint64(43)).astype(np.int64)
+    again = np.flatnonzero(np.bincount(low, minlength=1 << 21)[low] > 1)
     order = again[np.argsort(contexts[again], kind="stable")]
     c, s = contexts[order], symbols[order]
     place = np.arange(len(order))
@@ -267,6 +269,8 @@ class Asking:
                 self.parts.append((keys, np.zeros_like(n) if off else n))
             texts.clear()
         self.size = 0
+        if sum(len(k) for k, _ in self.parts) > HELD:
+            self.parts = [summed(*(np.concatenate(x) for x in zip(*self.parts, strict=True)))]
 
     def rows(self, buckets: int) -> Iterator[tuple[int, bytes, bytes]]:
         """(bucket, keys, n); words have buckets below 0."""
