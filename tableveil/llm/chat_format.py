@@ -7,15 +7,21 @@ Template: user turns are ``[INST] text [/INST]``, assistant turns ``<s> text </s
 ``<<role>> text <</>>``, with a line feed between turns. Control strings inside texts and roles are escaped with a
 backslash (``unescape`` gives them back exactly), so a text cannot close its own turn.
 
-A conversation is one training example and one output row; rows arrive sorted by turn and are streamed, so a task
-holds one conversation at a time. Defined cases: a null text or role counts as empty; rows with a null conv_id form
-one conversation; turns that tie are ordered by role and text (nulls first), and repeated rows are repeated turns;
-an empty table gives an empty result; extra columns are left out.
+A conversation is one training example and one output row; rows arrive sorted by turn and are streamed, and tokens stay
+in numpy arrays: a task holds conversations of about SLICE characters at a time, or one longer one. The mask is kept as
+one range of tokens per assistant text; a token at a text's edge may also hold a blank of the template, so the text under
+the mask is what the masked tokens cover of the spans.
+
+Defined cases: a null text or role counts as empty; rows with a null conv_id form one conversation; turns that tie are
+ordered by role and text (nulls first), and repeated rows are repeated turns; a very long text is encoded whole and its
+offsets are read PART tokens at a time; an empty table gives an empty result; extra columns are left out, so clashing
+names do no harm.
 """
 
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +36,12 @@ _LETTER = {"\\": "\\", "[": "b", "<": "l", ">": "g"}
 _BACK = {v: k for k, v in _LETTER.items()}
 _ESCAPE = re.compile(r"\\(.)", re.S)
 _TURN = re.compile(r"\[INST\] (?P<user>.*?) \[/INST\]|<s> (?P<assistant>.*?) </s>|<<(?P<role>.*?)>> (?P<other>.*?) <</>>", re.S)
-_ROWS = 256
+#: Characters that are held at a time, rows that are turned into Python texts at once, and tokens whose offsets are.
+SLICE, ROWS, PART = 1 << 20, 256, 1 << 16
 
-FORMATTED = "conv_id long, formatted string, token_ids array<int>, token_starts array<int>, token_ends array<int>, loss_mask array<boolean>, loss_starts array<int>, loss_ends array<int>"
+_LISTS = ("token_ids", "token_starts", "token_ends", "loss_starts", "loss_ends", "loss_from", "loss_to")
+#: Assistant text i stands at loss_starts[i] to loss_ends[i] and under the tokens from loss_from[i] to loss_to[i] - 1.
+FORMATTED = "conv_id long, formatted string, " + ", ".join(f"{n} array<int>" for n in _LISTS)
 
 
 def escape(text: str) -> str:
@@ -59,56 +68,65 @@ def render(turns: list[tuple[str, str]]) -> tuple[str, list[int], list[int]]:
     return "".join(parts), starts, ends
 
 
-def parse(formatted: str) -> list[tuple[str, str]]:
+def parse(formatted: str) -> Iterator[tuple[str, str]]:
     """The turns of a rendered conversation."""
-    out = []
     for m in _TURN.finditer(formatted):
         role = unescape(m["role"]) if m["role"] is not None else "user" if m["user"] is not None else "assistant"
-        out.append((role, unescape(next(x for x in (m["user"], m["assistant"], m["other"]) if x is not None))))
-    return out
-
-
-def mask(starts: np.ndarray, ends: np.ndarray, loss_starts: list[int], loss_ends: list[int]) -> np.ndarray:
-    """Tokens that share a character with a loss span."""
-    out = np.zeros(len(starts), bool)
-    first = np.searchsorted(ends, np.asarray(loss_starts, np.int64), side="right")
-    last = np.searchsorted(starts, np.asarray(loss_ends, np.int64), side="left")
-    for a, b, empty in zip(first, last, np.equal(loss_starts, loss_ends), strict=True):
-        if not empty:
-            out[a:b] = True
-    return out
-
-
-def loss_text(formatted: str, starts, ends, loss_mask, loss_starts, loss_ends) -> str:
-    """What stands under the mask: characters of masked tokens inside the loss spans, unescaped."""
-    depth = np.zeros((2, len(formatted) + 1), np.int64)
-    starts, ends, loss_mask = np.asarray(starts, np.int64), np.asarray(ends, np.int64), np.asarray(loss_mask, bool)
-    np.add.at(depth[0], starts[loss_mask], 1)
-    np.add.at(depth[0], ends[loss_mask], -1)
-    np.add.at(depth[1], np.asarray(loss_starts, np.int64), 1)
-    np.add.at(depth[1], np.asarray(loss_ends, np.int64), -1)
-    under = (np.cumsum(depth, axis=1) > 0).all(axis=0)
-    edges = np.flatnonzero(np.diff(np.concatenate([[False], under]).astype(np.int8)))
-    return unescape("".join(formatted[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
+        yield role, unescape(next(x for x in (m["user"], m["assistant"], m["other"]) if x is not None))
+
+
+def encode(tokenizer, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Token ids, starts and ends of a text that is encoded once; only PART tokens are Python objects at a time."""
+    encoded = tokenizer.encode(text, add_special_tokens=False)
+    encoded.truncate(PART)  # what is cut off stays, as further parts
+    ids, spans = [], []
+    for part in (encoded, *encoded.overflowing):
+        ids.append(np.array(part.ids, np.int32))
+        spans.append(np.fromiter(chain.from_iterable(part.offsets), np.int32, 2 * len(ids[-1])).reshape(-1, 2))
+    every = np.concatenate(spans)
+    return np.concatenate(ids), every[:, 0], every[:, 1]
+
+
+def mask(starts: np.ndarray, ends: np.ndarray, loss_starts: np.ndarray, loss_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each loss span the range of tokens that share a character with it; an empty span has an empty range."""
+    first = np.searchsorted(ends, loss_starts, side="right")
+    last = np.searchsorted(starts, loss_ends, side="left")
+    return first.astype(np.int32), np.where(loss_ends > loss_starts, np.maximum(first, last), first).astype(np.int32)
+
+
+def loss_texts(formatted: str, starts: np.ndarray, ends: np.ndarray, spans: Iterator[tuple[int, int, int, int]]) -> Iterator[str]:
+    """What the masked tokens of each span (start, end, first token, last token) cover of it, unescaped."""
+    for a, b, first, last in spans:
+        if first < last:
+            left, right = np.maximum(starts[first:last], a), np.maximum.accumulate(np.minimum(ends[first:last], b))
+            # Tokens that part a character overlap; a gap between tokens would be left out.
+            gaps = np.flatnonzero(left[1:] > right[:-1])
+            edges = zip(left[np.append(0, gaps + 1)].tolist(), right[np.append(gaps, -1)].tolist(), strict=True)
+            yield unescape("".join(formatted[x:y] for x, y in edges))
 
 
 def _conversations(batches: Iterator[pa.RecordBatch]):
     """(conv_id, turns) of rows that arrive sorted."""
     key, turns = None, None
     for batch in batches:
-        for conv, role, text in zip(*(batch.column(n).to_pylist() for n in ("conv_id", "role", "text")), strict=True):
-            if turns is not None and conv != key:
-                yield key, turns
-                turns = None
-            key, turns = conv, turns or []
-            turns.append((role or "", text or ""))
+        for at in range(0, batch.num_rows, ROWS):
+            part = batch.slice(at, ROWS)
+            for conv, role, text in zip(*(part.column(n).to_pylist() for n in ("conv_id", "role", "text")), strict=True):
+                if turns is not None and conv != key:
+                    yield key, turns
+                    turns = None
+                key, turns = conv, turns or []
+                turns.append((role or "", text or ""))
     if turns is not None:
         yield key, turns
 
 
+def _ragged(parts: list[np.ndarray]) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum([len(p) for p in parts])), pa.int32()), pa.array(np.concatenate(parts), pa.int32()))
+
+
 def format_conversations(conversations: DataFrame, path: str) -> DataFrame:
-    """One row per conversation: its string, its tokens with offsets, the loss mask and the spans behind it."""
-    schema = pa.schema([("conv_id", pa.int64()), ("formatted", pa.string()), *((n, pa.list_(pa.int32())) for n in ("token_ids", "token_starts", "token_ends")), ("loss_mask", pa.list_(pa.bool_())), ("loss_starts", pa.list_(pa.int32())), ("loss_ends", pa.list_(pa.int32()))])
+    """One row per conversation: its string, its tokens with offsets, the spans of the loss and its mask (FORMATTED)."""
 
     def rendered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from tokenizers import Tokenizer
@@ -118,15 +136,16 @@ def format_conversations(conversations: DataFrame, path: str) -> DataFrame:
         rows, size = [], 0
 
         def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+            conv, formatted, *lists = zip(*rows, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(conv, pa.int64()), pa.array(formatted, pa.string()), *map(_ragged, lists)], names=["conv_id", "formatted", *_LISTS])
 
         for conv, turns in _conversations(batches):
-            formatted, loss_starts, loss_ends = render(turns)
-            encoded = tokenizer.encode(formatted, add_special_tokens=False)
-            spans = np.array(encoded.offsets, np.int32).reshape(-1, 2)
-            rows.append((conv, formatted, encoded.ids, spans[:, 0], spans[:, 1], mask(spans[:, 0], spans[:, 1], loss_starts, loss_ends), loss_starts, loss_ends))
+            formatted, *loss = render(turns)
+            ids, starts, ends = encode(tokenizer, formatted)
+            loss_starts, loss_ends = (np.array(x, np.int32) for x in loss)
+            rows.append((conv, formatted, ids, starts, ends, loss_starts, loss_ends, *mask(starts, ends, loss_starts, loss_ends)))
             size += len(formatted)
-            if len(rows) >= _ROWS or size > 1 << 20:
+            if size > SLICE:
                 yield out()
                 rows.clear()
                 size = 0
@@ -141,21 +160,27 @@ def format_conversations(conversations: DataFrame, path: str) -> DataFrame:
 
 def digest(formatted: DataFrame) -> DataFrame:
     """Counts and digests per conversation, read back from the formatted rows alone."""
-    schema = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64()), ("n_tokens", pa.int64()), ("n_loss_tokens", pa.int64())])
+    names = ("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_tokens", "n_loss_tokens")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            lists = {n: (batch.column(n).offsets.to_numpy(), batch.column(n).values.to_numpy()) for n in _LISTS}
             rows = []
-            for r in batch.to_pylist():
-                turns = parse(r["formatted"])
-                loss = loss_text(r["formatted"], r["token_starts"], r["token_ends"], r["loss_mask"], r["loss_starts"], r["loss_ends"])
-                all_turns = hashlib.sha256()
-                for role, text in turns:
+            for i, conv in enumerate(batch.column("conv_id").to_pylist()):
+                one = batch.column("formatted")[i].as_py()
+                _, starts, ends, *spans = (flat[at[i] : at[i + 1]] for at, flat in lists.values())
+                turns, all_turns, loss, chars = 0, hashlib.sha256(), hashlib.sha256(), 0
+                for role, text in parse(one):
+                    turns += 1
                     all_turns.update(f"{role}\n{text}\n".encode())
-                rows.append((r["conv_id"], len(turns), all_turns.hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(r["formatted"]), len(r["token_ids"]), sum(r["loss_mask"])))
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True) if rows else [[]] * len(schema), schema, strict=True)], schema=schema)
-
-    return formatted.mapInArrow(read, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_tokens long, n_loss_tokens long")
+                for text in loss_texts(one, starts, ends, zip(*(s.tolist() for s in spans), strict=True)):
+                    chars += len(text)
+                    loss.update(text.encode())
+                rows.append((conv, turns, all_turns.hexdigest(), chars, loss.hexdigest(), len(one), len(starts), int((spans[3] - spans[2]).sum())))
+            columns = zip(*rows, strict=True) if rows else [[]] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if "sha" in n else pa.int64()) for n, c in zip(names, columns, strict=True)], names=names)
+
+    return formatted.mapInArrow(read, ", ".join(f"{n} {'string' if 'sha' in n else 'long'}" for n in names))
 
 
 def op9_chat_format(spark, sf_dir: str) -> DataFrame:

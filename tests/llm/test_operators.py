@@ -493,6 +493,37 @@ def test_chats_read_back(make, vocabulary):
     assert chat_format.digest(chat_format.format_conversations(make([], "conv_id long, turn long, role string, text string"), vocabulary)).count() == 0
 
 
+def test_masks_equal_brute_force(make, vocabulary, monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(chat_format, "PART", 7)  # offsets come in many parts
+    tokenizer = Tokenizer.from_file(vocabulary)
+    tokenizer.encode_special_tokens = True
+    rng = random.Random(11)
+    for _ in range(60):
+        turns = [(rng.choice(["user", "assistant", "tool"]), "".join(rng.choice("ab é🙂\n<s>\\[") for _ in range(rng.randrange(0, 30)))) for _ in range(rng.randrange(1, 7))]
+        formatted, *loss = chat_format.render(turns)
+        ids, starts, ends = chat_format.encode(tokenizer, formatted)
+        whole = tokenizer.encode(formatted, add_special_tokens=False)
+        assert ids.tolist() == whole.ids and list(zip(starts.tolist(), ends.tolist(), strict=True)) == whole.offsets
+        first, last = chat_format.mask(starts, ends, *(np.array(x, np.int32) for x in loss))
+        masked = {t for a, b in zip(first, last, strict=True) for t in range(a, b)}
+        assert masked == {t for t, (a, b) in enumerate(whole.offsets) if any(max(a, x) < min(b, y) for x, y in zip(*loss, strict=True))}
+        spans = zip(*loss, first, last, strict=True)
+        assert list(chat_format.loss_texts(formatted, starts, ends, spans)) == [t for r, t in turns if r == "assistant" and t]
+        # Without the last masked token the text is short: the mask decides, not the span.
+        if masked:
+            cut = [(x, y, a, b - 1) for x, y, a, b in zip(*loss, first, last, strict=True) if b > a]
+            assert "".join(chat_format.loss_texts(formatted, starts, ends, iter(cut))) != "".join(t for r, t in turns if r == "assistant") or any(starts[b - 1] == starts[b - 2] for _, _, a, b in zip(*loss, first, last, strict=True) if b - a > 1)
+
+
+def test_a_very_long_conversation(make, vocabulary):
+    long = "lorem ipsum [INST] dolor " * 200_000
+    rows = [(1, 0, "user", "hi"), (1, 1, "assistant", long), (2, 0, "assistant", "yo")]
+    got = {r["conv_id"]: r for r in chat_format.digest(chat_format.format_conversations(make(rows, "conv_id long, turn long, role string, text string"), vocabulary)).collect()}
+    assert got[1]["loss_chars"] == len(long) and got[1]["loss_sha256"] == hashlib.sha256(long.encode()).hexdigest() and got[2]["n_turns"] == 1
+
+
 def test_repeated_turns_stay(make, vocabulary):
     rows = [(1, 0, "user", "hi"), (1, 0, "user", "hi"), (1, 0, "assistant", "yo")]
     assert chat_format.digest(chat_format.format_conversations(make(rows, "conv_id long, turn long, role string, text string"), vocabulary)).first()["n_turns"] == 3
