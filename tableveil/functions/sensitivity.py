@@ -2,40 +2,79 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Fixed values, in match order: name patterns (% at the start or both ends), category, mask strategy.
+#: Fixed values, in match order: name pattern (% at the start or both ends), category, mask strategy.
 RULES = (
-    ("%email% %e_mail%", "Email", "email"),
-    ("%first_name% %last_name% %full_name% %firstname% %lastname% %fullname% %_name", "PII - Name", "name"),
-    ("%phone% %mobile% %telephone% %fax%", "Phone", "phone"),
-    ("%ssn% %social_security% %national_id% %tax_id% %taxpayer%", "National ID", "null"),
-    ("%salary% %income% %wage% %compensation%", "Financial", "random_int"),
-    ("%password% %passwd% %secret% %token% %api_key% %apikey%", "Credential", "hash"),
-    ("%address% %street%", "Address", "constant"),
-    ("%zip% %zipcode% %postal%", "Address", "partial"),
-    ("%birth% %dob% %date_of_birth%", "Date of Birth", "null"),
-    ("%card_number% %credit_card% %ccn% %cvv%", "Credit Card", "null"),
-    ("%ip_address% %ipaddress%", "IP Address", "hash"),
+    ("%email%", "Email", "email"),
+    ("%e_mail%", "Email", "email"),
+    ("%first_name%", "PII - Name", "name"),
+    ("%last_name%", "PII - Name", "name"),
+    ("%full_name%", "PII - Name", "name"),
+    ("%firstname%", "PII - Name", "name"),
+    ("%lastname%", "PII - Name", "name"),
+    ("%fullname%", "PII - Name", "name"),
+    ("%_name", "PII - Name", "name"),
+    ("%phone%", "Phone", "phone"),
+    ("%mobile%", "Phone", "phone"),
+    ("%telephone%", "Phone", "phone"),
+    ("%fax%", "Phone", "phone"),
+    ("%ssn%", "National ID", "null"),
+    ("%social_security%", "National ID", "null"),
+    ("%national_id%", "National ID", "null"),
+    ("%tax_id%", "National ID", "null"),
+    ("%taxpayer%", "National ID", "null"),
+    ("%salary%", "Financial", "random_int"),
+    ("%income%", "Financial", "random_int"),
+    ("%wage%", "Financial", "random_int"),
+    ("%compensation%", "Financial", "random_int"),
+    ("%password%", "Credential", "hash"),
+    ("%passwd%", "Credential", "hash"),
+    ("%secret%", "Credential", "hash"),
+    ("%token%", "Credential", "hash"),
+    ("%api_key%", "Credential", "hash"),
+    ("%apikey%", "Credential", "hash"),
+    ("%address%", "Address", "constant"),
+    ("%street%", "Address", "constant"),
+    ("%zip%", "Address", "partial"),
+    ("%zipcode%", "Address", "partial"),
+    ("%postal%", "Address", "partial"),
+    ("%birth%", "Date of Birth", "null"),
+    ("%dob%", "Date of Birth", "null"),
+    ("%date_of_birth%", "Date of Birth", "null"),
+    ("%card_number%", "Credit Card", "null"),
+    ("%credit_card%", "Credit Card", "null"),
+    ("%ccn%", "Credit Card", "null"),
+    ("%cvv%", "Credit Card", "null"),
+    ("%ip_address%", "IP Address", "hash"),
+    ("%ipaddress%", "IP Address", "hash"),
 )
 
 
 def ordered() -> list[tuple[int, str, str, str]]:
-    """(ord, pattern, category, strategy) of every pattern, in match order."""
-    flat = [(pattern, category, strategy) for patterns, category, strategy in RULES for pattern in patterns.split()]
-    return [(i, *rule) for i, rule in enumerate(flat, 1)]
+    """(ord, pattern, category, strategy) of every rule, in match order."""
+    return [(i, *rule) for i, rule in enumerate(RULES, 1)]
+
+
+def rules(spark: SparkSession) -> DataFrame:
+    """The rules as a relation."""
+    return spark.createDataFrame(ordered(), "ord int, pattern string, category string, strategy string")
 
 
 def classify(name: Column) -> Column:
     """struct(ord, category, strategy) of the first rule that the name matches, null without one.
 
-    One expression over the fixed rules, so that no join is needed; _ is a plain character, case is ignored.
+    The rules are one array that Spark folds into a constant, so no join is needed and generated code stays short;
+    _ is a plain character, case is ignored.
     """
+    known = F.array(
+        *(
+            F.struct(F.lit(i).alias("ord"), F.lit(category).alias("category"), F.lit(strategy).alias("strategy"), F.lit(pattern.strip("%")).alias("core"), F.lit(pattern.endswith("%")).alias("inside"))
+            for i, pattern, category, strategy in ordered()
+        )
+    )
     low = F.lower(name)
-    found = F.lit(None).cast("struct<ord:int,category:string,strategy:string>")
-    for i, pattern, category, strategy in reversed(ordered()):
-        core = F.lit(pattern.strip("%"))
-        hit = F.contains(low, core) if pattern.endswith("%") else F.endswith(low, core)
-        found = F.when(hit, F.struct(F.lit(i).alias("ord"), F.lit(category).alias("category"), F.lit(strategy).alias("strategy"))).otherwise(found)
-    return found
+    first = F.get(F.filter(known, lambda r: F.when(r["inside"], F.contains(low, r["core"])).otherwise(F.endswith(low, r["core"]))), F.lit(0))
+    # A named field of a null struct is null, so the result is null as a whole only if it is made so.
+    return F.when(first.isNotNull(), F.struct(first["ord"].alias("ord"), first["category"].alias("category"), first["strategy"].alias("strategy")))

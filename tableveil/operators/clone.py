@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.masks import shape
 from ..plans.spec import CloneSpec, SpecError, check_database_name, check_schema_name
-from ..sources.catalog import create_matview, databases, matview_query, quoted, tables, views
+from ..sources.catalog import create_matview, databases, definition, matview_query, quoted, read_jdbc, tables, views
 
 
 @dataclass(frozen=True)
@@ -40,63 +41,139 @@ def _write(df: DataFrame, schema: str, table: str, include_data: bool) -> int:
     return seen.get["rows"]
 
 
-def swap(spark: SparkSession, schema: str, staged: str, table: str) -> None:
-    """Puts a staged table in another's place; the old one stays under its aside name until the new one stands."""
-    aside = f"{table}__aside"
-    spark.sql(f"ALTER TABLE {quoted(schema, table)} RENAME TO {quoted(schema, aside)}")
+def _create_like(rows: DataFrame, source: tuple[str, str], schema: str, table: str, spec: CloneSpec) -> list[str]:
+    """Makes the target with the source's types, NOT NULL, defaults and partitioning, as far as its columns are copied.
+
+    A masked column whose type changes, or that is a bounded text (a mask may be longer), takes the mask's type, without
+    default; one that is masked with nulls may be null.
+    Returns the columns that the target is partitioned by.
+    """
+    spark, lines = rows.sparkSession, []
+    columns, partitions = definition(spark, *source)
+    before = spark.table(quoted(*source)).schema
+    for c in (c for c in columns if c["column_name"] in rows.columns):
+        name = c["column_name"]
+        same = rows.schema[name].dataType == before[name].dataType and not (name in spec.masks and "char(" in c["type"])
+        nulls = name in spec.masks and (spec.masks[name].strategy == "null" or not same)
+        line = f"{quoted(name)} {c['type'] if same else rows.schema[name].dataType.simpleString()}"
+        line += " NOT NULL" if c["not_null"] and not nulls else ""
+        lines.append(line + (f" DEFAULT {c['default']}" if c["default"] is not None and same else ""))
+    kept = [p for p in partitions if p in rows.columns]
+    by = f" PARTITIONED BY ({', '.join(map(quoted, kept))})" if kept else ""
+    spark.sql(f"CREATE TABLE {quoted(schema, table)} ({', '.join(lines)}) USING parquet{by}")
+    return kept
+
+
+def _fill(rows: DataFrame, schema: str, table: str, spec: CloneSpec, source: tuple[str, str] | None) -> int:
+    """Makes a new table, like its source if that is in the catalog, and writes the rows."""
+    if source is None:
+        return _write(rows, schema, table, spec.include_data)
+    kept = _create_like(rows, source, schema, table, spec)
+    if not spec.include_data:
+        return 0
+    seen = Observation()
+    writer = rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append")
+    (writer.partitionBy(*kept) if kept else writer).saveAsTable(quoted(schema, table))
+    return seen.get["rows"]
+
+
+def _aside(table: str) -> str:
+    return f"{table}__aside"
+
+
+def recover(spark: SparkSession, schema: str, table: str) -> None:
+    """Ends a swap that a stopped run has left half done: the old table comes back, or goes if the new one stands."""
+    aside = quoted(schema, _aside(table))
+    if not spark.catalog.tableExists(aside):
+        return
+    if spark.catalog.tableExists(quoted(schema, table)):
+        spark.sql(f"DROP TABLE {aside}")
+    else:
+        spark.sql(f"ALTER TABLE {aside} RENAME TO {quoted(schema, table)}")
+
+
+def swap(spark: SparkSession, schema: str, staged: str, table: str, keep_as: str | None = None) -> None:
+    """Puts a staged table in another's place; the old one stays under its aside name until the new one stands.
+
+    If a run stops between the renames, the next copy to the table calls `recover`. keep_as: the old table stays under
+    this name.
+    """
+    old = keep_as or _aside(table)
+    spark.sql(f"ALTER TABLE {quoted(schema, table)} RENAME TO {quoted(schema, old)}")
     spark.sql(f"ALTER TABLE {quoted(schema, staged)} RENAME TO {quoted(schema, table)}")
-    spark.sql(f"DROP TABLE {quoted(schema, aside)}")
+    if keep_as is None:
+        spark.sql(f"DROP TABLE {quoted(schema, old)}")
 
 
-def clone_frame(df: DataFrame, schema: str, table: str, options=None) -> CloneResult:
-    """Copies a DataFrame's rows into schema.table; an existing table meets the specification's conflict mode."""
+def clone_frame(df: DataFrame, schema: str, table: str, options=None, source: tuple[str, str] | None = None) -> CloneResult:
+    """Copies a DataFrame's rows into schema.table; an existing table meets the specification's conflict mode.
+
+    source: the catalog table (schema, name) whose definition a new target takes over.
+    """
     spark, spec = df.sparkSession, CloneSpec.read(options)
     rows = shape(df, spec)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(check_schema_name(schema))}")
-    name = quoted(schema, table)
-    exists = spark.catalog.tableExists(name)
-    if exists and spec.conflict == "error":
+    recover(spark, schema, table)
+    exists = spark.catalog.tableExists(quoted(schema, table))
+    if not exists:
+        return CloneResult(schema, table, "done", _fill(rows, schema, table, spec, source))
+    if spec.conflict == "error":
         return CloneResult(schema, table, "failed", error=f"{schema}.{table} exists")
-    if exists and spec.conflict == "skip":
+    if spec.conflict == "skip":
         return CloneResult(schema, table, "skipped")
-    if exists and spec.conflict == "rename":
-        if spark.catalog.tableExists(quoted(schema, f"{table}_old")):
-            return CloneResult(schema, table, "failed", error=f"{schema}.{table}_old exists")
-        spark.sql(f"ALTER TABLE {name} RENAME TO {quoted(schema, f'{table}_old')}")
-    if exists and spec.conflict == "replace":
-        # The source may read the target, so the new rows stand before the old ones go.
-        staged = f"{table}__staged"
-        spark.sql(f"DROP TABLE IF EXISTS {quoted(schema, staged)}")
-        n = _write(rows, schema, staged, spec.include_data)
-        swap(spark, schema, staged, table)
-        return CloneResult(schema, table, "done", n)
-    return CloneResult(schema, table, "done", _write(rows, schema, table, spec.include_data))
+    if spec.conflict == "append":
+        return CloneResult(schema, table, "done", _write(rows, schema, table, spec.include_data))
+    keep_as = f"{table}_old" if spec.conflict == "rename" else None
+    if keep_as and spark.catalog.tableExists(quoted(schema, keep_as)):
+        return CloneResult(schema, table, "failed", error=f"{schema}.{keep_as} exists")
+    # The source may read the target, and the write may fail, so the new rows stand before the old ones go.
+    staged = f"{table}__staged"
+    spark.sql(f"DROP TABLE IF EXISTS {quoted(schema, staged)}")
+    n = _fill(rows, schema, staged, spec, source)
+    swap(spark, schema, staged, table, keep_as)
+    return CloneResult(schema, table, "done", n)
 
 
 def clone_table(spark: SparkSession, source_schema: str, table: str, target_schema: str, options=None, target_table: str | None = None) -> CloneResult:
-    """Copies a catalog table, under another name if one is given."""
+    """Copies a catalog table with its definition, under another name if one is given."""
     spec = CloneSpec.read(options)
     target = target_table or table
     try:
-        source = spark.table(quoted(source_schema, table))
-        if not spec.include_data and spec.columns is None and not spark.catalog.tableExists(quoted(target_schema, target)):
-            spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(check_schema_name(target_schema))}")
-            spark.sql(f"CREATE TABLE {quoted(target_schema, target)} LIKE {quoted(source_schema, table)} USING parquet")  # keeps defaults
-            return CloneResult(target_schema, target, "done")
-        return clone_frame(source, target_schema, target, spec)
+        return clone_frame(spark.table(quoted(source_schema, table)), target_schema, target, spec, (source_schema, table))
     except SpecError:
         raise
     except Exception as e:  # noqa: BLE001  a failed table must not stop the others
         return CloneResult(target_schema, target, "failed", error=str(e).splitlines()[0][:500])
 
 
-def _retarget(text: str, source: str, target: str) -> str:
-    return re.sub(rf"(?<![\w.`])(?:spark_catalog\.)?`?{re.escape(source)}`?\.", f"{quoted(target)}.", text)
+def clone_jdbc(spark: SparkSession, url: str, table: str, target_schema: str, options=None, target_table: str | None = None, **reading) -> CloneResult:
+    """Copies a table behind JDBC; `reading` goes to `read_jdbc` (key, lower, upper, parts and reader options).
+
+    Filters and columns are pushed to the source, so other rows and columns do not travel.
+    """
+    name = target_table or table.rpartition(".")[2].strip('"`')
+    return clone_frame(read_jdbc(spark, url, table, **reading), target_schema, name, options)
+
+
+_LITERAL = re.compile(r"('(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\")")
+
+
+def _retarget(text: str, source: str, target: str, prefix: str = "", names: tuple[str, ...] = ()) -> str:
+    """A view's text over the target's tables; text literals stay. With a prefix, unqualified names of `names` get it too."""
+    qualified = re.compile(rf"(?<![\w.`])(?:`?spark_catalog`?\.)?`?{re.escape(source)}`?\.`?(\w+)`?")
+    bare = re.compile(rf"(?<![\w.`])`?({'|'.join(map(re.escape, sorted(names, key=len, reverse=True)))})`?(?![\w`(])") if prefix and names else None
+
+    def change(part: str) -> str:
+        part = qualified.sub(lambda m: quoted(target, f"{prefix}{m[1]}" if m[1] in names or not prefix else m[1]), part)
+        return bare.sub(lambda m: quoted(f"{prefix}{m[1]}"), part) if bare else part
 
+    return "".join(part if i % 2 else change(part) for i, part in enumerate(_LITERAL.split(text)))
 
-def clone_views(spark: SparkSession, source: str, target: str) -> list[CloneResult]:
+
+def clone_views(spark: SparkSession, source: str, target: str, prefix: str = "", names: tuple[str, ...] = ()) -> list[CloneResult]:
     """Makes every view anew over the target's tables; views on views wait for those they read."""
     left, out = views(spark, source), []
+    names = (*names, *left)
     before = spark.catalog.currentDatabase()
     spark.catalog.setCurrentDatabase(target)
     try:
@@ -104,48 +181,64 @@ def clone_views(spark: SparkSession, source: str, target: str) -> list[CloneResu
             failed = {}
             for name, text in left.items():
                 try:
-                    spark.sql(f"CREATE OR REPLACE VIEW {quoted(target, name)} AS {_retarget(text, source, target)}")
-                    out.append(CloneResult(target, name, "done"))
+                    spark.sql(f"CREATE OR REPLACE VIEW {quoted(target, prefix + name)} AS {_retarget(text, source, target, prefix, names)}")
+                    out.append(CloneResult(target, prefix + name, "done"))
                 except Exception as e:  # noqa: BLE001
                     failed[name] = (text, str(e))
             if len(failed) == len(left):
-                return out + [CloneResult(target, n, "failed", error=e.splitlines()[0][:500]) for n, (_, e) in failed.items()]
+                return out + [CloneResult(target, prefix + n, "failed", error=e.splitlines()[0][:500]) for n, (_, e) in failed.items()]
             left = {n: t for n, (t, _) in failed.items()}
         return out
     finally:
         spark.catalog.setCurrentDatabase(before)
 
 
-def clone_schema(spark: SparkSession, source: str, target: str, options=None, masks: dict[str, dict] | None = None, only: list[str] | None = None) -> list[CloneResult]:
+def clone_schema(
+    spark: SparkSession, source: str, target: str, options=None, masks: dict[str, dict] | None = None, only: list[str] | None = None,
+    prefix: str = "", told: Callable[[str, CloneResult | None], None] | None = None,
+) -> list[CloneResult]:
     """Copies a schema's tables in name order, then its views, then its materialized views, which are computed anew.
 
     masks gives rules per table. With `parallel` that many tables are copied at once, and one that fails does not stop
-    the rest.
+    the rest. prefix stands before every name in the target. told(table, None) is called as a table begins, and
+    told(table, result) as it ends.
     """
     spec = CloneSpec.read(options)
     if not spark.catalog.databaseExists(source):
         raise SpecError(f"no schema {source}")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(check_schema_name(target))}")
-    names = [t for t in tables(spark, source) if only is None or t in only]
+    every = tables(spark, source)
+    names = [t for t in every if only is None or t in only]
     queries = {t: q for t in names if (q := matview_query(spark, source, t))}
     plain = [t for t in names if t not in queries]
     specs = {t: replace(spec, masks=CloneSpec.read({"mask": masks[t]}).masks) if masks and t in masks else spec for t in plain}
+
+    def one(table: str) -> CloneResult:
+        if told:
+            told(table, None)
+        result = clone_table(spark, source, table, target, specs[table], prefix + table)
+        if told:
+            told(table, result)
+        return result
+
     if spec.parallel > 1:
         with ThreadPoolExecutor(min(spec.parallel, max(1, len(plain)))) as pool:
-            out = list(pool.map(lambda t: clone_table(spark, source, t, target, specs[t]), plain))
+            out = list(pool.map(one, plain))
     else:
-        out = [clone_table(spark, source, t, target, specs[t]) for t in plain]
+        out = [one(t) for t in plain]
     if spec.views:
-        out += clone_views(spark, source, target)
+        out += clone_views(spark, source, target, prefix, tuple(every))
     if spec.matviews:
         before = spark.catalog.currentDatabase()
         spark.catalog.setCurrentDatabase(target)
         for name, query in queries.items():
             try:
-                create_matview(spark, target, name, _retarget(query, source, target))
-                out.append(CloneResult(target, name, "done", spark.table(quoted(target, name)).count()))
+                create_matview(spark, target, prefix + name, _retarget(query, source, target, prefix, tuple(every)), replace=spec.conflict == "replace")
+                out.append(CloneResult(target, prefix + name, "done", spark.table(quoted(target, prefix + name)).count()))
             except Exception as e:  # noqa: BLE001
-                out.append(CloneResult(target, name, "failed", error=str(e).splitlines()[0][:500]))
+                out.append(CloneResult(target, prefix + name, "failed", error=str(e).splitlines()[0][:500]))
+            if told:
+                told(name, out[-1])
         spark.catalog.setCurrentDatabase(before)
     return out
 
@@ -157,9 +250,9 @@ def clone_database(spark: SparkSession, schemas: list[str] | None = None, prefix
 
 
 def clone_database_create(spark: SparkSession, name: str, schemas: list[str], options=None) -> list[CloneResult]:
-    """Makes the database if it is missing and copies schemas into it; with several, table names carry their schema."""
+    """Makes the database if it is missing and copies schemas into it, views and materialized views too; with several,
+    every name carries its schema."""
     check_database_name(name)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(name)}")
-    if len(schemas) == 1:
-        return clone_schema(spark, schemas[0], name, options)
-    return [clone_table(spark, s, t, name, options, f"{s}__{t}") for s in sorted(schemas) for t in tables(spark, s)]
+    prefixes = {s: f"{s}__" if len(schemas) > 1 else "" for s in sorted(schemas)}
+    return [r for s, prefix in prefixes.items() for r in clone_schema(spark, s, name, options, prefix=prefix)]

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.catalog import columns_snapshot, objects_snapshot
+
 #: Categories whose objects have no definition to compare.
 NAMES_ONLY = ("sequences",)
 CATEGORIES = ("indexes", "constraints", "triggers", "views", "sequences")
@@ -63,6 +67,53 @@ def summary(table_rows: DataFrame, column_rows: DataFrame, drift_rows: DataFrame
     return counted.withColumn("diff_count", total).withColumn("in_sync", total == 0)
 
 
+def documents(table_rows: DataFrame, column_rows: DataFrame, drift_rows: DataFrame, object_rows: DataFrame, totals: DataFrame) -> DataFrame:
+    """The comparison as JSON, (section, name, document): a summary, one row per table that differs, one per object.
+
+    No row gathers more than the differences of one table.
+    """
+    keep = {"ignoreNullFields": "false"}
+    parts = []
+    for name, df in (("columns", column_rows), ("column_drift", drift_rows)):
+        fields = [c for c in df.columns if c != "table_name"]
+        parts.append(df.groupBy("table_name").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias(name)))
+    by_table = table_rows.join(parts[0], "table_name", "full_outer").join(parts[1], "table_name", "full_outer")
+    by_table = by_table.select(F.lit("tables").alias("section"), F.col("table_name").alias("name"), F.to_json(F.struct("presence", "columns", "column_drift"), keep).alias("document"))
+    by_object = object_rows.select(F.col("category").alias("section"), F.concat_ws(".", F.nullif("parent", F.lit("")), "name").alias("name"), F.to_json(F.struct(*object_rows.columns), keep).alias("document"))
+    return totals.select(F.lit("summary").alias("section"), F.lit("").alias("name"), F.to_json(F.struct(*totals.columns), keep).alias("document")).unionAll(by_table).unionAll(by_object)
+
+
+@dataclass(frozen=True)
+class Drift:
+    """All differences of two schemas."""
+
+    tables: DataFrame
+    columns: DataFrame
+    column_drift: DataFrame
+    objects: DataFrame
+    summary: DataFrame
+
+    def documents(self) -> DataFrame:
+        return documents(self.tables, self.columns, self.column_drift, self.objects, self.summary)
+
+    def document(self) -> DataFrame:
+        return document(self.tables, self.columns, self.column_drift, self.objects, self.summary)
+
+
+def compare(source_columns: DataFrame, target_columns: DataFrame, source_objects: DataFrame, target_objects: DataFrame) -> Drift:
+    parts = tables(source_columns, target_columns), columns(source_columns, target_columns), column_drift(source_columns, target_columns), objects(source_objects, target_objects)
+    return Drift(*parts, summary(*parts))
+
+
+def diff_schemas(spark: SparkSession, source: str, target: str, source_constraints: DataFrame | None = None, target_constraints: DataFrame | None = None) -> Drift:
+    """Differences of two schemas of the catalog, by name: tables, columns, views, materialized views and, where they
+    are given, constraints."""
+    return compare(
+        columns_snapshot(spark, source), columns_snapshot(spark, target),
+        objects_snapshot(spark, source, source_constraints), objects_snapshot(spark, target, target_constraints),
+    )
+
+
 def document(table_rows: DataFrame, column_rows: DataFrame, drift_rows: DataFrame, object_rows: DataFrame, totals: DataFrame) -> DataFrame:
     """The whole comparison as one JSON text. It is a report on catalogs: as long as their differences, in one row."""
     lists = []

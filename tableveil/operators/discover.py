@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.sensitivity import classify
+from ..sources.catalog import columns_snapshot, views_frame
 
 
 def sensitive_columns(columns: DataFrame) -> DataFrame:
@@ -41,6 +42,19 @@ def masking_report(columns: DataFrame, view_names: DataFrame) -> DataFrame:
     )
 
 
+def schema_report(spark: SparkSession, schema: str, policies: DataFrame | None = None) -> DataFrame:
+    """masking_report of a schema in the catalog, by name.
+
+    policies (schema_name, table_name, columns): adds column_masked, whether the table's policy masks the column itself.
+    """
+    report = masking_report(columns_snapshot(spark, schema), views_frame(spark, schema))
+    if policies is None:
+        return report
+    held = policies.select(F.col("schema_name").alias("__s"), F.col("table_name").alias("__t"), F.col("columns").alias("__columns"))
+    rows = report.join(held, (F.col("schema_name") == F.col("__s")) & (F.col("table_name") == F.col("__t")), "left")
+    return rows.select(*report.columns, F.coalesce(F.array_contains("__columns", F.col("column_name")), F.lit(False)).alias("column_masked"))
+
+
 def rules_for(columns: DataFrame) -> dict[str, dict[str, str]]:
     """Mask rules per table, ready for a clone. The snapshot of a catalog is metadata, small enough for the driver."""
     return {r["table_name"]: dict(r["strategies"]) for r in by_table(columns).collect()}

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.masks import apply_masks, check_types
-from ..plans.spec import MaskRule, SpecError, read_rules
+from ..plans.spec import CloneSpec, MaskRule, SpecError, read_rules
 from ..sources.catalog import quoted
-from .clone import _write, swap
+from .clone import _fill, recover, swap
 
 POLICIES = "schema_name string, table_name string, view_name string, role string, columns array<string>"
 
@@ -16,11 +16,12 @@ POLICIES = "schema_name string, table_name string, view_name string, role string
 def mask_in_place(spark: SparkSession, schema: str, table: str, rules) -> tuple[int, int]:
     """Rewrites the masked columns of all rows; returns rows and columns masked."""
     rules = read_rules(rules)
+    recover(spark, schema, table)
     df = spark.table(quoted(schema, table))
     check_types(df.schema, rules)
     staged = f"{table}__staged"
     spark.sql(f"DROP TABLE IF EXISTS {quoted(schema, staged)}")
-    n = _write(apply_masks(df, rules), schema, staged, True)
+    n = _fill(apply_masks(df, rules), schema, staged, CloneSpec(masks=rules), (schema, table))
     swap(spark, schema, staged, table)
     return n, len(rules)
 
@@ -90,8 +91,13 @@ class Policies:
         self.spark.sql(f"DROP VIEW IF EXISTS {quoted(schema, f'{table}_masked')}")
         self._log(schema, table, None, [], True)
 
-    def read_as(self, role: str, schema: str, table: str) -> DataFrame:
-        """The table for its policy's role, its masked view for every other one."""
+    def read_as(self, role: str, schema: str, table: str, without_policy: bool = False) -> DataFrame:
+        """The table for its policy's role, its masked view for every other one.
+
+        A table without a policy is an error, unless `without_policy` says that anyone may read it.
+        """
         policy = self.current().where((F.col("schema_name") == schema) & (F.col("table_name") == table)).first()
+        if policy is None and not without_policy:
+            raise SpecError(f"no masking policy for {schema}.{table}")
         hidden = policy is not None and policy["role"] != role
         return self.spark.table(quoted(schema, policy["view_name"] if hidden else table))

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from datetime import datetime
+from threading import Lock
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.catalog import quoted
+from ..plans.spec import CloneSpec
+from ..sources.catalog import quoted, tables
 from .clone import CloneResult, clone_schema
 
 EVENTS = "job_id long, parent_job_id long, ts timestamp, op_type string, schema_name string, table_name string, phase string, status string, tables_total long, rows long, bytes long, error string"
@@ -70,19 +72,38 @@ def pending(plan: DataFrame, events: DataFrame) -> DataFrame:
 
 
 def run_schema(spark: SparkSession, log_schema: str, job_id: int, source: str, target: str, options=None, only: list[str] | None = None) -> list[CloneResult]:
-    """clone_schema with one event per table in the run log."""
+    """clone_schema with an event in the run log as each table begins and as it ends, so a stopped run has left its state."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(log_schema)}")
-    results = clone_schema(spark, source, target, options, only=only)
-    status = "failed" if any(r.status == "failed" for r in results) else "completed"
-    events = [(job_id, None, datetime.now(), "schema", target, r.table_name, r.status, "running", len(results), r.rows, None, r.error or None) for r in results]
-    append(spark, log_schema, "run_log", [*events, (job_id, None, datetime.now(), "schema", target, None, "end", status, len(results), 0, None, None)])
+    total = len(tables(spark, source) if only is None else only)
+    lock = Lock()
+
+    def log(table: str | None, phase: str, status: str, rows: int = 0, error: str | None = None) -> None:
+        with lock:
+            append(spark, log_schema, "run_log", [(job_id, None, datetime.now(), "schema", target, table, phase, status, total, rows, None, error or None)])
+
+    def told(table: str, result: CloneResult | None) -> None:
+        if result is None:
+            log(table, "copying", "running")
+        else:
+            log(table, result.status, "running", result.rows, result.error)
+
+    log(None, "begin", "running")
+    try:
+        results = clone_schema(spark, source, target, options, only=only, told=told)
+    except Exception as e:
+        log(None, "end", "failed", error=str(e).splitlines()[0][:500])
+        raise
+    log(None, "end", "failed" if any(r.status == "failed" for r in results) else "completed")
     return results
 
 
 def resume(spark: SparkSession, log_schema: str, job_id: int, source: str, target: str, options=None) -> list[CloneResult]:
-    """Copies the tables that the job has not finished, failed ones included."""
-    from ..sources.catalog import tables
+    """Copies the tables that the job has not finished, failed ones included.
 
+    A table that was being copied when the run stopped may hold rows already, so it is replaced unless the options say
+    otherwise.
+    """
+    options = CloneSpec.read(options) if options is not None else CloneSpec(conflict="replace")
     plan = spark.createDataFrame([(job_id, t) for t in tables(spark, source)], "job_id long, table_name string")
     left = [r["table_name"] for r in pending(plan, spark.table(quoted(log_schema, "run_log"))).collect()]
     return run_schema(spark, log_schema, job_id, source, target, options, only=left)

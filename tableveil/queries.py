@@ -31,25 +31,25 @@ PEOPLE = """SELECT c_custkey AS id, c_name AS full_name,
  CASE WHEN c_acctbal < 0 THEN 'suspended' WHEN c_custkey % 4 = 0 THEN 'inactive' ELSE 'active' END AS status
 FROM customer"""
 
-# A catalog with a table per 40 orders; column names are built to meet the rules, their traps and none of them.
+# A catalog with a table per customer and columns per order; names are built to meet the rules, their traps and none.
 _NAMES = ("ip_address", "Email_Address", "CNAME", "user_name", "qty", "zipcode", "classname", "o_phone_no", "first_name", "api_key", "birth_year", "Salary", "card_number", "street", "total")
-CATALOG = f"""SELECT 'hr' AS schema_name, concat('t', CAST(o_orderkey % 40 AS {{S}})) AS table_name,
- concat(CASE CAST(o_custkey % {len(_NAMES)} AS INT) {' '.join(f"WHEN {i} THEN '{n}'" for i, n in enumerate(_NAMES))} END, CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE concat('_', CAST(o_orderkey % 3 AS {{S}})) END) AS column_name,
+CATALOG = f"""SELECT 'hr' AS schema_name, concat('t', CAST(o_custkey AS {{S}})) AS table_name,
+ concat(CASE CAST(o_orderkey % {len(_NAMES)} AS INT) {' '.join(f"WHEN {i} THEN '{n}'" for i, n in enumerate(_NAMES))} END, CASE WHEN o_orderkey % 4 = 0 THEN '' ELSE concat('_', CAST(o_orderkey AS {{S}})) END) AS column_name,
  CAST(min(o_orderkey) AS INT) AS ordinal
 FROM orders GROUP BY 1, 2, 3"""
-VIEW_NAMES = "SELECT DISTINCT 'hr' AS schema_name, concat('t', CAST(o_orderkey % 40 AS {S}), '_masked') AS view_name FROM orders WHERE o_orderkey % 40 % 3 = 0"
-
-# Two snapshots of a catalog with tables per part group and columns per supplier group, which drift by key.
-_COLUMNS = """SELECT DISTINCT concat('t', CAST(l_partkey % 60 AS {{S}})) AS table_name, concat('c', CAST(l_suppkey % 30 AS {{S}})) AS column_name,
- CASE WHEN (l_partkey % 60 + l_suppkey % 30) % 13 = 0 THEN '{0}' ELSE 'bigint' END AS type,
- (l_partkey % 60 + l_suppkey % 30) % 17 = {1} AS not_null,
- CASE WHEN (l_partkey % 60 + l_suppkey % 30) % 19 = {1} THEN '0' END AS "default"
-FROM lineitem WHERE l_partkey % 60 % 11 <> {1} AND (l_suppkey % 30 + l_partkey % 60) % 23 <> {1}"""
+VIEW_NAMES = "SELECT DISTINCT 'hr' AS schema_name, concat('t', CAST(o_custkey AS {S}), '_masked') AS view_name FROM orders WHERE o_custkey % 3 = 0"
+
+# Two snapshots of a catalog with a table per part and a column per supplier of it, which drift by key.
+_COLUMNS = """SELECT DISTINCT concat('t', CAST(l_partkey AS {{S}})) AS table_name, concat('c', CAST(l_suppkey AS {{S}})) AS column_name,
+ CASE WHEN (l_partkey + l_suppkey) % 13 = 0 THEN '{0}' ELSE 'bigint' END AS type,
+ (l_partkey + l_suppkey) % 17 = {1} AS not_null,
+ CASE WHEN (l_partkey + l_suppkey) % 19 = {1} THEN '0' END AS "default"
+FROM lineitem WHERE l_partkey % 11 <> {1} AND (l_suppkey + l_partkey) % 23 <> {1}"""
 COLUMNS_A, COLUMNS_B = _COLUMNS.format("int", 1), _COLUMNS.format("string", 2)
 _OBJECTS = """SELECT category, concat(category, '_', CAST(n AS {{S}})) AS name, parent, concat('def ', CAST(min(d) AS {{S}})) AS def FROM (
- SELECT CASE CAST(l_partkey % 5 AS INT) WHEN 0 THEN 'indexes' WHEN 1 THEN 'constraints' WHEN 2 THEN 'triggers' WHEN 3 THEN 'views' ELSE 'sequences' END AS category, l_suppkey % 12 AS n,
-  CASE WHEN l_partkey % 5 IN (1, 2) THEN concat('t', CAST(l_partkey % 7 AS {{S}})) END AS parent, CASE WHEN l_suppkey % 12 % 4 = 3 THEN l_suppkey % 12 + {0} ELSE 0 END AS d
- FROM lineitem WHERE l_suppkey % 12 <> {0}) AS x GROUP BY category, n, parent"""
+ SELECT CASE CAST(l_partkey % 5 AS INT) WHEN 0 THEN 'indexes' WHEN 1 THEN 'constraints' WHEN 2 THEN 'triggers' WHEN 3 THEN 'views' ELSE 'sequences' END AS category, l_partkey AS n,
+  CASE WHEN l_partkey % 5 IN (1, 2) THEN concat('t', CAST(l_suppkey AS {{S}})) END AS parent, CASE WHEN l_partkey % 4 = 3 THEN l_partkey + {0} ELSE 0 END AS d
+ FROM lineitem WHERE l_partkey % 12 <> {0}) AS x GROUP BY category, n, parent"""
 OBJECTS_A, OBJECTS_B = _OBJECTS.format(1), _OBJECTS.format(2)
 
 # A run log: users are jobs, their events are tables copied.
@@ -206,11 +206,19 @@ def clone_database(spark, sf):
     return counted(spark, clone.clone_database(spark, ["tv_db_b", "tv_db_a"], "tv_copy_"))
 
 
-@query(count_sql("tv_made", ("nation", "orders")))
+_RICH = "SELECT o_custkey, sum(o_totalprice) AS total FROM orders WHERE o_orderstatus <> 'orders' GROUP BY o_custkey"
+
+
+@query(count_sql("tv_made", ("nation", "orders", "part")).replace("'nation'", "'tv_db_c__nation'").replace("'orders'", "'tv_db_c__orders'").replace("'part'", "'tv_db_d__part'") + f" UNION ALL SELECT 'tv_made', 'tv_db_c__rich', count(*) FROM ({_RICH})")
 def clone_database_create(spark, sf):
     source(spark, sf, "tv_db_c", "orders", "nation")
+    source(spark, sf, "tv_db_d", "part")
+    before = spark.catalog.currentDatabase()
+    spark.catalog.setCurrentDatabase("tv_db_c")
+    spark.sql(f"CREATE VIEW rich AS {_RICH}")
+    spark.catalog.setCurrentDatabase(before)
     fresh(spark, "tv_made")
-    return counted(spark, clone.clone_database_create(spark, "tv_made", ["tv_db_c"]))
+    return counted(spark, clone.clone_database_create(spark, "tv_made", ["tv_db_d", "tv_db_c"]))
 
 
 _ACTIVE = "SELECT c_custkey, c_name, c_acctbal FROM {0}customer WHERE c_acctbal >= 0"
@@ -448,17 +456,39 @@ def _same(schema: str, names) -> str:
     return " UNION ALL ".join(f"SELECT '{schema}' AS schema_name, '{n}' AS table_name, count(*) AS source_rows, count(*) AS target_rows, '✓' AS match FROM {n}" for n in names)
 
 
-@query(_same("all", TABLES))
+def _beside(copies: DataFrame, names: dict[str, str]) -> DataFrame:
+    """Counts of copies under the names of their source schemas."""
+    return copies.replace(names, subset=["schema_name"])
+
+
+@query(_same("tv_v_src", TABLES))
 def verify_schema(spark, sf):
-    return _verified(spark, sf, "all", TABLES, {n: load(spark, sf, n) for n in TABLES})
+    source(spark, sf, "tv_v_src", *TABLES)
+    fresh(spark, "tv_v_copy")
+    clone.clone_schema(spark, "tv_v_src", "tv_v_copy", {"parallel": 4})
+    return verify.verify(verify.catalog_counts(spark, ["tv_v_src"]), _beside(verify.catalog_counts(spark, ["tv_v_copy"]), {"tv_v_copy": "tv_v_src"}))
 
 
 @query(_same("tv_v_a", ("customer", "orders")) + " UNION ALL " + _same("tv_v_b", ("lineitem",)))
 def verify_all(spark, sf):
     source(spark, sf, "tv_v_a", "customer", "orders")
     source(spark, sf, "tv_v_b", "lineitem")
-    copied = {("tv_v_a", n): load(spark, sf, n) for n in ("customer", "orders")} | {("tv_v_b", "lineitem"): load(spark, sf, "lineitem")}
-    return verify.verify(verify.catalog_counts(spark, ["tv_v_a", "tv_v_b"]), verify.counts(spark, copied))
+    fresh(spark, "tv_vc_tv_v_a", "tv_vc_tv_v_b")
+    clone.clone_database(spark, ["tv_v_a", "tv_v_b"], "tv_vc_")
+    copied = verify.catalog_counts(spark, ["tv_vc_tv_v_a", "tv_vc_tv_v_b"])
+    return verify.verify(verify.catalog_counts(spark, ["tv_v_a", "tv_v_b"]), _beside(copied, {f"tv_vc_{s}": s for s in ("tv_v_a", "tv_v_b")}))
+
+
+@query(_same("tv_vs", ("customer", "orders")) + " UNION ALL SELECT 'tv_vs', 'part', count(*) * 0, count(*) * 0, '✓' FROM part")
+def verify_stats(spark, sf):
+    """Counts from statistics: a table that was never analyzed counts as empty."""
+    fresh(spark, "tv_vs", "tv_vs_copy")
+    for schema in ("tv_vs", "tv_vs_copy"):
+        for n in ("customer", "orders", "part"):
+            clone.clone_frame(load(spark, sf, n), schema, n)
+        for n in ("customer", "orders"):
+            spark.sql(f"ANALYZE TABLE {schema}.{n} COMPUTE STATISTICS")
+    return verify.verify(verify.catalog_counts(spark, ["tv_vs"], "stats"), _beside(verify.catalog_counts(spark, ["tv_vs_copy"], "stats"), {"tv_vs_copy": "tv_vs"}))
 
 
 @query("SELECT 's' AS schema_name, 'customer' AS table_name, count(*) AS source_rows, count(*) FILTER (c_acctbal > 0) AS target_rows, '✗' AS match FROM customer UNION ALL SELECT 's', 'orders', count(*), count(*), '✓' FROM orders")
@@ -524,6 +554,38 @@ def check_not_null(spark, sf):
     return checks.not_null(people(spark, sf), ["id", "email", "phone", "notes"], "s", "people")
 
 
+_RULES = [
+    ("tv_cp_src", "lineitem", "lineitem_pkey", "p", ["l_orderkey", "l_linenumber"], None, None, None),
+    ("tv_cp_src", "lineitem", "lineitem_order_fkey", "f", ["l_orderkey"], None, "orders", ["o_orderkey"]),
+    ("tv_cp_src", "orders", "orders_pkey", "p", ["o_orderkey"], None, None, None),
+    ("tv_cp_src", "orders", "orders_customer_fkey", "f", ["o_custkey"], None, "customer", ["c_custkey"]),
+    ("tv_cp_src", "orders", "orders_price_check", "c", ["o_totalprice"], "o_totalprice > 1000", None, None),
+    ("tv_cp_src", "orders", "orders_part_fkey", "f", ["o_orderkey"], None, "part", ["p_partkey"]),
+    ("tv_cp_src", "supplier", "supplier_pkey", "p", ["s_suppkey"], None, None, None),
+]
+
+
+@query(
+    " UNION ALL ".join(
+        _verdict(t, c, k, v).replace("'s' AS schema_name", "'tv_cp' AS schema_name")
+        for t, c, k, v in (
+            ("lineitem", "lineitem_copy_pkey", "p", "SELECT count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)"),
+            ("orders", "orders_copy_pkey", "p", "SELECT count(*) FROM (SELECT 1 FROM orders GROUP BY o_orderkey HAVING count(*) > 1)"),
+            ("orders", "orders_copy_price_check", "c", "SELECT count(*) FROM orders WHERE o_totalprice <= 1000"),
+            ("lineitem", "lineitem_copy_order_fkey", "f", "SELECT count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)"),
+            ("orders", "orders_copy_customer_fkey", "f", "SELECT count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)"),
+        )
+    )
+)
+def constraint_pass(spark, sf):
+    """A schema copy (customers filtered), then its constraints; those of tables that are not there are left out."""
+    source(spark, sf, "tv_cp_src", "lineitem", "orders")
+    fresh(spark, "tv_cp")
+    clone.clone_schema(spark, "tv_cp_src", "tv_cp", {"parallel": 2})
+    clone.clone_frame(load(spark, sf, "customer"), "tv_cp", "customer", {"where": "c_acctbal > 0"})
+    return checks.constraint_pass(spark, "tv_cp", spark.createDataFrame(_RULES, catalog.CONSTRAINTS), "_copy")
+
+
 # Constraints of derived tables: one per order, over two of ten columns.
 _CONSTRAINTS = "SELECT concat('t', CAST(o_orderkey % 50 AS {S})) AS table_name, concat('t', CAST(o_orderkey % 50 AS {S}), '_key', CAST(o_orderkey AS {S})) AS name, 'u' AS kind, concat('c', CAST(o_orderkey % 10 AS {S})) AS a, concat('c', CAST(o_custkey % 10 AS {S})) AS b FROM orders"
 
@@ -597,10 +659,16 @@ def diff_sequences(spark, sf):
     return diff.objects(*(df.where("category = 'sequences'") for df in _objects(spark, sf))).select("name", "presence")
 
 
-def _diffs(spark, sf):
-    columns, objects = _columns(spark, sf), _objects(spark, sf)
-    parts = diff.tables(*columns), diff.columns(*columns), diff.column_drift(*columns), diff.objects(*objects)
-    return *parts, diff.summary(*parts)
+def _kept(spark, df: DataFrame) -> DataFrame:
+    """A snapshot written once, so that every comparison reads it and none makes it anew."""
+    root = (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    path = f"{root}/snapshot-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _diffs(spark, sf) -> diff.Drift:
+    return diff.compare(*(_kept(spark, df) for df in (*_columns(spark, sf), *_objects(spark, sf))))
 
 
 _MARKS = [f"{c}_{p}" for c in ("tables", *diff.CATEGORIES) for p in ("only_in_source", "only_in_target", "modified") if not (c == "sequences" and p == "modified")]
@@ -611,12 +679,32 @@ _MARKS = [f"{c}_{p}" for c in ("tables", *diff.CATEGORIES) for p in ("only_in_so
     f"SELECT {', '.join(f"count(*) FILTER (m = '{m}') AS {m}" for m in _MARKS)}, count(*) AS diff_count, count(*) = 0 AS in_sync FROM marks"
 )
 def diff_summary(spark, sf):
-    return _diffs(spark, sf)[-1]
+    return _diffs(spark, sf).summary
 
 
 @query()
 def diff_json(spark, sf):
-    return diff.document(*_diffs(spark, sf))
+    return _diffs(spark, sf).documents()
+
+
+@query(
+    "SELECT 'orders' AS table_name, column_name, 'only_in_source' AS presence, CASE data_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _KINDS.items()) + " END AS type FROM information_schema.columns "
+    "WHERE table_name = 'orders' AND column_name NOT IN ('o_orderkey', 'o_custkey')"
+)
+def diff_schemas(spark, sf):
+    """Columns that a partial copy lacks, from the two schemas' names."""
+    source(spark, sf, "tv_ds_src", "orders", "customer")
+    fresh(spark, "tv_ds")
+    clone.clone_table(spark, "tv_ds_src", "orders", "tv_ds", {"columns": ["o_orderkey", "o_custkey"]})
+    clone.clone_table(spark, "tv_ds_src", "customer", "tv_ds")
+    return diff.diff_schemas(spark, "tv_ds_src", "tv_ds").columns.select("table_name", "column_name", "presence", "type")
+
+
+@query("SELECT 'tv_sr' AS schema_name, 'people' AS table_name, column_name, sensitivity, 'MASKED (view)' AS mask_status, 'OK - masked via people_masked view' AS recommendation, masked AS column_masked FROM (SELECT unnest(['full_name', 'email', 'phone', 'salary', 'ssn']) AS column_name, unnest(['PII - Name', 'Email', 'Phone', 'Financial', 'National ID']) AS sensitivity, unnest([true, true, true, false, true]) AS masked) WHERE EXISTS (SELECT 1 FROM people)")
+def masking_report_schema(spark, sf):
+    policies = _policy(spark, sf, "tv_sr")
+    report = discover.schema_report(spark, "tv_sr", policies.current())
+    return report.where("table_name = 'people'")
 
 
 # Run log

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 COLUMNS = "schema_name string, table_name string, column_name string, ordinal int, type string, not_null boolean, default string"
 OBJECTS = "schema_name string, category string, name string, parent string, def string"
@@ -43,24 +45,52 @@ def matview_query(spark: SparkSession, schema: str, table: str) -> str | None:
     return next((r["value"] for r in rows if r["key"] == MATVIEW), None)
 
 
-def create_matview(spark: SparkSession, schema: str, name: str, query: str) -> None:
+def create_matview(spark: SparkSession, schema: str, name: str, query: str, replace: bool = False) -> None:
     """A table with the query's rows that remembers the query."""
     query = query.rstrip().rstrip(";")
+    if replace:
+        spark.sql(f"DROP TABLE IF EXISTS {quoted(schema, name)}")
     held = query.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(f"CREATE TABLE {quoted(schema, name)} USING parquet TBLPROPERTIES ('{MATVIEW}' = '{held}') AS {query}")
 
 
+def definition(spark: SparkSession, schema: str, table: str) -> tuple[list[dict], list[str]]:
+    """A table's columns (column_name, type, not_null, default) and the columns it is partitioned by."""
+    described = json.loads(spark.sql(f"DESCRIBE EXTENDED {quoted(schema, table)} AS JSON").first()[0])
+    kinds = {c.name: c for c in spark.catalog.listColumns(quoted(schema, table))}
+    # Only this form shows bounded texts as such; columns come before what it says of partitions and defaults.
+    types: dict[str, str] = {}
+    for r in spark.sql(f"DESCRIBE TABLE {quoted(schema, table)}").collect():
+        types.setdefault(r["col_name"], r["data_type"])
+    columns = [{"column_name": c["name"], "type": types[c["name"]], "not_null": not c.get("nullable", True), "default": c.get("default")} for c in described["columns"]]
+    return columns, [c for c, k in kinds.items() if k.isPartition]
+
+
 def columns_snapshot(spark: SparkSession, schema: str) -> DataFrame:
     """Columns of all tables of a schema, from the catalog."""
-    rows = []
-    for t in tables(spark, schema):
-        described = json.loads(spark.sql(f"DESCRIBE EXTENDED {quoted(schema, t)} AS JSON").first()[0])
-        kinds = {c.name: c for c in spark.catalog.listColumns(quoted(schema, t))}
-        for i, c in enumerate(described["columns"], 1):
-            rows.append((schema, t, c["name"], i, kinds[c["name"]].dataType, not c.get("nullable", True), c.get("default")))
+    rows = [(schema, t, c["column_name"], i, c["type"], c["not_null"], c["default"]) for t in tables(spark, schema) for i, c in enumerate(definition(spark, schema, t)[0], 1)]
     return spark.createDataFrame(rows, COLUMNS)
 
 
+def objects_snapshot(spark: SparkSession, schema: str, constraints: DataFrame | None = None) -> DataFrame:
+    """Views and materialized views of a schema, and constraints if a frame of them (CONSTRAINTS) is given.
+
+    Definitions name no schema, so those of two schemas can be compared.
+    """
+    bare = re.compile(rf"(?:`?spark_catalog`?\.)?`?{re.escape(schema)}`?\.")
+    texts = views(spark, schema) | {t: q for t in tables(spark, schema) if (q := matview_query(spark, schema, t))}
+    out = spark.createDataFrame([(schema, "views", n, None, bare.sub("", q).replace("`", "")) for n, q in texts.items()], OBJECTS)
+    if constraints is not None:
+        own = constraints.where(F.col("schema_name") == schema)
+        text = F.concat_ws(" ", "kind", F.array_join("columns", ","), "predicate", "ref_table", F.array_join("ref_columns", ","))
+        out = out.unionByName(own.select("schema_name", F.lit("constraints").alias("category"), "name", F.col("table_name").alias("parent"), text.alias("def")))
+    return out
+
+
+def views_frame(spark: SparkSession, schema: str) -> DataFrame:
+    return spark.createDataFrame([(schema, v) for v in views(spark, schema)], "schema_name string, view_name string")
+
+
 def read_jdbc(spark: SparkSession, url: str, table: str, *, key: str | None = None, lower: int = 0, upper: int = 0, parts: int = 1, **options: str) -> DataFrame:
     """A table behind JDBC, read in `parts` ranges of its key; give `query` text as table to mask at the source."""
     reader = spark.read.format("jdbc").option("url", url).option("dbtable", table).options(**options)

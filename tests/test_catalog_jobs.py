@@ -1,8 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tableveil.functions.sensitivity import classify, ordered
-from tableveil.operators import checks, clone, masking, runlog, verify
+from tableveil.functions.sensitivity import classify, ordered, rules
+from tableveil.operators import checks, clone, diff, masking, runlog, verify
 from tableveil.plans.spec import SpecError
 from tableveil.queries import fresh
 from tableveil.sources import catalog
@@ -118,3 +118,103 @@ def test_exclusion_on_a_hot_key(spark):
     assert len(got) == len(set(got)) and set(got) == pairs
     late = {max((a, b), key=lambda x: (x[2], x[0]))[0] for a in data for b in data if (min(a[0], b[0]), max(a[0], b[0])) in pairs and a[0] < b[0]}
     assert checks.exclusion(df, "k", "lo", "hi", "id", "s", "t", "x").first()["violations"] == len(late)
+
+
+def test_data_copies_keep_the_definition(spark, shop):
+    spark.sql("CREATE TABLE t_shop.parted (id INT NOT NULL, note VARCHAR(9) DEFAULT 'none', secret STRING NOT NULL, day DATE) USING parquet PARTITIONED BY (day)")
+    spark.sql("INSERT INTO t_shop.parted VALUES (1, 'a', 's', DATE'2024-01-01'), (2, 'b', 't', DATE'2024-01-02')")
+    assert clone.clone_table(spark, shop, "parted", "t_copy", {"mask": {"secret": "null"}}).rows == 2
+    columns, partitions = catalog.definition(spark, "t_copy", "parted")  # file tables themselves hold no NOT NULL
+    assert [(c["column_name"], c["type"], c["not_null"], c["default"]) for c in columns] == [("id", "int", False, None), ("note", "varchar(9)", False, "'none'"), ("secret", "string", False, None), ("day", "date", False, None)]
+    assert partitions == ["day"] and spark.table("t_copy.parted").where("secret is null and day = '2024-01-02'").count() == 1
+    assert clone.clone_table(spark, shop, "parted", "t_copy", {"columns": ["note", "id"]}, "some").rows == 2
+    assert [(c["column_name"], c["type"]) for c in catalog.definition(spark, "t_copy", "some")[0]] == [("id", "int"), ("note", "varchar(9)")]
+
+
+def test_a_stopped_swap_is_taken_up(spark, shop, monkeypatch):
+    clone.clone_table(spark, shop, "items", "t_copy")
+    # Stopped between the renames: only the old table is there, under its aside name.
+    spark.sql("ALTER TABLE t_copy.items RENAME TO items__aside")
+    clone.recover(spark, "t_copy", "items")
+    assert spark.table("t_copy.items").count() == 3 and not spark.catalog.tableExists("t_copy.items__aside")
+    # Stopped before the old one was dropped.
+    spark.sql("CREATE TABLE t_copy.items__aside (x INT) USING parquet")
+    assert clone.clone_table(spark, shop, "items", "t_copy", {"conflict": "replace", "where": "id = 1"}).rows == 1
+    assert not spark.catalog.tableExists("t_copy.items__aside") and spark.table("t_copy.items").count() == 1
+    spark.sql("ALTER TABLE t_copy.items RENAME TO items__aside")
+    assert masking.mask_in_place(spark, "t_copy", "items", {"name": "name"}) == (1, 1)
+
+
+def test_resume_after_a_killed_run_doubles_nothing(spark, shop, monkeypatch):
+    fresh(spark, "t_log2")
+    real, seen = clone.clone_table, []
+
+    class Killed(BaseException):
+        pass
+
+    def stop_at_the_second(*args, **kwargs):
+        seen.append(args[2])
+        result = real(*args, **kwargs)
+        if len(seen) == 2:
+            raise Killed  # its rows are written, its end is not in the log
+        return result
+
+    monkeypatch.setattr(clone, "clone_table", stop_at_the_second)
+    with pytest.raises(Killed):
+        runlog.run_schema(spark, "t_log2", 1, shop, "t_copy")
+    monkeypatch.setattr(clone, "clone_table", real)
+    assert spark.table("t_copy.items").count() == 3
+    assert {(r["table_name"], r["phase"]) for r in spark.table("t_log2.run_log").collect()} == {(None, "begin"), ("empty", "copying"), ("empty", "done"), ("items", "copying")}
+    again = runlog.resume(spark, "t_log2", 1, shop, "t_copy")
+    assert [(r.table_name, r.rows) for r in again] == [("items", 3)] and spark.table("t_copy.items").count() == 3
+    assert runlog.latest(spark.table("t_log2.run_log")).first()["status"] == "completed"
+    assert runlog.resume(spark, "t_log2", 1, shop, "t_copy") == []
+
+
+def test_literals_in_views_stay():
+    text = "SELECT 't_shop.x' AS t, a.id FROM t_shop.items a JOIN `t_shop`.`empty` ON 'it''s t_shop.y' <> spark_catalog.t_shop.f"
+    assert clone._retarget(text, "t_shop", "new") == "SELECT 't_shop.x' AS t, a.id FROM `new`.`items` a JOIN `new`.`empty` ON 'it''s t_shop.y' <> `new`.`f`"
+    assert clone._retarget("SELECT items_n, 'items' FROM items, t_shop.items", "t_shop", "new", "p__", ("items",)) == "SELECT items_n, 'items' FROM `p__items`, `new`.`p__items`"
+
+
+def test_tables_without_policy_are_closed(spark, shop):
+    policies = masking.Policies(spark, "t_copy")
+    with pytest.raises(SpecError):
+        policies.read_as("guest", shop, "items")
+    assert policies.read_as("guest", shop, "items", without_policy=True).count() == 3
+
+
+def test_jdbc_tables_are_copied(spark, shop):
+    url = f"jdbc:derby:memory:{shop};create=true"
+    options = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    spark.range(100).selectExpr("id", "concat('user', id, '@x.example') AS email").write.format("jdbc").options(url=url, dbtable="people", **options).save()
+    result = clone.clone_jdbc(spark, url, "people", "t_copy", {"where": "id >= 40", "mask": {"email": "email"}}, key="id", lower=0, upper=100, parts=4, **options)
+    assert result.rows == 60 and {r["email"] for r in spark.table("t_copy.people").collect()} == {"u***@x.example"}
+
+
+def test_schemas_are_compared_by_name(spark, shop):
+    spark.sql("CREATE VIEW t_shop.cheap AS SELECT id FROM t_shop.items WHERE price < 2")
+    clone.clone_schema(spark, shop, "t_copy")
+    same = diff.diff_schemas(spark, shop, "t_copy").summary.first()
+    assert same["in_sync"] and same["diff_count"] == 0
+    spark.sql("CREATE OR REPLACE VIEW t_copy.cheap AS SELECT id FROM t_copy.items WHERE price < 3")
+    spark.sql("ALTER TABLE t_copy.items ADD COLUMNS (extra INT)")
+    spark.sql("DROP TABLE t_copy.empty")
+    drift = diff.diff_schemas(spark, shop, "t_copy")
+    total = drift.summary.first()
+    assert (total["tables_only_in_source"], total["tables_modified"], total["views_modified"], total["diff_count"]) == (1, 1, 1, 3)
+    assert {(r["section"], r["name"]) for r in drift.documents().collect()} == {("summary", ""), ("tables", "empty"), ("tables", "items"), ("views", "cheap")}
+    assert "extra" in drift.document().first()["document"]
+
+
+def test_rules_are_a_relation(spark):
+    assert rules(spark).count() == 42 and rules(spark).where("pattern = '%_name'").first()["ord"] == 9
+
+
+@pytest.mark.parametrize("slices", [1, 7, None])
+def test_long_ranges_meet_in_any_number_of_slices(spark, slices):
+    rows = [(1, 1, 0, 10**6), (2, 1, 5, 6), (3, 1, 10**6, 10**6 + 1), (4, 2, 3, 4), (5, 1, 999_999, 10**6 + 5), (6, None, 0, 9)]
+    df = spark.createDataFrame(rows, "id int, k int, lo long, hi long").withColumns({c: F.timestamp_seconds(c) for c in ("lo", "hi")})
+    got = {(r["left_id"], r["right_id"]) for r in checks.exclusion_pairs(df, "k", "lo", "hi", "id", slices).collect()}
+    assert got == {(1, 2), (1, 5), (3, 5)}
+    assert {r["id"] for r in checks.overlapping_rows(df, "k", "lo", "hi", "id", slices).collect()} == {2, 3, 5}
