@@ -12,7 +12,8 @@ text; since every match is checked on the text itself, neither a collision nor a
 
 Defined cases: null texts have no words and match nothing; rows with a null id and repeated rows get their own result;
 items with equal ids count once and a null item id counts as an empty one; empty tables give no hits or no rows; extra
-columns of the documents stay where a function says so, and results take their names over clashing ones.
+columns of the documents stay where a function says so, and results take their names over clashing ones; a very long
+text is one row's array of words in memory, and of terms that tie in rarity the first in the item is taken.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -72,33 +73,34 @@ def rarest(items: DataFrame, postings: DataFrame, how_many: int = 2) -> DataFram
     return with_span.select("item", "item_words", "span", F.array_distinct(pairs).alias("pairs")).where(F.size("pairs") > 0)
 
 
-def candidates(items: DataFrame, postings: DataFrame, block: int = TERM_BLOCK) -> DataFrame:
-    """(doc, item, item_words, span, shift): places where some window's rarest terms stand at its distances."""
+def candidates(items: DataFrame, postings: DataFrame) -> DataFrame:
+    """(doc, item, item_words, span, shifts): places where some window's rarest terms stand at its distances."""
+    version = F.xxhash64("item_words").alias("version")
     chosen = stored(rarest(items, postings), "op2-rarest")
-    anchors = chosen.select("item", F.xxhash64("item_words").alias("version"), "item_words", F.explode(F.array_distinct(F.flatten("pairs"))).alias("at"))
-    anchors = anchors.select("item", "version", "at", F.xxhash64(F.get("item_words", F.col("at"))).alias("term"))
-    anchors = stored(anchors, "op2-anchors")
-    terms = anchors.select("term").distinct()
-    if terms.count() <= block:
-        # Only the asked lists are read on: common terms, whose lists are long, go no further than the scan.
-        postings = postings.join(F.broadcast(terms), "term", "left_semi")
-    shifted = postings.join(anchors, "term").select("doc", "item", "version", (F.col("pos") - F.col("at")).alias("shift"), "at")
+    anchors = chosen.select("item", version, "item_words", F.explode(F.array_distinct(F.flatten("pairs"))).alias("at"))
+    anchors = stored(anchors.select("item", "version", "at", F.xxhash64(F.get("item_words", F.col("at"))).alias("term")), "op2-anchors")
+    # Only the asked lists are read on: Spark broadcasts their terms by the stored table's size, or shuffles both.
+    asked = postings.join(anchors.select("term").distinct(), "term", "left_semi")
+    shifted = asked.join(anchors, "term").select("doc", "item", "version", (F.col("pos") - F.col("at")).alias("shift"), "at")
     met = shifted.groupBy("doc", "item", "version", "shift").agg(F.collect_set("at").alias("met"))
-    wide = chosen.select("item", F.xxhash64("item_words").alias("version"), "item_words", "span", "pairs")
-    return met.join(wide, ["item", "version"]).where(F.exists("pairs", lambda p: F.size(F.array_except(p, F.col("met"))) == 0)).select("doc", "item", "item_words", "span", "shift")
+    met = met.join(chosen.select("item", version, "pairs"), ["item", "version"]).where(F.exists("pairs", lambda p: F.size(F.array_except(p, F.col("met"))) == 0))
+    # However often a document repeats an item, it carries the item's words once and one number per place.
+    places = met.groupBy("doc", "item", "version").agg(F.collect_list("shift").alias("shifts"))
+    return places.join(chosen.select("item", version, "item_words", "span"), ["item", "version"]).select("doc", "item", "item_words", "span", "shifts")
 
 
 def matches(docs: DataFrame, found: DataFrame) -> DataFrame:
     """docs with n_words, n_hit and hit_items, compared word by word at every candidate place."""
-    by_doc = found.groupBy("doc").agg(F.collect_list(F.struct("item", "item_words", "span", "shift")).alias("__found")).withColumnRenamed("doc", "__doc")
+    by_doc = found.groupBy("doc").agg(F.collect_list(F.struct("item", "item_words", "span", "shifts")).alias("__found")).withColumnRenamed("doc", "__doc")
     docs = docs.drop("n_words", "n_hit", "hit_items")
     names = docs.columns
     rows = docs.withColumn("__key", doc_key()).join(by_doc, F.col("__key") == F.col("__doc"), "left")
 
     def hits(words: Column, c: Column) -> Column:
-        same = lambda q: F.coalesce(F.get(words, c["shift"] + q) == F.get(c["item_words"], q), F.lit(False))
-        starts = F.filter(F.sequence(F.lit(0), F.size(c["item_words"]) - c["span"]), lambda p: F.forall(F.sequence(p, p + c["span"] - 1), same))
-        return F.struct(c["item"].alias("item"), F.flatten(F.transform(starts, lambda p: F.sequence(c["shift"] + p, c["shift"] + p + c["span"] - 1))).alias("at"))
+        same = lambda shift, q: F.coalesce(F.get(words, shift + q) == F.get(c["item_words"], q), F.lit(False))
+        windows = F.sequence(F.lit(0), F.size(c["item_words"]) - c["span"])
+        starts = F.flatten(F.transform(c["shifts"], lambda s: F.transform(F.filter(windows, lambda p: F.forall(F.sequence(p, p + c["span"] - 1), lambda q: same(s, q))), lambda p: s + p)))
+        return F.struct(c["item"].alias("item"), F.flatten(F.transform(starts, lambda p: F.sequence(p, p + c["span"] - 1))).alias("at"))
 
     def summed(words: Column) -> Column:
         exact = F.filter(F.transform("__found", lambda c: hits(words, c)), lambda h: F.size(h["at"]) > 0)
@@ -139,8 +141,11 @@ def op2_decontaminate(spark, sf_dir: str) -> DataFrame:
 
 def reject(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs that share no window with the benchmark."""
-    rows = docs.select(F.struct("*").alias("__row"), "doc_id", "text")
-    return contamination(rows, benchmark).where("n_hit = 0").select("__row.*")
+    # Other columns stand aside, so that none clashes and the text travels once.
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    rows = docs.select("doc_id", "text", *([F.struct(*others).alias("__others")] if others else []))
+    kept = contamination(rows, benchmark).where("n_hit = 0")
+    return kept.select(*(F.col(f"__others.`{c}`") if c in others else F.col(c) for c in docs.columns))
 
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

@@ -1,21 +1,27 @@
 """Quality rules with risk-controlled cutoffs, in DataFrame functions only.
 
-Every text gets counts (words, symbols, repeated lines, words in repeated windows). A rule rejects a text whose
-ratio lies above a cutoff. Cutoffs are learned per stratum (language) from labelled rows: for each rule and each
-cutoff of a fixed grid, the clean labelled rows above it are false rejections, and the exact binomial probability
-of seeing so few if the true risk were `risk` must be at most `delta` divided by the number of tests (all rules,
-cutoffs and strata: Bonferroni). Of the cutoffs so certified, the one that gains most (junk rejected less ten times
-the clean rejected) holds; without one the rule is off in that stratum.
+Every text gets counts (words, symbols, repeated lines, words in repeated windows). A rule rejects a text whose ratio
+lies above a cutoff. Cutoffs are learned per stratum (language) from labelled rows, and what is guaranteed is the
+verdict of all rules together: with probability 1 - DELTA, in every stratum at most RISK of the clean texts that pass the
+base rule are rejected.
+
+For each rule and each cutoff of a fixed grid the clean labelled rows above it are false rejections. The exact binomial
+probability of seeing so few if the true risk were i / PARTS of RISK must be at most DELTA divided by the number of tests
+(all rules, cutoffs and strata: Bonferroni); the least such i is what the cutoff costs. All these bounds hold at once,
+so any choice of cutoffs may follow: of each rule the certified cutoff that gains most (junk rejected less ten times the
+clean rejected), and of these the cheapest first, for as long as their costs add up to PARTS at most, since the risk of a
+union is no more than the sum of the risks. A rule without a cutoff is off in that stratum.
 
 Defined cases: a null or empty text has no words and fails the base rule; a null language is a stratum of its own;
 a stratum without enough labelled rows has no rules; labels with a null id or quality are left out, and of repeated
 labels the lowest quality counts; repeated rows are judged each; an empty table gives an empty result; extra columns
-stay, and the counts take their names over clashing ones.
+stay, and the counts take their names over clashing ones; a very long text is one row's array of words in memory; rules
+that tie in cost and gain are taken by name, and cutoffs that tie in gain and cost by the larger cutoff.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import BLANKS, blank_words, let, stored, table, whole
@@ -30,6 +36,8 @@ GRID = {
     "short_words": (-1.0, -1.5, -2.0, -2.5, -3.0),
 }
 RISK, DELTA = 0.05, 0.05
+#: Steps in which cutoffs share the risk.
+PARTS = 5
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 
 
@@ -95,11 +103,16 @@ def _log_tail(k: Column, n: Column, p: float) -> Column:
     return F.when(k < 1, first).otherwise(F.aggregate(F.sequence(F.lit(1).cast("long"), F.greatest(k, F.lit(1))), zero, step, lambda a: a["sum"]))
 
 
+def _stratum(name: str) -> Column:
+    """Null is apart from every text, the empty one too."""
+    return F.coalesce(F.concat(F.lit("="), F.col(name).cast("string")), F.lit(""))
+
+
 def calibrate(measured: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, delta: float = DELTA) -> DataFrame:
     """One row per stratum: the cutoff of each rule, null where the rule is off."""
     ratios, tests = _ratios(), sum(map(len, GRID.values()))
     truth = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("__quality"))
-    known = measured.where("not base_failed").select("doc_id", F.coalesce(F.col(stratum), F.lit("")).alias("stratum"), *(c.alias(k) for k, c in ratios.items()))
+    known = measured.where("not base_failed").select("doc_id", _stratum(stratum).alias("stratum"), *(c.alias(k) for k, c in ratios.items()))
     known = known.join(truth, "doc_id")
     clean, sums = F.col("__quality") == 1, [F.sum(F.col("__quality")).cast("long").alias("n")]
     for rule, grid in GRID.items():
@@ -109,12 +122,18 @@ def calibrate(measured: DataFrame, labels: DataFrame, stratum: str = "lang", ris
     by = known.groupBy("stratum").agg(*sums)
     # The strata are counted by a window over their few rows.
     cells = F.array(*(F.struct(F.lit(rule).alias("rule"), F.lit(cut).alias("cut"), F.col(f"{rule}_{i}_false").alias("bad"), F.col(f"{rule}_{i}_true").alias("good")) for rule, grid in GRID.items() for i, cut in enumerate(grid)))
-    strata = by.agg(F.count("*").alias("strata"))
-    by = by.select("stratum", "n", F.explode(cells).alias("c")).select("stratum", "n", "c.*").join(F.broadcast(strata))
-    # At or above the risk itself nothing can be certified, so the sum stays short.
-    sure = F.when(F.col("bad") < F.col("n") * risk, _log_tail(F.col("bad"), F.col("n"), risk)) <= F.log(F.lit(delta) / (tests * F.col("strata")))
-    gain = F.col("good") - 10 * F.col("bad")
-    best = by.where(sure & (gain > 0)).groupBy("stratum", "rule").agg(F.max_by("cut", F.struct(gain, "cut")).alias("cut"))
+    by = by.withColumn("strata", F.count("*").over(Window.partitionBy()))
+    by = by.select("stratum", "n", "strata", F.explode(cells).alias("c")).select("stratum", "n", "strata", "c.*")
+
+    def certified(part: int) -> Column:
+        share = risk * part / PARTS
+        # At or above the risk itself nothing can be certified, so the sum stays short.
+        return F.coalesce(F.when(F.col("bad") < F.col("n") * share, _log_tail(F.col("bad"), F.col("n"), share)) <= F.log(F.lit(delta) / (tests * F.col("strata"))), F.lit(False))
+
+    by = by.withColumns({"cost": F.coalesce(*(F.when(certified(i), i) for i in range(1, PARTS + 1))), "gain": F.col("good") - 10 * F.col("bad")})
+    best = by.where("cost is not null and gain > 0").groupBy("stratum", "rule").agg(F.max_by(F.struct("cut", "cost", "gain"), F.struct("gain", -F.col("cost"), "cut")).alias("x")).select("stratum", "rule", "x.*")
+    spent = F.sum("cost").over(Window.partitionBy("stratum").orderBy("cost", F.desc("gain"), "rule").rowsBetween(Window.unboundedPreceding, 0))
+    best = best.withColumn("spent", spent).where(F.col("spent") <= PARTS)
     return best.groupBy("stratum").agg(*(F.max(F.when(F.col("rule") == rule, F.col("cut"))).alias(f"cut_{rule}") for rule in GRID))
 
 
@@ -126,7 +145,7 @@ def judge(measured: DataFrame, cutoffs: DataFrame, stratum: str = "lang") -> Dat
     cuts = cutoffs.withColumnRenamed("stratum", "__stratum")
     names = [c for c in measured.columns if c != "kept"]
     # A handful of strata: Spark broadcasts them by the size of the stored table.
-    joined = measured.withColumn("__key", F.coalesce(F.col(stratum), F.lit(""))).join(cuts, F.col("__key") == F.col("__stratum"), "left")
+    joined = measured.withColumn("__key", _stratum(stratum)).join(cuts, F.col("__key") == F.col("__stratum"), "left")
     return joined.select(*names, (~F.col("base_failed") & ~rejected).alias("kept"))
 
 
@@ -152,7 +171,7 @@ def _sql() -> str:
     tests = sum(map(len, GRID.values()))
     return rf"""
 with words as (
-  select doc_id, coalesce(lang, '') as stratum, coalesce(text, '') as t,
+  select doc_id, coalesce('=' || lang, '') as stratum, coalesce(text, '') as t,
     list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w,
     list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as l
   from documents),
@@ -179,12 +198,14 @@ cells as (
   select stratum, rule, cut, sum(quality)::bigint as n, count(*) filter (x > cut and quality = 1) as bad, count(*) filter (x > cut and quality <> 1) as good
   from ratios join truth using (doc_id) join grid using (rule) where not base_failed group by stratum, rule, cut),
 tails as (
-  select stratum, rule, cut, good, bad,
-    (select sum(exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({RISK}) + (n - j) * ln(1 - {RISK}))) from (select unnest(range(0, bad + 1)) as j)) as p
-  from cells where bad < n * {RISK}),
-best as (
-  select stratum, rule, arg_max(cut, (good - 10 * bad) * 1000.0 + cut) as cut from tails
-  where p <= {DELTA} / ({tests} * (select count(distinct stratum) from cells)) and good - 10 * bad > 0 group by stratum, rule),
+  select stratum, rule, cut, good, bad, part,
+    (select sum(exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({RISK} * part / {PARTS}) + (n - j) * ln(1 - {RISK} * part / {PARTS}))) from (select unnest(range(0, bad + 1)) as j)) as p
+  from cells, (select unnest(range(1, {PARTS + 1})) as part) where bad < n * {RISK} * part / {PARTS}),
+costs as (
+  select stratum, rule, cut, any_value(good - 10 * bad) as gain, min(part) as cost from tails
+  where p <= {DELTA} / ({tests} * (select count(distinct stratum) from cells)) and good - 10 * bad > 0 group by stratum, rule, cut),
+one as (select * from costs qualify row_number() over (partition by stratum, rule order by gain desc, cost, cut desc) = 1),
+best as (select stratum, rule, cut from one qualify sum(cost) over (partition by stratum order by cost, gain desc, rule rows between unbounded preceding and current row) <= {PARTS}),
 verdict as (select doc_id, bool_or(coalesce(x > cut, false)) as rejected from ratios left join best using (stratum, rule) group by doc_id)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and not rejected as kept
 from b join verdict using (doc_id)"""

@@ -110,7 +110,7 @@ def test_phrases_of_common_words_and_overlaps(make, monkeypatch):
     assert sorted(((r["doc_id"], r["n_words"], r["n_hit"], ",".join(r["hit_items"])) for r in got), key=repr) == hits_by_force(docs, items)
     # The same from several passes over the vocabulary.
     kept = decontaminate.items_of(bench)
-    several = decontaminate.matches(df, decontaminate.candidates(kept, decontaminate.index(df, kept, block=2), block=2)).collect()
+    several = decontaminate.matches(df, decontaminate.candidates(kept, decontaminate.index(df, kept, block=2))).collect()
     assert sorted(((r["doc_id"], r["n_hit"]) for r in several), key=repr) == sorted(((r["doc_id"], r["n_hit"]) for r in got), key=repr)
 
 
@@ -122,6 +122,13 @@ def test_decontamination_of_empty_tables(make):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(str(r[0]) for r in EDGES if r[0] != 5) and kept.columns[-1] == "n_hit"
 
 
+def test_a_passage_that_a_text_repeats_very_often(make):
+    passage = " ".join(f"w{i}" for i in range(12))
+    docs = [(1, (passage + " x ") * 3000), (2, "w0 w1 w2")]
+    got = {r["doc_id"]: r for r in decontaminate.contamination(make(docs, "doc_id long, text string"), make([(7, passage)], "item_id long, text string")).collect()}
+    assert (got[1]["n_hit"], got[1]["n_words"], got[1]["hit_items"]) == (36_000, 39_000, ["7"]) and got[2]["n_hit"] == 0
+
+
 def test_proximity(make):
     docs = make([(1, "red x green x x blue"), (2, "blue green red"), (3, "red green"), (4, "red x x x x x green blue")], "doc_id long, text string")
     items = common.stored(decontaminate.items_of(make([(1, "red green blue")], "item_id long, text string")), "t")
@@ -430,6 +437,33 @@ def test_cutoffs_keep_the_risk(make):
     assert edge.columns[-1] == "n_words" and {r["doc_id"] for r in edge.collect()} == {None}
 
 
+def test_the_verdict_keeps_the_joint_risk(spark):
+    """Rules that each reject clean texts at a rate near the limit must not add up beyond it."""
+    rng = np.random.default_rng(5)
+    worst = []
+    for trial in range(3):
+        n = 4000
+        rates = {"n_symbols": 0.02, "n_dup_lines": 0.02, "n_repeat_words": 0.02, "word_chars": 0.02}
+        rows = []
+        for i in range(n + 3000):
+            junk = i >= n
+            hit = {k: bool(rng.random() < (0.9 if junk else r)) for k, r in rates.items()}
+            rows.append((i, "en", 100, 900 if hit["word_chars"] else 500, 100 if hit["n_symbols"] else 0, 80 if hit["n_dup_lines"] else 0, 14 if hit["n_repeat_words"] else 0, 100, False))
+        measured = spark.createDataFrame(rows, "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, base_failed boolean")
+        labels = spark.createDataFrame([(i, int(i < n)) for i in range(n + 3000)], "doc_id long, quality long")
+        cutoffs = quality_rules.calibrate(measured, labels)
+        kept = quality_rules.judge(measured, cutoffs).where(f"doc_id < {n}").agg(F.avg(F.col("kept").cast("int"))).first()[0]
+        worst.append(1 - kept)
+        on = sum(v is not None for k, v in cutoffs.first().asDict().items() if k.startswith("cut_"))
+        assert 1 <= on < 4  # each of the four would pass alone
+    assert max(worst) <= quality_rules.RISK
+
+
+def test_null_language_is_a_stratum_of_its_own(spark):
+    df = spark.createDataFrame([(None,), ("",), ("en",)], "lang string").select(quality_rules._stratum("lang").alias("s"))
+    assert df.distinct().count() == 3
+
+
 def test_binomial_tail(spark):
     for k, n, p in ((0, 50, 0.05), (3, 200, 0.05), (12, 1000, 0.02)):
         want = sum(math.comb(n, j) * p**j * (1 - p) ** (n - j) for j in range(k + 1))
