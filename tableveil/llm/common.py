@@ -43,9 +43,11 @@ def fold(doc_id: str | Column, folds: int) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; where the session names none (tests), a local one."""
+    """The folder that driver and executors share; where a local session (tests) names none, a temporary one."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         named = tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
@@ -63,14 +65,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Labels that a sample may hold, the most frequent first, and characters of its longest text.
+LABELS, LONGEST = 1000, 200_000
+
+
 def bounded_sample(rows: DataFrame, label: str, text: str | Column, each: int) -> list:
     """About `each` distinct (label, text) rows of every label, the same on every run; exact copies count once.
 
     A count per label gives the share that a hash of the row must fall under, so nothing is sorted or gathered
-    but the sample itself, whose size does not grow with the input.
+    but the sample itself, whose size does not grow with the input: at most LABELS labels and texts of LONGEST
+    characters take part.
     """
-    rows = rows.select(F.col(label).alias("label"), (F.col(text) if isinstance(text, str) else text).alias("text")).where("label is not null and text is not null")
-    counts = rows.groupBy("label").count().collect()
+    rows = rows.select(F.col(label).alias("label"), (F.col(text) if isinstance(text, str) else text).alias("text")).where(f"label is not null and length(text) <= {LONGEST}")
+    counts = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(LABELS).collect()
     if not counts:
         return []
     rows = rows.withColumn("h", F.xxhash64(F.col("label").cast("string"), "text"))
@@ -79,6 +86,19 @@ def bounded_sample(rows: DataFrame, label: str, text: str | Column, each: int) -
     return sorted(chosen.groupBy("label", "h").agg(F.first("text").alias("text")).collect(), key=lambda r: (str(r["label"]), r["h"]))
 
 
+def pieces(text: str, most: int, inside=str.isalnum) -> list[str]:
+    """The text in pieces of `most` characters and a little more, so that none ends inside a word (a run of characters
+    that are `inside`), unless the word itself is longer than a piece."""
+    out, at = [], 0
+    while len(text) - at > most:
+        end = at + most
+        while end < len(text) and end < at + 2 * most and inside(text[end]):
+            end += 1
+        out.append(text[at:end])
+        at = end
+    return [*out, text[at:]]
+
+
 def sliced(texts: list[str], most: int = 1 << 21):
     """(from, to) ranges over texts of about `most` characters each; a longer text stands alone."""
     start = size = 0

@@ -3,14 +3,17 @@
 Each word of a text is labelled with a language. A word's features are its affixes and inner n-grams (hashed, with
 word boundaries as characters) and an entry in a lexicon of frequent words; transitions between neighbouring labels
 are learned as well, from sequences in which pieces of several languages follow one another. Forward-backward gives
-every word's posterior, and a text's language is the one with the largest mean posterior, which is its score.
+every word's posterior, and a text's language is the one with the largest mean posterior, which is its score. The words'
+own labels are returned as spans of one language each, which is what code-switched texts are read for.
 
 The model is fitted on a bounded sample of labelled texts (`each` per language) and is a few megabytes whatever the
-input's size; every text is labelled whole.
+input's size; every text is labelled whole. A very long text is a run of sequences of about SEQUENCE characters, cut
+between words, whose posteriors are added up; so memory and the number of steps stay bounded.
 
 Defined cases: null texts, empty texts and texts without letters give `und` with score 0; without labelled rows every
-text gives `und`, and `reject` drops only texts without letters; rows are judged one by one, so repeated rows and null ids get their own result; an empty table gives
-an empty result; extra columns stay, and results take their names over clashing ones.
+text gives `und`, and `reject` drops only texts without letters; of languages that tie the first by name is taken; rows are
+judged one by one, so repeated rows and null ids get their own result; an empty table gives an empty result; extra columns
+stay, and results take their names over clashing ones.
 """
 
 from collections.abc import Iterator
@@ -21,10 +24,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, fold, sliced, table
+from .common import bounded_sample, fold, pieces, sliced, table
 
 BUCKETS = 1 << 16
 ORDERS = (2, 3, 4)
+#: Characters of one sequence of words.
+SEQUENCE = 1 << 16
 #: Labelled texts that the model is fitted on, per language.
 SAMPLE = 120
 ROUNDS = 30
@@ -138,17 +143,47 @@ class Model:
             b = grown
         return (gamma, expected) if pairs else gamma
 
-    def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
-        words = Words(texts)
-        counts = np.diff(words.doc_at)
-        names, scores = np.full(len(texts), "und", object), np.zeros(len(texts))
-        has = np.flatnonzero(counts)
-        if len(has) and self.labels:
+    def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray, list[list[tuple[int, int, int]]]]:
+        """Each text's language and score, and its spans: (first word, words, label) of neighbours of one language."""
+        owner, parts = [], []
+        for i, t in enumerate(texts):
+            cut = [t] if len(t) <= SEQUENCE else pieces(t, SEQUENCE, str.isalpha)
+            owner += [i] * len(cut)
+            parts += cut
+        names, scores, spans = np.full(len(texts), "und", object), np.zeros(len(texts)), [[] for _ in texts]
+        if not self.labels:
+            return names.tolist(), scores, spans
+        sums, seen = np.zeros((len(texts), len(self.labels))), np.zeros(len(texts), np.int64)
+        # Sequences of like length share their steps; the parts of a text keep their order when they are added up.
+        order = sorted(range(len(parts)), key=lambda k: -len(parts[k]))
+        labels: list = [None] * len(parts)
+        for a, b in sliced([parts[k] for k in order]):
+            some = order[a:b]
+            words = Words([parts[k] for k in some])
+            counts = np.diff(words.doc_at)
+            has = np.flatnonzero(counts)
+            if not len(has):
+                continue
             gamma = self.posteriors(self.emissions(words), words.doc_at[has], counts[has])
-            mean = np.add.reduceat(gamma.astype(np.float64), words.doc_at[has], axis=0) / counts[has, None]
-            names[has] = np.array(self.labels, object)[mean.argmax(axis=1)]
-            scores[has] = np.clip(mean.max(axis=1), 0, 1)
-        return names.tolist(), scores
+            whose = np.array(owner)[np.array(some)[has]]
+            np.add.at(sums, whose, np.add.reduceat(gamma.astype(np.float64), words.doc_at[has], axis=0))
+            np.add.at(seen, whose, counts[has])
+            best = gamma.argmax(axis=1).astype(np.int16)
+            for k in has:
+                labels[some[k]] = best[words.doc_at[k] : words.doc_at[k + 1]]
+        known = np.flatnonzero(seen)
+        mean = sums[known] / seen[known, None]
+        names[known] = np.array(self.labels, object)[mean.argmax(axis=1)]
+        scores[known] = np.clip(mean.max(axis=1), 0, 1)
+        by_text: dict[int, list] = {}
+        for i, found in zip(owner, labels, strict=True):
+            if found is not None:
+                by_text.setdefault(i, []).append(found)
+        for i, found in by_text.items():
+            path = np.concatenate(found)
+            first = np.flatnonzero(np.append(True, path[1:] != path[:-1]))
+            spans[i] = list(zip(first.tolist(), np.diff(np.append(first, len(path))).tolist(), path[first].tolist(), strict=True))
+        return names.tolist(), scores, spans
 
 
 def _mixed(words: Words, language: np.ndarray, rng) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -221,21 +256,32 @@ def fit(docs: DataFrame, label: str = "lang", text: str = "text", each: int = SA
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """docs with lang_pred and score."""
+    """docs with lang_pred, score and n_spans, the number of runs of words of one language."""
     held = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, n_spans long")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for column in batches:
             texts = [t or "" for t in column]
-            order = np.argsort([-len(t) for t in texts], kind="stable")  # texts of like length share their steps
-            ranked = [texts[i] for i in order]
-            names, scores = np.full(len(texts), "und", object), np.zeros(len(texts))
-            for a, b in sliced(ranked):
-                names[order[a:b]], scores[order[a:b]] = held.value.predict(ranked[a:b])
-            yield pd.DataFrame({"lang_pred": names, "score": scores})
-
-    return docs.withColumn("__found", predict.asNondeterministic()(F.col(text))).withColumns({"lang_pred": F.col("__found.lang_pred"), "score": F.col("__found.score")}).drop("__found")
+            found = [held.value.predict(texts[a:b]) for a, b in sliced(texts)]
+            yield pd.DataFrame({"lang_pred": [x for n, _, _ in found for x in n], "score": np.concatenate([s for _, s, _ in found]) if found else [], "n_spans": [len(x) for _, _, spans in found for x in spans]})
+
+    docs = docs.withColumn("__found", predict.asNondeterministic()(F.col(text)))
+    return docs.withColumns({c: F.col(f"__found.{c}") for c in ("lang_pred", "score", "n_spans")}).drop("__found")
+
+
+def code_switches(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """docs with spans: the text's words (runs of letters, counted from 0) as runs of one language, in order."""
+    held = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("array<struct<first: long, words: long, lang: string>>")
+    def label(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for column in batches:
+            texts = [t or "" for t in column]
+            found = [held.value.predict(texts[a:b])[2] for a, b in sliced(texts)]
+            yield pd.Series([[{"first": f, "words": n, "lang": held.value.labels[y]} for f, n, y in x] for spans in found for x in spans], dtype=object)
+
+    return docs.withColumn("spans", label.asNondeterministic()(F.col(text)))
 
 
 def op3_language_id(spark, sf_dir: str) -> DataFrame:

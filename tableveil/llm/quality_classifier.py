@@ -9,7 +9,8 @@ blocks, and the `k` nearest vote with their label, weighted by similarity.
 Defined cases: null and empty texts have no terms, are equally near to every labelled text and so score the sample's
 share of label 1; without labelled rows every text scores 0.5; labels with a null id or quality are left out; rows are
 scored one by one, so repeated rows and null ids get their own result; an empty table gives an empty result; extra
-columns stay, and results take their names over clashing ones.
+columns stay, and results take their names over clashing ones; neighbours that tie with the last of the k vote as well;
+the terms of a very long text are counted PIECE characters at a time, within which repetition is marked.
 """
 
 from collections.abc import Iterator
@@ -19,13 +20,17 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, fold, sliced, table, whole
+from .common import bounded_sample, fold, pieces, sliced, table, whole
 
 TRIGRAMS, SHAPES = 2048, 128
 TERMS = TRIGRAMS + SHAPES
 #: Labelled texts per label value that vote, singular vectors, neighbours, and the power of a neighbour's cosine.
 EACH, RANK, NEIGHBOURS, POWER = 1500, 64, 25, 4
 BLOCK = 2048
+#: Cosines that differ by no more than this tie.
+TIED = np.float32(1e-6)
+#: Characters of a text whose terms are counted at once.
+PIECE = 1 << 20
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 #: Weight of the marks of repetition and shape against the trigrams.
 SHAPE_WEIGHT = 2.0
@@ -40,6 +45,23 @@ def _repeated(owner: np.ndarray, value: np.ndarray) -> np.ndarray:
 
 def terms(texts: list[str]) -> np.ndarray:
     """Square roots of the relative frequencies of each text's terms, trigrams and shapes each on their own."""
+    grams, shapes, words = (np.zeros((len(texts), n)) for n in (TRIGRAMS, SHAPES, 1))
+    owner, parts = [], []
+    for i, t in enumerate(texts):
+        cut = [t] if len(t) <= PIECE else pieces(t, PIECE, lambda c: not c.isspace())
+        owner += [i] * len(cut)
+        parts += cut
+    for a, b in sliced(parts):
+        for into, counted in zip((grams, shapes, words), _counts(parts[a:b]), strict=True):
+            np.add.at(into, owner[a:b], counted)
+    shapes /= np.maximum(words, 1)
+    shapes[:, 35] = np.log2(np.maximum(words[:, 0], 1)) / 20
+    total = np.maximum(grams.sum(axis=1, keepdims=True), 1)
+    return np.concatenate([np.sqrt(grams / total), SHAPE_WEIGHT * np.sqrt(shapes)], axis=1).astype(np.float32)
+
+
+def _counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """How often each text has each trigram and each shape, and its words."""
     n_docs = len(texts)
     codes = np.frombuffer(("\n" + "\n".join(texts) + "\n").encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
     begins = np.concatenate([[1], 1 + np.cumsum([len(t) + 1 for t in texts])]) if n_docs else np.array([1])
@@ -49,7 +71,7 @@ def terms(texts: list[str]) -> np.ndarray:
     blank = (codes <= 13) & (codes >= 9) | (codes == 32)
     starts = np.flatnonzero(~blank[1:] & blank[:-1]) + 1
     ends = np.flatnonzero(blank[1:] & ~blank[:-1]) + 1
-    shapes = np.zeros((n_docs, SHAPES))
+    shapes, n = np.zeros((n_docs, SHAPES)), np.zeros((n_docs, 1))
     if len(starts):
         of, length = doc[starts - 1], ends - starts
         power = np.cumprod(np.full(int(length.max()) + 1, _MULT))
@@ -74,11 +96,8 @@ def terms(texts: list[str]) -> np.ndarray:
         shapes += np.bincount(of * SHAPES + np.minimum(length, 24), minlength=n_docs * SHAPES).reshape(n_docs, SHAPES)  # 1 to 24: length
         for at, hit in marks:
             shapes[:, at] = np.bincount(of[hit], minlength=n_docs)
-        n = np.maximum(np.bincount(of, minlength=n_docs), 1)
-        shapes /= n[:, None]
-        shapes[:, 35] = np.log2(n) / 20
-    total = np.maximum(grams.sum(axis=1, keepdims=True), 1)
-    return np.concatenate([np.sqrt(grams / total), SHAPE_WEIGHT * np.sqrt(shapes)], axis=1).astype(np.float32)
+        n[:, 0] = np.bincount(of, minlength=n_docs)
+    return grams, shapes, n
 
 
 class Voters:
@@ -112,9 +131,9 @@ class Voters:
         out = np.full(len(texts), prior)
         for at in range(0, len(texts), BLOCK):
             near = mine[at : at + BLOCK] @ self.vectors.T
-            best = np.argpartition(-near, k - 1, axis=1)[:, :k]
-            weight = np.maximum(np.take_along_axis(near, best, axis=1), 0) ** POWER + 1e-9
-            out[at : at + BLOCK] = (weight * self.labels[best]).sum(axis=1) / weight.sum(axis=1)
+            last = np.partition(near, -k, axis=1)[:, [-k]]
+            weight = np.where(near >= last - TIED, np.maximum(near, 0) ** POWER + np.float32(1e-9), 0)
+            out[at : at + BLOCK] = weight @ self.labels / weight.sum(axis=1)
         out[empty] = prior
         return np.clip(out, 0, 1)
 

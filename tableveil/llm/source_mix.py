@@ -7,12 +7,15 @@ blocks are permuted and the left half of the shards takes its share, which draws
 multivariate hypergeometric distribution, and the right half takes the rest. Within a shard documents are put in a
 random order. Nothing depends on how the input is partitioned, so reruns agree.
 
-Blocks are planned in number (`blocks` in all, whatever the input's size), so the plan is a small table; only
-documents' sizes are shuffled, never texts.
+Blocks are planned in number (`blocks` in all, whatever the input's size), so the plan is a small table. The one block of
+each source in which its quota ends is divided the same way, by LEVELS more hashes into SPLIT parts each, of which one is
+cut in turn; so no task orders more than a source's share of 1 / (2048 * 32 * 32), whatever the source's size. Texts are
+shuffled once, by `emit`, which puts the drawn documents of a shard together in random order.
 
 Defined cases: a null text has size 0; a null source is a source, the last one; null ids and repeated rows take part
 like any other row (repeated rows fall into one block); sources without words have target 0; an empty table gives an
-empty result; extra columns are left out.
+empty result; extra columns are left out, or carried to `emit` under their own names; documents that tie in the order of
+a cut part are taken by id, then size; a very long text is one row and taken by its size alone.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -23,6 +26,8 @@ from .common import blank_words, stored, table, whole
 #: Weights in the order of the sources, repeating; share of all words that the mix takes; most passes over a source.
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2
 SHARDS, BLOCKS = 32, 2048
+#: Levels of parts inside a cut block, and parts of a level.
+LEVELS, SPLIT = 2, 32
 
 
 def sizes(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -5,11 +5,16 @@ symbols, and in every round each sequence merges all places of its own lowest-ra
 survives is counted and added up per text. The vocabulary file is named by a parameter and read on every
 executor from its installed place.
 
+A pre-token over LONG bytes (a text without blanks, say) is merged on its own with linked neighbours: still all places of
+the lowest rank at once, but each round touches only those places, not the whole array.
+
 Defined cases: a null text counts as empty and has 0 tokens; the vocabulary's special strings inside a text
 are one token each; repeated rows and rows with a null id are counted like any other; an empty table gives an
-empty result; all columns of the input are kept, and the counts take their names over clashing ones.
+empty result; all columns of the input are kept, and the counts take their names over clashing ones; a very long text is
+cut into pre-tokens CHUNK characters at a time; pairs of equal rank that touch merge from the left, as in the library.
 """
 
+import heapq
 import json
 from collections.abc import Iterator
 from functools import lru_cache
@@ -27,6 +32,8 @@ from .common import table, whole
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Distinct pre-tokens whose counts a worker remembers before it starts anew.
 REMEMBERED = 400_000
+#: Bytes of a pre-token that is merged on its own, and that is not remembered.
+LONG = 2048
 #: Characters that are cut into pre-tokens at a time.
 CHUNK = 1 << 20
 
@@ -58,6 +65,13 @@ class Merges:
 
     def count(self, pieces: list[bytes]) -> np.ndarray:
         """Surviving symbols of each piece."""
+        long = [i for i, p in enumerate(pieces) if len(p) > LONG]
+        if long:
+            out = np.zeros(len(pieces), np.int64)
+            out[long] = [self.count_long(pieces[i]) for i in long]
+            short = [i for i, p in enumerate(pieces) if len(p) <= LONG]
+            out[short] = self.count([pieces[i] for i in short])
+            return out
         lengths = np.array([len(p) for p in pieces], np.int64)
         out = lengths.copy()
         symbols = self.first[np.frombuffer(b"".join(pieces), np.uint8)]
@@ -86,6 +100,47 @@ class Merges:
             rank[changed] = self.rank_at(symbols, owner, changed)
         return out
 
+    def count_long(self, piece: bytes) -> int:
+        """Surviving symbols of one long piece: rounds by rank over linked places."""
+        symbols = self.first[np.frombuffer(piece, np.uint8)]
+        n = left = len(symbols)
+        after, before = np.arange(1, n + 1), np.arange(-1, n)  # place n is the end
+        rank = np.append(self.rank(symbols[:-1], symbols[1:]), self.none)
+        live, due, ranks = np.ones(n, bool), {}, []
+
+        def put(places: np.ndarray) -> None:
+            places = places[rank[places] < self.none]
+            places = places[np.argsort(rank[places], kind="stable")]
+            for some in np.split(places, np.flatnonzero(np.diff(rank[places])) + 1) if len(places) else ():
+                r = int(rank[some[0]])
+                if r not in due:
+                    due[r] = []
+                    heapq.heappush(ranks, r)
+                due[r].append(some)
+
+        put(np.arange(n))
+        while ranks:
+            lowest = heapq.heappop(ranks)
+            at = np.unique(np.concatenate(due.pop(lowest)))
+            at = at[live[at] & (rank[at] == lowest)]
+            if not len(at):
+                continue
+            fresh = np.append(True, after[at[:-1]] != at[1:])
+            run = np.maximum.accumulate(np.where(fresh, np.arange(len(at)), 0))
+            at = at[(np.arange(len(at)) - run) % 2 == 0]
+            gone = after[at]
+            symbols[at] = self.made[lowest]
+            live[gone] = False
+            after[at] = after[gone]
+            before[after[at]] = at
+            left -= len(at)
+            changed = np.unique(np.concatenate([at, before[at]]))
+            changed = changed[(changed >= 0)]
+            ends = after[changed] >= n
+            rank[changed] = np.where(ends, self.none, self.rank(symbols[changed], symbols[np.minimum(after[changed], n - 1)]))
+            put(changed)
+        return left
+
     def rank_at(self, symbols: np.ndarray, owner: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Rank of the pair that starts at each of the places."""
         after = np.minimum(at + 1, len(symbols) - 1)
@@ -110,6 +165,7 @@ class Counter:
     def __init__(self, path: str):
         self.merges = _loaded(path)
         self.known: dict[str, int] = {}
+        self.long = False  # whether a long pre-token has to be forgotten
         self.cut = regex.compile(PRE_TOKEN)
         self.special = regex.compile("|".join(map(regex.escape, self.merges.specials))) if self.merges.specials else None
 
@@ -136,12 +192,13 @@ class Counter:
         new = [p for p in dict.fromkeys(pieces) if p not in known]
         counts = dict(zip(new, self.merges.count([p.encode() for p in new]).tolist(), strict=True))
         total = sum(counts[p] if p in counts else known[p] for p in pieces)
-        known.update(counts)
+        known.update((p, c) for p, c in counts.items() if len(p) <= LONG)
         return total
 
     def learn(self, pieces: set[str]) -> None:
         new = [p for p in pieces if p not in self.known]
         if new:
+            self.long = any(len(p) > LONG for p in new)
             self.known.update(zip(new, self.merges.count([p.encode() for p in new]).tolist(), strict=True))
 
     def count(self, texts: list[str]) -> list[int]:
@@ -149,7 +206,6 @@ class Counter:
         for text in texts:
             if len(self.known) > REMEMBERED:
                 self._flush(held, out)
-                self.known.clear()
             special = len(self.special.findall(text)) if self.special else 0
             if len(text) > CHUNK:
                 self._flush(held, out)
@@ -168,6 +224,11 @@ class Counter:
         known = self.known
         out.extend(special + sum(map(known.__getitem__, p)) for special, p in held)
         held.clear()
+        if len(known) > REMEMBERED:
+            known.clear()
+        for p in [p for p in known if len(p) > LONG] if self.long else ():
+            del known[p]
+        self.long = False
 
 
 def count_tokens(docs: DataFrame, path: str, text: str = "text", limit: int = 512) -> DataFrame:

@@ -70,6 +70,25 @@ def test_counts_equal_the_library(spark, sf, corpus, vocabulary):
     assert token_counts.Counter(vocabulary).count(texts) == [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_long_pre_tokens_equal_the_library(vocabulary, monkeypatch):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(vocabulary)
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("abcdefgh") for _ in range(300_000)), "ab" * 5000, "a" * 9001, "é日" * 3000, "the" * 4000, "=" * 5000, " " * 6000 + "x"]
+    assert token_counts.Counter(vocabulary).count(texts) == [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
+    monkeypatch.setattr(token_counts, "LONG", 8)  # every longer word goes this way
+    words = [" ".join("".join(rng.choice("abcdeé'1") for _ in range(rng.randrange(1, 40))) for _ in range(40)) for _ in range(50)]
+    assert token_counts.Counter(vocabulary).count(words) == [len(e.ids) for e in library.encode_batch(words, add_special_tokens=False)]
+
+
+def test_counts_of_a_very_long_text(vocabulary):
+    from tokenizers import Tokenizer
+
+    text = "some words, and Ünïcode 日本語 lines\n" * 150_000
+    assert token_counts.Counter(vocabulary).count([text, "x"]) == [len(Tokenizer.from_file(vocabulary).encode(text, add_special_tokens=False).ids), 1]
+
+
 def test_counts_of_edge_cases(make, vocabulary):
     df = make([(*r, "clash") for r in EDGES], DOCS + ", n_tokens string")
     got = token_counts.count_tokens(df, vocabulary).collect()
@@ -179,6 +198,32 @@ def test_language_edge_cases(make, corpus):
     assert language_id.reject(make([], DOCS)).count() == 0
 
 
+def test_words_of_code_switched_texts(make, corpus):
+    model = language_id.fit(corpus, each=40)
+    clean = {r["lang"]: r["text"] for r in corpus.where("length(text) between 400 and 900 and lang in ('en', 'de') and text not like '%#%' and text not like '%$%'").orderBy("doc_id").collect()}
+    one, two = clean["en"], clean["de"]
+    words = len(language_id.Words([one]).starts)
+    spans = language_id.code_switches(make([(1, one + "\n" + two, None, None, 3), (2, None, None, None, 3)], DOCS + ", spans int"), model).orderBy("doc_id").collect()
+    found = spans[0]["spans"]
+    labels = [s["lang"] for s in found for _ in range(s["words"])]
+    assert spans[1]["spans"] == [] and [s["first"] for s in found] == [sum(x["words"] for x in found[:i]) for i in range(len(found))]
+    assert len(labels) == words + len(language_id.Words([two]).starts)
+    assert sum(x == "en" for x in labels[:words]) > 0.9 * words and sum(x == "de" for x in labels[words:]) > 0.9 * (len(labels) - words)
+
+
+def test_a_very_long_text_is_labelled_in_sequences(corpus, monkeypatch):
+    model = language_id.fit(corpus, each=20)
+    texts = [r["text"] for r in corpus.where("lang = 'en' and length(text) > 1000").orderBy("doc_id").limit(3).collect()]
+    whole = model.predict(texts)
+    monkeypatch.setattr(language_id, "SEQUENCE", 300)
+    parts = model.predict(texts)
+    assert parts[0] == whole[0] and np.allclose(parts[1], whole[1], atol=0.05)
+    assert [sum(n for _, n, _ in s) for s in parts[2]] == [sum(n for _, n, _ in s) for s in whole[2]]
+    monkeypatch.setattr(language_id, "SEQUENCE", 1 << 16)
+    names, scores, _ = model.predict([texts[0] * (5_000_000 // len(texts[0])), "q" * 300_000, texts[0]])
+    assert names[0] == names[2] and abs(scores[0] - scores[2]) < 0.05 and names[1] != "und"
+
+
 def test_texts_stay_where_no_language_is_labelled(make):
     rows = [(1, "some words", None, "a"), (2, "日本語", None, "a"), (3, "12 34 !", None, "a"), (4, None, None, "a"), (5, "", None, "a")]
     assert {r["doc_id"] for r in language_id.reject(make(rows, DOCS)).collect()} == {1, 2}
@@ -585,6 +630,17 @@ def test_votes_equal_brute_force():
         assert abs(score - sum(w * y for w, (_, y) in zip(weights, near, strict=True)) / sum(weights)) < 1e-3
 
 
+def test_ties_all_vote_and_long_texts_are_counted_in_pieces(monkeypatch):
+    voters = quality_classifier.Voters(["ab cd"] * 6 + ["### xx"], [1, 0, 1, 0, 0, 0, 1], rank=4)
+    assert math.isclose(voters.score(["ab cd"], k=2)[0], 2 / 6, abs_tol=1e-3)
+    text = "some words stand here and there, line by line\n" * 60
+    whole = quality_classifier.terms([text, "x"])
+    monkeypatch.setattr(quality_classifier, "PIECE", 500)
+    assert np.allclose(whole, quality_classifier.terms([text, "x"]), atol=0.05)
+    monkeypatch.setattr(quality_classifier, "PIECE", 1 << 20)
+    assert quality_classifier.terms([text * 2000]).shape == (1, quality_classifier.TERMS)
+
+
 def test_quality_edge_cases(make):
     labels = make([(5, 1), (7, 0), (7, 1), (None, 1), (8, None), (6, 0)], "doc_id long, quality int")
     docs = make([(*r, "x") for r in EDGES], DOCS + ", score string")
