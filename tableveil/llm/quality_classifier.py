@@ -90,8 +90,8 @@ def _counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             run = (word[:-2] * _MULT ^ word[1:-1]) * _MULT ^ word[2:]
             three[:-2] = _repeated(of[:-2], run)
         marks.append((32, three))
-        first = np.zeros(len(word), bool)  # words that begin a line
-        first[:] = np.maximum.reduceat((codes == 10).astype(np.int8), np.append(0, ends[:-1]))[: len(word)] > 0
+        lines = np.append(0, np.cumsum(codes == 10))
+        first = lines[starts] > lines[np.append(0, ends[:-1])]  # words that begin a line
         marks += [(33, first), (34, first & three)]
         shapes += np.bincount(of * SHAPES + np.minimum(length, 24), minlength=n_docs * SHAPES).reshape(n_docs, SHAPES)  # 1 to 24: length
         for at, hit in marks:
