@@ -1,7 +1,14 @@
 """Corpus cleaning: language, quality, near copies, benchmark passages, source mix.
 
-Each stage takes what its predecessor kept, written as Parquet and read again. The last stage returns the mix: the
-documents' columns with each document's words, its source's target, the words taken and the shards of its draws.
+Each stage takes what its predecessor kept, written as Parquet and read again. All but the last return the columns of
+documents. The last stage returns the mixed corpus: one row per draw of a document (a source may be drawn twice, so may
+its documents), with the document's columns, its words, its source's size and target, and the draw's number, shard and
+words taken.
+
+Defined cases: null ids, texts, languages and sources pass as the stages' docstrings say (a text without letters goes at
+the first stage); repeated rows are one row after the near-copy stage; a very long text is one row throughout; ties are
+broken by each stage as it says; an empty table gives an empty result; extra columns are carried through all stages, and
+those named like a column that the last stage adds give way to it.
 """
 
 from __future__ import annotations
@@ -30,10 +37,8 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix of all that is left: one row per document, with the shard of each draw (-1: not drawn)."""
-    mixed = source_mix.mix(docs)
-    shards = (F.coalesce(f"shard_{d}", F.lit(-1)).alias(f"shard_{d}") for d in (1, 2))
-    return mixed.select("doc_id", "source", "size", "source_size", "target", "taken", *shards)
+    """The mixed corpus, one row per draw: shards together, each shuffled."""
+    return source_mix.emit(source_mix.mix(docs, carry=True))
 
 
 STAGES = [("language_id", language), ("quality_rules", quality), ("near_dedup", near_copies), ("decontaminate", benchmark), ("source_mix", mix)]

@@ -67,7 +67,10 @@ def _counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     begins = np.concatenate([[1], 1 + np.cumsum([len(t) + 1 for t in texts])]) if n_docs else np.array([1])
     doc = np.repeat(np.arange(n_docs), np.diff(begins))  # of each character from 1 on
     h = (((codes[:-2] * _MULT) ^ codes[1:-1]) * _MULT ^ codes[2:]) * _MULT
-    grams = np.bincount(doc[: len(h)] * TRIGRAMS + (h >> np.uint64(53)).astype(np.int64), minlength=n_docs * TRIGRAMS).reshape(n_docs, TRIGRAMS)
+    own = np.ones(len(h) + 2, bool)  # a trigram belongs to its middle character; one around a line end between texts to none
+    own[begins[1:] - 2] = False
+    own = own[: len(h)]
+    grams = np.bincount(doc[: len(h)][own] * TRIGRAMS + (h[own] >> np.uint64(53)).astype(np.int64), minlength=n_docs * TRIGRAMS).reshape(n_docs, TRIGRAMS)
     blank = (codes <= 13) & (codes >= 9) | (codes == 32)
     starts = np.flatnonzero(~blank[1:] & blank[:-1]) + 1
     ends = np.flatnonzero(blank[1:] & ~blank[:-1]) + 1

@@ -31,7 +31,8 @@ LEVELS, SPLIT = 2, 32
 
 
 def sizes(docs: DataFrame, text: str = "text") -> DataFrame:
-    return docs.select("doc_id", "source", F.size(blank_words(whole(text))).cast("long").alias("size"))
+    """doc_id, source, size and, as one struct, the document itself."""
+    return docs.select("doc_id", "source", F.size(blank_words(whole(text))).cast("long").alias("size"), F.struct(*docs.columns).alias("__row"))
 
 
 def targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
@@ -95,34 +96,86 @@ def plan(placed: DataFrame, shards: int = SHARDS) -> DataFrame:
     return by.select("source", "block", "words", "passes", "part", *(f"shard_{d}" for d in range(1, MOST + 1)))
 
 
-def draw(placed: DataFrame, planned: DataFrame) -> DataFrame:
-    """placed with taken (words, repeats counted) and the shard of each draw."""
+def _parts(cut: DataFrame) -> DataFrame:
+    """For documents (source, block, place, size) of cut blocks: where each part of each level stands against the quota.
+
+    One row per (source, block, path): the words before the part within its parent, and the words it has. A path is the
+    first digits of `place`, one per level in base SPLIT, so parts follow the order of the documents.
+    """
+    out = None
+    for level in range(1, LEVELS + 1):
+        path = _path(level)
+        by = cut.groupBy("source", "block", path.alias("path")).agg(F.sum("size").alias("words"))
+        before = Window.partitionBy("source", "block", F.floor(F.col("path") / SPLIT)).orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
+        by = by.select(F.lit(level).alias("level"), "source", "block", "path", "words", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("before"))
+        out = by if out is None else out.unionByName(by)
+    return out
+
+
+def _path(level: int) -> Column:
+    """The part of a level that a document lies in: the leading bits of its place."""
+    bits = (SPLIT - 1).bit_length() * level
+    return F.shiftright(F.conv(F.substring("place", 1, 8), 16, 10).cast("long"), 32 - bits)
+
+
+def draw(placed: DataFrame, planned: DataFrame, parts: DataFrame) -> DataFrame:
+    """placed with taken (words, repeats counted), last (those of the last pass) and the shard of each draw."""
     planned = planned.withColumnsRenamed({"source": "__source", "block": "__block"})
     rows = placed.join(planned, F.col("source").eqNullSafe(F.col("__source")) & (F.col("block") == F.col("__block"))).drop("__source", "__block")
     inside = (F.col("part") > 0) & (F.col("part") < F.col("words"))
     settled = rows.where(~inside).withColumn("last", F.when(F.col("part") > 0, F.col("size")).otherwise(0).cast("long"))
-    # One block of each source is cut inside: its documents are taken in order up to the quota's last word.
+    # One block of each source is cut inside. Level by level a part is taken whole, left, or cut: then it goes on with
+    # what is left of the quota. Only the documents of the last level's cut part are put in order.
+    cut = rows.where(inside).withColumn("quota", F.col("part"))
+    for level in range(1, LEVELS + 1):
+        names = {"source": "__source", "block": "__block", "path": "__path", "words": "__words", "before": "__before"}
+        held = parts.where(F.col("level") == level).drop("level").withColumnsRenamed(names)
+        cut = cut.join(held, F.col("source").eqNullSafe(F.col("__source")) & (F.col("block") == F.col("__block")) & (_path(level) == F.col("__path")))
+        cut = cut.withColumn("quota", F.greatest(F.lit(0), F.least("__words", F.col("quota") - F.col("__before"))).cast("long"))
+        whole_part = F.col("quota") >= F.col("__words")
+        settled = settled.unionByName(cut.where(whole_part | (F.col("quota") == 0)).withColumn("last", F.when(whole_part, F.col("size")).otherwise(0).cast("long")).drop("quota", *names.values()))
+        cut = cut.where(~whole_part & (F.col("quota") > 0)).drop(*names.values())
     before = Window.partitionBy("source", "block").orderBy("place", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    cut = F.greatest(F.lit(0), F.least("size", F.col("part") - F.coalesce(F.sum("size").over(before), F.lit(0)))).cast("long")
-    rows = settled.unionByName(rows.where(inside).withColumn("last", cut))
-    shards = {f"shard_{d}": F.when(F.when(F.lit(d) <= F.col("passes"), F.col("size")).otherwise(F.col("last")) > 0, F.col(f"shard_{d}")) for d in range(1, MOST + 1)}
+    taken = F.greatest(F.lit(0), F.least("size", F.col("quota") - F.coalesce(F.sum("size").over(before), F.lit(0)))).cast("long")
+    rows = settled.unionByName(cut.withColumn("last", taken).drop("quota"))
+    shards = {f"shard_{d}": F.when(_of_draw(d) > 0, F.col(f"shard_{d}")) for d in range(1, MOST + 1)}
     return rows.withColumn("taken", F.col("passes") * F.col("size") + F.col("last")).withColumns(shards)
 
 
-def mix(docs: DataFrame, text: str = "text", shards: int = SHARDS, blocks: int = BLOCKS) -> DataFrame:
-    """One row per document: size, source_size, target, taken, and the shards of its first and second draw."""
-    sized = stored(sizes(docs, text), "op5-sizes")
+def _of_draw(d: int) -> Column:
+    """Words that a draw takes of its document."""
+    return F.when(F.lit(d) <= F.col("passes"), F.col("size")).otherwise(F.when(F.lit(d) == F.col("passes") + 1, F.col("last")).otherwise(0))
+
+
+def mix(docs: DataFrame, text: str = "text", shards: int = SHARDS, blocks: int = BLOCKS, carry: bool = False) -> DataFrame:
+    """One row per document: size, source_size, target, taken, the shards of its draws; carry: also the document, for `emit`."""
+    rows = sizes(docs, text)
+    sized = stored(rows.drop("__row"), "op5-sizes")
     goals = stored(targets(sized).coalesce(1), "op5-targets")
     placed = block_of(sized, goals, blocks)
     planned = stored(plan(placed, shards).coalesce(1), "op5-plan")
-    return draw(placed, planned).select("doc_id", "source", "size", "source_size", "target", "taken", "shard_1", "shard_2", "place")
+    cut = planned.where("part > 0 and part < words").select(F.col("source").alias("__source"), F.col("block").alias("__block"))
+    inside = placed.join(cut, F.col("source").eqNullSafe(F.col("__source")) & (F.col("block") == F.col("__block")), "left_semi")
+    parts = stored(_parts(inside.select("source", "block", "place", "size")), "op5-parts")
+    drawn = draw(block_of(rows, goals, blocks) if carry else placed, planned, parts)
+    names = ("doc_id", "source", "size", "source_size", "target", "taken", "passes", "last", *(f"shard_{d}" for d in range(1, MOST + 1)), "place")
+    return drawn.select(*names, *(["__row"] if carry else []))
 
 
 def emit(mixed: DataFrame) -> DataFrame:
-    """The mix's rows, one per draw, shards together and locally shuffled."""
-    draws = F.array(*(F.struct(F.lit(d).alias("draw"), F.col(f"shard_{d}").alias("shard")) for d in range(1, MOST + 1)))
-    rows = mixed.select("doc_id", "source", "place", F.explode(F.filter(draws, lambda x: x["shard"].isNotNull())).alias("d")).select("doc_id", "source", "place", "d.*")
-    return rows.repartition("shard").sortWithinPartitions("shard", _key("local", F.col("place"), F.col("draw"))).drop("place")
+    """The mix itself (of `mix` with carry), one row per draw: the documents' columns, then size, source_size, target, draw, shard, and taken,
+    the draw's words. Shards stand together, one after another, each in a random order of its own.
+
+    Only the last document of a source's quota is taken in part; its text stays whole, and taken says how far it counts.
+    """
+    draws = F.array(*(F.struct(F.lit(d).alias("draw"), F.col(f"shard_{d}").alias("shard"), _of_draw(d).cast("long").alias("taken")) for d in range(1, MOST + 1)))
+    rows = mixed.select("__row", "size", "source_size", "target", "place", F.explode(F.filter(draws, lambda x: x["shard"].isNotNull())).alias("d"))
+    own = ("size", "source_size", "target", "draw", "shard", "taken")
+    rows = rows.withColumns({"__shard": F.col("d.shard"), "__local": _key("local", F.col("place"), F.col("d.draw"))})
+    # Ranges of (shard, random key) are even, so a shard is as many tasks as it is large.
+    rows = rows.repartitionByRange("__shard", "__local").sortWithinPartitions("__shard", "__local")
+    names = [c for c in rows.schema["__row"].dataType.names if c not in own]
+    return rows.select(*(F.col(f"__row.`{c}`") for c in names), *(F.col(c if c in ("size", "source_size", "target") else f"d.{c}") for c in own))
 
 
 def op5_source_mix(spark, sf_dir: str) -> DataFrame:

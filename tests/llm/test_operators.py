@@ -360,7 +360,8 @@ def test_mix_meets_targets(make):
     for group in by.values():
         assert abs(sum(r["taken"] for r in group) - group[0]["target"]) <= 1 and group[0]["target"] <= 2 * group[0]["source_size"] + 1e-9
     assert sorted(map(str, got)) == sorted(map(str, source_mix.mix(docs.repartition(7), shards=8, blocks=64).collect()))
-    emitted = source_mix.emit(source_mix.mix(docs, shards=8, blocks=64)).collect()
+    emitted = source_mix.emit(source_mix.mix(docs.withColumn("shard", F.lit("clash")), shards=8, blocks=64, carry=True)).collect()
+    assert sum(r["taken"] for r in emitted) == sum(r["taken"] for r in got) and {r["text"] for r in emitted} <= {r[1] for r in rows} and [r["shard"] for r in emitted] == sorted(r["shard"] for r in emitted)
     sizes = collections.Counter(r["shard"] for r in emitted)
     assert set(sizes) == set(range(8)) and max(sizes.values()) < 2 * min(sizes.values())
 
