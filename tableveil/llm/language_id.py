@@ -28,8 +28,8 @@ from .common import bounded_sample, fold, pieces, sliced, table
 
 BUCKETS = 1 << 16
 ORDERS = (2, 3, 4)
-#: Characters of one sequence of words.
-SEQUENCE = 1 << 16
+#: Characters of one sequence of words, and of the texts that are labelled at once.
+SEQUENCE, SLICE = 1 << 16, 1 << 20
 #: Labelled texts that the model is fitted on, per language.
 SAMPLE = 120
 ROUNDS = 30
@@ -157,7 +157,7 @@ class Model:
         # Sequences of like length share their steps; the parts of a text keep their order when they are added up.
         order = sorted(range(len(parts)), key=lambda k: -len(parts[k]))
         labels: list = [None] * len(parts)
-        for a, b in sliced([parts[k] for k in order]):
+        for a, b in sliced([parts[k] for k in order], SLICE):
             some = order[a:b]
             words = Words([parts[k] for k in some])
             counts = np.diff(words.doc_at)
@@ -263,8 +263,12 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for column in batches:
             texts = [t or "" for t in column]
-            found = [held.value.predict(texts[a:b]) for a, b in sliced(texts)]
-            yield pd.DataFrame({"lang_pred": [x for n, _, _ in found for x in n], "score": np.concatenate([s for _, s, _ in found]) if found else [], "n_spans": [len(x) for _, _, spans in found for x in spans]})
+            order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))  # texts of like length share their steps
+            out = pd.DataFrame({"lang_pred": "und", "score": 0.0, "n_spans": 0}, index=range(len(texts)))
+            for a, b in sliced([texts[i] for i in order], SLICE):
+                names, scores, spans = held.value.predict([texts[i] for i in order[a:b]])
+                out.iloc[order[a:b]] = pd.DataFrame({"lang_pred": names, "score": scores, "n_spans": [len(x) for x in spans]})
+            yield out
 
     docs = docs.withColumn("__found", predict.asNondeterministic()(F.col(text)))
     return docs.withColumns({c: F.col(f"__found.{c}") for c in ("lang_pred", "score", "n_spans")}).drop("__found")

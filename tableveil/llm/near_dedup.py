@@ -4,8 +4,8 @@ A text's set is its distinct word shingles. Every permutation of the shingle has
 maximum, so half as many permutations are evaluated for a signature of the same length; the values are banded.
 
 1. Texts with equal sets form a class, known by a digest of the set; the smallest id stands for it from there on.
-2. Bands are joined to their bucket's smallest member (a star, never all pairs), and the stars' connected components
-   are clusters: two texts that share a band are in one cluster. The banding misses a pair at the threshold with a
+2. Bands are joined to their bucket's smallest member (a star, never all pairs), a text's stars are joined at the
+   smallest of these, and the connected components are clusters: two texts that share a band are in one cluster. The banding misses a pair at the threshold with a
    probability below 1e-8.
 3. Inside a cluster all links between different components are found exactly on the full sets, by an inverted list of
    shingles; a cluster over `cluster_chars` is dealt out as pairs of chunks, so that no task holds it whole.
@@ -201,7 +201,11 @@ def components(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     banded = classes.select("rep", F.explode("bands").alias("key"))
     leaders = banded.groupBy("key").agg(F.min("rep").alias("leader"), F.count("*").alias("n")).where("n > 1").drop("n")
     # Both joins are by shuffle at every size: the smaller sides grow with the input, and Spark splits hot keys of either.
-    stars = banded.join(leaders.hint("merge"), "key").where("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
+    met = banded.join(leaders.hint("merge"), "key").groupBy("rep").agg(F.collect_set("leader").alias("leaders"))
+    # A text hangs on the first of its leaders (one per band at most), and these on one another: near copies share their
+    # leaders, so a large group is about one edge per text and a few among its leaders.
+    first = F.array_min("leaders")
+    stars = met.select(first.alias("a"), F.explode(F.array_union("leaders", F.array("rep"))).alias("b")).where("a <> b").distinct()
     clusters = connected(stars, "op6-stars")
     # A node's text: of rows that share an id, each representative's set is that of one of its rows.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")

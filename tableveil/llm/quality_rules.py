@@ -157,13 +157,18 @@ def op7_quality_rules(spark, sf_dir: str) -> DataFrame:
 
 
 def reject(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The kept rows of docs, with the columns of docs."""
-    rows = docs.select(F.struct("*").alias("__row"), "doc_id", "lang", "text")
-    # Written once: the labelled rows set the cutoffs and all rows are judged on the same counts, and no filter is
-    # pushed into the expressions that make them.
-    measured = stored(measure(rows).drop("text"), "op7-measured")
-    cutoffs = stored(calibrate(measured.drop("__row"), labels).coalesce(1), "op7-cutoffs")
-    return judge(measured, cutoffs).where("kept").select("__row.*")
+    """The kept rows of docs, with the columns of docs.
+
+    Only labelled texts are counted before the cutoffs are known; then one pass counts and judges all, and no text is
+    stored or shuffled.
+    """
+    known = labels.where("doc_id is not null and quality is not null").select("doc_id").distinct()
+    measured = stored(measure(docs.select("doc_id", "lang", "text").join(known, "doc_id", "left_semi")).drop("text"), "op7-measured")
+    cutoffs = stored(calibrate(measured, labels).coalesce(1), "op7-cutoffs")
+    rows = docs.select(F.struct("*").alias("__row"), "lang", "text")
+    # A row number that the filter reads as well keeps the filter above the counts, so that they are made once.
+    rows = measure(rows).withColumn("__number", F.monotonically_increasing_id())
+    return judge(rows, cutoffs).where("kept and __number >= 0").select("__row.*")
 
 
 def _sql() -> str:
