@@ -3,17 +3,19 @@
 A text's set is its distinct word shingles. Every permutation of the shingle hashes keeps both its minimum and its
 maximum, so half as many permutations are evaluated for a signature of the same length; the values are banded.
 
-1. Texts with equal sets form a class, known by a digest of the set; the smallest id stands for it from there on.
+1. Texts with equal sets form a class, known by the SHA-256 of the full set in order; the smallest id stands for it
+   from there on.
 2. Bands are joined to their bucket's smallest member (a star, never all pairs), a text's stars are joined at the
-   smallest of these, and the connected components are clusters: two texts that share a band are in one cluster. The banding misses a pair at the threshold with a
-   probability below 1e-8.
+   smallest of these, and the connected components are clusters: two texts that share a band are in one cluster. The
+   banding follows the threshold and misses a pair at it with a probability below 1e-4 (1e-8 at 0.85).
 3. Inside a cluster all links between different components are found exactly on the full sets, by an inverted list of
    shingles; a cluster over `cluster_chars` is dealt out as pairs of chunks, so that no task holds it whole.
 4. Components of the confirmed links give the result; copies follow the text that stands for them.
 
 Defined cases: texts without words and rows with a null id are linked with nothing (a null id has a null component and
 is kept); rows that share an id are one node, each with its own n_shingles; an empty table gives an empty result; extra
-columns are left out by `components` and kept by `reject`.
+columns are left out by `components` and kept by `reject`; a very long text is one set in one task, and of texts that
+tie the smallest id stands for the others.
 """
 
 import hashlib
@@ -24,19 +26,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from xxhash import xxh3_128_digest
+from xxhash import xxh3_64_intdigest
 
 from .common import LOWER, UPPER, stored, table
 
-SHINGLE, THRESHOLD = 3, 85
-#: Bands of values: at a similarity of 0.85 a pair is missed with probability (1 - 0.85**8) ** 60 < 1e-8.
-BANDS, ROWS = 60, 8
+SHINGLE, THRESHOLD = 5, 80
+#: Values of a signature: the minimum and maximum of half as many permutations.
+VALUES = 480
 #: Characters of a cluster that one task compares at once.
 CLUSTER_CHARS = 6 << 20
 _LOWERED = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
+def banding(threshold: int) -> tuple[int, int]:
+    """Bands and values in each: the longest bands, of 8 at most, that miss a pair at the threshold below 1e-4."""
+    fitting = (r for r in (8, 6, 5, 4, 3, 2) if (1 - (threshold / 100) ** r) ** (VALUES // r) < 1e-4)
+    rows = next(fitting, 1)
+    return VALUES // rows, rows
+
+
 def words(text: str) -> list[bytes]:
     """Lower-cased words; bytes split at exactly the blanks 09-0D and 20."""
     return text.encode().translate(_LOWERED).split()
@@ -61,7 +70,7 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 class MinMax:
     """Min-max signatures of sets of 64-bit hashes."""
 
-    def __init__(self, bands: int = BANDS, rows: int = ROWS):
+    def __init__(self, bands: int, rows: int):
         rng = np.random.default_rng(2024)
         n = bands * rows // 2
         self.bands, self.rows = bands, rows
@@ -87,20 +96,19 @@ class MinMax:
         return keys.T.astype(np.int64)
 
 
-def _unique_sets(texts: list[str | None]) -> tuple[list[np.ndarray], list[int], list[bytes]]:
+def _unique_sets(texts: list[str | None], size: int) -> tuple[list[np.ndarray], list[int], list[bytes]]:
     """Per text: 64-bit hashes of its distinct shingles, the set's size, and a digest of the set itself."""
     hashes, sizes, digests = [], [], []
     for text in texts:
-        s = shingles(text)
-        both = np.frombuffer(b"".join(map(xxh3_128_digest, s)), np.uint64).reshape(-1, 2)
+        s = shingles(text, size)
         sizes.append(len(s))
-        hashes.append(both[:, 0])
-        # Sums of 128-bit hashes do not depend on the order of a set's members, so nothing is sorted.
-        digests.append(hashlib.blake2b(both.sum(axis=0, dtype=np.uint64).tobytes() + b"%d" % len(s), digest_size=16).digest())
+        hashes.append(np.fromiter(map(xxh3_64_intdigest, s), np.uint64, len(s)))
+        # Words hold no line ends, so the joined set can be taken apart again.
+        digests.append(hashlib.sha256(b"\n".join(sorted(s))).digest())
     return hashes, sizes, digests
 
 
-def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def signatures(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
     """(doc_id, n_shingles, set_key, bands) of every row."""
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
@@ -109,7 +117,7 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFra
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                hashes, sizes, digests = _unique_sets(part.column("text").to_pylist())
+                hashes, sizes, digests = _unique_sets(part.column("text").to_pylist(), size)
                 full = [i for i, n in enumerate(sizes) if n]
                 keys: list = [None] * len(sizes)
                 if full:
@@ -139,12 +147,12 @@ def connected(edges: DataFrame, name: str) -> DataFrame:
             return roots
 
 
-def _links(ids: np.ndarray, texts: list[str], side: np.ndarray, threshold: int) -> list[tuple[int, int]]:
+def _links(ids: np.ndarray, texts: list[str], side: np.ndarray, threshold: int, size: int) -> list[tuple[int, int]]:
     """A spanning forest of the links among texts; side: with two sides (0, 1) only pairs across them count, 2 is both."""
     code: dict[bytes, int] = {}
     sets = []
     for t in texts:
-        sets.append(np.array([code.setdefault(x, len(code)) for x in shingles(t)], np.int64))
+        sets.append(np.array([code.setdefault(x, len(code)) for x in shingles(t, size)], np.int64))
     sizes = np.array([len(s) for s in sets])
     flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
     order = np.argsort(flat, kind="stable")
@@ -171,11 +179,11 @@ def _links(ids: np.ndarray, texts: list[str], side: np.ndarray, threshold: int)
     return out
 
 
-def links(cluster_of: DataFrame, docs: DataFrame, threshold: int = THRESHOLD, most: int = CLUSTER_CHARS) -> DataFrame:
+def links(cluster_of: DataFrame, docs: DataFrame, threshold: int = THRESHOLD, size: int = SHINGLE, most: int = CLUSTER_CHARS) -> DataFrame:
     """Exact links (a, b) that join up each cluster (node, root); nodes are ids of docs, one text each."""
     rows = docs.select("doc_id", "text").join(cluster_of.select(F.col("node").alias("doc_id"), F.col("root").alias("cluster")).hint("merge"), "doc_id")
-    size = rows.groupBy("cluster").agg(F.sum(F.length("text")).alias("chars"))
-    chunks = stored(size.select("cluster", F.ceil(F.col("chars") / most).alias("chunks")).where("chunks > 1"), "op6-large")
+    lengths = rows.groupBy("cluster").agg(F.sum(F.length("text")).alias("chars"))
+    chunks = stored(lengths.select("cluster", F.ceil(F.col("chars") / most).alias("chunks")).where("chunks > 1"), "op6-large")
     rows = rows.join(chunks, "cluster", "left").withColumn("n", F.coalesce("chunks", F.lit(1)))
     rows = rows.withColumn("mine", F.pmod(F.xxhash64("doc_id"), F.col("n")))
     # A large cluster's chunk meets every other one in a group of its own; the usual cluster is one group.
@@ -186,15 +194,18 @@ def links(cluster_of: DataFrame, docs: DataFrame, threshold: int = THRESHOLD, mo
         side = group.column("side").to_numpy()
         if group.column("low")[0] == group.column("high")[0]:
             side = np.full(len(side), 2)
-        found = _links(group.column("doc_id").to_numpy(), group.column("text").to_pylist(), side, threshold) if group.num_rows > 1 else []
+        found = _links(group.column("doc_id").to_numpy(), group.column("text").to_pylist(), side, threshold, size) if group.num_rows > 1 else []
         return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
     return rows.groupBy("cluster", "low", "high").applyInArrow(compare, "a long, b long")
 
 
-def components(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row."""
-    signed = stored(signatures(docs), "op6-signatures")
+def components(docs: DataFrame, threshold: int = THRESHOLD, size: int = SHINGLE) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row.
+
+    Texts are linked when the sets of their shingles of `size` words have a similarity of threshold percent or more.
+    """
+    signed = stored(signatures(docs, size, *banding(threshold)), "op6-signatures")
     usable = signed.where("doc_id is not null and set_key is not null")
     classes = usable.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
     classes = stored(classes, "op6-classes")
@@ -209,7 +220,7 @@ def components(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     clusters = connected(stars, "op6-stars")
     # A node's text: of rows that share an id, each representative's set is that of one of its rows.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    confirmed = links(clusters, texts, threshold)
+    confirmed = links(clusters, texts, threshold, size)
     # Rows of one class are linked by their equal sets; an id in two classes links them.
     members = usable.join(classes.select("set_key", "rep"), "set_key").select("doc_id", "rep").distinct()
     several = members.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a <> b").select("a", "b")
@@ -221,10 +232,10 @@ def components(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
 
 def op6_near_dedup(spark, sf_dir: str) -> DataFrame:
-    return components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return components(table(spark, sf_dir, "documents").select("doc_id", "text"), threshold=85, size=3)
 
 
-def reject(docs: DataFrame) -> DataFrame:
+def reject(docs: DataFrame, threshold: int = THRESHOLD, size: int = SHINGLE) -> DataFrame:
     """One row of each group of near copies: that with the smallest id, once if it is repeated.
 
     Rows are the nodes here, not ids: of an id with two texts, each text has its own group. Rows with a null id and
@@ -233,7 +244,7 @@ def reject(docs: DataFrame) -> DataFrame:
     # Stored with their numbers, so that these are the same on every read.
     rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "op6-rows")
     named = rows.where("doc_id is not null")
-    groups = components(named.select(F.col("__row").alias("doc_id"), "text")).select(F.col("doc_id").alias("__row"), F.col("component_id").alias("__group"))
+    groups = components(named.select(F.col("__row").alias("doc_id"), "text"), threshold, size).select(F.col("doc_id").alias("__row"), F.col("component_id").alias("__group"))
     order = F.struct(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("text"), F.col("__row").alias("row"))
     # A least value is pre-aggregated, so a large group is no hot key.
     chosen = named.select("__row", order.alias("__order")).join(groups, "__row").groupBy("__group").agg(F.min("__order").alias("__least"))
