@@ -4,7 +4,7 @@ The index is a table of postings (term, document, position), sorted by term insi
 test items use. A phrase query takes, for every window of an item, its two rarest terms by their number of postings,
 reads only those lists, shifts each by the term's place in the item and intersects them on (document, item, shift).
 The few documents that pass are compared word by word with the item, so matches are exact. A proximity query asks for
-an item's rarest terms inside a span of words, in any order.
+an item's rarest terms inside a span of words, in any order; of it terms are known by their 64-bit hashes.
 
 The terms are broadcast while the index is built, at most TERM_BLOCK of them at a time: a larger vocabulary is indexed
 in several passes, so the broadcast's size does not grow with either table. Documents are known by a hash of id and
@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from .common import ascii_lower, let, stored, table, whole
 
 WINDOW = 10
+#: A proximity match: this many rarest words of an item inside a span of so many words.
+NEAR_TERMS, NEAR_SPAN = 3, 20
 #: Distinct terms (8 bytes each) that are broadcast at once.
 TERM_BLOCK = 1_000_000
 _CUTS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -55,9 +57,13 @@ def index(docs: DataFrame, items: DataFrame, block: int = TERM_BLOCK) -> DataFra
     return postings
 
 
-def rarest(items: DataFrame, postings: DataFrame, how_many: int = 2) -> DataFrame:
+def list_lengths(postings: DataFrame) -> DataFrame:
+    """(term, postings): the length of every list, stored; one row per term of the items."""
+    return stored(postings.groupBy("term").agg(F.count("*").alias("postings")), "op2-lengths")
+
+
+def rarest(items: DataFrame, lengths: DataFrame, how_many: int = 2) -> DataFrame:
     """items with pairs: per window that can occur, the places in the item of its rarest terms."""
-    lengths = postings.groupBy("term").agg(F.count("*").alias("postings"))
     places = items.select("item", "item_words", F.posexplode("item_words").alias("at", "word")).withColumn("term", F.xxhash64("word"))
     found = places.join(lengths, "term").groupBy("item", "item_words").agg(F.map_from_entries(F.collect_list(F.struct("at", "postings"))).alias("n"))
 
@@ -73,10 +79,10 @@ def rarest(items: DataFrame, postings: DataFrame, how_many: int = 2) -> DataFram
     return with_span.select("item", "item_words", "span", F.array_distinct(pairs).alias("pairs")).where(F.size("pairs") > 0)
 
 
-def candidates(items: DataFrame, postings: DataFrame) -> DataFrame:
+def candidates(items: DataFrame, postings: DataFrame, lengths: DataFrame) -> DataFrame:
     """(doc, item, item_words, span, shifts): places where some window's rarest terms stand at its distances."""
     version = F.xxhash64("item_words").alias("version")
-    chosen = stored(rarest(items, postings), "op2-rarest")
+    chosen = stored(rarest(items, lengths), "op2-rarest")
     anchors = chosen.select("item", version, "item_words", F.explode(F.array_distinct(F.flatten("pairs"))).alias("at"))
     anchors = stored(anchors.select("item", "version", "at", F.xxhash64(F.get("item_words", F.col("at"))).alias("term")), "op2-anchors")
     # Only the asked lists are read on: Spark broadcasts their terms by the stored table's size, or shuffles both.
@@ -91,10 +97,10 @@ def candidates(items: DataFrame, postings: DataFrame) -> DataFrame:
 
 def matches(docs: DataFrame, found: DataFrame) -> DataFrame:
     """docs with n_words, n_hit and hit_items, compared word by word at every candidate place."""
-    by_doc = found.groupBy("doc").agg(F.collect_list(F.struct("item", "item_words", "span", "shifts")).alias("__found")).withColumnRenamed("doc", "__doc")
+    by_doc = found.groupBy("doc").agg(F.collect_list(F.struct("item", "item_words", "span", "shifts")).alias("__found")).withColumnRenamed("doc", "__found_doc")
     docs = docs.drop("n_words", "n_hit", "hit_items")
     names = docs.columns
-    rows = docs.withColumn("__key", doc_key()).join(by_doc, F.col("__key") == F.col("__doc"), "left")
+    rows = docs.withColumn("__key", doc_key()).join(by_doc, F.col("__key") == F.col("__found_doc"), "left")
 
     def hits(words: Column, c: Column) -> Column:
         same = lambda shift, q: F.coalesce(F.get(words, shift + q) == F.get(c["item_words"], q), F.lit(False))
@@ -113,30 +119,48 @@ def matches(docs: DataFrame, found: DataFrame) -> DataFrame:
     return rows.select(*names, F.col("__sum.words").cast("long").alias("n_words"), F.coalesce(F.col("__sum.found.n"), F.lit(0)).cast("long").alias("n_hit"), F.coalesce(F.col("__sum.found.items"), none).alias("hit_items"))
 
 
-def proximity(items: DataFrame, postings: DataFrame, within: int, terms: int = 3) -> DataFrame:
+def proximity(items: DataFrame, postings: DataFrame, lengths: DataFrame, within: int = NEAR_SPAN, terms: int = NEAR_TERMS) -> DataFrame:
     """(doc, item, first, last): spans of at most `within` words that hold the item's `terms` rarest words, in any order.
 
-    Postings carry the document's hash; each row is the first such span from one of the words on.
+    Of words that tie in rarity the first in the item is taken; an item of fewer words asks for all it has. Postings
+    carry the document's hash; each row is the first such span from one of the words on.
     """
-    lengths = postings.groupBy("term").agg(F.count("*").alias("n"))
-    words = items.select("item", F.explode(F.array_distinct("item_words")).alias("word")).select("item", F.xxhash64("word").alias("term")).distinct()
-    asked = words.join(lengths, "term", "left").groupBy("item").agg(F.slice(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "term"))), 1, terms).alias("t"))
-    wanted = asked.select("item", F.size("t").alias("need"), F.explode("t.term").alias("term"))
-    near = Window.partitionBy("item", "doc").orderBy("pos").rangeBetween(0, within - 1)
-    seen = postings.join(wanted, "term").withColumns({"have": F.size(F.collect_set("term").over(near)), "last": F.max("pos").over(near)})
+    version = F.xxhash64("item", "item_words").alias("version")
+    places = items.select("item", version, F.posexplode("item_words").alias("at", "word"))
+    words = places.groupBy("item", "version", F.xxhash64("word").alias("term")).agg(F.min("at").alias("at"))
+    # A word without a list occurs nowhere, so neither do all words together.
+    ranked = words.join(lengths, "term", "left").groupBy("item", "version").agg(F.slice(F.array_sort(F.collect_list(F.struct(F.coalesce("postings", F.lit(0)).alias("n"), "at", "term"))), 1, terms).alias("t"))
+    able = stored(ranked.where(F.forall("t", lambda t: t["n"] > 0)).select("item", "version", F.col("t.term").alias("terms")), "op2-near")
+    wanted = able.select("item", "version", F.size("terms").alias("need"), F.explode("terms").alias("term"))
+    asked = postings.join(wanted.select("term").distinct(), "term", "left_semi")
+    # One exchange serves the repeated rows' removal and the window; a group is one item's words in one text.
+    met = asked.join(wanted, "term").select("doc", "version", "item", "need", "term", "pos").repartition("doc", "version").dropDuplicates(["doc", "version", "term", "pos"])
+    near = Window.partitionBy("doc", "version").orderBy("pos").rangeBetween(0, within - 1)
+    seen = met.withColumns({"have": F.size(F.collect_set("term").over(near)), "last": F.max("pos").over(near)})
     return seen.where(F.col("have") == F.col("need")).select("doc", "item", F.col("pos").alias("first"), "last").distinct()
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs (columns kept) with n_words, n_hit and hit_items."""
     items = stored(items_of(benchmark), "op2-items")
-    return matches(docs, candidates(items, index(docs, items)))
+    postings = index(docs, items)
+    return matches(docs, candidates(items, postings, list_lengths(postings)))
+
+
+def searched(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """docs (columns kept) with n_words, n_hit and hit_items, and n_near: the items with a proximity match."""
+    items = stored(items_of(benchmark), "op2-items")
+    postings = index(docs, items)
+    lengths = list_lengths(postings)
+    near = proximity(items, postings, lengths).groupBy("doc").agg(F.countDistinct("item").alias("n_near")).withColumnRenamed("doc", "__near")
+    rows = matches(docs.drop("n_near").withColumn("__doc", doc_key()), candidates(items, postings, lengths))
+    return rows.join(near, F.col("__doc") == F.col("__near"), "left").withColumn("n_near", F.coalesce("n_near", F.lit(0))).drop("__doc", "__near")
 
 
 def op2_decontaminate(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = contamination(docs, table(spark, sf_dir, "benchmark"))
-    return found.select("doc_id", "n_words", "n_hit", F.size("hit_items").cast("long").alias("n_items"), F.sha2(F.array_join("hit_items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+    found = searched(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("hit_items").cast("long").alias("n_items"), F.sha2(F.array_join("hit_items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "n_near")
 
 
 def reject(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -161,10 +185,23 @@ grams as (
   from (select doc_id, w, span, unnest(range(1, len(w) - span + 2)) as p from d, spans)),
 hits as (select doc_id, item, p, span from grams join wins using (span, g)),
 counts as (select doc_id, count(distinct q) as n_hit from (select doc_id, unnest(range(p, p + span)) as q from hits) group by doc_id),
-named as (select doc_id, count(distinct item) as n_items, string_agg(distinct item, ',' order by item) as items from hits group by doc_id)
+named as (select doc_id, count(distinct item) as n_items, string_agg(distinct item, ',' order by item) as items from hits group by doc_id),
+versions as (select item, w, row_number() over () as version from (select distinct item, w from b where len(w) > 0)),
+places as (select item, version, word, min(pos) as pos from (select item, version, unnest(w) as word, unnest(range(len(w))) as pos from versions) group by all),
+seen as (select doc_id, unnest(w) as word, unnest(range(len(w))) as pos from d),
+lengths as (select word, count(*) as n from seen where word in (select word from places) group by word),
+rare as (
+  select *, count(*) over (partition by version) as need from (
+    select item, version, word, coalesce(n, 0) as n from places left join lengths using (word)
+    qualify row_number() over (partition by version order by coalesce(n, 0), pos) <= {NEAR_TERMS})),
+able as (select * from rare where version not in (select version from rare where n = 0)),
+close as (
+  select doc_id, item, need, count(distinct word) over (partition by doc_id, version order by seen.pos range between current row and {NEAR_SPAN - 1} following) as have
+  from seen join able using (word)),
+near as (select doc_id, count(distinct item) as n_near from close where have = need group by doc_id)
 select d.doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
-  sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
-from d left join counts using (doc_id) left join named using (doc_id)"""
+  sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated, coalesce(n_near, 0)::bigint as n_near
+from d left join counts using (doc_id) left join named using (doc_id) left join near using (doc_id)"""
 
 QUERIES = {"op2_decontaminate": op2_decontaminate}
 SQL = {"op2_decontaminate": _SQL}

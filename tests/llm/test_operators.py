@@ -129,7 +129,8 @@ def test_phrases_of_common_words_and_overlaps(make, monkeypatch):
     assert sorted(((r["doc_id"], r["n_words"], r["n_hit"], ",".join(r["hit_items"])) for r in got), key=repr) == hits_by_force(docs, items)
     # The same from several passes over the vocabulary.
     kept = decontaminate.items_of(bench)
-    several = decontaminate.matches(df, decontaminate.candidates(kept, decontaminate.index(df, kept, block=2))).collect()
+    postings = decontaminate.index(df, kept, block=2)
+    several = decontaminate.matches(df, decontaminate.candidates(kept, postings, decontaminate.list_lengths(postings))).collect()
     assert sorted(((r["doc_id"], r["n_hit"]) for r in several), key=repr) == sorted(((r["doc_id"], r["n_hit"]) for r in got), key=repr)
 
 
@@ -151,11 +152,37 @@ def test_a_passage_that_a_text_repeats_very_often(make):
 def test_proximity(make):
     docs = make([(1, "red x green x x blue"), (2, "blue green red"), (3, "red green"), (4, "red x x x x x green blue")], "doc_id long, text string")
     items = common.stored(decontaminate.items_of(make([(1, "red green blue")], "item_id long, text string")), "t")
-    near = decontaminate.proximity(items, decontaminate.index(docs, items), within=6)
+    postings = decontaminate.index(docs, items)
+    near = decontaminate.proximity(items, postings, decontaminate.list_lengths(postings), within=6)
     found = near.join(docs.select("doc_id", decontaminate.doc_key().alias("doc")), "doc").collect()
     assert {(r["doc_id"], r["first"], r["last"]) for r in found} == {(1, 0, 5), (2, 0, 2)}
 
 
+def near_by_force(docs, items):
+    cut = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low(t))
+    total = collections.Counter(w for _, t in docs for w in cut(t))
+    asked = {("" if i is None else str(i), tuple(cut(t))) for i, t in items if cut(t)}
+    out = []
+    for doc_id, text in docs:
+        w, names = cut(text), set()
+        for name, q in asked:
+            rare = {x for _, _, x in sorted((total[x], q.index(x), x) for x in set(q))[:3]}
+            if any(rare <= set(w[p : p + 20]) for p in range(len(w))):
+                names.add(name)
+        out.append((doc_id, len(names)))
+    return sorted(out, key=repr)
+
+
+def test_proximity_counts_equal_brute_force(make):
+    random.seed(8)
+    word = lambda: f"w{int(random.paretovariate(0.7)) % 60}"
+    docs = [(i % 50, " ".join(word() for _ in range(random.randrange(0, 120)))) for i in range(60)]
+    docs += [docs[3]] * 30 + [(None, "w1 w2"), (1, None), (2, "")]
+    items = [(i % 9, " ".join(word() for _ in range(random.randrange(0, 8)))) for i in range(20)] + [(None, "W2"), (3, "never seen"), (4, None), (4, "w1 w1")]
+    got = decontaminate.searched(make([(*r, "x") for r in docs], "doc_id long, text string, n_near string"), make(items, "item_id long, text string")).collect()
+    assert sorted(((r["doc_id"], r["n_near"]) for r in got), key=repr) == near_by_force(docs, items) and sum(r["n_near"] for r in got) > 20
+
+
 # 3
 
 
@@ -376,8 +403,8 @@ def test_mix_edge_cases(make):
 # 6
 
 
-def components_by_force(rows):
-    sets = [near_dedup.shingles(t) for _, t in rows]
+def components_by_force(rows, threshold=80, size=5):
+    sets = [near_dedup.shingles(t, size) for _, t in rows]
     root = {}
 
     def find(x):
@@ -390,7 +417,7 @@ def components_by_force(rows):
             b = rows[j][0]
             if a is not None and b is not None and sets[i] and sets[j]:
                 inter = len(sets[i] & sets[j])
-                if 100 * inter >= 85 * (len(sets[i]) + len(sets[j]) - inter):
+                if 100 * inter >= threshold * (len(sets[i]) + len(sets[j]) - inter):
                     a0, b0 = find(a), find(b)
                     root[max(a0, b0)] = min(a0, b0)
     return [(d, len(s), d if d is None else find(d)) for (d, _), s in zip(rows, sets, strict=True)]
@@ -409,14 +436,21 @@ def family(seed, n=240, words=90):
     return out
 
 
-@pytest.mark.parametrize("most", [1 << 22, 20_000])
-def test_components_equal_brute_force(make, most, monkeypatch):
-    monkeypatch.setattr(near_dedup.links, "__defaults__", (near_dedup.THRESHOLD, most))
+def test_bands_follow_the_threshold():
+    assert near_dedup.banding(85) == near_dedup.banding(80) == (60, 8)
+    for t in (95, 70, 50, 30):
+        bands, rows = near_dedup.banding(t)
+        assert bands * rows == near_dedup.VALUES and (1 - (t / 100) ** rows) ** bands < 1e-4
+
+
+@pytest.mark.parametrize("most,threshold,size", [(1 << 22, 85, 3), (20_000, 85, 3), (20_000, 80, 5), (1 << 22, 60, 2)])
+def test_components_equal_brute_force(make, most, threshold, size, monkeypatch):
+    monkeypatch.setattr(near_dedup.links, "__defaults__", (threshold, size, most))
     rows = list(enumerate(family(1) + family(2, 60, 30)))
     rows += [(1000 + i, "Exactly THE same words here") for i in range(40)] + [(2000, "a b"), (2001, "A  b"), (2002, "a"), (2003, None), (2004, ""), (2005, None)]
     random.Random(3).shuffle(rows)
-    got = near_dedup.components(make(rows, "doc_id long, text string", files=5)).collect()
-    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == sorted(components_by_force(rows))
+    got = near_dedup.components(make(rows, "doc_id long, text string", files=5), threshold, size).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == sorted(components_by_force(rows, threshold, size))
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
 
 
