@@ -9,7 +9,9 @@ maximum, so half as many permutations are evaluated for a signature of the same
    smallest of these, and the connected components are clusters: two texts that share a band are in one cluster. The
    banding follows the threshold and misses a pair at it with a probability below 1e-4 (1e-8 at 0.85).
 3. Inside a cluster all links between different components are found exactly on the full sets, by an inverted list of
-   shingles; a cluster over `cluster_chars` is dealt out as pairs of chunks, so that no task holds it whole.
+   shingles. A cluster over CLUSTER_CHARS is never whole in a task: its stars are confirmed first, one pair a row, and
+   the largest component of these is not compared with itself again. Only the other texts, in chunks, meet one another
+   and the chunks of that component, so a group of near copies costs in proportion to its size.
 4. Components of the confirmed links give the result; copies follow the text that stands for them.
 
 Defined cases: texts without words and rows with a null id are linked with nothing (a null id has a null component and
@@ -147,8 +149,11 @@ def connected(edges: DataFrame, name: str) -> DataFrame:
             return roots
 
 
-def _links(ids: np.ndarray, texts: list[str], side: np.ndarray, threshold: int, size: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links among texts; side: with two sides (0, 1) only pairs across them count, 2 is both."""
+def _links(ids: np.ndarray, texts: list[str], part: np.ndarray, side: np.ndarray, threshold: int, size: int) -> list[tuple[int, int]]:
+    """Links that join up the texts' parts as all links would; part: texts of one are known to be joined.
+
+    side: with two sides (0, 1) only pairs across them count, 2 is both.
+    """
     code: dict[bytes, int] = {}
     sets = []
     for t in texts:
@@ -157,11 +162,15 @@ def _links(ids: np.ndarray, texts: list[str], side: np.ndarray, threshold: int,
     flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
     order = np.argsort(flat, kind="stable")
     posting, begin = owner[order], np.concatenate([[0], np.cumsum(np.bincount(flat, minlength=len(code)))])
-    root = np.arange(len(sets))
+    root = np.unique(part, return_inverse=True)[1]
     out = []
     # Central texts first: they link most, and pairs inside a component need no look again.
     weight = np.array([np.diff(begin)[s].mean() for s in sets])
-    for x in np.argsort(-weight, kind="stable"):
+    order = np.argsort(-weight, kind="stable")
+    across = (side != 2).any()
+    if across:  # every pair is met from the side of fewer texts
+        order = order[side[order] == (0 if 2 * np.count_nonzero(side == 0) <= len(side) else 1)]
+    for x in order:
         open_ = root != root[x]
         if not open_.any():
             continue
@@ -170,7 +179,7 @@ def _links(ids: np.ndarray, texts: list[str], side: np.ndarray, threshold: int,
         at = np.repeat(begin[s] - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(lengths.sum())
         inter = np.bincount(posting[at], minlength=len(sets))
         linked = open_ & (100 * inter >= threshold * (sizes + sizes[x] - inter))
-        if (side != 2).any():
+        if across:
             linked &= side != side[x]
         for y in np.flatnonzero(linked):
             if root[y] != root[x]:
@@ -179,25 +188,70 @@ def _links(ids: np.ndarray, texts: list[str], side: np.ndarray, threshold: int,
     return out
 
 
-def links(cluster_of: DataFrame, docs: DataFrame, threshold: int = THRESHOLD, size: int = SHINGLE, most: int = CLUSTER_CHARS) -> DataFrame:
-    """Exact links (a, b) that join up each cluster (node, root); nodes are ids of docs, one text each."""
-    rows = docs.select("doc_id", "text").join(cluster_of.select(F.col("node").alias("doc_id"), F.col("root").alias("cluster")).hint("merge"), "doc_id")
-    lengths = rows.groupBy("cluster").agg(F.sum(F.length("text")).alias("chars"))
-    chunks = stored(lengths.select("cluster", F.ceil(F.col("chars") / most).alias("chunks")).where("chunks > 1"), "op6-large")
-    rows = rows.join(chunks, "cluster", "left").withColumn("n", F.coalesce("chunks", F.lit(1)))
-    rows = rows.withColumn("mine", F.pmod(F.xxhash64("doc_id"), F.col("n")))
-    # A large cluster's chunk meets every other one in a group of its own; the usual cluster is one group.
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
-    rows = rows.select("cluster", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), F.when(F.col("n") == 1, 2).when(F.col("mine") <= F.col("other"), 0).otherwise(1).alias("side"), "doc_id", "text")
+def confirmed(pairs: DataFrame, threshold: int, size: int) -> DataFrame:
+    """(a, b) of the pairs (a, b, one, other) whose texts are linked."""
+
+    def linked(one: str, other: str) -> bool:
+        s, t = shingles(one, size), shingles(other, size)
+        both = len(s & t)
+        return bool(s) and 100 * both >= threshold * (len(s) + len(t) - both)
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                some = batch.slice(at, 256)
+                kept = [linked(*texts) for texts in zip(some.column("one").to_pylist(), some.column("other").to_pylist(), strict=True)]
+                yield some.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+
+    return pairs.select("a", "b", "one", "other").mapInArrow(check, "a long, b long")
+
+
+def _dealt(texts: DataFrame, known: DataFrame, most: int) -> DataFrame:
+    """Rows of large clusters (cluster, doc_id, text), once per group that compares them.
+
+    Of the parts that the known links join up, the largest is not compared with itself: its chunks come first, and the
+    chunks of the other texts meet every chunk, each pair of chunks in a group (low, high) of its own.
+    """
+    parts = connected(known, "op6-parts").withColumnsRenamed({"node": "doc_id", "root": "part"})
+    rows = texts.join(parts, "doc_id", "left").withColumn("part", F.coalesce("part", "doc_id"))
+    chars = rows.groupBy("cluster", "part").agg(F.sum(F.length("text")).alias("chars"))
+    tops = chars.groupBy("cluster").agg(F.max(F.struct("chars", "part")).alias("top"), F.sum("chars").alias("chars"))
+    chunks = stored(tops.select("cluster", F.col("top.part").alias("main"), F.ceil(F.col("top.chars") / most).alias("m"), F.ceil((F.col("chars") - F.col("top.chars")) / most).alias("r")), "op6-chunks")
+    rows = rows.join(chunks, "cluster")
+    in_main, last, by_hash = F.col("part") == F.col("main"), F.col("m") + F.col("r") - 1, F.xxhash64("doc_id")
+    rows = rows.withColumn("mine", F.when(in_main, F.pmod(by_hash, F.col("m"))).otherwise(F.col("m") + F.pmod(by_hash, F.col("r"))))
+    meets = F.when(in_main & (F.col("r") == 0), F.expr("cast(array() as array<bigint>)")).when(in_main, F.sequence("m", last))
+    rows = rows.withColumn("other", F.explode(meets.otherwise(F.sequence(F.lit(0).cast("long"), last))))
+    side = F.when(F.col("mine") == F.col("other"), 2).when(F.col("mine") < F.col("other"), 0).otherwise(1)
+    return rows.select("cluster", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), side.alias("side"), "doc_id", "part", "text")
+
+
+def links(cluster_of: DataFrame, stars: DataFrame, docs: DataFrame, threshold: int = THRESHOLD, size: int = SHINGLE, most: int = CLUSTER_CHARS) -> DataFrame:
+    """Exact links (a, b) that join up each cluster (node, root); nodes are ids of docs, one text each.
+
+    stars: pairs (a, b) that span the clusters; those of a large cluster are tried first.
+    """
+    ids, texts = cluster_of.select(F.col("node").alias("doc_id"), F.col("root").alias("cluster")), docs.select("doc_id", "text")
+    lengths = docs.select("doc_id", F.length("text").alias("chars")).join(ids.hint("merge"), "doc_id").groupBy("cluster").agg(F.sum("chars").alias("chars"))
+    large = stored(lengths.where(F.col("chars") > most).select("cluster"), "op6-large")
+    # Stored, so that Spark knows their sizes: without large clusters no text is shuffled for them.
+    members = stored(ids.join(large, "cluster", "left_semi"), "op6-large-members")
+    held = stored(texts.join(members, "doc_id"), "op6-large-texts")
+    pairs = stars.join(members.select(F.col("doc_id").alias("a")), "a", "left_semi")
+    for node, text in (("b", "other"), ("a", "one")):
+        pairs = pairs.join(held.select(F.col("doc_id").alias(node), F.col("text").alias(text)), node)
+    known = stored(confirmed(pairs, threshold, size), "op6-known")
+    number = lambda n, name: F.lit(n).cast("long").alias(name)
+    usual = texts.join(ids.join(large, "cluster", "left_anti").hint("merge"), "doc_id")
+    usual = usual.select("cluster", number(0, "low"), number(0, "high"), F.lit(2).alias("side"), "doc_id", F.col("doc_id").alias("part"), "text")
+    rows = usual.unionByName(_dealt(held, known, most))
 
     def compare(group: pa.Table) -> pa.Table:
-        side = group.column("side").to_numpy()
-        if group.column("low")[0] == group.column("high")[0]:
-            side = np.full(len(side), 2)
-        found = _links(group.column("doc_id").to_numpy(), group.column("text").to_pylist(), side, threshold, size) if group.num_rows > 1 else []
+        ids, part, side = (group.column(c).to_numpy() for c in ("doc_id", "part", "side"))
+        found = _links(ids, group.column("text").to_pylist(), part, side, threshold, size) if group.num_rows > 1 else []
         return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
-    return rows.groupBy("cluster", "low", "high").applyInArrow(compare, "a long, b long")
+    return rows.groupBy("cluster", "low", "high").applyInArrow(compare, "a long, b long").unionByName(known)
 
 
 def components(docs: DataFrame, threshold: int = THRESHOLD, size: int = SHINGLE) -> DataFrame:
@@ -217,14 +271,15 @@ def components(docs: DataFrame, threshold: int = THRESHOLD, size: int = SHINGLE)
     # leaders, so a large group is about one edge per text and a few among its leaders.
     first = F.array_min("leaders")
     stars = met.select(first.alias("a"), F.explode(F.array_union("leaders", F.array("rep"))).alias("b")).where("a <> b").distinct()
+    stars = stored(stars, "op6-stars")
     clusters = connected(stars, "op6-stars")
     # A node's text: of rows that share an id, each representative's set is that of one of its rows.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    confirmed = links(clusters, texts, threshold, size)
+    found = links(clusters, stars, texts, threshold, size)
     # Rows of one class are linked by their equal sets; an id in two classes links them.
     members = usable.join(classes.select("set_key", "rep"), "set_key").select("doc_id", "rep").distinct()
     several = members.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a <> b").select("a", "b")
-    roots = connected(confirmed.unionByName(several), "op6-links")
+    roots = connected(found.unionByName(several), "op6-links")
     named = members.groupBy("doc_id").agg(F.min("rep").alias("rep")).join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.select("doc_id", F.coalesce("root", "rep").alias("component_id"))
     out = signed.select("doc_id", "n_shingles").join(named, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))

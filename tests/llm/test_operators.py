@@ -454,6 +454,19 @@ def test_components_equal_brute_force(make, most, threshold, size, monkeypatch):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
 
 
+def test_a_large_group_does_not_meet_itself(make):
+    """Texts that the stars have joined up are dealt once for each chunk of the others, not of their own."""
+    texts = make([(1, i, "x" * 100) for i in range(400)] + [(1, 1000 + i, "y" * 100) for i in range(5)], "cluster long, doc_id long, text string")
+    joined = make([(0, i) for i in range(1, 400)], "a long, b long")
+    dealt = near_dedup._dealt(texts, joined, most=1000).collect()
+    count = collections.Counter(r["doc_id"] for r in dealt)
+    assert {count[i] for i in range(400)} == {1} and {count[1000 + i] for i in range(5)} == {41}
+    groups = {(r["low"], r["high"]) for r in dealt}
+    assert groups == {(i, 40) for i in range(41)} and all(r["side"] == (2 if r["low"] == r["high"] else 0 if r["doc_id"] < 400 else 1) for r in dealt)
+    # Joined up as a whole, nothing is left to compare.
+    assert near_dedup._dealt(texts.where("doc_id < 400"), joined, most=1000).count() == 0
+
+
 def test_near_dedup_edge_cases(make):
     rows = [r[:2] for r in EDGES] + [(7, LONG)]  # an id with two texts joins their groups
     got = near_dedup.components(make(rows, "doc_id long, text string")).collect()
