@@ -1,8 +1,8 @@
 """Every query of this subpackage, and the SQL of those that SQL can express."""
 
-from . import chat_format, decontaminate, language_id, lm_score, near_dedup, quality_classifier, quality_rules, source_mix, token_counts, web_archive
+from . import chat_format, decontaminate, fill_in_middle, hard_negatives, language_id, lm_score, near_dedup, quality_classifier, quality_rules, sim_hash, source_mix, token_counts, web_archive
 
-MODULES = (token_counts, decontaminate, language_id, lm_score, source_mix, near_dedup, quality_rules, web_archive, chat_format, quality_classifier)
+MODULES = (token_counts, decontaminate, language_id, lm_score, source_mix, near_dedup, quality_rules, web_archive, chat_format, quality_classifier, sim_hash, fill_in_middle, hard_negatives)
 
 
 def queries() -> dict:
