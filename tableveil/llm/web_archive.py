@@ -11,7 +11,9 @@ Pages have no capture time of their own; it is taken as `START` plus page_id sec
 
 Defined cases: null html is an empty payload; a null url gets an empty key; a null page_id is never revisited, revisits
 an equal payload with an id, and counts as time 0; rows that repeat the largest page_id of their payload are responses
-each; an empty table gives archives without records and an empty index; extra columns are left out.
+each; captures that tie in key, time and page stand in the order of their runs, then of their places; a payload may end
+in any line ends; a very long payload is one record, whole in one task; an empty table gives archives without records
+and an empty index; extra columns are left out.
 """
 
 import hashlib
@@ -86,7 +88,11 @@ def write_archives(rows: DataFrame, path: str, per_file: int = RECORDS_PER_FILE)
 
 
 class _Reader:
-    """Cuts a file's bytes, which come in pieces, into records."""
+    """Cuts a file's bytes, which come in pieces, into records, by the lengths that these state.
+
+    Every piece comes with an END. Where a file's last payload ends in line ends of its own, END was found among these, so
+    the file's rest gets one too many: what is left then does not begin a record.
+    """
 
     def __init__(self):
         self.held, self.place = bytearray(), 0
@@ -94,7 +100,7 @@ class _Reader:
     def feed(self, piece: bytes) -> Iterator[tuple[int, int, dict, bytes]]:
         """(place, length, header, block) of every record that the piece completes."""
         self.held += piece
-        while True:
+        while self.held.startswith(b"WARC/"):
             head = self.held.find(b"\r\n\r\n")
             if head < 0:
                 return
@@ -208,7 +214,7 @@ def merge_index(entries: DataFrame, per_task: int = MERGED) -> DataFrame:
     ranges = max(1, -(-entries.count() // per_task))
     order = ["urlkey", "seconds", "page_id"]
     # The shuffle promises no order, so every run's share of a range is put back in order before the merge.
-    return entries.repartitionByRange(ranges, *order).sortWithinPartitions("run", *order).mapInArrow(merged, entries.schema)
+    return entries.repartitionByRange(ranges, *order).sortWithinPartitions("run", *order, "place").mapInArrow(merged, entries.schema)
 
 
 def archive(pages: DataFrame, path: str) -> DataFrame:

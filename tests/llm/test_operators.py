@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -583,6 +584,25 @@ def test_archive_round_trip(spark, make):
     assert web_archive.archive(make([], "page_id long, url string, html string"), common.new_path(spark, "t")).count() == 0
 
 
+@pytest.mark.parametrize("per_file", [1, 7, 4096])
+def test_payloads_end_in_any_line_ends(spark, make, per_file):
+    ends = [""] + ["".join(x) for n in range(1, 5) for x in itertools.product("\r\n", repeat=n)]
+    ends += ["\r\n" * 5, "\r\n\r\n" + web_archive.END, "\r\n\r\nWARC/1.1\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"]
+    rows = [(i, f"http://x.example/{i:03}", body + end) for i, (body, end) in enumerate((b, e) for b in ("", "text", "y" * 2000) for e in ends)]
+    rows += [(900, "http://x.example/z", "long\r\n\r\n" * 300_000 + "\r\n")]  # 2.4 MB that hold very many record ends
+    path = common.new_path(spark, "t-archives")
+    web_archive.write_archives(web_archive.records(make(rows, "page_id long, url string, html string")), path, per_file)
+    got = {r["page_id"]: (r["payload_bytes"], r["payload_digest"]) for r in web_archive.read_archives(spark, path).collect()}
+    assert got == {i: (len(t), hashlib.sha1(t.encode()).hexdigest()) for i, _, t in rows}
+
+
+def test_captures_that_tie_stay(spark, make):
+    rows = make([(1, "http://a.example/", "x" * n) for n in (5, 6, 2000, 2000)] + [(None, "http://a.example/", "y")] * 2, "page_id long, url string, html string", files=3)
+    index = web_archive.archive(rows, common.new_path(spark, "t-archives"))
+    assert index.count() == 6 and [r["page_id"] for r in index.collect()] == [None, None, 1, 1, 1, 1]
+    assert {r["record_type"] for r in index.collect()} == {"response"}
+
+
 def test_loser_tree():
     random.seed(6)
     for k in (0, 1, 2, 3, 7, 16):
