@@ -7,10 +7,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.catalog import quoted, tables
+from .intervals import overlapping_pairs, overlapping_rows
 
 VERDICTS = "schema_name string, table_name string, constraint string, kind string, violations long, ok boolean"
 
@@ -61,78 +62,13 @@ def not_null(df: DataFrame, columns: list[str], schema: str, table: str) -> Data
     return _verdict(long, schema, table, F.concat(F.lit(f"{table}_"), F.col("column"), F.lit("_not_null")), "n")
 
 
-#: Rows that a slice of time holds on average.
-PER_SLICE = 50_000
-
-
-def _slices(df: DataFrame, low: str, slices: int | None) -> list:
-    """Times that cut the ranges' starts into slices of about equal numbers of rows, ascending."""
-    n = slices or -(-df.count() // PER_SLICE)
-    if n < 2:
-        return []
-    # Quantiles follow bursts, and their number follows the data. Times are compared as numbers of microseconds.
-    found = df.agg(F.percentile_approx(_micros(F.col(low)), [i / n for i in range(1, n)], 10 * n).alias("q")).first()["q"]
-    return sorted(set(found or []))
-
-
-def _micros(time: Column) -> Column:
-    return F.unix_micros(time.cast("timestamp"))
-
-
-def _slice_of(time: Column, cuts: list) -> Column:
-    """Number of the slice that a time lies in, found by bisection."""
-    if not cuts:
-        return F.lit(0)
-    known = F.array(*map(F.lit, cuts))
-    value = _micros(time)
-    steps = F.sequence(F.lit(1), F.lit(len(cuts).bit_length()))
-    zero = F.struct(F.lit(0).alias("a"), F.lit(len(cuts)).alias("b"))
-
-    def halve(x: Column, _: Column) -> Column:
-        middle = F.floor((x["a"] + x["b"]) / 2).cast("int")
-        right = (x["a"] < x["b"]) & (F.get(known, middle) <= value)
-        return F.struct(F.when(right, middle + 1).otherwise(x["a"]).alias("a"), F.when(right | (x["a"] >= x["b"]), x["b"]).otherwise(middle).alias("b"))
-
-    return F.aggregate(steps, zero, halve, lambda x: x["a"])
-
-
-def overlapping_rows(df: DataFrame, key: str, low: str, high: str, row_id: str, slices: int | None = None) -> DataFrame:
-    """Rows whose range [low, high) meets that of a row before them (by low, then id) with the same key.
-
-    Ranges are cut into slices of time, about PER_SLICE rows each unless `slices` says how many, so that a hot key
-    spreads: within a slice the largest end so far is a window, and what earlier slices end with is added from a small
-    table of one row per key and slice.
-    """
-    rows = df.where(f"{low} < {high} and {key} is not null")
-    rows = rows.withColumn("__slice", _slice_of(F.col(low), _slices(rows, low, slices)))
-    ends = rows.groupBy(key, "__slice").agg(F.max(high).alias("__end"))
-    carried = F.max("__end").over(Window.partitionBy(key).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1))
-    earlier = ends.select(F.col(key).alias("__of"), F.col("__slice").alias("__in"), carried.alias("__carried"))
-    within = Window.partitionBy(key, "__slice").orderBy(low, row_id).rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("__before", F.max(high).over(within)).join(earlier, (F.col(key) == F.col("__of")) & (F.col("__slice") == F.col("__in")))
-    return rows.where(F.col(low) < F.greatest("__before", "__carried")).drop("__slice", "__before", "__carried", "__of", "__in")
-
-
 def exclusion(df: DataFrame, key: str, low: str, high: str, row_id: str, schema: str, table: str, constraint: str) -> DataFrame:
     return _verdict(overlapping_rows(df, key, low, high, row_id).agg(F.count(F.lit(1)).alias("violations")), schema, table, constraint, "x")
 
 
-def exclusion_pairs(df: DataFrame, key: str, low: str, high: str, row_id: str, slices: int | None = None) -> DataFrame:
-    """The overlapping pairs themselves (left_id < right_id), on request: their number is the answer's own size.
-
-    Only rows that take part in an overlap are joined, on the key and on the slices of time that their ranges touch, so
-    a long range is repeated once per slice, not per hour. The slices are as many as in `overlapping_rows`.
-    """
-    rows = df.where(f"{low} < {high} and {key} is not null")
-    cuts = _slices(rows, low, slices)
-    late = overlapping_rows(df, key, low, high, row_id, slices).select(F.col(key).alias("__k"), F.col(low).alias("__l"), F.col(high).alias("__h"), F.col(row_id).alias("__i"))
-    touched = lambda a, b: F.explode(F.sequence(_slice_of(a, cuts), _slice_of(b, cuts)))
-    left = rows.select(F.col(key), F.col(low), F.col(high), F.col(row_id), touched(F.col(low), F.col(high)).alias("__b"))
-    right = late.withColumn("__b2", touched(F.col("__l"), F.col("__h")))
-    before = (F.col(low) < F.col("__l")) | ((F.col(low) == F.col("__l")) & (F.col(row_id) < F.col("__i")))
-    first_shared = F.col("__b") == _slice_of(F.greatest(low, "__l"), cuts)
-    met = left.join(right, (F.col(key) == F.col("__k")) & (F.col("__b") == F.col("__b2")) & before & (F.col(low) < F.col("__h")) & (F.col("__l") < F.col(high)) & first_shared)
-    return met.select(F.col(key), F.least(row_id, "__i").alias("left_id"), F.greatest(row_id, "__i").alias("right_id"))
+def exclusion_pairs(df: DataFrame, key: str, low: str, high: str, row_id: str, parts: int | None = None) -> DataFrame:
+    """The overlapping pairs themselves (left_id < right_id), on request: their number is the answer's own size."""
+    return overlapping_pairs(df, key, low, high, row_id, parts)
 
 
 def constraint_pass(spark: SparkSession, schema: str, constraints: DataFrame, suffix: str = "") -> DataFrame:
