@@ -1,4 +1,8 @@
-"""Masks as built-in column expressions: they run in code generation, on batches and on streams alike."""
+"""Masks as built-in column expressions: they run in code generation, on batches and on streams alike.
+
+A mask is a tree (functions.expressions), from which the column, the text of a view and the text that a database runs
+are all made.
+"""
 
 from __future__ import annotations
 
@@ -7,39 +11,56 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans.spec import CloneSpec, MaskRule, SpecError
+from .expressions import Dialect, Node, above, add, as_text, case, column, concat, digest, drawn, is_null, left, length, literal, null, position, right, substring, subtract, to_column
 
 #: Strategies whose result is text.
 TEXT = {"email", "name", "phone", "partial", "hash"}
 
 
-def mask(rule: MaskRule, column: Column, kind: T.DataType) -> Column:
-    """The masked column; nulls stay null but for random_int and constant, which replace them too."""
-    text = column.cast("string")
-    length = F.length(text)
+def tree(rule: MaskRule, kind: T.DataType) -> Node:
+    """What the rule computes from its column; nulls stay null but for random_int and constant, which replace them too."""
+    text = as_text(column(rule.column))
+    size = length(text)
+    unless_null = lambda *branches: case(is_null(text), null(T.StringType()), *branches)
     match rule.strategy:
         case "email":
             # Of a text with several @, the part between the first two.
-            hidden = F.concat(F.left(text, F.lit(1)), F.lit("***@"), F.split_part(text, F.lit("@"), F.lit(2)))
-            return F.when(text.isNull(), None).when(F.contains(text, F.lit("@")), hidden).otherwise("***")
+            at = position("@", text)
+            rest = substring(text, add(at, literal(1)), size)
+            part = case(above(position("@", rest), literal(0)), substring(rest, literal(1), subtract(position("@", rest), literal(1))), rest)
+            return unless_null(above(at, literal(0)), concat(left(text, 1), literal("***@"), part), literal("***"))
         case "name":
-            return F.when(text.isNotNull(), "XXXX")
+            return unless_null(literal("XXXX"))
         case "phone":
-            return F.when(text.isNull(), None).when(length > 4, F.concat(F.lit("***-"), F.right(text, F.lit(4)))).otherwise("****")
+            return unless_null(above(size, literal(4)), concat(literal("***-"), right(text, 4)), literal("****"))
         case "partial":
-            ends = F.concat(F.left(text, F.lit(rule.prefix)), F.lit("***"), F.right(text, F.lit(rule.suffix)))
-            return F.when(text.isNull(), None).when(length <= rule.prefix + rule.suffix, F.repeat(F.lit("*"), length)).otherwise(ends)
+            most = rule.prefix + rule.suffix
+            if not most:
+                return unless_null(above(size, literal(0)), literal("***"), literal(""))
+            ends = [left(text, rule.prefix), literal("***"), right(text, rule.suffix)]
+            kept = concat(*(e for e, n in zip(ends, (rule.prefix, 1, rule.suffix), strict=True) if n))
+            return unless_null(above(size, literal(most)), kept, substring(literal("*" * most), literal(1), size))
         case "hash":
-            return F.md5(text)
+            return digest(text)
         case "null":
-            return F.lit(None).cast(kind)
+            return null(kind)
         case "random_int":
-            drawn = F.rand(rule.seed) if rule.seed is not None else F.rand()
-            return F.floor(drawn * (rule.high - rule.low + 1) + rule.low).cast("int")
+            return drawn(rule.low, rule.high, rule.seed)
         case "constant":
-            return F.lit(rule.value)
+            return literal(rule.value)
     raise SpecError(f"unknown mask strategy {rule.strategy!r}")
 
 
+def mask(rule: MaskRule, kind: T.DataType) -> Column:
+    """The masked column."""
+    return to_column(tree(rule, kind))
+
+
+def mask_sql(rule: MaskRule, kind: T.DataType, dialect: Dialect) -> str:
+    """The masked column as a database's SQL text; an error where the database cannot compute it."""
+    return dialect.sql(tree(rule, kind))
+
+
 def check_types(schema: T.StructType, rules: dict[str, MaskRule], required: set[str] = frozenset()) -> None:
     """Refuses, before anything runs, masks whose result a table's column could not hold."""
     kinds = {f.name: f.dataType for f in schema}
@@ -63,11 +84,11 @@ def apply_masks(df: DataFrame, rules: dict[str, MaskRule], keep_types: bool = Tr
     kinds = {f.name: f.dataType for f in df.schema}
     out = []
     for name, kind in kinds.items():
-        column = F.col(f"`{name}`")
+        kept = F.col(f"`{name}`")
         if name in rules:
-            masked = mask(rules[name], column, kind)
-            column = (masked.cast(kind) if keep_types else masked).alias(name)
-        out.append(column)
+            masked = mask(rules[name], kind)
+            kept = (masked.cast(kind) if keep_types else masked).alias(name)
+        out.append(kept)
     return df.select(*out)
 
 

@@ -65,16 +65,15 @@ def rules(spark: SparkSession) -> DataFrame:
 def classify(name: Column) -> Column:
     """struct(ord, category, strategy) of the first rule that the name matches, null without one.
 
-    The rules are one array that Spark folds into a constant, so no join is needed and generated code stays short;
-    _ is a plain character, case is ignored.
+    The tests are one CASE that stops at the first match, in generated code; what the rule says is looked up in a
+    constant. _ is a plain character, case is ignored.
     """
-    known = F.array(
-        *(
-            F.struct(F.lit(i).alias("ord"), F.lit(category).alias("category"), F.lit(strategy).alias("strategy"), F.lit(pattern.strip("%")).alias("core"), F.lit(pattern.endswith("%")).alias("inside"))
-            for i, pattern, category, strategy in ordered()
-        )
-    )
     low = F.lower(name)
-    first = F.get(F.filter(known, lambda r: F.when(r["inside"], F.contains(low, r["core"])).otherwise(F.endswith(low, r["core"]))), F.lit(0))
-    # A named field of a null struct is null, so the result is null as a whole only if it is made so.
-    return F.when(first.isNotNull(), F.struct(first["ord"].alias("ord"), first["category"].alias("category"), first["strategy"].alias("strategy")))
+    first = None
+    for i, pattern, *_ in ordered():
+        core = F.lit(pattern.strip("%"))
+        test = F.contains(low, core) if pattern.endswith("%") else F.endswith(low, core)
+        first = F.when(test, i - 1) if first is None else first.when(test, i - 1)
+    text = lambda x: "'" + x.replace("'", "\\'") + "'"
+    known = F.expr("array(" + ", ".join(f"named_struct('ord', {i}, 'category', {text(c)}, 'strategy', {text(s)})" for i, _, c, s in ordered()) + ")")
+    return F.get(known, first)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.catalog import columns_snapshot, objects_snapshot
+from ..sources.jdbc import JdbcCatalog
 
 #: Categories whose objects have no definition to compare.
 NAMES_ONLY = ("sequences",)
@@ -105,13 +106,24 @@ def compare(source_columns: DataFrame, target_columns: DataFrame, source_objects
     return Drift(*parts, summary(*parts))
 
 
-def diff_schemas(spark: SparkSession, source: str, target: str, source_constraints: DataFrame | None = None, target_constraints: DataFrame | None = None) -> Drift:
-    """Differences of two schemas of the catalog, by name: tables, columns, views, materialized views and, where they
-    are given, constraints."""
-    return compare(
-        columns_snapshot(spark, source), columns_snapshot(spark, target),
-        objects_snapshot(spark, source, source_constraints), objects_snapshot(spark, target, target_constraints),
-    )
+def diff_schemas(spark: SparkSession, source: str | JdbcCatalog, target: str | JdbcCatalog, source_constraints: DataFrame | None = None, target_constraints: DataFrame | None = None) -> Drift:
+    """Differences of two schemas: tables, columns, views, materialized views and, where they are given, constraints.
+
+    A side is a schema of the catalog, by name, or one behind JDBC, whose indexes, triggers, sequences and constraints
+    are compared too. The database is asked once for each kind of fact.
+    """
+    sides = []
+    for side, constraints in ((source, source_constraints), (target, target_constraints)):
+        if isinstance(side, str):
+            sides.append((columns_snapshot(spark, side), objects_snapshot(spark, side, constraints)))
+        else:
+            sides.append((held(side.columns()), held(side.objects())))
+    return compare(sides[0][0], sides[1][0], sides[0][1], sides[1][1])
+
+
+def held(facts: DataFrame) -> DataFrame:
+    """Facts of a catalog as rows of the session: metadata, small enough for the driver."""
+    return facts.sparkSession.createDataFrame(facts.collect(), facts.schema)
 
 
 def document(table_rows: DataFrame, column_rows: DataFrame, drift_rows: DataFrame, object_rows: DataFrame, totals: DataFrame) -> DataFrame:

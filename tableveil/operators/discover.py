@@ -11,7 +11,9 @@ from ..sources.catalog import columns_snapshot, views_frame
 
 def sensitive_columns(columns: DataFrame) -> DataFrame:
     """Rows of a columns snapshot (table_name, column_name, ordinal, ...) whose name is sensitive, with ord, category, strategy."""
-    found = columns.withColumn("__rule", classify(F.col("column_name"))).where("__rule is not null")
+    # The small letters are made once, below the rules' tests.
+    low = columns.withColumn("__low", F.lower("column_name"))
+    found = low.withColumn("__rule", classify(F.col("__low"))).where("__rule is not null")
     return found.select(*columns.columns, "__rule.ord", "__rule.category", "__rule.strategy")
 
 

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.masks import apply_masks, check_types
-from ..plans.spec import CloneSpec, MaskRule, SpecError, read_rules
+from ..functions.expressions import Spark
+from ..functions.masks import apply_masks, check_types, mask_sql
+from ..plans.spec import CloneSpec, SpecError, read_rules
 from ..sources.catalog import quoted
-from .clone import _fill, recover, swap
+from .clone import Definition, _fill, new_name, recover, swap
 
 POLICIES = "schema_name string, table_name string, view_name string, role string, columns array<string>"
 
@@ -19,41 +20,12 @@ def mask_in_place(spark: SparkSession, schema: str, table: str, rules) -> tuple[
     recover(spark, schema, table)
     df = spark.table(quoted(schema, table))
     check_types(df.schema, rules)
-    staged = f"{table}__staged"
-    spark.sql(f"DROP TABLE IF EXISTS {quoted(schema, staged)}")
-    n = _fill(apply_masks(df, rules), schema, staged, CloneSpec(masks=rules), (schema, table))
+    staged = new_name(table, "staged")
+    n = _fill(apply_masks(df, rules), schema, staged, CloneSpec(masks=rules), Definition.of(spark, schema, table))
     swap(spark, schema, staged, table)
     return n, len(rules)
 
 
-def _text(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def mask_sql(rule: MaskRule, kind: str) -> str:
-    """A mask as SQL text, for views that outlive the session."""
-    name = quoted(rule.column)
-    t = f"CAST({name} AS STRING)"
-    match rule.strategy:
-        case "email":
-            return f"CASE WHEN {t} IS NULL THEN NULL WHEN contains({t}, '@') THEN concat(left({t}, 1), '***@', split_part({t}, '@', 2)) ELSE '***' END"
-        case "name":
-            return f"CASE WHEN {t} IS NOT NULL THEN 'XXXX' END"
-        case "phone":
-            return f"CASE WHEN {t} IS NULL THEN NULL WHEN length({t}) > 4 THEN concat('***-', right({t}, 4)) ELSE '****' END"
-        case "partial":
-            return f"CASE WHEN {t} IS NULL THEN NULL WHEN length({t}) <= {rule.prefix + rule.suffix} THEN repeat('*', length({t})) ELSE concat(left({t}, {rule.prefix}), '***', right({t}, {rule.suffix})) END"
-        case "hash":
-            return f"md5({t})"
-        case "null":
-            return f"CAST(NULL AS {kind})"
-        case "random_int":
-            return f"CAST(floor(rand() * {rule.high - rule.low + 1} + {rule.low}) AS INT)"
-        case "constant":
-            return _text(rule.value)
-    raise SpecError(f"unknown mask strategy {rule.strategy!r}")
-
-
 class Policies:
     """Masked views and the table that says which role may read past them.
 
@@ -81,7 +53,7 @@ class Policies:
         base = self.spark.table(quoted(schema, table))
         if missing := [c for c in rules if c not in base.columns]:
             raise SpecError(f"mask rules for columns that do not exist: {', '.join(missing)}")
-        columns = (f"{mask_sql(rules[f.name], f.dataType.simpleString())} AS {quoted(f.name)}" if f.name in rules else quoted(f.name) for f in base.schema)
+        columns = (f"{mask_sql(rules[f.name], f.dataType, Spark())} AS {quoted(f.name)}" if f.name in rules else quoted(f.name) for f in base.schema)
         self.spark.sql(f"CREATE OR REPLACE VIEW {quoted(schema, f'{table}_masked')} AS SELECT {', '.join(columns)} FROM {quoted(schema, table)}")
         self._log(schema, table, role, sorted(rules), False)
         return f"{table}_masked"

@@ -14,6 +14,8 @@ from .clone import CloneResult, clone_schema
 
 EVENTS = "job_id long, parent_job_id long, ts timestamp, op_type string, schema_name string, table_name string, phase string, status string, tables_total long, rows long, bytes long, error string"
 WIDTH = 20
+#: States that a job does not leave by itself.
+ENDED = ("completed", "failed", "cancelled")
 
 
 def append(spark: SparkSession, schema: str, table: str, events: list[tuple]) -> None:
@@ -29,17 +31,21 @@ def latest(events: DataFrame) -> DataFrame:
 
 
 def progress(events: DataFrame, now: Column) -> DataFrame:
-    """One row per job: counts, percentage, elapsed time, a bar and a line of text. now: used for jobs still running."""
-    ended = F.col("status").isin("completed", "failed", "cancelled")
+    """One row per job: counts, percentage, elapsed time, a bar and a line of text. now: used for jobs still running.
+
+    A job that runs again after it had ended has no end. Tables left alone because they were there count as completed.
+    """
+    ended = F.col("status").isin(*ENDED)
     by = events.groupBy("job_id").agg(
         F.max_by(F.struct("op_type", "status", "phase", "schema_name", "table_name", "error"), F.struct("ts", "table_name")).alias("x"),
         F.max("tables_total").alias("tables_total"),
-        F.count_if(F.col("phase") == "done").alias("tables_completed"),
+        F.count_if(F.col("phase").isin("done", "skipped")).alias("tables_completed"),
         F.coalesce(F.sum("rows"), F.lit(0)).alias("rows_copied"),
         F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes_copied"),
         F.min("ts").alias("start_time"),
         F.max(F.when(ended, F.col("ts"))).alias("end_time"),
     )
+    by = by.withColumn("end_time", F.when(F.col("x.status").isin(*ENDED), F.col("end_time")))
     total = F.coalesce("tables_total", F.lit(0))
     pct = F.when(total > 0, F.col("tables_completed") * F.lit(100.0) / total).otherwise(F.lit(0.0))
     by = by.withColumns({"pct_complete": pct, "elapsed_ms": F.floor((F.unix_micros(F.coalesce("end_time", now).cast("timestamp")) - F.unix_micros(F.col("start_time").cast("timestamp"))) / 1000)})
@@ -59,11 +65,22 @@ def progress_json(events: DataFrame, now: Column) -> DataFrame:
 
 
 def roll_up(events: DataFrame) -> DataFrame:
-    """Parents of pooled jobs: children done and failed, and the parent's own status and phase."""
-    children = latest(events.where("parent_job_id is not null")).join(events.where("parent_job_id is not null").select("job_id", "parent_job_id").distinct(), "job_id")
-    by = children.groupBy("parent_job_id").agg(F.count(F.lit(1)).alias("children"), F.count_if(F.col("status") == "completed").alias("ok"), F.count_if(F.col("status") == "failed").alias("failed"))
-    phase = F.concat(F.lit("completed ("), F.col("ok").cast("string"), F.lit("/"), F.col("children").cast("string"), F.lit(" ok)"))
-    return by.select(F.col("parent_job_id").alias("job_id"), "children", "ok", "failed", F.when(F.col("failed") > 0, "failed").otherwise("completed").alias("status"), phase.alias("phase"))
+    """Parents of pooled jobs: children done, failed, cancelled and still to end, and the parent's own status and phase.
+
+    A parent runs until the last child has ended; it has failed if a child has, and is cancelled if one was and none failed.
+    """
+    own = events.where("parent_job_id is not null")
+    children = own.groupBy("job_id", "parent_job_id").agg(F.max_by("status", F.struct("ts", "table_name")).alias("status"))
+    count = lambda state: F.count_if(F.col("status") == state)
+    by = children.groupBy("parent_job_id").agg(
+        F.count(F.lit(1)).alias("children"), count("completed").alias("ok"), count("failed").alias("failed"), count("cancelled").alias("cancelled"),
+        F.count_if(~F.coalesce(F.col("status").isin(*ENDED), F.lit(False))).alias("running"),
+    )
+    status = F.when(F.col("running") > 0, "running").when(F.col("failed") > 0, "failed").when(F.col("cancelled") > 0, "cancelled").otherwise("completed")
+    done = F.concat(F.col("ok").cast("string"), F.lit("/"), F.col("children").cast("string"))
+    lost = F.when(F.col("failed") > 0, F.concat(F.lit(" ("), F.col("failed").cast("string"), F.lit(" failed)"))).otherwise("")
+    phase = F.when(F.col("running") > 0, F.concat(done, F.lit(" tables done"), lost)).otherwise(F.concat(F.lit("completed ("), done, F.lit(" ok)")))
+    return by.select(F.col("parent_job_id").alias("job_id"), "children", "ok", "failed", "cancelled", "running", status.alias("status"), phase.alias("phase"))
 
 
 def pending(plan: DataFrame, events: DataFrame) -> DataFrame:

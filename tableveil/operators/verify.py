@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.catalog import databases, quoted, tables
+from ..sources.jdbc import JdbcCatalog
 
 COUNTS = "schema_name string, table_name string, n long"
 
@@ -32,6 +33,12 @@ def catalog_counts(spark: SparkSession, schemas: list[str] | None = None, mode:
     return spark.createDataFrame(rows, COUNTS)
 
 
+def verify_copy(source: JdbcCatalog, target: str) -> DataFrame:
+    """`verify` of a schema behind JDBC, counted there, against its copy in the catalog."""
+    copies = catalog_counts(source.spark, [target]).withColumn("schema_name", F.lit(source.schema))
+    return verify(source.counts(), copies)
+
+
 def verify(source: DataFrame, target: DataFrame) -> DataFrame:
     """Source counts left-joined to target counts by table (and schema), with a mark for each."""
     other = target.select(F.col("schema_name").alias("__s"), F.col("table_name").alias("__t"), F.col("n").alias("__n"))

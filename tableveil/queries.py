@@ -724,8 +724,9 @@ def jobs_latest(spark, sf):
 
 # The text's share is left out here: the engines print exact halves apart (12.25 as 12.3 and 12.2).
 @query(
-    f"{_LAST}, sums AS (SELECT job_id, max(tables_total) AS tables_total, count(*) FILTER (phase = 'done') AS tables_completed, CAST(sum(rows) AS BIGINT) AS rows_copied, CAST(sum(bytes) AS BIGINT) AS bytes_copied, min(ts) AS start_time, "
-    f"max(ts) FILTER (status IN ('completed', 'failed', 'cancelled')) AS end_time FROM log GROUP BY job_id), p AS (SELECT *, tables_completed * 100.0::DOUBLE / tables_total AS pct_complete, (epoch_us(coalesce(end_time, TIMESTAMP '{NOW}')) - epoch_us(start_time)) // 1000 AS elapsed_ms FROM sums), "
+    f"{_LAST}, sums AS (SELECT job_id, max(tables_total) AS tables_total, count(*) FILTER (phase IN ('done', 'skipped')) AS tables_completed, CAST(sum(rows) AS BIGINT) AS rows_copied, CAST(sum(bytes) AS BIGINT) AS bytes_copied, min(ts) AS start_time, "
+    "CASE WHEN arg_max(status, (ts, table_name)) IN ('completed', 'failed', 'cancelled') THEN max(ts) FILTER (status IN ('completed', 'failed', 'cancelled')) END AS end_time FROM log GROUP BY job_id), "
+    f"p AS (SELECT *, tables_completed * 100.0::DOUBLE / tables_total AS pct_complete, (epoch_us(coalesce(end_time, TIMESTAMP '{NOW}')) - epoch_us(start_time)) // 1000 AS elapsed_ms FROM sums), "
     "b AS (SELECT *, CAST(least(20, floor(pct_complete / 100 * 20)) AS INT) AS k, CAST(floor(elapsed_ms / 1000) AS BIGINT) AS sec FROM p) "
     "SELECT job_id, op_type, status, phase, schema_name, table_name AS current_table, b.tables_total, tables_completed, rows_copied, bytes_copied, start_time, end_time, elapsed_ms, pct_complete, concat(repeat('█', k), repeat('░', 20 - k)) AS progress_bar, "
     "concat(rows_copied, ' rows | ', CASE WHEN sec // 3600 < 10 THEN concat('0', sec // 3600) ELSE CAST(sec // 3600 AS VARCHAR) END, ':', lpad(CAST(sec // 60 % 60 AS VARCHAR), 2, '0'), ':', lpad(CAST(sec % 60 AS VARCHAR), 2, '0'), ' elapsed') AS progress_tail, "
@@ -742,8 +743,10 @@ def progress_json(spark, sf):
 
 
 @query(
-    f"{_LAST} SELECT parent_job_id AS job_id, count(*) AS children, count(*) FILTER (status = 'completed') AS ok, count(*) FILTER (status = 'failed') AS failed, CASE WHEN count(*) FILTER (status = 'failed') > 0 THEN 'failed' ELSE 'completed' END AS status, "
-    "concat('completed (', count(*) FILTER (status = 'completed'), '/', count(*), ' ok)') AS phase FROM last WHERE parent_job_id IS NOT NULL GROUP BY 1"
+    f"{_LAST}, c AS (SELECT parent_job_id, count(*) AS children, count(*) FILTER (status = 'completed') AS ok, count(*) FILTER (status = 'failed') AS failed, count(*) FILTER (status = 'cancelled') AS cancelled, "
+    "count(*) FILTER (status IN ('running', 'pending')) AS running FROM last WHERE parent_job_id IS NOT NULL GROUP BY 1) SELECT parent_job_id AS job_id, children, ok, failed, cancelled, running, "
+    "CASE WHEN running > 0 THEN 'running' WHEN failed > 0 THEN 'failed' WHEN cancelled > 0 THEN 'cancelled' ELSE 'completed' END AS status, "
+    "CASE WHEN running > 0 THEN concat(ok, '/', children, ' tables done', CASE WHEN failed > 0 THEN concat(' (', failed, ' failed)') ELSE '' END) ELSE concat('completed (', ok, '/', children, ' ok)') END AS phase FROM c"
 )
 def pool_rollup(spark, sf):
     return runlog.roll_up(_log(spark, sf))

@@ -39,10 +39,14 @@ def views(spark: SparkSession, schema: str) -> dict[str, str]:
     return dict(sorted(out.items()))
 
 
+def table_property(spark: SparkSession, schema: str, table: str, name: str) -> str | None:
+    rows = spark.sql(f"SHOW TBLPROPERTIES {quoted(schema, table)}").collect()
+    return next((r["value"] for r in rows if r["key"] == name), None)
+
+
 def matview_query(spark: SparkSession, schema: str, table: str) -> str | None:
     """The query behind a table that is a materialized view."""
-    rows = spark.sql(f"SHOW TBLPROPERTIES {quoted(schema, table)}").collect()
-    return next((r["value"] for r in rows if r["key"] == MATVIEW), None)
+    return table_property(spark, schema, table, MATVIEW)
 
 
 def create_matview(spark: SparkSession, schema: str, name: str, query: str, replace: bool = False) -> None:

@@ -132,16 +132,39 @@ def test_data_copies_keep_the_definition(spark, shop):
 
 
 def test_a_stopped_swap_is_taken_up(spark, shop, monkeypatch):
+    class Killed(BaseException):
+        pass
+
+    def killed_at(monkeypatch, start):
+        """The session's next statement that begins so is not run."""
+        real = type(spark).sql
+
+        def sql(self, text, *args, **kwargs):
+            if text.startswith(start):
+                monkeypatch.undo()
+                raise Killed
+            return real(self, text, *args, **kwargs)
+
+        monkeypatch.setattr(type(spark), "sql", sql)
+
+    names = lambda: {t.name for t in spark.catalog.listTables("t_copy")}
     clone.clone_table(spark, shop, "items", "t_copy")
     # Stopped between the renames: only the old table is there, under its aside name.
-    spark.sql("ALTER TABLE t_copy.items RENAME TO items__aside")
+    killed_at(monkeypatch, "ALTER TABLE `t_copy`.`items__staged")
+    with pytest.raises(Killed):
+        clone.clone_table(spark, shop, "items", "t_copy", {"conflict": "replace", "where": "id = 1"})
+    assert "items" not in names()
     clone.recover(spark, "t_copy", "items")
-    assert spark.table("t_copy.items").count() == 3 and not spark.catalog.tableExists("t_copy.items__aside")
+    assert spark.table("t_copy.items").count() == 3 and not any("aside" in n for n in names())
     # Stopped before the old one was dropped.
-    spark.sql("CREATE TABLE t_copy.items__aside (x INT) USING parquet")
+    killed_at(monkeypatch, "DROP TABLE `t_copy`.`items__aside")
+    with pytest.raises(Killed):
+        clone.clone_table(spark, shop, "items", "t_copy", {"conflict": "replace", "where": "id < 3"})
     assert clone.clone_table(spark, shop, "items", "t_copy", {"conflict": "replace", "where": "id = 1"}).rows == 1
-    assert not spark.catalog.tableExists("t_copy.items__aside") and spark.table("t_copy.items").count() == 1
-    spark.sql("ALTER TABLE t_copy.items RENAME TO items__aside")
+    assert not any("aside" in n for n in names()) and spark.table("t_copy.items").count() == 1
+    killed_at(monkeypatch, "ALTER TABLE `t_copy`.`items__staged")
+    with pytest.raises(Killed):
+        masking.mask_in_place(spark, "t_copy", "items", {"name": "name"})
     assert masking.mask_in_place(spark, "t_copy", "items", {"name": "name"}) == (1, 1)
 
 
@@ -171,6 +194,33 @@ def test_resume_after_a_killed_run_doubles_nothing(spark, shop, monkeypatch):
     assert runlog.resume(spark, "t_log2", 1, shop, "t_copy") == []
 
 
+def _events(spark, rows):
+    """A log from (job, parent, minute, table, phase, status)."""
+    from datetime import datetime
+
+    return spark.createDataFrame([(j, p, datetime(2024, 1, 1, 0, m), "schema", "s", t, ph, st, 4, 5, 50, None) for j, p, m, t, ph, st in rows], runlog.EVENTS)
+
+
+def test_parents_run_until_the_last_child_has_ended(spark):
+    rows = [(1, 100, 0, "a", "done", "completed"), (2, 100, 0, "b", "copying", "running")]
+    seen = lambda rows: [(r["status"], r["phase"], r["running"]) for r in runlog.roll_up(_events(spark, rows)).orderBy("job_id").collect()]
+    assert seen(rows) == [("running", "1/2 tables done", 1)]
+    assert seen([*rows, (2, 100, 1, "b", "failed", "failed")]) == [("failed", "completed (1/2 ok)", 0)]
+    assert seen([(1, 100, 0, "a", "failed", "failed"), rows[1]]) == [("running", "0/2 tables done (1 failed)", 1)]
+    assert seen([*rows, (2, 100, 1, "b", "done", "cancelled")]) == [("cancelled", "completed (1/2 ok)", 0)]
+    assert seen([*rows, (2, 100, 1, "b", "done", "completed"), (3, 200, 0, None, "begin", "pending")]) == [("completed", "completed (2/2 ok)", 0), ("running", "0/1 tables done", 1)]
+
+
+def test_a_resumed_job_has_no_end_until_it_ends(spark):
+    first = [(1, None, 0, None, "begin", "running"), (1, None, 1, "a", "done", "running"), (1, None, 2, "b", "skipped", "running"), (1, None, 3, None, "end", "failed")]
+    again = [*first, (1, None, 10, None, "begin", "running"), (1, None, 11, "c", "done", "running")]
+    line = lambda rows: runlog.progress(_events(spark, rows), F.lit("2024-01-01 00:20:00").cast("timestamp")).first()
+    assert line(first)["end_time"].minute == 3 and line(first)["elapsed_ms"] == 180_000 and line(first)["tables_completed"] == 2
+    running = line(again)
+    assert running["end_time"] is None and running["elapsed_ms"] == 1_200_000 and not running["finished"] and running["pct_complete"] == 75
+    assert line([*again, (1, None, 12, "d", "done", "running"), (1, None, 12, None, "end", "completed")])["pct_complete"] == 100
+
+
 def test_literals_in_views_stay():
     text = "SELECT 't_shop.x' AS t, a.id FROM t_shop.items a JOIN `t_shop`.`empty` ON 'it''s t_shop.y' <> spark_catalog.t_shop.f"
     assert clone._retarget(text, "t_shop", "new") == "SELECT 't_shop.x' AS t, a.id FROM `new`.`items` a JOIN `new`.`empty` ON 'it''s t_shop.y' <> `new`.`f`"
