@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,15 +67,12 @@ def rules(spark: SparkSession) -> DataFrame:
 def classify(name: Column) -> Column:
     """struct(ord, category, strategy) of the first rule that the name matches, null without one.
 
-    The tests are one CASE that stops at the first match, in generated code; what the rule says is looked up in a
-    constant. _ is a plain character, case is ignored.
+    The rules are one pattern whose branches are tried in match order, each a look ahead for the rule's core; a match
+    leaves that core, which a constant map leads to the rule. _ is a plain character, case is ignored.
     """
-    low = F.lower(name)
-    first = None
-    for i, pattern, *_ in ordered():
-        core = F.lit(pattern.strip("%"))
-        test = F.contains(low, core) if pattern.endswith("%") else F.endswith(low, core)
-        first = F.when(test, i - 1) if first is None else first.when(test, i - 1)
-    text = lambda x: "'" + x.replace("'", "\\'") + "'"
-    known = F.expr("array(" + ", ".join(f"named_struct('ord', {i}, 'category', {text(c)}, 'strategy', {text(s)})" for i, _, c, s in ordered()) + ")")
-    return F.get(known, first)
+    cores = [(i, pattern.strip("%"), pattern.endswith("%"), category, strategy) for i, pattern, category, strategy in ordered()]
+    branches = "|".join(f"(?=.*?({re.escape(core)}){'' if inside else '$'}).*+" for _, core, inside, *_ in cores)
+    left = F.regexp_replace(F.lower(name), rf"(?s)\A(?:{branches})\z", "".join(f"${i}" for i, *_ in cores))
+    # What no rule matches is left as it is, and is no core, since a core matches itself.
+    entries = ", ".join(f"'{core}', named_struct('ord', {i}, 'category', '{category}', 'strategy', '{strategy}')" for i, core, _, category, strategy in cores)
+    return F.element_at(F.expr(f"map({entries})"), left)
