@@ -18,9 +18,15 @@ WIDTH = 20
 ENDED = ("completed", "failed", "cancelled")
 
 
-def append(spark: SparkSession, schema: str, table: str, events: list[tuple]) -> None:
+#: Appends of one driver go one by one: two at once would share the table's folder for files that are not committed yet.
+_ONE = Lock()
+
+
+def append(spark: SparkSession, schema: str, table: str, events: list[tuple], columns: str = EVENTS) -> None:
     """Writes events. They never carry connection options, so no password reaches the log."""
-    spark.createDataFrame(events, EVENTS).write.mode("append").saveAsTable(quoted(schema, table))
+    rows = spark.createDataFrame(events, columns).coalesce(1)
+    with _ONE:
+        rows.write.mode("append").saveAsTable(quoted(schema, table))
 
 
 def latest(events: DataFrame) -> DataFrame:
@@ -92,11 +98,9 @@ def run_schema(spark: SparkSession, log_schema: str, job_id: int, source: str, t
     """clone_schema with an event in the run log as each table begins and as it ends, so a stopped run has left its state."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(log_schema)}")
     total = len(tables(spark, source) if only is None else only)
-    lock = Lock()
 
     def log(table: str | None, phase: str, status: str, rows: int = 0, error: str | None = None) -> None:
-        with lock:
-            append(spark, log_schema, "run_log", [(job_id, None, datetime.now(), "schema", target, table, phase, status, total, rows, None, error or None)])
+        append(spark, log_schema, "run_log", [(job_id, None, datetime.now(), "schema", target, table, phase, status, total, rows, None, error or None)])
 
     def told(table: str, result: CloneResult | None) -> None:
         if result is None:

@@ -6,17 +6,19 @@ derived from the given tables by SQL that both engines read; {S} stands for the
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.masks import shape
-from .operators import checks, clone, diff, discover, masking, runlog, verify
+from .operators import checks, clone, diff, discover, masking, runlog, verify, versions
 from .plans.spec import CloneSpec
 from .sources import catalog
-from .streaming.masked_copy import masked_copy
+from .streaming.masked_copy import copy_into_table, masked_copy
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -295,6 +297,26 @@ def resume_pending(spark, sf):
     return runlog.pending(frame(spark, sf, _PLAN, "events"), frame(spark, sf, RUN_LOG, "events"))
 
 
+@query("SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus IS NOT NULL THEN 'XXXX' END AS o_orderstatus FROM orders WHERE o_totalprice > 1000")
+def copy_in_ranges(spark, sf):
+    """A copy range by range, run again when it is done: the second run finds every range in the manifest."""
+    fresh(spark, "tv_ranges", "tv_ranges_log")
+    options = {"columns": ["o_orderkey", "o_custkey", "o_orderstatus"], "where": "o_totalprice > 1000", "mask": {"o_orderstatus": "name"}}
+    for _ in range(2):
+        versions.copy_in_ranges(spark, "tv_ranges_log", 1, load(spark, sf, "orders"), "tv_ranges", "orders", options, parts=4)
+    return spark.table("tv_ranges.orders")
+
+
+@query("SELECT * FROM customer WHERE c_acctbal <= 0")
+def replace_version(spark, sf):
+    """A versioned table whose pointer moves to the new rows in one step."""
+    fresh(spark, "tv_versions")
+    for where in ("c_acctbal > 0", "c_acctbal <= 0"):
+        versions.replace_table(load(spark, sf, "customer"), "tv_versions", "customer", {"where": where})
+    versions.prune(spark, "tv_versions", "customer")
+    return spark.table("tv_versions.customer")
+
+
 # Projection, filter, masks
 
 
@@ -763,3 +785,18 @@ def stream_masked_copy(spark, sf):
     run.awaitTermination()
     return spark.read.parquet(f"{root}/out")
 
+
+@query("SELECT event_id, ts, user_id, 'XXXX' AS event_type, value, md5(props) AS props FROM events WHERE value > 50")
+def stream_table_copy(spark, sf):
+    """A stream into a catalog table that is lost between a batch's write and its commit, and started again."""
+    fresh(spark, "tv_stream", "tv_stream_log")
+    state = spark.catalog.getDatabase("tv_stream").locationUri.rstrip("/") + "/state"
+
+    def lost(number):
+        raise InterruptedError(f"lost after batch {number}")
+
+    for hook in (lost, None):
+        run = copy_into_table(spark, f"{sf}/events.parquet", load(spark, sf, "events").schema, "tv_stream", "events", state, {"where": "value > 50", "mask": {"event_type": "name", "props": "hash"}}, ("tv_stream_log", 1), written_batch=hook)
+        with contextlib.suppress(StreamingQueryException if hook else ()):
+            run.awaitTermination()
+    return spark.table("tv_stream.events")
