@@ -18,6 +18,7 @@ from .functions.masks import shape
 from .operators import checks, clone, diff, discover, masking, runlog, verify, versions
 from .plans.spec import CloneSpec
 from .sources import catalog
+from .sources.jdbc import JdbcCatalog
 from .streaming.masked_copy import copy_into_table, masked_copy
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -387,6 +388,31 @@ def mask_in_place(spark, sf):
     return spark.table("tv_in_place.people")
 
 
+def _database(spark, sf: str, name: str) -> JdbcCatalog:
+    """A table of ours in a database in memory (the Derby that comes with Spark), behind JDBC."""
+    url = f"jdbc:derby:memory:tv{uuid.uuid4().hex};create=true"
+    sized = {"createTableColumnTypes": ", ".join(f"{f.name} VARCHAR(64)" for f in load(spark, sf, name).schema if f.dataType.simpleString() == "string")}
+    load(spark, sf, name).coalesce(1).write.format("jdbc").options(url=url, dbtable=name, **sized).save()
+    return JdbcCatalog(spark, url, "APP")
+
+
+@query(f"SELECT c_custkey, {PARTIAL.format(n=5, p=2, s=3).replace('full_name', 'c_name')} AS c_name, c_nationkey, c_acctbal, {PHONE.replace('phone', 'c_mktsegment')} AS c_mktsegment FROM customer")
+def jdbc_masked_copy(spark, sf):
+    """A schema behind JDBC, copied with masks that the database computes."""
+    fresh(spark, "tv_jdbc")
+    clone.clone_jdbc_schema(_database(spark, sf, "customer"), "tv_jdbc", masks={"customer": {"c_name": {"type": "partial", "prefix": 2, "suffix": 3}, "c_mktsegment": "phone"}})
+    return spark.table("tv_jdbc.customer")
+
+
+@query("SELECT 'APP' AS schema_name, 'supplier' AS table_name, count(*) AS source_rows, count(*) AS target_rows, '✓' AS match FROM supplier")
+def jdbc_verify(spark, sf):
+    """Counts of a schema behind JDBC, taken there, against its copy."""
+    there = _database(spark, sf, "supplier")
+    fresh(spark, "tv_jdbc_v")
+    clone.clone_jdbc_schema(there, "tv_jdbc_v")
+    return verify.verify_copy(there, "tv_jdbc_v")
+
+
 def _policy(spark, sf, schema):
     fresh(spark, schema)
     clone.clone_frame(people(spark, sf), schema, "people")
