@@ -15,6 +15,7 @@ from ..functions.masks import shape
 from ..plans.spec import CloneSpec, SpecError, check_database_name, check_schema_name
 from ..sources.catalog import create_matview, databases, definition, matview_query, quoted, read_jdbc, table_property, tables, views
 from ..sources.jdbc import JdbcCatalog, read_masked
+from .checks import constraint_pass
 
 
 @dataclass(frozen=True)
@@ -300,13 +301,13 @@ def clone_views(spark: SparkSession, source: str, target: str, prefix: str = "",
 
 def clone_schema(
     spark: SparkSession, source: str, target: str, options=None, masks: dict[str, dict] | None = None, only: list[str] | None = None,
-    prefix: str = "", told: Callable[[str, CloneResult | None], None] | None = None,
+    prefix: str = "", told: Callable[[str, CloneResult | None], None] | None = None, reads: dict[str, set[str]] | None = None,
 ) -> list[CloneResult]:
     """Copies a schema's tables in name order, then its views, then its materialized views, which are computed anew.
 
     masks gives rules per table. With `parallel` that many tables are copied at once, and one that fails does not stop
     the rest. prefix stands before every name in the target. told(table, None) is called as a table begins, and
-    told(table, result) as it ends.
+    told(table, result) as it ends. reads: tables that each table refers to and that are copied before it.
     """
     spec = CloneSpec.read(options)
     if not spark.catalog.databaseExists(source):
@@ -326,11 +327,10 @@ def clone_schema(
             told(table, result)
         return result
 
-    if spec.parallel > 1:
-        with ThreadPoolExecutor(min(spec.parallel, max(1, len(plain)))) as pool:
-            out = list(pool.map(one, plain))
-    else:
-        out = [one(t) for t in plain]
+    out = []
+    with ThreadPoolExecutor(max(1, min(spec.parallel, len(plain)))) as pool:
+        for group in levels(plain, reads or {}):
+            out += pool.map(one, group)
     if spec.views:
         out += clone_views(spark, source, target, prefix, tuple(every))
     if spec.matviews:
@@ -348,6 +348,19 @@ def clone_schema(
     return out
 
 
+def clone_schema_checked(spark: SparkSession, source: str, target: str, constraints: DataFrame, options=None, masks: dict[str, dict] | None = None) -> tuple[list[CloneResult], DataFrame]:
+    """clone_schema with parents copied before the tables that refer to them, and then the target's constraints.
+
+    constraints: catalog.CONSTRAINTS of the source. Tables that refer to one another in a cycle are copied last, together.
+    Returns what was copied and the verdicts (checks.VERDICTS) over the copies.
+    """
+    reads: dict[str, set[str]] = {}
+    for r in constraints.where("kind = 'f'").select("table_name", "ref_table").distinct().collect():
+        reads.setdefault(r["table_name"], set()).add(r["ref_table"])
+    results = clone_schema(spark, source, target, options, masks=masks, reads=reads)
+    return results, constraint_pass(spark, target, constraints)
+
+
 def clone_database(spark: SparkSession, schemas: list[str] | None = None, prefix: str = "copy_", options=None) -> list[CloneResult]:
     """Copies every schema, ascending, each into one named with the prefix."""
     chosen = sorted(schemas) if schemas is not None else [d for d in databases(spark) if not d.startswith(prefix)]

@@ -634,6 +634,25 @@ def constraint_pass(spark, sf):
     return checks.constraint_pass(spark, "tv_cp", spark.createDataFrame(_RULES, catalog.CONSTRAINTS), "_copy")
 
 
+@query(
+    " UNION ALL ".join(
+        _verdict(t, c, k, v).replace("'s' AS schema_name", "'tv_cc' AS schema_name")
+        for t, c, k, v in (
+            ("lineitem", "lineitem_pkey", "p", "SELECT count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)"),
+            ("orders", "orders_pkey", "p", "SELECT count(*) FROM (SELECT 1 FROM orders GROUP BY o_orderkey HAVING count(*) > 1)"),
+            ("orders", "orders_price_check", "c", "SELECT count(*) FROM orders WHERE o_totalprice <= 1000"),
+            ("lineitem", "lineitem_order_fkey", "f", "SELECT count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)"),
+            ("orders", "orders_customer_fkey", "f", "SELECT count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)"),
+        )
+    )
+)
+def clone_schema_checked(spark, sf):
+    """A schema copied parents first, and the constraints of its copy, in one call."""
+    source(spark, sf, "tv_cc_src", "lineitem", "orders", "customer")
+    fresh(spark, "tv_cc")
+    return clone.clone_schema_checked(spark, "tv_cc_src", "tv_cc", spark.createDataFrame(_RULES, catalog.CONSTRAINTS), {"parallel": 2})[1]
+
+
 # Constraints of derived tables: one per order, over two of ten columns.
 _CONSTRAINTS = "SELECT concat('t', CAST(o_orderkey % 50 AS {S})) AS table_name, concat('t', CAST(o_orderkey % 50 AS {S}), '_key', CAST(o_orderkey AS {S})) AS name, 'u' AS kind, concat('c', CAST(o_orderkey % 10 AS {S})) AS a, concat('c', CAST(o_custkey % 10 AS {S})) AS b FROM orders"
 

@@ -268,3 +268,15 @@ def test_long_ranges_meet_in_any_number_of_slices(spark, slices):
     got = {(r["left_id"], r["right_id"]) for r in checks.exclusion_pairs(df, "k", "lo", "hi", "id", slices).collect()}
     assert got == {(1, 2), (1, 5), (3, 5)}
     assert {r["id"] for r in checks.overlapping_rows(df, "k", "lo", "hi", "id", slices).collect()} == {2, 3, 5}
+
+
+def test_parents_are_copied_first_and_cycles_end(spark, shop):
+    fresh(spark, "t_tree", "t_tree_copy")
+    for name in ("a_lines", "b_orders", "c_people", "d_x", "e_y"):
+        spark.sql(f"CREATE TABLE t_tree.{name} AS SELECT id, id % 3 AS other FROM range(3)")
+    spark.sql("INSERT INTO t_tree.a_lines VALUES (9, 77)")
+    rule = lambda t, ref: ("t_tree", t, f"{t}_fkey", "f", ["other"], None, ref, ["id"])
+    rules = spark.createDataFrame([rule("a_lines", "b_orders"), rule("b_orders", "c_people"), rule("d_x", "e_y"), rule("e_y", "d_x")], catalog.CONSTRAINTS)
+    results, verdicts = clone.clone_schema_checked(spark, "t_tree", "t_tree_copy", rules, {"parallel": 3})
+    assert [r.table_name for r in results] == ["c_people", "b_orders", "a_lines", "d_x", "e_y"] and {r.status for r in results} == {"done"}
+    assert {r["table_name"]: r["violations"] for r in verdicts.collect()} == {"a_lines": 1, "b_orders": 0, "d_x": 0, "e_y": 0}
