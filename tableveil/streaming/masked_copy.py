@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -41,24 +42,27 @@ class BatchLog(StreamingQueryListener):
 
     def __init__(self, spark: SparkSession, log_schema: str, job_id: int, schema: str, table: str):
         self.spark, self.log_schema, self.job_id, self.schema, self.table = spark, log_schema, job_id, schema, table
-        self.id, self.sizes = None, {}
+        # A restarted stream keeps its id, so that a run is known by its own: the name is set before it starts.
+        self.name, self.run, self.sizes = f"{schema}.{table}-{uuid.uuid4().hex}", None, {}
 
     def event(self, phase: str, status: str, rows: int = 0, size: int | None = None, error: str | None = None) -> None:
         append(self.spark, self.log_schema, "run_log", [(self.job_id, None, datetime.now(), "stream", self.schema, self.table, phase, status, 1, rows, size, error)])
 
     def onQueryStarted(self, event) -> None:
-        """The stream's own begin is logged by `copy_into_table`, which knows its id."""
+        # Spark calls this before `start` returns.
+        if event.name == self.name:
+            self.run = str(event.runId)
 
     def onQueryIdle(self, event) -> None:
         """Nothing was copied."""
 
     def onQueryProgress(self, event) -> None:
         # A batch is told of once it is committed, so one that is repeated after a failure counts once.
-        if str(event.progress.id) == self.id and (size := self.sizes.pop(event.progress.batchId, None)):
+        if str(event.progress.runId) == self.run and (size := self.sizes.pop(event.progress.batchId, None)):
             self.event("copying", "running", *size)
 
     def onQueryTerminated(self, event) -> None:
-        if str(event.id) == self.id:
+        if str(event.runId) == self.run:
             lost = event.exception
             self.event("failed" if lost else "done", "failed" if lost else "completed", error=lost.splitlines()[0][:500] if lost else None)
             self.spark.streams.removeListener(self)
@@ -93,7 +97,5 @@ def copy_into_table(
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(log[0])}")
         spark.streams.addListener(told)
         told.event("begin", "running")
-    query = rows.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
-    if told:
-        told.id = str(query.id)
-    return query
+    writer = rows.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)
+    return (writer.queryName(told.name) if told else writer).trigger(**(trigger or {"availableNow": True})).start()

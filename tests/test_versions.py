@@ -149,7 +149,7 @@ def test_streams_write_every_row_once(spark, people):
     spark.range(1000, 1005).selectExpr("id - 1000 - 5 AS id", "'x' AS email").coalesce(1).write.mode("append").parquet(people)
     run().awaitTermination()
     assert spark.table("v_stream.people").count() == 905
-    for _ in range(50):  # the listener hears of the end a little later
+    for _ in range(150):  # the listener hears of the end a little later
         spark.catalog.refreshTable("v_stream_log.run_log")
         line = runlog.progress(spark.table("v_stream_log.run_log"), F.current_timestamp()).first()
         if line["finished"] and line["rows_copied"] == 905:
