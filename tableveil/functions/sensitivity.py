@@ -64,15 +64,23 @@ def rules(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(ordered(), "ord int, pattern string, category string, strategy string")
 
 
+def _pattern(cores: list[tuple[str, bool]]) -> str:
+    """Looks ahead at every place of a name for a core. Cores that can match at one place begin alike, so they are grouped
+    by their first character and tried in match order within a group."""
+    groups: dict[str, list[str]] = {}
+    for core, inside in cores:
+        groups.setdefault(core[0], []).append(re.escape(core[1:]) + ("" if inside else r"\z"))
+    return "(?=(" + "|".join(f"{re.escape(first)}(?:{'|'.join(rest)})" for first, rest in groups.items()) + "))"
+
+
 def classify(name: Column) -> Column:
     """struct(ord, category, strategy) of the first rule that the name matches, null without one.
 
-    The rules are one pattern whose branches are tried in match order, each a look ahead for the rule's core; a match
-    leaves that core, which a constant map leads to the rule. _ is a plain character, case is ignored.
+    One pass of a pattern finds the cores in the name, overlapping ones too; the smallest order among them is looked up
+    in constants. _ is a plain character, case is ignored.
     """
-    cores = [(i, pattern.strip("%"), pattern.endswith("%"), category, strategy) for i, pattern, category, strategy in ordered()]
-    branches = "|".join(f"(?=.*?({re.escape(core)}){'' if inside else '$'}).*+" for _, core, inside, *_ in cores)
-    left = F.regexp_replace(F.lower(name), rf"(?s)\A(?:{branches})\z", "".join(f"${i}" for i, *_ in cores))
-    # What no rule matches is left as it is, and is no core, since a core matches itself.
-    entries = ", ".join(f"'{core}', named_struct('ord', {i}, 'category', '{category}', 'strategy', '{strategy}')" for i, core, _, category, strategy in cores)
-    return F.element_at(F.expr(f"map({entries})"), left)
+    cores = [(pattern.strip("%"), pattern.endswith("%")) for _, pattern, *_ in ordered()]
+    found = F.regexp_extract_all(F.lower(name), F.lit(_pattern(cores)), F.lit(1))
+    orders = F.expr("map(" + ", ".join(f"'{core}', {i}" for i, (core, _) in enumerate(cores, 1)) + ")")
+    rules = F.expr("array(" + ", ".join(f"named_struct('ord', {i}, 'category', '{category}', 'strategy', '{strategy}')" for i, _, category, strategy in ordered()) + ")")
+    return F.get(rules, F.array_min(F.transform(found, lambda core: F.element_at(orders, core))) - 1)

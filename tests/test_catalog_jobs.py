@@ -94,6 +94,17 @@ def test_first_rule_wins(spark):
     assert {r["n"]: r["s"] for r in got} == names and len(ordered()) == 42
 
 
+def test_rules_equal_brute_force(spark):
+    import random
+
+    rng = random.Random(1)
+    parts = [p.strip("%") for _, p, *_ in ordered()] + ["x", "_", "a", "id", "e", "name", "zi", "p", "\n", "."]
+    names = ["".join(rng.choice(parts) for _ in range(rng.randrange(5))) for _ in range(3000)]
+    want = {n: next((i for i, p, *_ in ordered() if (p.strip("%") in n if p.endswith("%") else n.endswith(p.strip("%")))), None) for n in names}
+    got = spark.createDataFrame([(n,) for n in want], "n string").select("n", classify(F.upper("n"))["ord"].alias("o")).collect()
+    assert {r["n"]: r["o"] for r in got} == want
+
+
 def test_checks_with_nulls_and_empty(spark):
     df = spark.createDataFrame([(1, None), (1, 2), (None, 3), (None, 3)], "a int, b int")
     first = lambda x: x.first()["violations"]
