@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from tableveil.functions.sensitivity import classify, ordered, rules
 from tableveil.operators import checks, clone, diff, masking, runlog, verify
 from tableveil.plans.spec import SpecError
-from tableveil.queries import fresh
+from tableveil.queries import fresh, source
 from tableveil.sources import catalog
 
 
@@ -291,3 +291,46 @@ def test_parents_are_copied_first_and_cycles_end(spark, shop):
     results, verdicts = clone.clone_schema_checked(spark, "t_tree", "t_tree_copy", rules, {"parallel": 3})
     assert [r.table_name for r in results] == ["c_people", "b_orders", "a_lines", "d_x", "e_y"] and {r.status for r in results} == {"done"}
     assert {r["table_name"]: r["violations"] for r in verdicts.collect()} == {"a_lines": 1, "b_orders": 0, "d_x": 0, "e_y": 0}
+
+
+def test_a_constraint_pass_reads_each_table_once(spark):
+    fresh(spark, "t_rules")
+    parent = [(1, 1.5, None, b"a"), (2, 2.5, "x", b"b"), (2, 0.0, "x", b"b"), (None, -0.0, None, None)]
+    spark.createDataFrame(parent, "`i d` int, d double, s string, b binary").write.saveAsTable("t_rules.par")
+    child = [(1, 1.5, "x", 0), (2, 9.0, None, 1), (7, None, "y", 2), (None, 0.0, "x,y", 3), (7, 2.5, "x", 4)]
+    spark.createDataFrame(child, "ref long, d double, s string, n int").write.saveAsTable("t_rules.chi")
+    spark.createDataFrame([], "ref long, n int").write.saveAsTable("t_rules.none")
+    rule = lambda t, name, kind, columns, predicate=None, ref=None, refs=None: ("t_rules", t, name, kind, columns, predicate, ref, refs)
+    rules = [
+        rule("par", "par_pkey", "p", ["i d"]), rule("par", "par_d", "u", ["d"]), rule("par", "par_b", "u", ["b"]), rule("par", "par_two", "u", ["s", "i d"]),
+        rule("par", "nulls", "n", ["i d", "s"]), rule("chi", "chi_fkey", "f", ["ref"], None, "par", ["i d"]), rule("chi", "chi_two", "f", ["s", "ref"], None, "par", ["s", "i d"]),
+        rule("chi", "chi_d", "f", ["d"], None, "par", ["d"]), rule("chi", "chi_self", "f", ["n"], None, "chi", ["ref"]), rule("chi", "chi_n", "c", ["n"], "n < 3"),
+        rule("chi", "chi_s", "c", ["s"], "s <> 'x'"), rule("none", "none_pkey", "p", ["ref"]), rule("none", "none_fkey", "f", ["n"], None, "par", ["i d"]),
+        rule("chi", "gone", "u", ["zzz"]), rule("zzz", "zzz", "u", ["ref"]), rule("chi", "no_parent", "f", ["ref"], None, "zzz", ["ref"]),
+    ]
+    found = checks.constraint_pass(spark, "t_rules", spark.createDataFrame(rules, catalog.CONSTRAINTS))
+    got = {r["constraint"]: r["violations"] for r in found.collect()}
+    assert got == {
+        "par_pkey": 2, "par_d": 1, "par_b": 1, "par_two": 1, "par_i d_not_null": 1, "par_s_not_null": 2, "chi_fkey": 2, "chi_two": 3, "chi_d": 1, "chi_self": 3,
+        "chi_n": 2, "chi_s": 2, "none_pkey": 0, "none_fkey": 0,
+    }
+    assert all(r["ok"] == (r["violations"] == 0) for r in found.collect())
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert [plan.count(f"t_rules.{t}") + plan.count(f"t_rules`.`{t}`") for t in ("par", "chi", "none")] == [1, 1, 1]
+    assert checks.constraint_pass(spark, "t_rules", spark.createDataFrame([], catalog.CONSTRAINTS)).count() == 0
+
+
+def test_a_constraint_pass_equals_the_single_checks(spark, sf):
+    source(spark, sf, "t_pass", "lineitem", "orders")
+    rules = [
+        ("t_pass", "lineitem", "k", "p", ["l_orderkey", "l_linenumber"], None, None, None), ("t_pass", "lineitem", "day", "u", ["l_shipdate"], None, None, None),
+        ("t_pass", "lineitem", "tax", "u", ["l_tax", "l_discount"], None, None, None), ("t_pass", "lineitem", "f", "f", ["l_partkey"], None, "orders", ["o_custkey"]),
+        ("t_pass", "orders", "c", "c", ["o_totalprice"], "o_totalprice > 100000", None, None),
+    ]
+    got = {r["constraint"]: r["violations"] for r in checks.constraint_pass(spark, "t_pass", spark.createDataFrame(rules, catalog.CONSTRAINTS)).collect()}
+    lines, orders = spark.table("t_pass.lineitem"), spark.table("t_pass.orders")
+    single = [
+        checks.primary_key(lines, rules[0][4], "", "", "k"), checks.unique(lines, rules[1][4], "", "", "day"), checks.unique(lines, rules[2][4], "", "", "tax"),
+        checks.foreign_key(lines, ["l_partkey"], orders, ["o_custkey"], "", "", "f"), checks.predicate(orders, rules[4][5], "", "", "c"),
+    ]
+    assert got == {r["constraint"]: r["violations"] for v in single for r in v.collect()} and got["f"] > 0 and got["day"] > 0
