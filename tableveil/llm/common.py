@@ -69,15 +69,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 LABELS, LONGEST = 1000, 200_000
 
 
-def bounded_sample(rows: DataFrame, label: str, text: str | Column, each: int) -> list:
+def bounded_sample(rows: DataFrame, label: str, text: str | Column, each: int, labels: int = LABELS, longest: int = LONGEST) -> list:
     """About `each` distinct (label, text) rows of every label, the same on every run; exact copies count once.
 
     A count per label gives the share that a hash of the row must fall under, so nothing is sorted or gathered
-    but the sample itself, whose size does not grow with the input: at most LABELS labels and texts of LONGEST
-    characters take part.
+    but the sample itself, whose size does not grow with the input: the `labels` most frequent labels take part, and
+    texts of at most `longest` characters.
     """
-    rows = rows.select(F.col(label).alias("label"), (F.col(text) if isinstance(text, str) else text).alias("text")).where(f"label is not null and length(text) <= {LONGEST}")
-    counts = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(LABELS).collect()
+    rows = rows.select(F.col(label).alias("label"), (F.col(text) if isinstance(text, str) else text).alias("text")).where(f"label is not null and length(text) <= {longest}")
+    counts = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(labels).collect()
     if not counts:
         return []
     rows = rows.withColumn("h", F.xxhash64(F.col("label").cast("string"), "text"))

@@ -6,9 +6,12 @@ are learned as well, from sequences in which pieces of several languages follow
 every word's posterior, and a text's language is the one with the largest mean posterior, which is its score. The words'
 own labels are returned as spans of one language each, which is what code-switched texts are read for.
 
-The model is fitted on a bounded sample of labelled texts (`each` per language) and is a few megabytes whatever the
-input's size; every text is labelled whole. A very long text is a run of sequences of about SEQUENCE characters, cut
-between words, whose posteriors are added up; so memory and the number of steps stay bounded.
+The model is fitted on a bounded sample of labelled texts (`each` per language, none longer than `longest` characters, of
+the `languages` most frequent languages: parameters of `fit`) and is a few megabytes whatever the input's size; every text
+is labelled whole, as one chain. A very long text is read in parts of about SEQUENCE characters, cut between words: what a
+part makes of any label before it is one small matrix, the matrices' products are the messages that the chain sends
+over each cut from either side, and with these each part's posteriors are those of the whole chain. So memory and the number
+of steps stay bounded (a run of over 2 * SEQUENCE letters is cut in itself).
 
 Defined cases: null texts, empty texts and texts without letters give `und` with score 0; without labelled rows every
 text gives `und`, and `reject` drops only texts without letters; of languages that tie the first by name is taken; rows are
@@ -24,12 +27,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, fold, pieces, sliced, table
+from .common import LABELS, LONGEST, bounded_sample, fold, pieces, sliced, table
 
 BUCKETS = 1 << 16
 ORDERS = (2, 3, 4)
-#: Characters of one sequence of words, and of the texts that are labelled at once.
-SEQUENCE, SLICE = 1 << 16, 1 << 20
+#: Characters of one part of a text, and of the texts that are labelled at once (fewer if there are many languages).
+SEQUENCE, SLICE = 1 << 14, 1 << 20
 #: Labelled texts that the model is fitted on, per language.
 SAMPLE = 120
 ROUNDS = 30
@@ -108,17 +111,40 @@ class Model:
         found = np.add.reduceat(total, words.segments(), axis=0)
         return found + self.entries[self.looked_up(words) if entries is None else entries]
 
-    def posteriors(self, emissions: np.ndarray, starts: np.ndarray, lengths: np.ndarray, pairs: bool = False):
-        """Forward-backward over all sequences at once, longest first; with pairs also the expected moves."""
+    def potentials(self, emissions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The words' and the moves' potentials, each divided by its largest."""
+        return np.exp(emissions - emissions.max(axis=1, keepdims=True)), np.exp(self.moves - self.moves.max())
+
+    def passages(self, emissions: np.ndarray, starts: np.ndarray, lengths: np.ndarray, heads: np.ndarray) -> np.ndarray:
+        """For each sequence the weight (up to a factor) of all paths from a label before it to a label of its last word;
+        a sequence at the `heads` of a chain has none before it, so there it is a label of its first word."""
+        e, move = self.potentials(emissions)
+        order = np.argsort(-lengths, kind="stable")
+        starts, lengths, heads, n = starts[order], lengths[order], heads[order], len(move)
+        most = int(lengths[0]) if len(lengths) else 0
+        live = np.searchsorted(-lengths, -np.arange(most), side="left")
+        out = np.where(heads[:, None, None], np.eye(len(move), dtype=np.float32), move)
+        for t in range(most):
+            k = live[t]
+            m = (out[:k].reshape(-1, n) @ move).reshape(-1, n, n) if t else out[:k]
+            m = m * e[starts[:k] + t][:, None, :]
+            out[:k] = m / m.reshape(-1, n * n).max(axis=1)[:, None, None]
+        back = np.empty_like(out)
+        back[order] = out
+        return back
+
+    def posteriors(self, emissions: np.ndarray, starts: np.ndarray, lengths: np.ndarray, pairs: bool = False, before: np.ndarray | None = None, after: np.ndarray | None = None):
+        """Forward-backward over all sequences at once, longest first; with pairs also the expected moves. before and
+        after: the messages to each sequence's first and last word from the rest of its chain."""
         n = len(self.labels)
-        e = np.exp(emissions - emissions.max(axis=1, keepdims=True))
-        move = np.exp(self.moves - self.moves.max())
+        e, move = self.potentials(emissions)
         order = np.argsort(-lengths, kind="stable")
         starts, lengths = starts[order], lengths[order]
         most = int(lengths[0]) if len(lengths) else 0
         live = np.searchsorted(-lengths, -np.arange(most), side="left")  # sequences longer than t
         alpha = np.empty_like(e)
-        a = np.full((len(lengths), n), 1.0 / n, np.float32)
+        a = np.full((len(lengths), n), 1.0 / n, np.float32) if before is None else before[order]
+        last = np.ones((len(lengths), n), np.float32) if after is None else after[order]
         for t in range(most):
             at = starts[: live[t]] + t
             a = (a[: live[t]] @ move if t else a[: live[t]]) * e[at]
@@ -130,7 +156,7 @@ class Model:
         for t in range(most - 1, -1, -1):
             k = live[t]
             at = starts[:k] + t
-            grown = np.ones((k, n), np.float32)
+            grown = last[:k].copy()
             if len(b):
                 pull = e[at[: len(b)] + 1] * b
                 grown[: len(b)] = pull @ move.T
@@ -143,6 +169,45 @@ class Model:
             b = grown
         return (gamma, expected) if pairs else gamma
 
+    def batches(self, parts: list[str], which) -> Iterator[tuple[np.ndarray, "Words", np.ndarray, np.ndarray]]:
+        """Some of the parts at a time, longest first, as parts of like length share their steps: those that have words,
+        their words, and where these begin and how many they are."""
+        order = sorted(which, key=lambda k: -len(parts[k]))
+        for a, b in sliced([parts[k] for k in order], max(SEQUENCE, 4 * SLICE // max(4, len(self.labels)))):
+            words = Words([parts[k] for k in order[a:b]])
+            counts = np.diff(words.doc_at)
+            has = np.flatnonzero(counts)
+            if len(has):
+                yield np.array(order[a:b])[has], words, words.doc_at[has], counts[has]
+
+    def messages(self, parts: list[str], whose: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What the words before and after each part of a text say of its first and its last word."""
+        n = len(self.labels)
+        before, after = np.full((len(parts), n), 1.0 / n, np.float32), np.ones((len(parts), n), np.float32)
+        same = whose[1:] == whose[:-1]
+        cut = np.flatnonzero(np.append(same, False) | np.append(False, same))
+        cut = [k for k in cut.tolist() if any(map(str.isalpha, parts[k]))]  # parts without words say nothing
+        of = whose[cut]
+        head, tail = np.ones(len(cut), bool), np.ones(len(cut), bool)
+        head[1:] = tail[:-1] = of[1:] != of[:-1]
+        heads = np.zeros(len(parts), bool)
+        heads[cut] = head
+        through: dict[int, np.ndarray] = {}
+        for some, words, starts, counts in self.batches(parts, cut):
+            through.update(zip(some.tolist(), self.passages(self.emissions(words), starts, counts, heads[some]), strict=True))
+        move = self.potentials(np.zeros((1, n), np.float32))[1]
+        unit = lambda x: x / x.sum()
+        said = before[0] if parts else None
+        for k, first in zip(cut, head, strict=True):
+            if not first:
+                before[k] = unit(said @ move)
+            said = unit((before[k] if first else said) @ through[k])
+        for k, final in zip(cut[::-1], tail[::-1], strict=True):
+            if not final:
+                after[k] = said
+            said = unit(through[k] @ after[k])
+        return before, after
+
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray, list[list[tuple[int, int, int]]]]:
         """Each text's language and score, and its spans: (first word, words, label) of neighbours of one language."""
         owner, parts = [], []
@@ -153,24 +218,17 @@ class Model:
         names, scores, spans = np.full(len(texts), "und", object), np.zeros(len(texts)), [[] for _ in texts]
         if not self.labels:
             return names.tolist(), scores, spans
-        sums, seen = np.zeros((len(texts), len(self.labels))), np.zeros(len(texts), np.int64)
-        # Sequences of like length share their steps; the parts of a text keep their order when they are added up.
-        order = sorted(range(len(parts)), key=lambda k: -len(parts[k]))
+        n, whose = len(self.labels), np.array(owner, np.int64)
+        before, after = self.messages(parts, whose)
+        sums, seen = np.zeros((len(texts), n)), np.zeros(len(texts), np.int64)
         labels: list = [None] * len(parts)
-        for a, b in sliced([parts[k] for k in order], SLICE):
-            some = order[a:b]
-            words = Words([parts[k] for k in some])
-            counts = np.diff(words.doc_at)
-            has = np.flatnonzero(counts)
-            if not len(has):
-                continue
-            gamma = self.posteriors(self.emissions(words), words.doc_at[has], counts[has])
-            whose = np.array(owner)[np.array(some)[has]]
-            np.add.at(sums, whose, np.add.reduceat(gamma.astype(np.float64), words.doc_at[has], axis=0))
-            np.add.at(seen, whose, counts[has])
+        for some, words, starts, counts in self.batches(parts, range(len(parts))):
+            gamma = self.posteriors(self.emissions(words), starts, counts, before=before[some], after=after[some])
+            np.add.at(sums, whose[some], np.add.reduceat(gamma.astype(np.float64), starts, axis=0))
+            np.add.at(seen, whose[some], counts)
             best = gamma.argmax(axis=1).astype(np.int16)
-            for k in has:
-                labels[some[k]] = best[words.doc_at[k] : words.doc_at[k + 1]]
+            for k, at, size in zip(some, starts, counts, strict=True):
+                labels[k] = best[at : at + size]
         known = np.flatnonzero(seen)
         mean = sums[known] / seen[known, None]
         names[known] = np.array(self.labels, object)[mean.argmax(axis=1)]
@@ -251,8 +309,8 @@ def train(sample: list, rounds: int = ROUNDS) -> Model:
     return model
 
 
-def fit(docs: DataFrame, label: str = "lang", text: str = "text", each: int = SAMPLE) -> Model:
-    return train(bounded_sample(docs, label, text, each))
+def fit(docs: DataFrame, label: str = "lang", text: str = "text", each: int = SAMPLE, languages: int = LABELS, longest: int = LONGEST) -> Model:
+    return train(bounded_sample(docs, label, text, each, languages, longest))
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:

@@ -196,8 +196,6 @@ def test_language_of_held_out_texts(corpus):
 
 
 def test_forward_backward_equals_enumeration():
-    import itertools
-
     rng = np.random.default_rng(1)
     model = language_id.Model(["a", "b", "c"], np.zeros(0, np.uint64))
     model.moves = rng.normal(size=(3, 3)).astype(np.float32)
@@ -239,19 +237,50 @@ def test_words_of_code_switched_texts(make, corpus):
     assert sum(x == "en" for x in labels[:words]) > 0.9 * words and sum(x == "de" for x in labels[words:]) > 0.9 * (len(labels) - words)
 
 
-def test_a_very_long_text_is_labelled_in_sequences(corpus, monkeypatch):
+@pytest.mark.parametrize("size", [90, 300, 3000])
+def test_a_long_text_is_one_chain(corpus, monkeypatch, size):
     model = language_id.fit(corpus, each=20)
-    texts = [r["text"] for r in corpus.where("lang = 'en' and length(text) > 1000").orderBy("doc_id").limit(3).collect()]
+    found = [r["text"] for r in corpus.where("length(text) between 50 and 3000").orderBy("doc_id").limit(60).collect()]
+    texts = ["1 2 3 \n" * 100 + " ".join(found[k::6]) + " 4 5" * 400 + found[k] for k in range(6)] + ["7 " * 900, "", found[0]]
     whole = model.predict(texts)
-    monkeypatch.setattr(language_id, "SEQUENCE", 300)
+    monkeypatch.setattr(language_id, "SEQUENCE", size)
     parts = model.predict(texts)
-    assert parts[0] == whole[0] and np.allclose(parts[1], whole[1], atol=0.05)
-    assert [sum(n for _, n, _ in s) for s in parts[2]] == [sum(n for _, n, _ in s) for s in whole[2]]
-    monkeypatch.setattr(language_id, "SEQUENCE", 1 << 16)
-    names, scores, _ = model.predict([texts[0] * (5_000_000 // len(texts[0])), "q" * 300_000, texts[0]])
+    assert parts[0] == whole[0] and np.allclose(parts[1], whole[1], atol=1e-6) and parts[2] == whole[2]
+
+
+def test_messages_equal_enumeration():
+    rng = np.random.default_rng(2)
+    model = language_id.Model(["a", "b", "c"], np.zeros(0, np.uint64))
+    model.moves = rng.normal(size=(3, 3)).astype(np.float32)
+    e = rng.normal(size=(8, 3)).astype(np.float32)
+    first, second = model.passages(e, np.array([0, 3]), np.array([3, 5]), np.array([True, False]))
+    word, move = model.potentials(e)
+    ends = lambda start, path: math.prod(word[start + t, y] for t, y in enumerate(path)) * math.prod(move[a, b] for a, b in itertools.pairwise(path))
+    for got, start, n in ((first, 0, 3), (second, 3, 5)):
+        want = np.zeros((3, 3))
+        for before in range(3):
+            for path in itertools.product(range(3), repeat=n):
+                if start:
+                    want[before, path[-1]] += move[before, path[0]] * ends(start, path)
+                elif path[0] == before:
+                    want[before, path[-1]] += ends(start, path)
+        assert np.allclose(got / got.sum(), want / want.sum(), atol=1e-5)
+
+
+def test_a_very_long_text_has_a_language(corpus):
+    model = language_id.fit(corpus, each=20)
+    text = corpus.where("lang = 'en' and length(text) > 1000").orderBy("doc_id").first()["text"]
+    names, scores, _ = model.predict([text * (5_000_000 // len(text)), "q" * 300_000, text])
     assert names[0] == names[2] and abs(scores[0] - scores[2]) < 0.05 and names[1] != "und"
 
 
+def test_samples_are_bounded_by_their_parameters(make):
+    rows = [(i, "word " * (i + 1), f"l{i % 3}", "a") for i in range(30)] + [(99, "more", "l0", "a")]
+    assert language_id.fit(make(rows, DOCS), languages=2).labels == ["l0", "l1"]
+    sample = common.bounded_sample(make(rows, DOCS), "lang", "text", 100, longest=50)
+    assert len(sample) == 11 and max(len(r["text"]) for r in sample) == 50
+
+
 def test_texts_stay_where_no_language_is_labelled(make):
     rows = [(1, "some words", None, "a"), (2, "日本語", None, "a"), (3, "12 34 !", None, "a"), (4, None, None, "a"), (5, "", None, "a")]
     assert {r["doc_id"] for r in language_id.reject(make(rows, DOCS)).collect()} == {1, 2}
@@ -698,15 +727,42 @@ def test_votes_equal_brute_force():
         assert abs(score - sum(w * y for w, (_, y) in zip(weights, near, strict=True)) / sum(weights)) < 1e-3
 
 
-def test_ties_all_vote_and_long_texts_are_counted_in_pieces(monkeypatch):
+def test_ties_all_vote():
     voters = quality_classifier.Voters(["ab cd"] * 6 + ["### xx"], [1, 0, 1, 0, 0, 0, 1], rank=4)
     assert math.isclose(voters.score(["ab cd"], k=2)[0], 2 / 6, abs_tol=1e-3)
-    text = "some words stand here and there, line by line\n" * 60
-    whole = quality_classifier.terms([text, "x"])
-    monkeypatch.setattr(quality_classifier, "PIECE", 500)
-    assert np.allclose(whole, quality_classifier.terms([text, "x"]), atol=0.05)
+
+
+@pytest.mark.parametrize("size", [7, 60, 900])
+def test_terms_of_a_long_text_are_those_of_one_reading(corpus, monkeypatch, size):
+    texts = [r["text"] for r in corpus.where("text is not null").orderBy("doc_id").limit(60).collect()]
+    texts += ["some words stand here and there, line by line\n" * 60, "\n" * 2000 + "a b c a b c\n" * 99 + " \n \n" * 500 + "a b c", "x\u0085y \u00a0 \u65e5\u672c\n" * 40, "", "\n"]
+    texts = [t for t in texts if max(map(len, blank_words(t)), default=0) < size]
+    whole = quality_classifier.terms(texts)
+    one_by_one = np.concatenate([quality_classifier.terms([t]) for t in texts])
+    monkeypatch.setattr(quality_classifier, "PIECE", size)
+    assert len(texts) > 3 and np.array_equal(whole, quality_classifier.terms(texts)) and np.array_equal(whole, one_by_one)
     monkeypatch.setattr(quality_classifier, "PIECE", 1 << 20)
-    assert quality_classifier.terms([text * 2000]).shape == (1, quality_classifier.TERMS)
+    assert quality_classifier.terms([texts[0] * 9000, "q" * 4_000_000]).shape == (2, quality_classifier.TERMS)
+
+
+def test_shapes_equal_brute_force():
+    text = "a b, c\na b, c -- a a\n\nb, c -- longer\n"
+    words, lines = text.split(), [line.split() for line in text.split("\n") if line.split()]
+    runs = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    repeated = [runs.count(r) > 1 for r in runs] + [False] * 2
+    begins = [sum(map(len, lines[:k])) for k in range(len(lines))]
+    want = {25: words.count("--"), 26: words.count("--"), 32: sum(repeated), 33: len(lines), 34: sum(repeated[b] for b in begins)}
+    want |= {26 + k: sum(words[i] == words[i - k] for i in range(k, len(words))) for k in range(1, 6)} | {n: sum(len(w) == n for w in words) for n in (1, 2, 6)}
+    got = quality_classifier.terms([text])[0, quality_classifier.TRIGRAMS :]
+    for at, n in want.items():
+        assert math.isclose(got[at], quality_classifier.SHAPE_WEIGHT * math.sqrt(n / len(words)), rel_tol=1e-6), at
+
+
+def test_votes_are_bounded_by_characters(make):
+    docs = make([(i, f"text {i:04}", None, None) for i in range(50)] + [(50, "y" * 300, None, None)], DOCS)
+    labels = make([(i, i % 2) for i in range(51)], "doc_id long, quality int")
+    count = lambda **bounds: len(quality_classifier.fit(docs, labels, **bounds).labels)
+    assert count() == 51 and count(longest=299) == 50 and count(longest=299, characters=95) == 10 and count(kinds=1) in (25, 26)
 
 
 def test_quality_edge_cases(make):
