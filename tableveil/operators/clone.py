@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.masks import shape
 from ..plans.spec import CloneSpec, SpecError, check_database_name, check_schema_name
-from ..sources.catalog import create_matview, databases, definition, matview_query, quoted, read_jdbc, table_property, tables, views
+from ..sources.catalog import create_matview, databases, definition, matview_query, quoted, read_jdbc, relations_read, table_property, tables, views
 from ..sources.jdbc import JdbcCatalog, read_masked
 from .checks import constraint_pass
 
@@ -276,25 +276,44 @@ def _retarget(text: str, source: str, target: str, prefix: str = "", names: tupl
     return "".join(part if i % 2 else change(part) for i, part in enumerate(_LITERAL.split(text)))
 
 
-def clone_views(spark: SparkSession, source: str, target: str, prefix: str = "", names: tuple[str, ...] = ()) -> list[CloneResult]:
-    """Makes every view anew over the target's tables; views on views wait for those they read."""
-    left, out = views(spark, source), []
-    names = (*names, *left)
+def clone_queries(
+    spark: SparkSession, source: str, target: str, kept: dict[str, str], computed: dict[str, str], prefix: str = "", names: tuple[str, ...] = (),
+    spec: CloneSpec | None = None, told: Callable[[str, CloneResult | None], None] | None = None,
+) -> list[CloneResult]:
+    """Makes views (kept) and materialized views (computed) anew over the target's tables, each after those it reads.
+
+    What each reads is taken from the plans that Spark resolves in the source. All that read nothing unmade are made at
+    once, `parallel` at a time; one that fails does not stop the rest, and what reads it fails in its turn. names: the
+    source's tables, which carry the prefix in the target.
+    """
+    spec, texts = spec or CloneSpec(), kept | computed
     before = spark.catalog.currentDatabase()
-    spark.catalog.setCurrentDatabase(target)
     try:
-        while left:
-            failed = {}
-            for name, text in left.items():
-                try:
-                    spark.sql(f"CREATE OR REPLACE VIEW {quoted(target, prefix + name)} AS {_retarget(text, source, target, prefix, names)}")
-                    out.append(CloneResult(target, prefix + name, "done"))
-                except Exception as e:  # noqa: BLE001
-                    failed[name] = (text, str(e))
-            if len(failed) == len(left):
-                return out + [CloneResult(target, prefix + n, "failed", error=e.splitlines()[0][:500]) for n, (_, e) in failed.items()]
-            left = {n: t for n, (t, _) in failed.items()}
-        return out
+        spark.catalog.setCurrentDatabase(source)
+        reads = {n: relations_read(spark, source, q) for n, q in texts.items()}
+        spark.catalog.setCurrentDatabase(target)
+
+        def one(name: str) -> CloneResult:
+            if told and name in computed:
+                told(name, None)
+            try:
+                # Only what the query reads takes the prefix, so its columns and aliases may be called like other tables.
+                own = tuple(n for n in (*names, *texts) if n in reads[name] or not reads[name])
+                query = _retarget(texts[name], source, target, prefix, own)
+                if name in kept:
+                    spark.sql(f"CREATE OR REPLACE VIEW {quoted(target, prefix + name)} AS {query}")
+                    result = CloneResult(target, prefix + name, "done")
+                else:
+                    create_matview(spark, target, prefix + name, query, replace=spec.conflict == "replace")
+                    result = CloneResult(target, prefix + name, "done", spark.table(quoted(target, prefix + name)).count())
+            except Exception as e:  # noqa: BLE001
+                result = CloneResult(target, prefix + name, "failed", error=str(e).splitlines()[0][:500])
+            if told and name in computed:
+                told(name, result)
+            return result
+
+        with ThreadPoolExecutor(max(1, min(spec.parallel, len(texts)))) as pool:
+            return [r for group in levels(list(texts), reads) for r in pool.map(one, group)]
     finally:
         spark.catalog.setCurrentDatabase(before)
 
@@ -303,7 +322,8 @@ def clone_schema(
     spark: SparkSession, source: str, target: str, options=None, masks: dict[str, dict] | None = None, only: list[str] | None = None,
     prefix: str = "", told: Callable[[str, CloneResult | None], None] | None = None, reads: dict[str, set[str]] | None = None,
 ) -> list[CloneResult]:
-    """Copies a schema's tables in name order, then its views, then its materialized views, which are computed anew.
+    """Copies a schema's tables in name order, then its views and materialized views in the order in which they read one
+    another; materialized views are computed anew.
 
     masks gives rules per table. With `parallel` that many tables are copied at once, and one that fails does not stop
     the rest. prefix stands before every name in the target. told(table, None) is called as a table begins, and
@@ -331,21 +351,8 @@ def clone_schema(
     with ThreadPoolExecutor(max(1, min(spec.parallel, len(plain)))) as pool:
         for group in levels(plain, reads or {}):
             out += pool.map(one, group)
-    if spec.views:
-        out += clone_views(spark, source, target, prefix, tuple(every))
-    if spec.matviews:
-        before = spark.catalog.currentDatabase()
-        spark.catalog.setCurrentDatabase(target)
-        for name, query in queries.items():
-            try:
-                create_matview(spark, target, prefix + name, _retarget(query, source, target, prefix, tuple(every)), replace=spec.conflict == "replace")
-                out.append(CloneResult(target, prefix + name, "done", spark.table(quoted(target, prefix + name)).count()))
-            except Exception as e:  # noqa: BLE001
-                out.append(CloneResult(target, prefix + name, "failed", error=str(e).splitlines()[0][:500]))
-            if told:
-                told(name, out[-1])
-        spark.catalog.setCurrentDatabase(before)
-    return out
+    kept, computed = views(spark, source) if spec.views else {}, queries if spec.matviews else {}
+    return out + clone_queries(spark, source, target, kept, computed, prefix, tuple(every), spec, told)
 
 
 def clone_schema_checked(spark: SparkSession, source: str, target: str, constraints: DataFrame, options=None, masks: dict[str, dict] | None = None) -> tuple[list[CloneResult], DataFrame]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,6 +59,27 @@ def create_matview(spark: SparkSession, schema: str, name: str, query: str, repl
     spark.sql(f"CREATE TABLE {quoted(schema, name)} USING parquet TBLPROPERTIES ('{MATVIEW}' = '{held}') AS {query}")
 
 
+_NAME = r"(`(?:[^`]|``)+`|\w+)"
+_RELATION = re.compile(rf"^[ :+-]*SubqueryAlias spark_catalog\.{_NAME}\.{_NAME}$", re.M)
+
+
+def relations_read(spark: SparkSession, schema: str, query: str) -> set[str]:
+    """Tables and views of a schema that a query reads, those inside its views too; empty where it does not resolve.
+
+    Names come from the plan that Spark resolves, so CTEs, aliases and texts named like a table are none.
+    """
+    plan = spark.sql(f"EXPLAIN EXTENDED {query.rstrip().rstrip(';')}").first()[0]
+    analyzed = plan.partition("== Analyzed Logical Plan ==")[2].partition("== Optimized Logical Plan ==")[0]
+    bare = lambda name: name[1:-1].replace("``", "`") if name.startswith("`") else name
+    return {bare(table) for db, table in _RELATION.findall(analyzed) if bare(db) == schema.lower()}
+
+
+def in_threads(get, names: list[str]) -> list:
+    """get(name) for every name; calls to the catalog wait for one another's answers at most eight at a time."""
+    with ThreadPoolExecutor(8) as pool:
+        return list(pool.map(get, names))
+
+
 def definition(spark: SparkSession, schema: str, table: str) -> tuple[list[dict], list[str]]:
     """A table's columns (column_name, type, not_null, default) and the columns it is partitioned by."""
     described = json.loads(spark.sql(f"DESCRIBE EXTENDED {quoted(schema, table)} AS JSON").first()[0])
@@ -72,7 +94,9 @@ def definition(spark: SparkSession, schema: str, table: str) -> tuple[list[dict]
 
 def columns_snapshot(spark: SparkSession, schema: str) -> DataFrame:
     """Columns of all tables of a schema, from the catalog."""
-    rows = [(schema, t, c["column_name"], i, c["type"], c["not_null"], c["default"]) for t in tables(spark, schema) for i, c in enumerate(definition(spark, schema, t)[0], 1)]
+    names = tables(spark, schema)
+    found = zip(names, in_threads(lambda t: definition(spark, schema, t)[0], names), strict=True)
+    rows = [(schema, t, c["column_name"], i, c["type"], c["not_null"], c["default"]) for t, columns in found for i, c in enumerate(columns, 1)]
     return spark.createDataFrame(rows, COLUMNS)
 
 
@@ -82,7 +106,8 @@ def objects_snapshot(spark: SparkSession, schema: str, constraints: DataFrame |
     Definitions name no schema, so those of two schemas can be compared.
     """
     bare = re.compile(rf"(?:`?spark_catalog`?\.)?`?{re.escape(schema)}`?\.")
-    texts = views(spark, schema) | {t: q for t in tables(spark, schema) if (q := matview_query(spark, schema, t))}
+    names = tables(spark, schema)
+    texts = views(spark, schema) | {t: q for t, q in zip(names, in_threads(lambda t: matview_query(spark, schema, t), names), strict=True) if q}
     out = spark.createDataFrame([(schema, "views", n, None, bare.sub("", q).replace("`", "")) for n, q in texts.items()], OBJECTS)
     if constraints is not None:
         own = constraints.where(F.col("schema_name") == schema)

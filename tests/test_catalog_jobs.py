@@ -52,6 +52,30 @@ def test_schema_with_views_on_views(spark, shop):
         clone.clone_schema(spark, "no_such_schema", "t_copy")
 
 
+def test_views_and_matviews_are_made_in_the_order_they_read_one_another(spark, shop):
+    catalog.create_matview(spark, shop, "z_base", "SELECT id, price FROM t_shop.items")
+    spark.sql("CREATE VIEW t_shop.y_over AS SELECT max(id) AS m FROM t_shop.z_base")  # a view on a materialized view
+    catalog.create_matview(spark, shop, "a_last", "WITH empty AS (SELECT m FROM t_shop.y_over) SELECT m, 'empty' AS tag FROM empty")
+    spark.sql("CREATE VIEW t_shop.b_both AS SELECT z.id AS items FROM t_shop.z_base AS z JOIN t_shop.y_over ON z.id = m")
+    spark.sql("CREATE TABLE t_shop.gone (x INT) USING parquet")
+    spark.sql("CREATE VIEW t_shop.broken AS SELECT x FROM t_shop.gone")
+    spark.sql("CREATE VIEW t_shop.c_on_broken AS SELECT x FROM t_shop.broken")
+    spark.sql("DROP TABLE t_shop.gone")
+    assert catalog.relations_read(spark, shop, "WITH empty AS (SELECT * FROM t_shop.y_over) SELECT 't_shop.items', m FROM empty;") == {"y_over", "z_base"}
+    results = {r.table_name: r for r in clone.clone_schema(spark, shop, "t_copy", {"parallel": 3})}
+    assert {n for n, r in results.items() if r.status == "failed"} == {"broken", "c_on_broken"} and results["broken"].error
+    assert (spark.table("t_copy.a_last").first().asDict(), spark.table("t_copy.b_both").first()["items"]) == ({"m": 3, "tag": "empty"}, 3)
+    assert spark.catalog.currentDatabase() == "default"
+    # With a prefix, a CTE or a column named like a table that the query does not read keeps its name.
+    fresh(spark, "t_one")
+    clone.clone_schema(spark, shop, "t_one", prefix="s__")
+    assert spark.table("t_one.s__a_last").first()["tag"] == "empty" and spark.table("t_one.s__b_both").columns == ["items"]
+
+
+def test_views_that_read_one_another_in_a_cycle_end():
+    assert clone.levels(["a", "b", "c"], {"a": {"b"}, "b": {"a"}, "c": {"a"}}) == [["a", "b", "c"]]
+
+
 def test_in_place_and_policies(spark, shop):
     clone.clone_table(spark, shop, "items", "t_copy")
     policies = masking.Policies(spark, "t_copy")
