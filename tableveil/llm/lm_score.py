@@ -6,7 +6,7 @@ begins after blanks. A byte is looked up from the longest context down. In a con
 a symbol seen c times has the probability (c - 1/2) / N, and V / 2N is the escape to the next shorter context (method D);
 symbols that a longer context has seen are excluded from the shorter ones, counts and kinds. Below order 0 all bytes left
 are equally likely. On top stands an adaptive order: a context of OWN bytes that the text itself had before predicts by
-the same rule, with its escape blended into the trie's probability; it starts anew every PIECE bytes of a very long text.
+the same rule, with its escape blended into the trie's probability.
 The score is the sum of the bytes' log10 probabilities, a proper distribution over texts.
 
 The trie is never in one place. All orders above LOW of a context share its last three bytes, so a hash of these deals
@@ -23,13 +23,15 @@ counts at any size of the corpus, are broadcast. In steps:
 
 Defined cases: a null or empty text is its end token alone; a null id has the fold of the empty text (trained on);
 repeated rows count and are scored each; ties do not arise, as nothing is ranked; a very long text is a block of its own
-and is read PIECE bytes at a time; without training texts all counts are 0 and all bytes are equally likely; an empty
+and is read PIECE bytes at a time, with what its own contexts were followed by carried on, so its score is that of one
+reading; without training texts all counts are 0 and all bytes are equally likely; an empty
 table gives an empty result; extra columns are left out, so clashing names do no harm. The input must be read from files
 (see `stored`).
 """
 
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain, pairwise
 from zlib import crc32
 
 import numpy as np
@@ -176,31 +178,100 @@ def log10(trie: list[Order], grams: np.ndarray) -> np.ndarray:
     return np.log10(np.where(seen, p, left / np.maximum(256 - gone_kinds, 1)))
 
 
-def adapt(p: np.ndarray, symbols: np.ndarray, contexts: np.ndarray, owner: np.ndarray) -> np.ndarray:
-    """Probabilities after the text's own long contexts have been heard; places of a text are in order."""
-    contexts = contexts ^ (owner.astype(np.uint64) + np.uint64(1)) * _MULT
+class Sums:
+    """Sums by key in sorted runs, each at least twice as long as the next, so n additions cost about n log n in all."""
+
+    def __init__(self):
+        self.runs: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def add(self, keys: np.ndarray, values: np.ndarray) -> None:
+        run = summed(keys, values)
+        while self.runs and len(self.runs[-1][0]) < 2 * len(run[0]):
+            run = summed(*(np.concatenate(x) for x in zip(self.runs.pop(), run, strict=True)))
+        self.runs.append(run)
+
+    def of(self, asked: np.ndarray) -> np.ndarray:
+        return sum((found(keys, asked, values).astype(np.int64) for keys, values in self.runs), np.zeros(len(asked), np.int64))
+
+
+class Heard:
+    """What followed the long contexts of one text in the pieces read so far: 28 bytes or less per byte of the text."""
+
+    def __init__(self):
+        self.contexts, self.pairs = Sums(), Sums()
+
+    @staticmethod
+    def pair(contexts: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        mixed = (contexts + symbols.astype(np.uint64) + np.uint64(1)) * _MULT
+        return mixed ^ mixed >> np.uint64(31)
+
+    def add(self, contexts: np.ndarray, symbols: np.ndarray) -> None:
+        pairs, at, n = np.unique(self.pair(contexts, symbols), return_index=True, return_counts=True)
+        fresh = contexts[at][self.pairs.of(pairs) == 0]
+        # Events stand above the low 32 bits of a context's value, kinds in them.
+        self.contexts.add(np.append(contexts, fresh), np.append(np.full(len(contexts), 1 << 32), np.ones(len(fresh), np.int64)))
+        self.pairs.add(pairs, n.astype(np.int32))
+
+    def of(self, contexts: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Events and kinds of the contexts, and how often each symbol followed."""
+        both = self.contexts.of(contexts)
+        return both >> 32, both & 0xFFFFFFFF, self.pairs.of(self.pair(contexts, symbols))
+
+
+def adapt(p: np.ndarray, symbols: np.ndarray, contexts: np.ndarray, heard: Heard | None = None, going_on: int = 0) -> np.ndarray:
+    """Probabilities after the texts' own long contexts have been heard; places of a text are in order.
+
+    contexts differ between texts. The first `going_on` places go on with the text whose earlier pieces are in `heard`.
+    """
     # Most contexts stand once: a table of their hashes' last bits tells which may stand again.
     low = (contexts >> np.uint64(43)).astype(np.int64)
-    again = np.flatnonzero(np.bincount(low, minlength=1 << 21)[low] > 1)
+    may = np.bincount(low, minlength=1 << 21)[low] > 1
+    if heard:
+        may[:going_on] = True
+    again = np.flatnonzero(may)
     order = again[np.argsort(contexts[again], kind="stable")]
     c, s = contexts[order], symbols[order]
+    old_events, old_kinds, old_count = (np.zeros(len(order), np.int64) for _ in range(3))
+    if heard:
+        on = order < going_on
+        old_events[on], old_kinds[on], old_count[on] = heard.of(c[on], s[on])
     place = np.arange(len(order))
     first = np.maximum.accumulate(np.where(np.append(True, c[1:] != c[:-1]), place, 0)) if len(order) else place
-    events = place - first
+    events = place - first + old_events
     # The same within (context, symbol): counts of the symbol before, and which symbols were new.
     pair = np.lexsort((place, s, c))
     fresh = np.append(True, (c[pair][1:] != c[pair][:-1]) | (s[pair][1:] != s[pair][:-1])) if len(order) else np.zeros(0, bool)
     count = np.empty(len(order), np.int64)
     count[pair] = np.arange(len(order)) - np.maximum.accumulate(np.where(fresh, np.arange(len(order)), 0))
+    count += old_count
     new = np.cumsum(count == 0) - (count == 0)
-    kinds = new - new[first] if len(order) else new
-    heard = events > 0
+    kinds = old_kinds + new - new[first] if len(order) else new
+    known = events > 0
     out = p.copy()
-    at = order[heard]
-    out[at] = (np.maximum(count[heard] - 0.5, 0) + 0.5 * kinds[heard] * p[at]) / events[heard]
+    at = order[known]
+    out[at] = (np.maximum(count[known] - 0.5, 0) + 0.5 * kinds[known] * p[at]) / events[known]
     return out
 
 
+def scored(texts: Iterable[bytes | None], n: int, trie: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """log10 of each of n texts; trie: the probabilities that the trie gives to byte strings of ORDER + 1."""
+    score, heard, going_on = np.zeros(n), None, -1
+    for (owner, pieces), (coming, _) in pairwise(chain(together(texts), [([-1], [])])):
+        here, contexts = grams(pieces)
+        sizes = [len(x) - OWN for x in pieces]
+        whose = np.repeat(np.array(owner), sizes)
+        contexts ^= (whose.astype(np.uint64) + np.uint64(1)) * _MULT
+        if owner[0] != going_on:
+            heard = None
+        score += np.bincount(whose, np.log10(adapt(trie(here), here & 255, contexts, heard, sizes[0])), n)
+        going_on = coming[0]
+        if going_on == owner[-1]:  # the last text has a further piece
+            if heard is None or len(owner) > 1:
+                heard = Heard()
+            heard.add(contexts[-sizes[-1] :], here[-sizes[-1] :] & 255)
+    return score
+
+
 def packed(x: np.ndarray | list[bytes]) -> bytes:
     """Numbers, or words joined by blanks, compressed."""
     return zstandard.compress(b" ".join(x) if isinstance(x, list) else x.tobytes(), 1)
@@ -386,12 +457,8 @@ def score_documents(docs: DataFrame) -> DataFrame:
                 values.append(_numbers(x, np.float32))
         strings, p = pd.Index(np.concatenate(keys)), np.concatenate(values)
         texts = rows.column("text")
-        score, base, tokens, known = (np.zeros(len(texts)) for _ in range(4))
-        for owner, pieces in together(x.as_py() for x in texts):
-            here, contexts = grams(pieces)
-            whose = np.repeat(np.arange(len(pieces)), [len(x) - OWN for x in pieces])
-            chance = adapt(10.0 ** p[strings.get_indexer(here)].astype(np.float64), here & 255, contexts, whose)
-            score += np.bincount(np.array(owner)[whose], np.log10(chance), len(texts))
+        base, tokens, known = (np.zeros(len(texts)) for _ in range(3))
+        score = scored((x.as_py() for x in texts), len(texts), lambda here: 10.0 ** p[strings.get_indexer(here)].astype(np.float64))
         for i, text in enumerate(texts):
             for words in (*runs(text.as_py()), [b""]):
                 c = np.fromiter(map(counts.__getitem__, words), np.int64, len(words))

@@ -396,6 +396,26 @@ def test_long_texts_are_read_in_pieces(monkeypatch):
         assert all(len(p) <= 101 + lm_score.OWN for p in pieces)
 
 
+def test_pieces_of_a_long_text_score_as_one_reading(monkeypatch):
+    rng = random.Random(8)
+    said = [" ".join(rng.choice(["red", "fox", "ran", "theatre"]) for _ in range(9)) for _ in range(7)]
+    texts = [" ".join(rng.choice(said) for _ in range(30)).encode(), b"red fox", b"", None, (said[0] + " ").encode() * 40, b"ab" * 900, b"red fox"]
+    trie = lambda here: (here % 251 + 1) / 600
+    one = lm_score.scored(texts, len(texts), trie)
+    for i in (0, 4, 5):  # by the definition, with counters
+        t, mine, total = b" " * 12 + b"".join(w + b" " for w in [*texts[i].split(), b""]), collections.defaultdict(collections.Counter), 0.0
+        for j in range(12, len(t)):
+            p, before = trie(int.from_bytes(t[j - 5 : j + 1], "big")), mine[t[j - 12 : j]]
+            if before:
+                p = (max(before[t[j]] - 0.5, 0) + 0.5 * len(before) * p) / sum(before.values())
+            before[t[j]] += 1
+            total += math.log10(p)
+        assert math.isclose(one[i], total, rel_tol=1e-9)
+    for piece in (40, 97, 500):
+        monkeypatch.setattr(lm_score, "PIECE", piece)
+        assert np.allclose(lm_score.scored(texts, len(texts), trie), one, rtol=1e-9)
+
+
 def test_held_out_scores_beat_the_base(spark):
     got = registry.queries()["op4_lm_score"](spark, "/root/testdata/sf0.1").where("held_out").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()
     assert got["s"] > got["b"]
@@ -423,6 +443,18 @@ def test_mix_meets_targets(make):
     assert set(sizes) == set(range(8)) and max(sizes.values()) < 2 * min(sizes.values())
 
 
+def test_mix_places_rows_without_id_by_their_text(make):
+    rows = [(None, " ".join(["w"] * (i % 7 + 1)) + f" x{i}", "en", "big") for i in range(600)] + [(None, None, "en", "big")] * 300 + [(i, "a b c", "en", "b") for i in range(100)]
+    docs = make(rows, DOCS)
+    got = source_mix.mix(docs, shards=8, blocks=64).collect()
+    assert len(got) == len(rows) and len({r["place"] for r in got if r["doc_id"] is None}) == 601
+    for source in ("big", "b"):
+        group = [r for r in got if r["source"] == source]
+        assert abs(sum(r["taken"] for r in group) - group[0]["target"]) <= 1
+    assert {r["taken"] for r in got if not r["size"]} == {0}
+    assert sorted(map(str, got)) == sorted(map(str, source_mix.mix(docs.repartition(5), shards=8, blocks=64).collect()))
+
+
 def test_mix_edge_cases(make):
     got = source_mix.mix(make([(*r, 1) for r in EDGES], DOCS + ", taken int")).collect()
     assert len(got) == len(EDGES) and sum(r["taken"] for r in got) > 0
