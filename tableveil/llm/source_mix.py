@@ -12,8 +12,8 @@ each source in which its quota ends is divided the same way, by LEVELS more hash
 cut in turn; so no task orders more than a source's share of 1 / (2048 * 32 * 32), whatever the source's size. Texts are
 shuffled once, by `emit`, which puts the drawn documents of a shard together in random order.
 
-Defined cases: a null text has size 0; a null source is a source, the last one; null ids and repeated rows take part
-like any other row (repeated rows fall into one block); sources without words have target 0; an empty table gives an
+Defined cases: a null text has size 0; a null source is a source, the last one; a row with a null id is
+placed by its text, so such rows spread; repeated rows (of one id, or of one text without id) fall into one block; sources without words have target 0; an empty table gives an
 empty result; extra columns are left out, or carried to `emit` under their own names; documents that tie in the order of
 a cut part are taken by id, then size; a very long text is one row and taken by its size alone.
 """
@@ -31,8 +31,9 @@ LEVELS, SPLIT = 2, 32
 
 
 def sizes(docs: DataFrame, text: str = "text") -> DataFrame:
-    """doc_id, source, size and, as one struct, the document itself."""
-    return docs.select("doc_id", "source", F.size(blank_words(whole(text))).cast("long").alias("size"), F.struct(*docs.columns).alias("__row"))
+    """doc_id, source, size, the digest of a text without id, and, as one struct, the document itself."""
+    own = F.when(F.col("doc_id").isNull(), F.md5(text)).alias("own")
+    return docs.select("doc_id", "source", own, F.size(blank_words(whole(text))).cast("long").alias("size"), F.struct(*docs.columns).alias("__row"))
 
 
 def targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
@@ -66,7 +67,8 @@ def block_of(sized: DataFrame, goals: DataFrame, blocks: int = BLOCKS) -> DataFr
     goals = goals.withColumnRenamed("source", "__source")
     # One row per source; Spark broadcasts it by its size.
     joined = sized.join(goals, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
-    return joined.withColumns({"block": _modulo(_key("block", F.col("doc_id")), F.col("n_blocks")), "place": _key("place", F.col("doc_id"))})
+    key = F.coalesce(F.col("doc_id").cast("string"), "own")
+    return joined.withColumns({"block": _modulo(_key("block", key), F.col("n_blocks")), "place": _key("place", key)})
 
 
 def plan(placed: DataFrame, shards: int = SHARDS) -> DataFrame:
@@ -122,7 +124,7 @@ def draw(placed: DataFrame, planned: DataFrame, parts: DataFrame) -> DataFrame:
     """placed with taken (words, repeats counted), last (those of the last pass) and the shard of each draw."""
     planned = planned.withColumnsRenamed({"source": "__source", "block": "__block"})
     rows = placed.join(planned, F.col("source").eqNullSafe(F.col("__source")) & (F.col("block") == F.col("__block"))).drop("__source", "__block")
-    inside = (F.col("part") > 0) & (F.col("part") < F.col("words"))
+    inside = (F.col("part") > 0) & (F.col("part") < F.col("words")) & (F.col("size") > 0)
     settled = rows.where(~inside).withColumn("last", F.when(F.col("part") > 0, F.col("size")).otherwise(0).cast("long"))
     # One block of each source is cut inside. Level by level a part is taken whole, left, or cut: then it goes on with
     # what is left of the quota. Only the documents of the last level's cut part are put in order.
@@ -156,7 +158,7 @@ def mix(docs: DataFrame, text: str = "text", shards: int = SHARDS, blocks: int =
     planned = stored(plan(placed, shards).coalesce(1), "op5-plan")
     cut = planned.where("part > 0 and part < words").select(F.col("source").alias("__source"), F.col("block").alias("__block"))
     inside = placed.join(cut, F.col("source").eqNullSafe(F.col("__source")) & (F.col("block") == F.col("__block")), "left_semi")
-    parts = stored(_parts(inside.select("source", "block", "place", "size")), "op5-parts")
+    parts = stored(_parts(inside.where("size > 0").select("source", "block", "place", "size")), "op5-parts")
     drawn = draw(block_of(rows, goals, blocks) if carry else placed, planned, parts)
     names = ("doc_id", "source", "size", "source_size", "target", "taken", "passes", "last", *(f"shard_{d}" for d in range(1, MOST + 1)), "place")
     return drawn.select(*names, *(["__row"] if carry else []))
@@ -198,7 +200,7 @@ t{depth} as (
     shards = ", ".join(f"max(low) filter (draw = {d}) as shard_{d}" for d in (1, 2))
     return rf"""
 with sized as (
-  select doc_id, source, len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> ''))::bigint as size from documents),
+  select doc_id, source, coalesce(doc_id::varchar, md5(text), '-') as own, len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> ''))::bigint as size from documents),
 by_source as (select source, sum(size)::bigint as source_size from sized group by source),
 ranked as (
   select source, source_size, row_number() over (order by source nulls last) as n, [{', '.join(map(str, WEIGHTS))}][(row_number() over (order by source nulls last) - 1) % {len(WEIGHTS)} + 1] as weight,
@@ -212,7 +214,7 @@ goals as (
     greatest(1, ceil({BLOCKS} * source_size / greatest(sum(source_size) over (), 1)))::bigint as n_blocks
   from levels),
 placed as (
-  select sized.*, source_size, target, ('0x' || left({key("'block'", "coalesce(doc_id::varchar, '-')")}, 8))::bigint % n_blocks as block, {key("'place'", "coalesce(doc_id::varchar, '-')")} as place
+  select sized.*, source_size, target, ('0x' || left({key("'block'", "own")}, 8))::bigint % n_blocks as block, {key("'place'", "own")} as place
   from sized join goals on sized.source is not distinct from goals.source),
 by_block as (select source, block, sum(size)::bigint as words, any_value(source_size) as source_size, round(any_value(target))::bigint as goal from placed group by source, block),
 passed as (select *, case when source_size > 0 then goal // source_size else 0 end as passes from by_block),
