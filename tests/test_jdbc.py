@@ -1,5 +1,6 @@
 """Catalogs and masks of a database behind JDBC (Derby), and the texts for others."""
 
+import tempfile
 import uuid
 
 import duckdb
@@ -11,6 +12,7 @@ from tableveil.functions.masks import mask_sql, shape
 from tableveil.operators import checks, clone, diff, verify
 from tableveil.plans.spec import CloneSpec, SpecError, read_rules
 from tableveil.queries import fresh
+from tableveil.sources.derby import packed
 from tableveil.sources.jdbc import POSTGRES, JdbcCatalog, source_text, spark_default, spark_type
 
 VALUES = ["ann@example.com", "@x.y", "noat", "", "a@b@c", "user@", None, "+1-555-123-4567", "1234", "12345", "Johnson", "Jo", "Zoë Ünïcode", "日本語テキスト@例え.jp", "it's"]
@@ -192,3 +194,21 @@ def test_others_tables_are_not_dropped(spark):
         spark.range(1).write.saveAsTable(f"j_own.{name}")
     assert clone.clone_frame(spark.range(5).where(F.col("id") > 0), "j_own", "t", {"conflict": "replace"}).rows == 4
     assert {t.name for t in spark.catalog.listTables("j_own") if not t.isTemporary} == {"t", "t__aside", "t__staged", "t__aside_1"}
+
+
+def test_a_packed_database_holds_all_values(spark, make):
+    root = f"file:{tempfile.mkdtemp(prefix='spark-')}"
+    rows = [(i, t, d, i % 2 == 0) for i, (t, d) in enumerate([*zip(VALUES, [0.1, -1e300, None, 1e-9, 123456789.125] * 3, strict=True), ('a "b", c', 1.0), ("two\nlines\r\n", 2.0), (" blanks ", 3.0), ("\\", 4.0), ('"', 5.0), (",", 6.0)])]
+    held = packed({"t": make(rows, "id long, text string, x double, yes boolean"), "none": make([], "id long")}, root, {"t": "id", "none": "id"})
+    fresh(spark, "j_packed")
+    results = clone.clone_jdbc_schema(JdbcCatalog(spark, held, "APP"), "j_packed", range_rows=5)
+    assert [(r.table_name, r.status, r.rows) for r in results] == [("none", "done", 0), ("t", "done", len(rows))]
+    assert [tuple(r) for r in spark.table("j_packed.t").orderBy("id").collect()] == rows
+    # A column with nulls or repeats is no key; its rows are all there.
+    for ids in ([1, 2, None], [1, 2, 2]):
+        there = JdbcCatalog(spark, packed({"t": make([(i,) for i in ids], "id int")}, root, {"t": "id"}), "APP")
+        assert there.constraints().count() == 0 and there.counts().first()["n"] == 3
+    with pytest.raises(SpecError):
+        packed({"t": make([([1],)], "a array<int>")}, root)
+    with pytest.raises(SpecError):
+        packed({"t": make([(1,)], "a int")}, "hdfs://host/shared")
