@@ -1,5 +1,8 @@
 """Catalogs and masks of a database behind JDBC (Derby), and the texts for others."""
 
+import os
+import subprocess
+import sys
 import tempfile
 import uuid
 
@@ -7,6 +10,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from tableveil import queries
 from tableveil.functions.expressions import DIALECTS, MySql, Postgres, Spark, dialect_of
 from tableveil.functions.masks import mask_sql, shape
 from tableveil.operators import checks, clone, diff, verify
@@ -196,6 +200,16 @@ def test_others_tables_are_not_dropped(spark):
     assert {t.name for t in spark.catalog.listTables("j_own") if not t.isTemporary} == {"t", "t__aside", "t__staged", "t__aside_1"}
 
 
+def test_a_packed_database_is_read_by_another_jvm(spark, sf):
+    """Executors are JVMs of their own; ours has the database open meanwhile."""
+    there = queries._database(spark, sf, "supplier", "s_suppkey")
+    assert [tuple(r) for r in there.counts().collect()] == [("APP", "supplier", 10)]
+    code = "import sys\nfrom pyspark.sql import SparkSession\nspark = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\nprint('rows', spark.read.format('jdbc').option('url', sys.argv[1]).option('dbtable', 'supplier').load().count())"
+    env = {k: v for k, v in os.environ.items() if not k.startswith(("PYSPARK_", "SPARK_"))}
+    other = subprocess.run([sys.executable, "-c", code, there.url], cwd=tempfile.mkdtemp(prefix="spark-"), env=env, capture_output=True, text=True, timeout=120)
+    assert "rows 10" in other.stdout, other.stderr[-2000:]
+
+
 def test_a_packed_database_holds_all_values(spark, make):
     root = f"file:{tempfile.mkdtemp(prefix='spark-')}"
     rows = [(i, t, d, i % 2 == 0) for i, (t, d) in enumerate([*zip(VALUES, [0.1, -1e300, None, 1e-9, 123456789.125] * 3, strict=True), ('a "b", c', 1.0), ("two\nlines\r\n", 2.0), (" blanks ", 3.0), ("\\", 4.0), ('"', 5.0), (",", 6.0)])]
