@@ -1,10 +1,10 @@
-"""Schema drift between two snapshots: full outer comparisons in byte order of the names."""
+"""Schema drift between two snapshots, each of which names a column or an object once; lists are in byte order of the names."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources.catalog import columns_snapshot, objects_snapshot
@@ -15,6 +15,61 @@ NAMES_ONLY = ("sequences",)
 CATEGORIES = ("indexes", "constraints", "triggers", "views", "sequences")
 
 
+def _sides(source: DataFrame, target: DataFrame) -> DataFrame:
+    """A row per column of either side: table_name, column_name, what each side says of it (s, t; null if nothing), and
+    whether its table is on each side (in_s, in_t).
+
+    Both sides are dealt out once, by table, and everything about tables and columns is taken from these rows in place.
+    Names that are null are like no other.
+    """
+    a, b = (df.select("table_name", "column_name", F.lit(of).alias("of"), F.struct("type", "not_null", "default").alias("c")) for df, of in ((source, 0), (target, 1)))
+    of_table = Window.partitionBy("table_name").orderBy("column_name", "of")
+    every = of_table.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # The source's column comes first, and the target's of the same name is the next row.
+    rows = a.unionAll(b).repartition("table_name").select(
+        "*", *(F.lead(c).over(of_table).alias(f"next_{c}") for c in ("column_name", "of", "c")), *(F.lag(c).over(of_table).alias(f"last_{c}") for c in ("column_name", "of")),
+        F.min("of").over(every).alias("first"), F.max("of").over(every).alias("last"),
+    )
+    named = F.col("table_name").isNotNull()
+    pair = named & (F.col("of") == 0) & (F.col("next_of") == 1) & (F.col("next_column_name") == F.col("column_name"))
+    told = named & (F.col("of") == 1) & (F.col("last_of") == 0) & (F.col("last_column_name") == F.col("column_name"))
+    return rows.where(~F.coalesce(told, F.lit(False))).select(
+        "table_name", "column_name", F.when(F.col("of") == 0, F.col("c")).alias("s"), F.when(F.col("of") == 1, F.col("c")).when(pair, F.col("next_c")).alias("t"),
+        F.when(named, F.col("first") == 0).otherwise(F.col("of") == 0).alias("in_s"), F.when(named, F.col("last") == 1).otherwise(F.col("of") == 1).alias("in_t"),
+    )
+
+
+#: Of a table, and of a column of a table on both sides: the side that has it, null if both do.
+_TABLE = "CASE WHEN NOT in_t THEN 'only_in_source' WHEN NOT in_s THEN 'only_in_target' END"
+_COLUMN = "CASE WHEN in_s AND in_t AND t IS NULL THEN 'only_in_source' WHEN in_s AND in_t AND s IS NULL THEN 'only_in_target' END"
+_DRIFTS = "s IS NOT NULL AND t IS NOT NULL AND NOT (s.type <=> t.type AND s.not_null <=> t.not_null AND s.`default` <=> t.`default`)"
+_FACTS = ("type", "not_null", "default")
+
+
+def _one_sided() -> list[Column]:
+    return [F.expr(_COLUMN).alias("presence"), *(F.coalesce("s", "t")[c].alias(c) for c in _FACTS)]
+
+
+def _two_sided() -> list[Column]:
+    return [F.col(f"{side}.{c}").alias(f"{name}_{c}") for c in _FACTS for side, name in (("s", "source"), ("t", "target"))]
+
+
+def _differing(sides: DataFrame) -> DataFrame:
+    return sides.where(f"({_TABLE}) IS NOT NULL OR ({_COLUMN}) IS NOT NULL OR ({_DRIFTS})")
+
+
+def _tables(sides: DataFrame) -> DataFrame:
+    return sides.select("table_name", F.expr(_TABLE).alias("presence")).where("presence IS NOT NULL").distinct()
+
+
+def _columns(sides: DataFrame) -> DataFrame:
+    return sides.where(f"({_COLUMN}) IS NOT NULL").select("table_name", "column_name", *_one_sided())
+
+
+def _column_drift(sides: DataFrame) -> DataFrame:
+    return sides.where(_DRIFTS).select("table_name", "column_name", *_two_sided())
+
+
 def tables(source: DataFrame, target: DataFrame) -> DataFrame:
     """(table_name, presence): only_in_source or only_in_target."""
     a, b = (df.select("table_name").distinct().withColumn(side, F.lit(True)) for df, side in ((source, "s"), (target, "t")))
@@ -22,24 +77,14 @@ def tables(source: DataFrame, target: DataFrame) -> DataFrame:
     return both.where("s is null or t is null").select("table_name", F.when(F.col("t").isNull(), "only_in_source").otherwise("only_in_target").alias("presence"))
 
 
-def _sides(source: DataFrame, target: DataFrame) -> DataFrame:
-    """Columns of tables on both sides, joined by name."""
-    common = source.select("table_name").intersect(target.select("table_name"))
-    a, b = (df.select("table_name", "column_name", F.struct("type", "not_null", "default").alias(side)).join(common, "table_name", "left_semi") for df, side in ((source, "s"), (target, "t")))
-    return a.join(b, ["table_name", "column_name"], "full_outer")
-
-
 def columns(source: DataFrame, target: DataFrame) -> DataFrame:
     """Columns on one side only, of tables on both."""
-    one = _sides(source, target).where("s is null or t is null").withColumn("c", F.coalesce("s", "t"))
-    return one.select("table_name", "column_name", F.when(F.col("t").isNull(), "only_in_source").otherwise("only_in_target").alias("presence"), "c.type", "c.not_null", "c.default")
+    return _columns(_sides(source, target))
 
 
 def column_drift(source: DataFrame, target: DataFrame) -> DataFrame:
     """Columns on both sides with another type, nullability or default (nulls compare as values)."""
-    both = _sides(source, target).where("s is not null and t is not null")
-    other = [~F.col(f"s.{c}").eqNullSafe(F.col(f"t.{c}")) for c in ("type", "not_null", "default")]
-    return both.where(other[0] | other[1] | other[2]).select("table_name", "column_name", *(F.col(f"{side}.{c}").alias(f"{name}_{c}") for c in ("type", "not_null", "default") for side, name in (("s", "source"), ("t", "target"))))
+    return _column_drift(_sides(source, target))
 
 
 def objects(source: DataFrame, target: DataFrame) -> DataFrame:
@@ -57,31 +102,38 @@ def objects(source: DataFrame, target: DataFrame) -> DataFrame:
     return drift.select("category", "parent", "name", presence.alias("presence"), *(F.when(~F.col("category").isin(*NAMES_ONLY), F.col(f"{s}_def")).alias(f"{s}_def") for s in ("source", "target")))
 
 
-def summary(table_rows: DataFrame, column_rows: DataFrame, drift_rows: DataFrame, object_rows: DataFrame) -> DataFrame:
-    """17 counters, diff_count (one for each object that differs) and in_sync, from the rows of the other functions."""
-    modified = column_rows.select("table_name").union(drift_rows.select("table_name")).distinct()
-    marks = table_rows.select(F.concat(F.lit("tables_"), "presence").alias("mark")).unionAll(modified.select(F.lit("tables_modified").alias("mark")))
-    marks = marks.unionAll(object_rows.select(F.concat("category", F.lit("_"), "presence").alias("mark")))
+def summary(sides: DataFrame, object_rows: DataFrame) -> DataFrame:
+    """17 counters, diff_count (one for each object that differs) and in_sync, from _sides and objects."""
+    differ = _differing(sides).select("table_name", F.coalesce(F.expr(_TABLE), F.lit("modified")).alias("presence")).distinct()
+    marks = differ.select(F.concat(F.lit("tables_"), "presence").alias("mark")).unionAll(object_rows.select(F.concat("category", F.lit("_"), "presence").alias("mark")))
+    return _counters(marks.groupBy("mark").agg(F.count(F.lit(1)).alias("n")))
+
+
+def _counters(marks: DataFrame) -> DataFrame:
     names = [f"{c}_{p}" for c in ("tables", *CATEGORIES) for p in ("only_in_source", "only_in_target", "modified") if not (c in NAMES_ONLY and p == "modified")]
-    counted = marks.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).agg(*(F.coalesce(F.sum(F.when(F.col("mark") == n, F.col("n"))), F.lit(0)).cast("long").alias(n) for n in names))
+    counted = marks.agg(*(F.coalesce(F.sum(F.when(F.col("mark") == n, F.col("n"))), F.lit(0)).cast("long").alias(n) for n in names))
     total = sum((F.col(n) for n in names[1:]), F.col(names[0]))
     return counted.withColumn("diff_count", total).withColumn("in_sync", total == 0)
 
 
-def documents(table_rows: DataFrame, column_rows: DataFrame, drift_rows: DataFrame, object_rows: DataFrame, totals: DataFrame) -> DataFrame:
+def documents(sides: DataFrame, object_rows: DataFrame) -> DataFrame:
     """The comparison as JSON, (section, name, document): a summary, one row per table that differs, one per object.
 
     No row gathers more than the differences of one table.
     """
     keep = {"ignoreNullFields": "false"}
-    parts = []
-    for name, df in (("columns", column_rows), ("column_drift", drift_rows)):
-        fields = [c for c in df.columns if c != "table_name"]
-        parts.append(df.groupBy("table_name").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias(name)))
-    by_table = table_rows.join(parts[0], "table_name", "full_outer").join(parts[1], "table_name", "full_outer")
-    by_table = by_table.select(F.lit("tables").alias("section"), F.col("table_name").alias("name"), F.to_json(F.struct("presence", "columns", "column_drift"), keep).alias("document"))
+    listed = lambda when, fields: F.array_sort(F.collect_list(F.when(F.expr(when), F.struct("column_name", *fields))))
+    lists = listed(f"({_COLUMN}) IS NOT NULL", _one_sided()).alias("columns"), listed(_DRIFTS, _two_sided()).alias("column_drift")
+    by_table = _differing(sides).groupBy("table_name", F.expr(_TABLE).alias("presence")).agg(*lists)
+    some = [F.when(F.size(c) > 0, F.col(c)).alias(c) for c in ("columns", "column_drift")]
+    by_table = by_table.select(F.lit("tables").alias("section"), F.col("table_name").alias("name"), F.to_json(F.struct("presence", *some), keep).alias("document"))
     by_object = object_rows.select(F.col("category").alias("section"), F.concat_ws(".", F.nullif("parent", F.lit("")), "name").alias("name"), F.to_json(F.struct(*object_rows.columns), keep).alias("document"))
-    return totals.select(F.lit("summary").alias("section"), F.lit("").alias("name"), F.to_json(F.struct(*totals.columns), keep).alias("document")).unionAll(by_table).unionAll(by_object)
+    # The summary counts the documents. It asks for all their columns, so both readings share one exchange and the sides
+    # are compared once.
+    made = by_table.unionAll(by_object).repartition("section", "name")
+    mark = F.concat("section", F.lit("_"), F.coalesce(F.get_json_object("document", "$.presence"), F.lit("modified"))).alias("mark")
+    totals = _counters(made.groupBy(mark).agg(F.count(F.coalesce("document", "name")).alias("n")))
+    return totals.select(F.lit("summary").alias("section"), F.lit("").alias("name"), F.to_json(F.struct(*totals.columns), keep).alias("document")).unionAll(made)
 
 
 @dataclass(frozen=True)
@@ -93,17 +145,18 @@ class Drift:
     column_drift: DataFrame
     objects: DataFrame
     summary: DataFrame
+    sides: DataFrame
 
     def documents(self) -> DataFrame:
-        return documents(self.tables, self.columns, self.column_drift, self.objects, self.summary)
+        return documents(self.sides, self.objects)
 
     def document(self) -> DataFrame:
         return document(self.tables, self.columns, self.column_drift, self.objects, self.summary)
 
 
 def compare(source_columns: DataFrame, target_columns: DataFrame, source_objects: DataFrame, target_objects: DataFrame) -> Drift:
-    parts = tables(source_columns, target_columns), columns(source_columns, target_columns), column_drift(source_columns, target_columns), objects(source_objects, target_objects)
-    return Drift(*parts, summary(*parts))
+    sides, object_rows = _sides(source_columns, target_columns), objects(source_objects, target_objects)
+    return Drift(_tables(sides), _columns(sides), _column_drift(sides), object_rows, summary(sides, object_rows), sides)
 
 
 def diff_schemas(spark: SparkSession, source: str | JdbcCatalog, target: str | JdbcCatalog, source_constraints: DataFrame | None = None, target_constraints: DataFrame | None = None) -> Drift:
