@@ -45,3 +45,11 @@ def test_all_differences(drift, make):
 def test_columns_are_dealt_out_once(drift):
     plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
     assert plan(drift.summary).count("Exchange hashpartitioning(table_name") == 1
+
+
+def test_documents_and_their_summary_share_one_comparison(drift):
+    found = drift.documents()
+    assert found.collect()
+    final = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("Window") == 1 or "ReusedExchange" in final
+    assert final.count("Exchange hashpartitioning(table_name") == 1
