@@ -1,12 +1,15 @@
 """Catalogs and masks of a database behind JDBC (Derby), and the texts for others."""
 
+import json
 import os
 import subprocess
 import sys
 import tempfile
 import uuid
+from pathlib import Path
 
 import duckdb
+import pyspark
 import pytest
 from pyspark.sql import functions as F
 
@@ -210,6 +213,21 @@ def test_a_packed_database_is_read_by_another_jvm(spark, sf):
     assert "rows 10" in other.stdout, other.stderr[-2000:]
 
 
+def test_a_schema_is_verified_on_a_cluster(sf):
+    """The whole query, from load to counts, where every executor is a JVM with a folder of its own."""
+    root, spark_home = Path(tempfile.mkdtemp(prefix="spark-")), Path(pyspark.__file__).parent
+    for d in ("home/work", "shared"):
+        (root / d).mkdir(parents=True)
+    for p in spark_home.iterdir():
+        if p.name != "work":  # executors' folders are made in it
+            (root / "home" / p.name).symlink_to(p)
+    conf = {"spark.master": "local-cluster[2,2,1200]", "spark.executor.memory": "800m", "spark.driver.host": "127.0.0.1", "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "4", "spark.sql.warehouse.dir": f"{root}/warehouse", "spark.checkpoint.dir": f"file://{root}/shared"}
+    code = "import json, os, sys\nfrom pyspark.sql import SparkSession\nspark = SparkSession.builder.config(map=json.loads(sys.argv[1])).getOrCreate()\nfrom tableveil import queries\nprint('rows', [list(r) for r in queries.jdbc_verify(spark, sys.argv[2]).collect()], flush=True)\nspark.stop()\nos._exit(0)"
+    env = {k: v for k, v in os.environ.items() if not k.startswith(("PYSPARK_", "SPARK_"))} | {"SPARK_HOME": str(root / "home"), "SPARK_SCALA_VERSION": "2.13", "SPARK_LOCAL_IP": "127.0.0.1", "PYTHONPATH": str(Path(queries.__file__).parents[1]), "PYTHONIOENCODING": "utf-8", "PYSPARK_PYTHON": sys.executable}
+    other = subprocess.run([sys.executable, "-c", code, json.dumps(conf), sf], cwd=root, env=env, capture_output=True, encoding="utf-8", timeout=300)
+    assert "rows [['APP', 'supplier', 10, 10, '✓']]" in other.stdout, other.stderr[-2000:]
+
+
 def test_a_packed_database_holds_all_values(spark, make):
     root = f"file:{tempfile.mkdtemp(prefix='spark-')}"
     rows = [(i, t, d, i % 2 == 0) for i, (t, d) in enumerate([*zip(VALUES, [0.1, -1e300, None, 1e-9, 123456789.125] * 3, strict=True), ('a "b", c', 1.0), ("two\nlines\r\n", 2.0), (" blanks ", 3.0), ("\\", 4.0), ('"', 5.0), (",", 6.0)])]
