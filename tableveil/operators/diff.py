@@ -96,7 +96,8 @@ def objects(source: DataFrame, target: DataFrame) -> DataFrame:
     key = ["category", F.when(of_table, F.coalesce("parent", F.lit(""))).otherwise("").alias("parent"), "name"]
     text = F.when(F.col("category").isin(*NAMES_ONLY), F.lit("")).otherwise(F.coalesce("def", F.lit("")))
     a, b = (df.select(*key, text.alias(f"{side}_def"), F.lit(True).alias(side)) for df, side in ((source, "source"), (target, "target")))
-    both = a.join(b, ["category", "parent", "name"], "full_outer")
+    # Sorting compares first bytes first: parents differ early, categories and the names made of them late.
+    both = a.join(b, ["parent", "name", "category"], "full_outer")
     presence = F.when(F.col("target").isNull(), "only_in_source").when(F.col("source").isNull(), "only_in_target").otherwise("modified")
     drift = both.where("source is null or target is null or source_def <> target_def")
     return drift.select("category", "parent", "name", presence.alias("presence"), *(F.when(~F.col("category").isin(*NAMES_ONLY), F.col(f"{s}_def")).alias(f"{s}_def") for s in ("source", "target")))

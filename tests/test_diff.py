@@ -53,3 +53,9 @@ def test_documents_and_their_summary_share_one_comparison(drift):
     final = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert final.count("Window") == 1 or "ReusedExchange" in final
     assert final.count("Exchange hashpartitioning(table_name") == 1
+
+
+def test_objects_are_sorted_by_what_differs_early(drift):
+    """Keys that begin with the category, or a name made of it, share their first bytes, so that a sort compares whole rows."""
+    plan = drift.objects._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [parent#" in plan and "Sort [parent#" in plan and "Sort [category#" not in plan
